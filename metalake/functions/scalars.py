@@ -49,8 +49,13 @@ def canonical_json(json_text: Column) -> Column:
 
 def json_leaves(json_text: Column) -> Column:
     """String values (not keys) of JSON text, in order."""
-    found = F.regexp_extract_all(json_text, F.lit(r'"(?:[^"\\]|\\.)*"(?:\s*:)?'), 0)
-    return F.transform(F.filter(found, lambda x: x.endswith('"')), lambda x: F.substring(x, F.lit(2), F.length(x) - 2))
+    # Control characters can't occur in JSON text: they stand in for escaped backslashes and
+    # quotes, so that every remaining quote opens or closes a string.
+    plain = F.replace(F.replace(json_text, F.lit("\\\\"), F.lit("\u0003")), F.lit('\\"'), F.lit("\u0002"))
+    found = F.regexp_extract_all(plain, F.lit(r'"[^"]*+"(?:\s*+:)?'), 0)
+    values = F.array_join(F.filter(found, lambda x: x.endswith('"')), ",")
+    escaped = F.replace(F.replace(values, F.lit("\u0002"), F.lit('\\"')), F.lit("\u0003"), F.lit("\\\\"))
+    return F.from_json(F.concat(F.lit("["), escaped, F.lit("]")), "array<string>")
 
 
 def tokens(text: Column) -> Column:
@@ -89,10 +94,10 @@ def mime_charset(data: Column) -> tuple[Column, Column]:
     """(mimetype, encoding) of bytes, by leading signatures and character rules."""
     head = F.hex(F.substring(data, 1, 16))
     kind, charset = F.lit(None).cast("string"), F.lit(None).cast("string")
-    ascii_only = ~F.hex(data).rlike("^(?:..)*?[89A-F]")
+    text = F.decode(data, "ISO-8859-1")
+    ascii_only = ~text.rlike(r"[\x80-\xff]")
     utf8 = F.is_valid_utf8(data.cast("string"))
-    text = F.decode(F.substring(data, 1, 64), "ISO-8859-1")
-    control = F.hex(data).rlike("^(?:..)*?(?:0[0-68E-F]|1[0-9A-F])")
+    control = text.rlike(r"[\x00-\x06\x0e-\x1a\x1c-\x1f]")
     for prefix, mime in SIGNATURES:
         kind = F.coalesce(kind, F.when(head.startswith(prefix), mime))
     binary = F.coalesce(kind.isNotNull(), F.lit(False))
