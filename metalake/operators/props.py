@@ -1,11 +1,115 @@
-"""Property tables: the shape in which translated documents are merged and compacted."""
+"""Property tables: the shape in which translated documents are merged and compacted.
+
+A property table has a row (doc_id, prop, kind, pos, value) per value; kind is literal, uri,
+date, number or object (value: JSON text, for nested nodes), pos orders lists (author).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CONTEXT = "https://doi.org/10.5063/schema/codemeta-2.0"
+#: Other names of the version 2 context, and names of version 3.
+CONTEXT_V2 = [
+    "https://doi.org/10.5063/schema/codemeta-2.0",
+    "https://raw.githubusercontent.com/codemeta/codemeta/2.0/codemeta.jsonld",
+    "https://raw.githubusercontent.com/codemeta/codemeta/master/codemeta.jsonld",
+    "http://purl.org/codemeta/2.0",
+    "https://codemeta.github.io/schema/codemeta-2.0",
+]
+CONTEXT_V3 = ["https://w3id.org/codemeta/3.0", "https://doi.org/10.5063/schema/codemeta-3.0"]
+#: Terms whose values are URIs, dates and lists in the vocabulary's context.
+URI_TERMS = [
+    "applicationCategory", "applicationSubCategory", "codeRepository", "downloadUrl", "fileFormat", "identifier", "installUrl", "license",
+    "memoryRequirements", "relatedLink", "releaseNotes", "sameAs", "softwareRequirements", "storageRequirements", "url", "softwareSuggestions",
+    "contIntegration", "buildInstructions", "developmentStatus", "readme", "issueTracker", "referencePublication",
+]
+DATE_TERMS = ["dateCreated", "dateModified", "datePublished", "embargoDate"]
+LIST_TERMS = ["author"]
+PREFIXED = ["forge:", "as:", "schema:", "codemeta:", "xsd:"]
+
 
 def drop_empty_uris(rows: DataFrame) -> DataFrame:
     """Rows without an empty URI as value."""
     return rows.where(~((F.col("kind") == "uri") & (F.coalesce("value", F.lit("")) == "")))
+
+
+def one_of(c: Column, values: list[str]) -> Column:
+    return c.isin(values)
+
+
+def compact_key(prop: Column, kind: Column) -> Column:
+    """A term, or the term under ``schema:`` where the value's kind isn't what its context wants."""
+    wants = F.when(one_of(prop, URI_TERMS), "uri").when(one_of(prop, DATE_TERMS), "date").otherwise("any")
+    known = F.greatest(*[prop.startswith(p) for p in PREFIXED])
+    fits = known | (wants == "any") & kind.isin("literal", "number", "object", "uri", "date") | (wants == kind) | (kind == "object")
+    return F.when(fits, prop).otherwise(F.concat(F.lit("schema:"), prop))
+
+
+def json_value(value: Column, kind: Column) -> Column:
+    """JSON text of one value: numbers and nested nodes as they are, the rest as strings."""
+    quoted = F.substring(F.to_json(F.struct(value.alias("v"))), 6, 2**31 - 1)
+    return F.when(kind.isin("number", "object"), value).otherwise(F.substring(quoted, F.lit(1), F.length(quoted) - 1))
+
+
+def compact(props: DataFrame, root_type: str = "SoftwareSourceCode") -> DataFrame:
+    """(doc_id, metadata): JSON documents with sorted keys. One value is a scalar, several a
+    sorted array without repeats; lists (author) are always arrays, in order."""
+    rows = drop_empty_uris(props).where("value is not null")
+    listed = F.col("prop").isin(LIST_TERMS)
+    keyed = rows.select(
+        "doc_id", compact_key(F.col("prop"), F.col("kind")).alias("key"), listed.alias("listed"),
+        F.struct(F.when(listed, F.col("pos")).otherwise(0).alias("pos"), json_value(F.col("value"), F.col("kind")).alias("json")).alias("v"),
+    )
+    values = keyed.groupBy("doc_id", "key").agg(F.max("listed").alias("listed"), F.array_sort(F.collect_set("v")).alias("vs"))
+    texts = F.array_distinct(F.transform("vs", lambda v: v["json"]))
+    body = F.when(F.col("listed") | (F.size(texts) > 1), F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).otherwise(F.element_at(texts, 1))
+    pair = F.struct("key", F.concat(F.lit('"'), F.col("key"), F.lit('":'), body).alias("text"))
+    docs = values.groupBy("doc_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+    fixed = F.array(F.lit(f'"@context":"{CONTEXT}"'), F.lit(f'"type":"{root_type}"'))
+    return docs.select("doc_id", F.concat(F.lit("{"), F.array_join(F.concat(fixed, F.transform("pairs", lambda p: p["text"])), ","), F.lit("}")).alias("metadata"))
+
+
+def known_context(context: Column) -> Column:
+    """2 or 3 for the accepted vocabulary contexts (any case, trailing slash), else null."""
+    plain = F.regexp_replace(F.lower(context), "/$", "")
+    return F.when(plain.isin([c.lower() for c in CONTEXT_V2]), 2).when(plain.isin([c.lower() for c in CONTEXT_V3]), 3)
+
+
+def expand(docs: DataFrame) -> DataFrame:
+    """Property table of JSON documents (doc_id, metadata); invalid text, no object or an
+    unknown context give no rows. Version 3 documents need no other rules here."""
+    v = F.try_parse_json("metadata")
+    rows = docs.select("doc_id", v.alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
+    context = F.try_variant_get("v", "$['@context']", "string")
+    rows = rows.where(known_context(context).isNotNull())
+    pairs = rows.select("doc_id", F.expr("variant_get(v, '$', 'map<string, variant>')").alias("m")).select("doc_id", F.explode("m").alias("prop", "x"))
+    pairs = pairs.where("prop not in ('@context', 'type', '@type', 'id', '@id')")
+    many = F.when(F.expr("schema_of_variant(x) like 'ARRAY%'"), F.expr("try_variant_get(x, '$', 'array<variant>')")).otherwise(F.array("x"))
+    each = pairs.select("doc_id", "prop", F.posexplode(many).alias("pos", "x"))
+    shape = F.expr("schema_of_variant(x)")
+    text = F.when(shape.startswith("OBJECT"), F.to_json("x")).otherwise(F.expr("try_variant_get(x, '$', 'string')"))
+    name = F.regexp_replace("prop", "^schema:", "")
+    forced = F.col("prop").startswith("schema:")
+    kind = (
+        F.when(shape.startswith("OBJECT"), "object")
+        .when(shape.startswith("BIGINT") | shape.startswith("DECIMAL") | shape.startswith("DOUBLE") | (shape == "BOOLEAN"), "number")
+        .when(~forced & one_of(name, URI_TERMS), "uri").when(~forced & one_of(name, DATE_TERMS), "date").otherwise("literal")
+    )
+    return each.select("doc_id", name.alias("prop"), kind.alias("kind"), "pos", text.alias("value")).where("value is not null")
+
+
+def merge(props: DataFrame, groups: DataFrame) -> DataFrame:
+    """Property table of merged documents. ``groups`` has (group, rank, doc_id): values of a
+    property keep the order of first appearance, repeats go; of the documents' ids (prop
+    ``id``) the first stays and other ones become ``sameAs``."""
+    rows = groups.join(props, "doc_id")
+    first = rows.groupBy("group", "prop", "kind", "value").agg(F.min(F.struct("rank", "pos")).alias("at"))
+    ids = first.where("prop = 'id'")
+    kept = ids.groupBy("group").agg(F.min_by("value", "at").alias("value"))
+    others = ids.join(kept.withColumnRenamed("value", "kept"), "group").where("value <> kept")
+    body = first.where("prop <> 'id'").unionByName(others.select("group", F.lit("sameAs").alias("prop"), F.lit("uri").alias("kind"), "value", "at"))
+    numbered = body.groupBy("group", "prop").agg(F.array_sort(F.collect_set(F.struct("at", "kind", "value"))).alias("vs"))
+    values = numbered.select("group", "prop", F.posexplode("vs").alias("pos", "v")).select(F.col("group").alias("doc_id"), "prop", "v.kind", "pos", "v.value")
+    return values.unionByName(kept.select(F.col("group").alias("doc_id"), F.lit("id").alias("prop"), F.lit("uri").alias("kind"), F.lit(0).alias("pos"), "value")).distinct()
