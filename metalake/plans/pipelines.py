@@ -64,3 +64,57 @@ def origin_intrinsic_metadata(
     docs = directory_metadata(written(graph.detect_files(reached), "detected"), part_props)
     docs = docs.where(S.has_metadata(F.col("metadata")))
     return roots.join(docs, F.col("directory") == F.col("dir_id")).select(F.col("origin").alias("id"), "metadata", F.col("dir_id").alias("from_directory"), "mappings")
+
+
+#: Until then, one kind of deposit stored percent-encoded origins.
+QUOTED_UNTIL = "2024-05-16 15:20:00"
+
+
+def target_of(remd: DataFrame) -> DataFrame:
+    """``remd`` with ``target``: SHA-1 (hex) of the origin that a record describes, or null."""
+    quoted = (F.col("fetcher.name") == "swh-deposit") & (F.col("discovery_date") < F.lit(QUOTED_UNTIL).cast("timestamp"))
+    plain = F.url_decode(F.replace("origin", F.lit("+"), F.lit("%2B")))
+    origin = F.when(quoted, plain).otherwise(F.col("origin"))
+    target = F.when(F.col("target_type") == "origin", F.col("target_id")).when(origin.isNotNull(), F.sha1(origin.cast("binary")))
+    return remd.withColumn("target", target)
+
+
+def resolve_targets(remd: DataFrame, origins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records with the ``url`` of their origin, records whose origin isn't known yet)."""
+    named = target_of(remd).where("target is not null")
+    known = origins.select("url", F.sha1(F.col("url").cast("binary")).alias("target"))
+    return named.join(known, "target"), named.join(known.select("target"), "target", "left_anti")
+
+
+def authorised(records: DataFrame) -> DataFrame:
+    """Records of a registry, or of an authority on the origin's own host."""
+    return records.where((F.col("authority.type") == "registry") | (S.netloc(F.col("authority.url")) == S.netloc(F.col("url"))))
+
+
+def origin_extrinsic_metadata(remd: DataFrame, origins: DataFrame) -> DataFrame:
+    """(id, metadata, from_remd_id, mappings) per origin, from its latest accepted record.
+
+    Every registered mapping of a record's format translates it; their results are merged.
+    """
+    from metalake.registry import REGISTRY
+
+    found, _ = resolve_targets(remd, origins)
+    good = authorised(found)
+    translated, formats = None, sorted({f for m in REGISTRY.mappings().values() for f in m.formats})
+    groups = None
+    for mapping in REGISTRY.mappings().values():
+        if not mapping.formats:
+            continue
+        mine = good.where(F.col("format").isin(list(mapping.formats)))
+        key = F.concat(F.col("id"), F.lit(f"\u0001{mapping.name}"))
+        rows = mapping.translate(mine.select(key.alias("doc_id"), F.col("metadata").alias("data"))).select("doc_id", "prop", "kind", "pos", "value")
+        group = mine.select(F.col("id").alias("group"), F.lit(mapping.name).alias("rank"), key.alias("doc_id"))
+        translated = rows if translated is None else translated.unionByName(rows)
+        groups = group if groups is None else groups.unionByName(group)
+    translated = written(translated, "translated")
+    done = groups.join(translated.select("doc_id").distinct(), "doc_id", "left_semi")
+    used = done.groupBy(F.col("group").alias("id")).agg(F.array_sort(F.collect_set("rank")).alias("mappings"))
+    docs = props.compact(props.merge(translated, done)).withColumnRenamed("doc_id", "id")
+    dated = good.where(F.col("format").isin(formats)).select("id", "url", "discovery_date").join(docs, "id").join(used, "id")
+    last = dated.groupBy("url").agg(F.max_by(F.struct("metadata", "id", "mappings"), F.struct("discovery_date", "id")).alias("v"))
+    return last.select(F.col("url").alias("id"), "v.metadata", F.col("v.id").alias("from_remd_id"), "v.mappings")

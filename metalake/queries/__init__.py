@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import archive, citations, formats, relational
+from . import archive, citations, formats, relational, streams
 
-QUERIES = relational.QUERIES | archive.QUERIES | formats.QUERIES | citations.QUERIES
-ORACLES = relational.ORACLES | archive.ORACLES | formats.ORACLES | citations.ORACLES
+QUERIES = relational.QUERIES | archive.QUERIES | formats.QUERIES | citations.QUERIES | streams.QUERIES
+ORACLES = relational.ORACLES | archive.ORACLES | formats.ORACLES | citations.ORACLES | streams.ORACLES

@@ -1,7 +1,57 @@
-"""Queries."""
+"""Citations of documents made from customers."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from metalake.operators import citation
+from metalake.sources.bridge import pick
+
+from .formats import customers, text
 from .register import Register
 
 query = Register()
 
+
+def documents(spark, sf_dir):
+    """(doc_id, metadata, swhid): every tenth customer's document has an unknown context."""
+    rows = customers(spark, sf_dir).withColumns({
+        "context": F.when(F.col("c_custkey") % 10 == 9, "https://other.org/").otherwise("https://doi.org/10.5063/schema/codemeta-2.0"),
+        "author": pick(['[["type":"Person","name":"Ann Bee"]]', '[["type":"Role","author":[["type":"Person","givenName":"Cy","familyName":"Dee","affiliation":[["name":"Inst"]] ]] ]]', '[["type":"Organization","name":"Team"]]'], F.col("c_custkey") % 3),
+        "date": pick(["2024-02-03", "soon"], F.col("c_custkey") % 2),
+        "month": F.col("c_custkey") % 12 + 1,
+    })
+    rows = rows.withColumn("author", F.replace(F.replace("author", F.lit("[["), F.lit("{")), F.lit("]]"), F.lit("}")))
+    body = text('[["@context":"{context}","type":"SoftwareSourceCode","name":"{c_name}","version":"{c_nationkey}","author":{author},"datePublished":"{date}","license":"https://spdx.org/licenses/MIT","codeRepository":"https://c.org/{doc_id}","identifier":"https://doi.org/10.1/{doc_id}"]]')
+    swhid = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("swh:1:rev:"), F.sha1(F.col("doc_id").cast("binary"))))
+    return rows.select("doc_id", body.cast("string").alias("metadata"), swhid.alias("swhid"))
+
+
+NAME = "['Bee, Ann', 'Dee, Cy', '{Team}'][c_custkey % 3 + 1]"
+
+
+@query("""select c_custkey::varchar as doc_id, c_name as name, c_nationkey::varchar as version, 'https://c.org/' || c_custkey as repository, ['MIT'] as licenses,
+    [['Ann Bee', 'Cy Dee', 'Team'][c_custkey % 3 + 1]] as people, case when c_custkey % 3 = 1 then ['Inst'] else []::varchar[] end as affiliations,
+    ['https://doi.org/10.1/' || c_custkey, c_custkey::varchar] as identifiers from customer where c_custkey % 10 <> 9""")
+def citation_facts(spark, sf_dir):
+    rows = citation.facts(documents(spark, sf_dir))
+    return rows.select("doc_id", "name", "version", F.col("codeRepository").alias("repository"), "licenses", F.transform("authors", lambda p: p["name"]).alias("people"), "affiliations", "identifiers")
+
+
+@query(f"""select c_custkey::varchar as doc_id, case when c_custkey % 10 = 9 then 'not a document of a known vocabulary' end as error, case when c_custkey % 10 <> 9 then
+    '@softwareversion{{' || c_custkey || ',' || chr(10) || '    author = "' || {NAME} || '",' || chr(10) || case when c_custkey % 3 = 1 then '    organization = "Inst",' || chr(10) else '' end ||
+    '    license = "MIT",' || chr(10) || case when c_custkey % 2 = 0 then '    date = "2024-02-03",' || chr(10) || '    year = "2024",' || chr(10) || '    month = feb,' else '    date = "soon",' end || chr(10) ||
+    '    doi = "10.1/' || c_custkey || '",' || chr(10) || '    repository = "https://c.org/' || c_custkey || '",' || chr(10) || '    title = "' || c_name || '",' || chr(10) || '    version = "' || c_nationkey || '"' ||
+    case when c_custkey % 4 = 0 then ',' || chr(10) || '    swhid = "swh:1:rev:' || sha1(c_custkey::varchar) || '"' else '' end || chr(10) || '}}' || chr(10) end as citation from customer""")
+def citation_bibtex(spark, sf_dir):
+    return citation.cite(documents(spark, sf_dir), "bibtex")
+
+
+@query("""select c_custkey::varchar as doc_id, case when c_custkey % 10 = 9 then 'not a document of a known vocabulary' end as error, case when c_custkey % 10 <> 9 then '{"type":"software","title":"' || c_name || '","author":[' ||
+    ['{"family":"Bee","given":"Ann"}', '{"family":"Dee","given":"Cy"}', '{"family":"Team"}'][c_custkey % 3 + 1] || ']' || case when c_custkey % 2 = 0 then ',"issued":{"date-parts":[[2024,2,3]]}' else '' end ||
+    ',"DOI":"10.1/' || c_custkey || '","id":"https://doi.org/10.1/' || c_custkey || '","source":"https://c.org/' || c_custkey || '","license":"MIT","version":"' || c_nationkey || '"}' end as citation from customer""")
+def citation_csl(spark, sf_dir):
+    return citation.cite(documents(spark, sf_dir), "csl")
+
+
 QUERIES, ORACLES = query.queries, query.oracles

@@ -1 +1 @@
-"""See the README for what this subpackage holds."""
+"""Structured Streaming: the object log in, index tables and the additions log out."""
