@@ -23,7 +23,8 @@ def unwrap_roles(rows: DataFrame, depth: int = 3) -> DataFrame:
     for _ in range(depth):
         inner = F.coalesce(*[F.try_variant_get("node", f"$.{p}", "variant") for p in PEOPLE])
         role = F.coalesce(F.try_variant_get("node", "$.type", "string"), F.lit("")) == "Role"
-        rows = rows.withColumn("node", F.when(role, inner).otherwise(F.col("node")))
+        # explode keeps the levels apart: merged into one projection they would double each time
+        rows = rows.withColumn("node", F.explode(F.array(F.when(role, inner).otherwise(F.col("node")))))
     return rows
 
 
