@@ -67,7 +67,7 @@ def statistics(text: str, tokens: list[str], kinds: Counter, classes: np.ndarray
         1 - len(set(lines)) / len(lines) if len(lines) > 2 else 0.0,
         letters / max(1, solid),
         letters / n,
-        sum(map(eq, tokens, tokens[1:])) / n,
+        sum(map(eq, tokens, tokens[1:])) / max(n, 20),
     ]
 
 
@@ -103,6 +103,11 @@ def features(text: str) -> np.ndarray | None:
 DETECTORS = [k for k, rule in enumerate(LABELLERS.values()) if rule[2] == ALWAYS]
 
 
+#: A detector may be wrong on this share of good documents at most; else a frequent kind of
+#: junk could pass as a kind of good document.
+MOST_FALSE = 0.005
+
+
 def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """(class shares, P(vote | class)[class, labeller, vote + 1]) by EM; class 0 is good.
 
@@ -126,6 +131,9 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.
         member = membership(patterns, shares, table)
         sums = np.einsum("pc,plv->clv", weight[:, None] * member, hits) + strength * prior
         new = sums / sums.sum(axis=2, keepdims=True)
+        over = np.minimum(1, MOST_FALSE / new[0, DETECTORS, 0])
+        new[0, DETECTORS, 1] += new[0, DETECTORS, 0] * (1 - over)
+        new[0, DETECTORS, 0] *= over
         shares = (weight @ member + strength * start) / (weight.sum() + strength)
         done = np.abs(new - table).max() < 1e-7
         table = new
@@ -135,9 +143,14 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.
 
 
 def membership(patterns: np.ndarray, shares: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """P(class | votes) of every pattern."""
+    """P(class | votes) of every pattern. A detector that keeps silent tells something; a prose
+    labeller that abstains tells nothing, so only its votes count, given that it votes."""
     at = np.arange(patterns.shape[1])
-    log = np.stack([np.log(t[at, patterns + 1]).sum(axis=1) for t in table], axis=1) + np.log(shares)
+    told = table.copy()
+    prose = np.setdiff1d(at, DETECTORS)
+    told[:, prose] /= told[:, prose][:, :, [0, 2]].sum(axis=2, keepdims=True)
+    told[:, prose, 1] = 1
+    log = np.stack([np.log(t[at, patterns + 1]).sum(axis=1) for t in told], axis=1) + np.log(shares)
     p = np.exp(log - log.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 
@@ -156,7 +169,7 @@ def accuracies(shares: np.ndarray, table: np.ndarray) -> dict[str, tuple[float,
     return out
 
 
-def train(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1e-5) -> np.ndarray:
+def train(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1e-3) -> np.ndarray:
     """Logistic weights (last one: bias) for soft labels, classes balanced, by gradient descent
     with momentum."""
     x = np.hstack([x, np.ones((len(x), 1), "float32")])
