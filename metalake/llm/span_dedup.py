@@ -93,7 +93,7 @@ def span_rows(df: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
     return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int, again boolean"), "spans")
 
 
-def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 2, least_words: int = 24, long_words: int = 40) -> DataFrame:
+def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 2, least_words: int = 16, long_words: int = 30) -> DataFrame:
     """``df`` with ``text_col`` cleaned, and n_removed (long, sentences) appended.
 
     A sentence goes when a repeated span covers it and the span's first occurrence (smallest

@@ -162,7 +162,7 @@ def test_em_finds_accuracies():
     assert p[:400].max() < 0.5 and (p[400:] > 0.5).mean() > 0.95
 
 
-def brute_spans(rows, limits=(2, 24, 40)):
+def brute_spans(rows, limits=(2, 16, 30)):
     first, out = {}, []
     order = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     for r in order:
