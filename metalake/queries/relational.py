@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
 from metalake.operators import content, search, tables
+from metalake.plans import pipelines
 from metalake.sources import bridge
 from metalake.sources.bridge import read
 
@@ -341,4 +342,39 @@ def blob_lookup(spark, sf_dir):
     return found.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""select sha1(text) as id, any_value(case when strlen(text) = length(text) then 'us-ascii' else 'utf-8' end) as encoding, 1 as tool_id from documents
+    where text <> '' and doc_id % 2 = 0 and sha1(text) not in (select sha1(text) from documents where doc_id % 5 = 0) group by 1""")
+def mimetype_job(spark, sf_dir):
+    """Contents of every other document, without those that were indexed before."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("id"))
+    known = docs.where("doc_id % 5 = 0").select("id", F.lit(1).cast("long").alias("tool_id"))
+    out = pipelines.content_mimetypes(docs.where("doc_id % 2 = 0"), bridge.blobs(spark, sf_dir), known, 1)
+    return out.select("id", "encoding", "tool_id")
+
+
+@query(r"""with t as (select distinct sha1(text) as id, ' ' || regexp_replace(lower(text), '[^a-z0-9.+-]+', ' ', 'g') || ' ' as w from documents where text <> '')
+    select id, 'MIT' as license, 7 as tool_id from t where w like '% mit license%' union all select id, 'Apache-2.0', 7 from t where w like '% apache license version 2.0%'""")
+def license_job(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").where("text is not null").select(F.sha1(F.col("text").cast("binary")).alias("id"))
+    return pipelines.content_licenses(docs, bridge.blobs(spark, sf_dir), 7).where(F.col("license").isin("MIT", "Apache-2.0"))
+
+
+@query(f"with {SQL_ORIGINS} select mapping, tool_id, count(*) as n, min(id) as first from (select id, tool_id, unnest(list_distinct(mappings)) as mapping from origins_i) group by all")
+def list_by_producer(spark, sf_dir):
+    """The whole listing of every producer: no pages are needed."""
+    rows = search.by_producer(origin_rows(spark, sf_dir), list(search.STAT_MAPPINGS))
+    return rows.select("id", "tool_id", F.explode(F.array_distinct("mappings")).alias("mapping")).groupBy("mapping", "tool_id").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+
+
+@query("select supported.mapping, term, count(*) as n from (values ('npm', 'name'), ('npm', 'license'), ('maven', 'name')) as supported(mapping, term) join events on (user_id % 2 = 0) = (mapping = 'npm') group by all")
+def term_coverage_of_files(spark, sf_dir):
+    """How many files of each mapping could yield a term."""
+    from metalake.registry import REGISTRY
+
+    files = read(spark, sf_dir, "events").select(F.when(F.col("user_id") % 2 == 0, "npm").otherwise("maven").alias("mapping"))
+    terms = REGISTRY.term_coverage(spark).select("term", F.explode("mappings").alias("mapping"))
+    wanted = terms.where("(mapping = 'npm' and term in ('name', 'license')) or (mapping = 'maven' and term = 'name')")
+    return files.groupBy("mapping").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(wanted), "mapping").select("mapping", "term", "n")
+
+
 QUERIES, ORACLES = query.queries, query.oracles
