@@ -43,6 +43,11 @@ def upsert(table: DataFrame, rows: DataFrame, key: list[str], keep_existing: boo
     return rows.unionByName(table.join(rows.select(*key), key, "left_anti").select(*table.columns))
 
 
+def clustered(rows: DataFrame, key: list[str], partitions: int) -> DataFrame:
+    """Rows in key ranges, sorted within each: files whose key bounds let lookups skip them."""
+    return rows.repartitionByRange(partitions, *key).sortWithinPartitions(*key)
+
+
 def missing(wanted: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``wanted`` whose key the table doesn't hold."""
     return wanted.join(table.select(*key), key, "left_anti")

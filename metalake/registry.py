@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from metalake.operators import formats
 from metalake.operators.graph import FILE_RULES
+from metalake.plans import pipelines
 
 Translate = Callable[[DataFrame], DataFrame]
 
@@ -88,3 +89,12 @@ MAPPINGS: dict[str, Mapping] = {
     for name, (translate, extrinsic, terms) in formats.BUILTIN.items()
 }
 REGISTRY = Registry(builtin=MAPPINGS)
+for _indexer in (
+    Indexer("mimetype", ("content",), pipelines.content_mimetypes, "MIME type and encoding of contents"),
+    Indexer("license", ("content",), pipelines.content_licenses, "licenses that contents name"),
+    Indexer("content_metadata", ("content",), pipelines.content_metadata, "metadata files, translated"),
+    Indexer("directory_metadata", ("directory",), pipelines.directory_metadata, "metadata of directories"),
+    Indexer("origin_intrinsic_metadata", ("origin", "origin_visit_status"), pipelines.origin_intrinsic_metadata, "metadata of origins, from their head's root directory"),
+    Indexer("origin_extrinsic_metadata", ("raw_extrinsic_metadata",), pipelines.origin_extrinsic_metadata, "metadata of origins, from forge records"),
+):
+    REGISTRY.add_indexer(_indexer)

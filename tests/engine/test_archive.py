@@ -57,10 +57,11 @@ def translate(spark, mapping, data):
 
 
 def test_npm_variants(spark):
-    doc = {"name": 5, "description": "��#\0 \0h\0i\0\0", "repository": "gitlab:a/b", "bugs": "x y", "author": "A <a@b>", "license": "SEE LICENSE IN X"}
+    doc = {"name": 5, "description": "\ufffd\ufffd#\0 \0h\0i\0", "repository": "gitlab:a/b", "bugs": "x y", "author": "A <a@b>", "license": "SEE LICENSE IN X"}
     got = translate(spark, "npm", json.dumps(doc).encode())
     assert got["codeRepository"] == ["git+https://gitlab.com/a/b.git"]
     assert got["author"] == [{"name": "A", "email": "a@b", "type": "Person"}]
+    assert got["description"] == ["hi"]
     assert "name" not in got and "issueTracker" not in got and "license" not in got
     assert translate(spark, "npm", b'{"name":"a","name":"b"}')["name"] == ["b"]
 
@@ -137,6 +138,7 @@ def test_registry(spark):
     table = {r["term"]: r["mappings"] for r in mine.term_coverage(spark, ("gitea",)).collect()}
     assert table["issueTracker"] == ["codemeta", "github", "pubspec"]
     assert mine.mapping_table(spark).count() == 13
+    assert REGISTRY.indexer_table(spark).count() == 6
 
 
 def test_stream_repeats_change_nothing(spark, tmp_path):
