@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Prefix of license URIs, prefix of persistent object identifiers.
 SPDX = "https://spdx.org/licenses/"
+OBJECT_ID = "swh:1:"
 
 
 def is_url(c: Column) -> Column:
@@ -34,7 +36,7 @@ def spdx_name(c: Column) -> Column:
 
 
 def swhid(kind: str, hex_id: Column) -> Column:
-    return F.concat(F.lit(f"swh:1:{kind}:"), F.lower(hex_id))
+    return F.concat(F.lit(f"{OBJECT_ID}{kind}:"), F.lower(hex_id))
 
 
 def without_nul(json_text: Column) -> Column:
@@ -73,6 +75,7 @@ def has_metadata(json_text: Column) -> Column:
     return F.size(F.array_except(F.coalesce(F.json_object_keys(json_text), F.array().cast("array<string>")), F.array(F.lit("@context")))) > 0
 
 
+#: Fixed value: pattern of archive file names (package, version, suffix, extension).
 ARCHIVE = r"^(.*)[-_]([0-9]+(?:\.[0-9])*)([-+][a-zA-Z0-9.~]+?)?((?:\.[a-zA-Z0-9]+)+)$"
 
 

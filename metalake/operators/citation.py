@@ -13,7 +13,7 @@ TEXTS = [
     "name", "description", "dateCreated", "datePublished", "dateModified", "url", "version", "codeRepository",
     "relatedLink", "downloadUrl", "installUrl", "releaseNotes", "referencePublication",
 ]
-#: Object types of persistent identifiers and the BibTeX entry types for them.
+#: The identifiers' prefixes, object types of persistent identifiers and the BibTeX entry types for them.
 ENTRY_TYPES = {"snp": "software", "rev": "softwareversion", "rel": "softwareversion", "dir": "softwareversion", "cnt": "codefragment"}
 
 

@@ -88,6 +88,7 @@ def rejected(files: DataFrame, translated: DataFrame) -> DataFrame:
 
 def named_person(text: Column) -> Column:
     """``Name <email> (url)`` as a Person node."""
+    # Fixed value: the form of a person in package files.
     pattern = r"^ *(.*?)(?: +<(.*)>)?(?: +\((.*)\))? *$"
     part = lambda k: F.trim(F.regexp_extract(text, pattern, k))
     return person_json(part(1), part(2), part(3))

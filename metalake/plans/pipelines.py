@@ -66,13 +66,14 @@ def origin_intrinsic_metadata(
     return roots.join(docs, F.col("directory") == F.col("dir_id")).select(F.col("origin").alias("id"), "metadata", F.col("dir_id").alias("from_directory"), "mappings")
 
 
-#: Until then, one kind of deposit stored percent-encoded origins.
+#: Records of this fetcher had percent-encoded origins until then.
+QUOTED_FETCHER = "swh-deposit"
 QUOTED_UNTIL = "2024-05-16 15:20:00"
 
 
 def target_of(remd: DataFrame) -> DataFrame:
     """``remd`` with ``target``: SHA-1 (hex) of the origin that a record describes, or null."""
-    quoted = (F.col("fetcher.name") == "swh-deposit") & (F.col("discovery_date") < F.lit(QUOTED_UNTIL).cast("timestamp"))
+    quoted = (F.col("fetcher.name") == QUOTED_FETCHER) & (F.col("discovery_date") < F.lit(QUOTED_UNTIL).cast("timestamp"))
     plain = F.url_decode(F.replace("origin", F.lit("+"), F.lit("%2B")))
     origin = F.when(quoted, plain).otherwise(F.col("origin"))
     target = F.when(F.col("target_type") == "origin", F.col("target_id")).when(origin.isNotNull(), F.sha1(origin.cast("binary")))

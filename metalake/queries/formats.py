@@ -234,7 +234,7 @@ def remd(spark, sf_dir):
         F.concat_ws("/", "doc_id", "seen").alias("id"), F.lit("origin").alias("target_type"), F.sha1(url.cast("binary")).alias("target_id"),
         F.when(old, F.regexp_replace(url, ":", "%3A")).alias("origin"), F.to_timestamp(F.concat(F.lit("2024-0"), F.col("seen").cast("string"), F.lit("-01"))).alias("discovery_date"),
         F.struct(F.lit("forge").alias("type"), F.when(F.col("c_custkey") % 7 == 0, "https://elsewhere.org/").otherwise("https://f.org/").alias("url")).alias("authority"),
-        F.struct(F.when(old, "swh-deposit").otherwise("lister").alias("name"), F.lit("1").alias("version")).alias("fetcher"),
+        F.struct(F.when(old, pipelines.QUOTED_FETCHER).otherwise("lister").alias("name"), F.lit("1").alias("version")).alias("fetcher"),
         F.when(F.col("c_custkey") % 11 == 0, "unknown").otherwise("application/vnd.github.v3+json").alias("format"), F.col("data").alias("metadata"),
     )
 
