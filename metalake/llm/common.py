@@ -35,6 +35,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, which are counted; callers
+    pass written tables of a few numbers a row (some 20 MB at most). Larger ones stay as they are."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete this application's work folder through Hadoop's file system API."""
     path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import few, materialize, text_or_empty
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -307,7 +307,7 @@ def classes(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, s
         .select("d1", "d2", "n", "copies", F.col("best.rid").alias("node"), F.col("best.k").alias("k"), F.col("best.th").alias("th")),
         "nodes",
     )
-    nodes = full.select(F.col("rid").alias("node"), "n", "sketch", "tokens").join(same.select("node"), "node")
+    nodes = full.select(F.col("rid").alias("node"), "n", "sketch", "tokens").join(few(same.select("node")), "node")
     coarse = components(bucket_edges(materialize(nodes, "tokens"), runs, depth, limit))
     linked = verified(rows, sets, same, coarse, threshold, size, limit)
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
@@ -336,7 +336,7 @@ def verified(rows: DataFrame, sets: DataFrame, same: DataFrame, coarse: DataFram
     weight = coarse.join(same.select("node", "n"), "node").groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("m") / limit), F.ceil(F.col("total") / F.lit(1_000_000))).cast("int")
     members = materialize(members.join(weight.select("root", blocks.alias("blocks")), "root"), "members")
-    texts = rows.select("k", "th", "text").join(members, ["k", "th"])
+    texts = rows.select("k", "th", "text").join(few(members), ["k", "th"])
     if repeated(sets):
         texts = texts.dropDuplicates(["node"])
 
