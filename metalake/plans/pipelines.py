@@ -101,10 +101,12 @@ def origin_extrinsic_metadata(remd: DataFrame, origins: DataFrame) -> DataFrame:
 
     found, _ = resolve_targets(remd, origins)
     good = authorised(found)
-    translated, formats = None, sorted({f for m in REGISTRY.mappings().values() for f in m.formats})
-    groups = None
+    known = sorted({f for m in REGISTRY.mappings().values() for f in m.formats})
+    # one narrow scan tells which of the known formats occur, so that only their mappings are planned
+    formats = [r["format"] for r in remd.where(F.col("format").isin(known)).select("format").distinct().collect()]
+    translated, groups = None, None
     for mapping in REGISTRY.mappings().values():
-        if not mapping.formats:
+        if not set(mapping.formats) & set(formats or known[:1]):
             continue
         mine = good.where(F.col("format").isin(list(mapping.formats)))
         key = F.concat(F.col("id"), F.lit(f"\u0001{mapping.name}"))
