@@ -306,7 +306,7 @@ def yaml_to_json(files: DataFrame) -> DataFrame:
 
         def convert(data: bytes | None) -> bytes | None:
             try:
-                doc = yaml.load((data or b"").decode("utf-8"), Loader=yaml.BaseLoader)
+                doc = yaml.load((data or b"").decode("utf-8"), Loader=getattr(yaml, "CBaseLoader", yaml.BaseLoader))
             except (yaml.YAMLError, UnicodeDecodeError, ValueError):
                 return None
             return json.dumps(doc, ensure_ascii=False).encode() if isinstance(doc, dict) else None
