@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import draw, materialize
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -125,7 +125,7 @@ class Graph:
 
 def build_graph(vectors: DataFrame, top: float, sample: int, list_size: int, n: int) -> Graph:
     """Centroids from the ``sample`` vectors of smallest id hash (bounded, documented)."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("x").collect()
+    rows = draw(vectors, "vec_id", n, sample).select("x").collect()
     points = lifted(matrix([r["x"] for r in rows]), top)
     most = max(4, int(list_size * len(points) / max(n, 1)))
     return Graph(np.vstack(halves(points, most, np.random.default_rng(7))))
@@ -153,18 +153,60 @@ def assign(vectors: DataFrame, graph, top: float, copies: int, spread: float) ->
     return vectors.select("vec_id", "x").mapInArrow(run, "list long, vec_id long, x binary, own boolean")
 
 
+def calibrate(vectors: DataFrame, lists: DataFrame, graph, top: float, n: int, k: int, probes: int, target: float) -> tuple[int, float]:
+    """(lists to search, distance ratio) with which ``target`` of the true neighbours of
+    ``probes`` sample vectors are found. Their neighbours come from a pass over all vectors
+    that keeps k per sample vector and partition."""
+    rows = draw(vectors, "vec_id", n, probes).select("vec_id", "x").collect()
+    ids, q = np.array([r["vec_id"] for r in rows]), matrix([r["x"] for r in rows])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_s, held_i = np.full((len(q), 0), -np.inf), np.empty((len(q), 0), "int64")
+        for b in batches:
+            for low in range(0, b.num_rows, 4096):
+                part = b.slice(low, 4096)
+                own = part[0].to_numpy()
+                s = np.where(own[None, :] == ids[:, None], -np.inf, q @ matrix(part[1]).T)
+                s = np.hstack([held_s, s])
+                i = np.hstack([held_i, np.broadcast_to(own, (len(q), len(own)))])
+                keep = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                held_s, held_i = np.take_along_axis(s, keep, axis=1), np.take_along_axis(i, keep, axis=1)
+        at, col = np.nonzero(held_s > -np.inf)
+        yield pa.record_batch([pa.array(at), pa.array(held_i[at, col]), pa.array(held_s[at, col])], ["probe", "vec_id", "score"])
+
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id")
+    true = vectors.select("vec_id", "x").mapInArrow(best, "probe long, vec_id long, score double").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    where = lists.select("vec_id", "list").join(F.broadcast(true.select("probe", "vec_id")), "vec_id").groupBy("probe", "vec_id").agg(F.collect_set("list").alias("lists"))
+    places, ratios = [], []
+    walks = {}
+    for r in where.collect():  # at most probes * k rows
+        if r["probe"] not in walks:
+            v = q[r["probe"]]
+            near, far = graph.search(np.append(v * (top / np.linalg.norm(v)), 0.0), len(graph.centroids))
+            walks[r["probe"]] = dict(zip(near.tolist(), zip(range(len(near)), far / max(far[0], 1e-300))))
+        at = [walks[r["probe"]][x] for x in r["lists"] if x in walks[r["probe"]]]
+        place, ratio = min(at, default=(len(graph.centroids), 2.0))
+        places.append(place)
+        ratios.append(ratio)
+    if not places:
+        return 1, 1.0
+    return int(np.quantile(places, target, method="higher")) + 1, float(np.quantile(ratios, (1 + target) / 2, method="higher"))
+
+
 def nearest(
     df: DataFrame,
     queries,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 20,
-    list_size: int = 200,
+    list_size: int = 400,
     sample: int = 20_000,
     copies: int = 4,
     spread: float = 1.12,
     beam: int = 48,
     ratio: float = 1.25,
+    probes: int = 64,
+    target: float = 0.97,
     chunk: int = 4096,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's ``k`` largest inner products.
@@ -174,7 +216,9 @@ def nearest(
     Vectors that are null, zero or hold null or non-finite numbers take no part, nor do null
     ids and vectors of another length than the commonest. Repeated rows of an id count as
     one candidate, with its best score. No usable vector: no rows. At least ``k`` candidates
-    are always looked at, if there are as many.
+    are always looked at, if there are as many. ``beam`` lists within ``ratio`` of the nearest
+    are searched at least; both are raised until ``target`` of the true neighbours of
+    ``probes`` sample vectors are reached.
     """
     spark = df.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
@@ -190,6 +234,8 @@ def nearest(
     for r in held.collect():  # one row per centroid, bounded by the sample
         sizes[r["list"]] = r["own"]
     owned = spark.sparkContext.broadcast(sizes)
+    wide, far_out = calibrate(vectors, lists, graph.value, top, n, k, probes, target)
+    beam, ratio = max(beam, wide), max(ratio, far_out)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, own = graph.value, owned.value
@@ -224,19 +270,22 @@ def nearest(
         if not len(asks) or not len(has):
             return pd.DataFrame({"query_id": np.empty(0, "int64"), "vec_id": np.empty(0, "int64"), "score": np.empty(0)})
         q, x, ids = matrix(asks["q"]), matrix(has["x"]), has["vec_id"].to_numpy()
-        rows = []
+        asked_ids = asks["query_id"].to_numpy()
+        out_q, out_v, out_s = [], [], []
         for low in range(0, len(q), 256):
             s = q[low : low + 256] @ x.T
-            for i, row in enumerate(s, low):
-                row = np.where(ids == asks["query_id"].iat[i], -np.inf, row)
-                at = np.flatnonzero(row > -np.inf)
-                if len(at) > k:
-                    bound = np.partition(row, len(row) - k)[len(row) - k]
-                    at = np.flatnonzero(row >= bound - 1e-9 * max(1.0, abs(bound)))
-                exact = (x[at] * q[i]).sum(axis=1)  # the same order of additions for every pair
-                best = np.lexsort((ids[at], -exact))[:k]
-                rows.append(pd.DataFrame({"query_id": asks["query_id"].iat[i], "vec_id": ids[at][best], "score": exact[best]}))
-        return pd.concat(rows)
+            s[ids[None, :] == asked_ids[low : low + 256, None]] = -np.inf
+            bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] > k else np.full(len(s), -np.inf)
+            slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(bound), bound, 0)))
+            row, col = np.nonzero((s >= (bound - slack)[:, None]) & (s > -np.inf))
+            exact = (x[col] * q[low + row]).sum(axis=1)  # the same order of additions for every pair
+            order = np.lexsort((ids[col], -exact, row))
+            row, col, exact = row[order], col[order], exact[order]
+            kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out_q.append(asked_ids[low + row[kept]])
+            out_v.append(ids[col[kept]])
+            out_s.append(exact[kept])
+        return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
 
     key = ["list", "part", "block"]
     pairs = left.select(*key, "query_id", "q").groupBy(*key).cogroup(right.select(*key, "vec_id", "x").groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
