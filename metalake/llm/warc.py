@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path
+from .common import few, materialize, new_path
 
 BLOCK = 1 << 20
 INDEX = "path string, offset long, length long, record_id string, record_type string"
@@ -39,15 +39,16 @@ def record_types(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = df.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    copies = (
+    copies = materialize(
         rows.where(F.col("size") >= least)
         .groupBy("sha1", "size")
         .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1 and first is not null")
-        .drop("n")
+        .drop("n"),
+        "copies",
     )
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(copies, ["sha1", "size"], "left").select(
+    return rows.join(few(copies), ["sha1", "size"], "left").select(
         "page_id", "url", "payload", "sha1",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first")).alias("refers_to"),
