@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import SCALE, text_or_empty
 
 LETTER = re.compile(r"[^\W\d_]")
 ORDERS = (1, 2, 3, 4)
@@ -91,11 +91,17 @@ class Model:
         return np.hstack([k, np.ones((len(k), 1))]) @ self.weights
 
 
-def spread(rows: DataFrame, lang_col: str, most: int, least_each: int = 1) -> DataFrame:
-    """At most ``most`` rows in all, equally many of each language, by a hash of the id."""
-    n = max(1, rows.select(lang_col).distinct().count())
-    each = max(least_each, most // n)
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64("id"), "id")
+def spread(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows (id, lang) in all, equally many of each language, those of smallest
+    id hash, numbered by ``at``. Each language's share is thinned by a threshold first, so the
+    ranking sees a few thousand rows of a language, however many there are."""
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per language
+    each = max(1, most // max(1, len(counts)))
+    place = F.pmod(F.xxhash64("id"), F.lit(SCALE))
+    for r in counts:
+        if r["n"] > 4 * each:
+            rows = rows.where((F.col("lang") != r["lang"]) | (place < int(SCALE * 4 * each / r["n"])))
+    order = Window.partitionBy("lang").orderBy(place, "id")
     return rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= each)
 
 
@@ -105,7 +111,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     texts are used. The landmarks are the first of the examples."""
     spark = df.sparkSession
     named = df.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    picked = spread(named.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang")), "lang", examples).collect()
+    picked = spread(named.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang")), examples).collect()
     languages = sorted({r["lang"] for r in picked})
     if not languages:
         return Model([], Kernel([]), np.zeros((1, 0)))
