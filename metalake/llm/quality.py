@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import draw, materialize, text_or_empty
 
 #: Byte classes for the counts below: space, lower, upper, digit, full stop, mark, bar, symbol, other.
 SPACE, LOWER, UPPER, DIGIT, STOP, MARK, BAR, SYMBOL, WIDE = range(9)
@@ -205,7 +205,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int
     patterns = np.array([[int(c) - 1 for c in r["__votes"]] for r in rows])
     shares, table = em(patterns, np.array([r["n"] for r in rows]))
     label = dict(zip((r["__votes"] for r in rows), posterior(patterns, shares, table)))
-    picked = ballots.orderBy(F.xxhash64("key"), "key").limit(most)
+    picked = draw(ballots, "key", sum(r["n"] for r in rows), most)
     chosen = {r["key"]: label[r["__votes"]] for r in picked.collect()}
     keys = df.sparkSession.createDataFrame([(k,) for k in chosen], "key long")
 
