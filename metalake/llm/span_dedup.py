@@ -1,7 +1,10 @@
 """Substring dedup by sliding spans of consecutive sentences.
 
-A span starts at every sentence: the shortest run of at least ``least_units`` sentences with
-at least ``least_words`` words, or one sentence alone if it has ``long_words``. Spans are
+A run counts if it has at least ``least_units`` sentences and ``least_words`` words, or is one
+sentence of ``long_words``. Every sentence gives the shortest such run that starts and the
+shortest that ends at it, and itself if it is long: these spans cover each sentence of every
+longer repeated run, for such a run holds, from any of its sentences, the shortest one that
+starts there or else the shortest one that ends at its own end. Spans are
 hashed (96 bits) in the tasks; one row per document and distinct span goes to the global
 join, where the first document (smallest id) of each repeated span is found by a partial
 aggregate, so that a span that a third of all documents share arrives as counts. The
@@ -12,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,24 +45,28 @@ def spans(text: str, least_units: int, least_words: int, long_words: int) -> lis
         words = text[a:b].lower().split()
         counts.append(len(words))
         digests.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
-    out, j, total = [], 0, 0
-    for i, n in enumerate(counts):
-        if j < i:
-            j, total = i, 0
-        while j < len(counts) and (total < least_words or j - i < least_units):
-            total += counts[j]
-            j += 1
-        if n >= long_words:
-            out.append((i, i, digests[i]))
-        elif n and total >= least_words and j - i >= least_units:
-            out.append((i, j - 1, xxhash.xxh3_128_digest(b"".join(digests[i:j]))))
-        total -= n
+    at = [k for k, n in enumerate(counts) if n]
+    sums = [0, *accumulate(counts[k] for k in at)]
+    found = {(k, k + 1) for k in range(len(at)) if counts[at[k]] >= long_words}
+    i = 0
+    for j in range(least_units, len(at) + 1):
+        first = i
+        while j - i >= least_units and sums[j] - sums[i] >= least_words:
+            i += 1
+        found.update((k, j) for k in range(first, i))  # each the shortest from k; the last is the shortest up to j
+        if i and i == first:
+            found.add((i - 1, j))
+    out = []
+    for i, j in sorted(found):
+        own = [digests[k] for k in at[i:j]]
+        out.append((at[i], at[j - 1], own[0] if len(own) == 1 else xxhash.xxh3_128_digest(b"".join(own))))
     return out
 
 
-def removed_units(text: str, starts: set[int], *limits: int) -> set[int]:
-    """Sentences under the spans that start at ``starts``."""
-    return {k for i, j, _ in spans(text, *limits) if i in starts for k in range(i, j + 1)}
+def removed_units(text: str, places: set[int], *limits: int) -> set[int]:
+    """Sentences under the spans whose numbers in the text are ``places``."""
+    found = spans(text, *limits)
+    return {k for p in places for k in range(found[p][0], found[p][1] + 1)}
 
 
 def without(text: str, drop: set[int]) -> str:
@@ -67,7 +75,8 @@ def without(text: str, drop: set[int]) -> str:
 
 
 def span_rows(df: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
-    """(k, th, pos, h1, h2, again) of every span, written once; again: seen earlier in its text."""
+    """(k, th, pos, h1, h2, again) of every span, written once; pos: its number in the text,
+    again: seen earlier in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -77,8 +86,8 @@ def span_rows(df: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
                 for text in part[2]:
                     seen: set[bytes] = set()
                     found = spans(text.as_py(), *limits)
-                    for i, _, digest in found:
-                        rows.append(i)
+                    for pos, (_, _, digest) in enumerate(found):
+                        rows.append(pos)
                         digests.append(digest)
                         again.append(digest in seen)
                         seen.add(digest)
@@ -108,14 +117,14 @@ def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     firsts = rows.where("not again").drop("again")
     repeated = firsts.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last")).where("first < last").drop("last")
     later = firsts.join(repeated, ["h1", "h2"]).where("k > first").select("k", "th", "pos")
-    starts = (
+    places = (
         later.unionByName(rows.where("again").select("k", "th", "pos"))
         .groupBy(F.col("k").alias("__k"), F.col("th").alias("__th"))
-        .agg(F.collect_set("pos").alias("__starts"))
+        .agg(F.collect_set("pos").alias("__places"))
     )
     columns = [c for c in df.columns if c != "n_removed"]
     tagged = df.select(*[F.col(f"`{c}`") for c in columns], k.alias("__k"), th.alias("__th"))
-    joined = tagged.join(starts, ["__k", "__th"], "left").select(*[F.col(f"`{c}`") for c in columns], "__starts")
+    joined = tagged.join(places, ["__k", "__th"], "left").select(*[F.col(f"`{c}`") for c in columns], "__places")
     at, kind = columns.index(text_col), joined.schema[text_col].dataType.simpleString()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1]) + ", n_removed long"
     assert kind == "string", f"{text_col} is {kind}"
@@ -125,8 +134,8 @@ def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
             for s in range(0, b.num_rows, 128):
                 part = b.slice(s, 128)
                 texts, gone = [], []
-                for text, places in zip(part[at].to_pylist(), part[len(columns)].to_pylist()):
-                    drop = removed_units(text, set(places), *limits) if places else set()
+                for text, of in zip(part[at].to_pylist(), part[len(columns)].to_pylist()):
+                    drop = removed_units(text, set(of), *limits) if of else set()
                     texts.append(without(text, drop) if drop else text)
                     gone.append(len(drop))
                 arrays = [part[c] for c in range(len(columns))]

@@ -188,6 +188,43 @@ def test_span_dedup(spark, small, odd, empty):
     assert passage in texts[10_000] and all("sentence 5" not in texts[10_000 + k] for k in range(1, 5))
 
 
+def brute_runs(rows, limits=(2, 16, 30)):
+    """Sentences under every run whose words occur in a smaller id or earlier in the text."""
+    seen, out = {}, {}
+    for doc, text in sorted(rows):
+        at = span_dedup.units(text)
+        said = [tuple(text[a:b].lower().split()) for a, b in zip(at, at[1:])]
+        drop, held = set(), set()
+        for i in range(len(said)):
+            for j in range(i + 1, len(said) + 1):
+                n = sum(map(len, said[i:j]))
+                if (j - i >= limits[0] and n >= limits[1]) or (j - i == 1 and n >= limits[2]):
+                    run = tuple(said[i:j])
+                    if run in seen or run in held:
+                        drop.update(range(i, j))
+                    held.add(run)
+        seen.update(dict.fromkeys(held))
+        out[doc] = (span_dedup.without(text, drop), len(drop))
+    return out
+
+
+def test_span_dedup_removes_every_repeated_run(spark):
+    rng = random.Random(4)
+    said = lambda n, tag: " ".join([f"{tag}{rng.random()}"] + ["word"] * (n - 1)) + "."
+    rows = []
+    for lengths in ((35, 20), (20, 20, 6, 6), (3, 3, 3, 40, 2, 2), (8, 8), (31, 1), (5, 4, 3, 2, 1), (29, 1, 1), (16,), (34,)):
+        passage = " ".join(said(n, "p") for n in lengths)
+        for _ in range(3):
+            rows.append((len(rows), " ".join([said(rng.randint(1, 12), "own") for _ in range(2)] + [passage] + [said(9, "own"), said(25, "own")])))
+    pool = [said(rng.randint(1, 34), "pool") for _ in range(12)]
+    for _ in range(60):
+        rows.append((len(rows), " ".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))))
+    got = span_dedup.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_runs(rows)
+    assert {r.doc_id: (r.text, r.n_removed) for r in got} == want
+    assert want[1][1] == 2 and want[4][1] == 4
+
+
 def test_units_cover_the_text():
     for text in ("", "a", "A b. C d.\nE", "x\n\n y. ", "lower Upper next", "ends here. "):
         at = span_dedup.units(text)
