@@ -25,7 +25,7 @@ from .common import draw, materialize
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, x binary of float64, norm) of vectors that are not null or zero, of finite
-    numbers, and of the commonest length (ties: the longer)."""
+    numbers, and of the commonest length (ties: the longer), equal rows once."""
     x = F.col(vector_col).cast("array<double>")
     big = F.lit(float("inf"))
     fine = F.forall(x, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < big), F.lit(False))) & F.exists(x, lambda v: v != 0)
@@ -38,7 +38,8 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             v = np.asarray(b[1].flatten(), "<f8").reshape(-1, d)
             yield pa.record_batch([b[0], pa.array([r.tobytes() for r in v], pa.binary()), pa.array(np.sqrt((v * v).sum(axis=1)))], ["vec_id", "x", "norm"])
 
-    return materialize(rows.where(F.size("v") == d).mapInArrow(pack, "vec_id long, x binary, norm double"), "vectors")
+    packed = rows.where(F.size("v") == d).mapInArrow(pack, "vec_id long, x binary, norm double")
+    return materialize(packed.dropDuplicates(["vec_id", "x"]), "vectors")
 
 
 def matrix(column) -> np.ndarray:
@@ -153,30 +154,53 @@ def assign(vectors: DataFrame, graph, top: float, copies: int, spread: float) ->
     return vectors.select("vec_id", "x").mapInArrow(run, "list long, vec_id long, x binary, own boolean")
 
 
+def best_per_id(s: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of scores and distinct id, the column of its best score; and the ids."""
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
+    if len(first) == len(ids):
+        return np.broadcast_to(order, s.shape), ids[order]
+    ends = np.r_[first[1:], len(ids)]
+    at = np.repeat(order[first][None, :], len(s), axis=0)
+    for g in np.flatnonzero(ends - first > 1):
+        own = order[first[g] : ends[g]]
+        at[:, g] = own[s[:, own].argmax(axis=1)]
+    return at, ids[order[first]]
+
+
 def calibrate(vectors: DataFrame, lists: DataFrame, graph, top: float, n: int, k: int, probes: int, target: float) -> tuple[int, float]:
     """(lists to search, distance ratio) with which ``target`` of the true neighbours of
     ``probes`` sample vectors are found. Their neighbours come from a pass over all vectors
-    that keeps k per sample vector and partition."""
+    that keeps k distinct ones per sample vector and partition, each with its best row."""
     rows = draw(vectors, "vec_id", n, probes).select("vec_id", "x").collect()
     ids, q = np.array([r["vec_id"] for r in rows]), matrix([r["x"] for r in rows])
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_s, held_i = np.full((len(q), 0), -np.inf), np.empty((len(q), 0), "int64")
+        held = [np.full((len(q), 0), -np.inf), np.empty((len(q), 0), "int64"), np.empty((len(q), 0), "int64")]  # score, id, row
         for b in batches:
             for low in range(0, b.num_rows, 4096):
                 part = b.slice(low, 4096)
-                own = part[0].to_numpy()
+                if not part.num_rows:
+                    continue
+                own, row = part[0].to_numpy(), part[2].to_numpy()
                 s = np.where(own[None, :] == ids[:, None], -np.inf, q @ matrix(part[1]).T)
-                s = np.hstack([held_s, s])
-                i = np.hstack([held_i, np.broadcast_to(own, (len(q), len(own)))])
-                keep = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                held_s, held_i = np.take_along_axis(s, keep, axis=1), np.take_along_axis(i, keep, axis=1)
-        at, col = np.nonzero(held_s > -np.inf)
-        yield pa.record_batch([pa.array(at), pa.array(held_i[at, col]), pa.array(held_s[at, col])], ["probe", "vec_id", "score"])
+                at, distinct = best_per_id(s, own)
+                new = [np.take_along_axis(s, at, axis=1), np.broadcast_to(distinct, at.shape), row[at]]
+                held = [np.hstack(x) for x in zip(held, new)]
+                keep = np.argsort(-held[0], axis=1, kind="stable")[:, : 2 * k]  # an id is there twice at most
+                held = [np.take_along_axis(x, keep, axis=1) for x in held]
+                same = np.tril(held[1][:, :, None] == held[1][:, None, :], -1).any(axis=2)
+                held[0] = np.where(same, -np.inf, held[0])
+                keep = np.argsort(-held[0], axis=1, kind="stable")[:, :k]
+                held = [np.take_along_axis(x, keep, axis=1) for x in held]
+        at, col = np.nonzero(held[0] > -np.inf)
+        yield pa.record_batch([pa.array(at), *(pa.array(held[c][at, col]) for c in (1, 2, 0))], ["probe", "vec_id", "row", "score"])
 
     order = Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id")
-    true = vectors.select("vec_id", "x").mapInArrow(best, "probe long, vec_id long, score double").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    where = lists.select("vec_id", "list").join(F.broadcast(true.select("probe", "vec_id")), "vec_id").groupBy("probe", "vec_id").agg(F.collect_set("list").alias("lists"))
+    found = vectors.select("vec_id", "x", F.xxhash64("x").alias("row")).mapInArrow(best, "probe long, vec_id long, row long, score double")
+    per_id = found.groupBy("probe", "vec_id").agg(F.max_by("row", "score").alias("row"), F.max("score").alias("score"))
+    true = per_id.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("probe", "vec_id", "row")
+    where = lists.select("vec_id", F.xxhash64("x").alias("row"), "list").join(F.broadcast(true), ["vec_id", "row"]).groupBy("probe", "vec_id").agg(F.collect_set("list").alias("lists"))
     places, ratios = [], []
     walks = {}
     for r in where.collect():  # at most probes * k rows
@@ -229,9 +253,10 @@ def nearest(
     top, n = total["top"], total["n"]
     graph = spark.sparkContext.broadcast(build_graph(vectors, top, sample, list_size, n))
     lists = materialize(assign(vectors, graph, top, copies, spread), "lists")
-    held = lists.groupBy("list").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(F.when(F.col("own"), F.col("vec_id"))).alias("own"))
+    held = lists.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
+    owners = lists.where("own").groupBy("vec_id").agg(F.min("list").alias("list"))  # an id counts in one list only
     sizes = np.zeros(len(graph.value.centroids), "int64")
-    for r in held.collect():  # one row per centroid, bounded by the sample
+    for r in owners.groupBy("list").agg(F.count(F.lit(1)).alias("own")).collect():  # one row per centroid, bounded by the sample
         sizes[r["list"]] = r["own"]
     owned = spark.sparkContext.broadcast(sizes)
     wide, far_out = calibrate(vectors, lists, graph.value, top, n, k, probes, target)
@@ -270,15 +295,21 @@ def nearest(
         if not len(asks) or not len(has):
             return pd.DataFrame({"query_id": np.empty(0, "int64"), "vec_id": np.empty(0, "int64"), "score": np.empty(0)})
         q, x, ids = matrix(asks["q"]), matrix(has["x"]), has["vec_id"].to_numpy()
-        asked_ids = asks["query_id"].to_numpy()
+        asked_ids, repeats = asks["query_id"].to_numpy(), len(np.unique(ids)) < len(ids)
         out_q, out_v, out_s = [], [], []
         for low in range(0, len(q), 256):
             s = q[low : low + 256] @ x.T
             s[ids[None, :] == asked_ids[low : low + 256, None]] = -np.inf
-            bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] > k else np.full(len(s), -np.inf)
+            top_s = np.take_along_axis(s, best_per_id(s, ids)[0], axis=1) if repeats else s
+            bound = np.partition(top_s, top_s.shape[1] - k, axis=1)[:, top_s.shape[1] - k] if top_s.shape[1] > k else np.full(len(s), -np.inf)
             slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(bound), bound, 0)))
             row, col = np.nonzero((s >= (bound - slack)[:, None]) & (s > -np.inf))
             exact = (x[col] * q[low + row]).sum(axis=1)  # the same order of additions for every pair
+            if repeats:
+                order = np.lexsort((-exact, ids[col], row))
+                row, col, exact = row[order], col[order], exact[order]
+                fresh = np.r_[True, (row[1:] != row[:-1]) | (ids[col[1:]] != ids[col[:-1]])][: len(row)]
+                row, col, exact = row[fresh], col[fresh], exact[fresh]
             order = np.lexsort((ids[col], -exact, row))
             row, col, exact = row[order], col[order], exact[order]
             kept = np.arange(len(row)) - np.searchsorted(row, row) < k

@@ -279,3 +279,21 @@ def test_nearest_neighbours(spark):
     few = ann.nearest(df.where("vec_id < 7"), lambda c: c % 2 == 0)
     assert Counter(r.query_id for r in few.collect()) == {0: 6, 2: 6, 4: 6, 6: 6}
     assert ann.nearest(df.where("vec_id = 3000"), lambda c: c >= 0).count() == 0
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.3])
+def test_nearest_neighbours_of_repeated_ids(spark, noise):
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.normal(size=(300, 8)), 25, axis=0)
+    x += noise * rng.normal(size=x.shape)
+    ids = np.repeat(np.arange(300), 25)
+    df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = by_id(ann.nearest(df, lambda c: c % 20 == 0, list_size=40), "query_id")
+    best = (x @ x.T).reshape(300, 25, 300, 25).max(axis=(1, 3))
+    np.fill_diagonal(best, -np.inf)
+    hits = 0
+    for q in range(0, 300, 20):
+        assert sorted(r["rank"] for r in got[q]) == list(range(1, 21)) and len({r.vec_id for r in got[q]}) == 20
+        assert all(r.score <= best[q, r.vec_id] + 1e-9 for r in got[q])
+        hits += sum(abs(r.score - best[q, r.vec_id]) < 1e-9 for r in got[q] if r.vec_id in np.argsort(-best[q])[:20])
+    assert hits >= 0.9 * 20 * 15
