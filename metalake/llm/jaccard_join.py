@@ -35,12 +35,10 @@ NO_ID = -(1 << 63)
 
 def runs_needed(recall: float, depth: int) -> int:
     """Runs after which a pair at the threshold is met with probability ``recall``, even if
-    its buckets are split ``depth`` times: a branching process with one shared child on
-    average dies out by depth d with probability q(d) = exp(q(d-1) - 1)."""
-    q = 0.0
-    for _ in range(depth):
-        q = math.exp(q - 1)
-    return math.ceil(math.log(1 - recall) / math.log(q))
+    its buckets are split ``depth`` times. All buckets of a run and level are split by the same
+    tokens, so a pair survives a run if it shares a chosen token at every level; it shares one
+    on average at each, so at least one with probability 1 - 1/e."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - (1 - math.exp(-1)) ** depth))
 
 
 def seeds(runs: int, depth: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 """The n-gram join against brute force over all pairs."""
 
 import itertools
+import random
 from collections import Counter
 
 from metalake.llm import jaccard_join
@@ -57,3 +58,12 @@ def test_dense_group_in_blocks(spark):
 
 def test_runs_grow_with_the_target():
     assert jaccard_join.runs_needed(0.999, 1) < jaccard_join.runs_needed(0.999, 3) < jaccard_join.runs_needed(0.99999, 3)
+
+
+def test_recall_in_buckets_above_the_limit(spark):
+    rng, rows = random.Random(6), []
+    for k in range(1500):
+        words = [f"w{rng.getrandbits(40)}" for _ in range(54)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:44]))]  # 50 and 40 shingles: 0.8
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), limit=1).collect()
+    assert sum(r.n_links for r in got) >= 2 * 1500 * 0.9965  # every bucket is split to the last level
