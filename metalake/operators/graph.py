@@ -22,7 +22,7 @@ def latest_full_visits(statuses: DataFrame) -> DataFrame:
     return last.select("origin", "v.*")
 
 
-def resolve_aliases(branches: DataFrame, names: list[str], most_hops: int = 16) -> DataFrame:
+def resolve_aliases(branches: DataFrame, names: list[str]) -> DataFrame:
     """(snapshot, name, target_type, target) of the named branches that reach a revision or a
     release through aliases of their snapshot. Dangling branches, other targets and cycles
     give no row. The loop runs over the hops of the longest chain; each is one join whose
@@ -34,7 +34,7 @@ def resolve_aliases(branches: DataFrame, names: list[str], most_hops: int = 16)
     done = at.where(F.col("target_type").isin(ends)).drop("seen")
     links = branches.select("snapshot", F.col("name").alias("at"), F.col("target_type").alias("next_type"), F.col("target").alias("next"))
     open_ = at.where("target_type = 'alias'")
-    for _ in range(most_hops):
+    while True:  # ends: a chain never returns to a branch it has seen
         moved = open_.join(links, (open_["target"] == links["at"]) & (open_["snapshot"] == links["snapshot"])).select(
             open_["snapshot"], "start", F.col("next_type").alias("target_type"), F.col("next").alias("target"),
             F.array_append("seen", F.col("at")).alias("seen"),

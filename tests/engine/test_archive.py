@@ -150,3 +150,9 @@ def test_stream_repeats_change_nothing(spark, tmp_path):
         journal.run_indexers(stream, jobs, f"{tmp_path}/out", f"{tmp_path}/check{k}").awaitTermination()
     assert rows(journal.read_index(spark, f"{tmp_path}/out", "m", ["id"])) == [(1, "a"), (2, "b")]
     assert journal.topics_of({"x": ["content"], "y": ["origin", "content"]}, ["x", "y"]) == ["content", "origin"]
+
+
+def test_alias_chains_have_no_longest_length(spark):
+    rows = [(1, "HEAD", "alias", "b0"), *((1, f"b{k}", "alias", f"b{k + 1}") for k in range(19)), (1, "b19", "revision", "r")]
+    branches = spark.createDataFrame(rows, "snapshot long, name string, target_type string, target string")
+    assert [tuple(r) for r in graph.resolve_aliases(branches, ["HEAD"]).select("snapshot", "name", "target").collect()] == [(1, "HEAD", "r")]
