@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 def work_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors, one per application.
 
-    It lies in ``spark.checkpoint.dir``; only where that is unset (tests on one machine) a
-    temporary folder is chosen, once per session. Files stay until the folder's own
+    It lies in ``spark.checkpoint.dir``; where that is unset a session on one machine chooses
+    a temporary folder, once, and a cluster raises. Files stay until the folder's own
     retention or :func:`clear_work` removes them.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="metalake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
@@ -35,10 +37,28 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def few(df: DataFrame, most: int = 500_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``most`` rows, which are counted; callers
-    pass written tables of a few numbers a row (some 20 MB at most). Larger ones stay as they are."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+WIDTHS = {"bigint": 8, "int": 4, "double": 8, "boolean": 1}
+
+
+def few(df: DataFrame, most_bytes: int = 8_000_000) -> DataFrame:
+    """``df``, a written table, marked for broadcast if its values take at most ``most_bytes``:
+    fixed widths and the longest text or binary of each column, times the counted rows."""
+    loose = [f.name for f in df.schema.fields if f.dataType.simpleString() not in WIDTHS]
+    told = df.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.octet_length(c)).alias(c) for c in loose]).first()
+    width = sum(WIDTHS.get(f.dataType.simpleString(), 0) for f in df.schema.fields) + sum(told[c] or 0 for c in loose)
+    return F.broadcast(df) if told["n"] * width <= most_bytes else df
+
+
+def meet(left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int, how: str = "inner", share: int = 512) -> DataFrame:
+    """``left`` joined with ``right``, whose keys are unique and whose ``weight`` counts the rows
+    of ``left`` with that key; the weights add up to ``total`` at most. Keys of more than
+    1/``share`` of all rows are thus fewer than ``share``: those are broadcast, so their rows
+    stay where they are, and only the others are shuffled."""
+    bound = total / share
+    hot = right.where(F.col(weight) > bound)
+    there = left.join(F.broadcast(hot), on)
+    rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(right.where(F.col(weight) <= bound), on, how)
+    return there.unionByName(rest)
 
 
 SCALE = 1 << 40

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, meet
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _moved(pairs: DataFrame, least: Column, rows: int) -> DataFrame:
+    """``pairs`` with m, the smallest node known at ``a``. A hub's pairs are not shuffled."""
+    by_node = pairs.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("n"))
+    return meet(pairs, by_node, ["a"], "n", rows).drop("n")
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    told = _moved(both, F.least(F.min("b"), F.col("a")), 2 * n)
+    return told.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+    told = _moved(down, F.min("b"), n)
+    moved = told.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(told.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -29,12 +35,14 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     now, told = materialize(ordered, "edges"), None
+    n = now.count()
     for _ in range(most_rounds):
-        now = materialize(_small_star(_large_star(now)), "edges")
+        # a large star has at most one pair for each of its edges, so n bounds both steps
+        now = materialize(_small_star(_large_star(now, n), n), "edges")
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == told:
             break
-        told = mark
+        told, n = mark, mark[0]
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

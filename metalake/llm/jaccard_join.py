@@ -4,7 +4,8 @@ Documents with equal shingle sets collapse into one node. In every run each node
 shared tokens (a shingle is chosen by a hash all nodes share, with probability 1 over the
 threshold times the set's size) and goes to the bucket of each; buckets above ``limit`` are
 split again by the next level's tokens, so a bucket's path is the tokens chosen so far.
-Small buckets are compared by brute force on 512-bit sketches with a wide margin. Runs are
+Small buckets are compared by brute force: tiny sets exactly, others on 512-bit sketches with a
+margin of five deviations. Runs are
 repeated until a pair at the threshold is met with the target probability. Buckets that stay
 large are compared in blocks of ``limit`` nodes, pair by pair of blocks.
 
@@ -24,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, materialize, text_or_empty
+from .common import few, materialize, meet, text_or_empty
 from .components import components
 from .shingles import mix, shingle_sets
 
 BINS = 512
-SMALL = 64
+TINY = 24
 NO_ID = -(1 << 63)
 
 
@@ -62,29 +63,30 @@ def sketch(hashes: np.ndarray) -> bytes:
 
 
 def digests(df: DataFrame, runs: int, depth: int, threshold: float, size: int) -> DataFrame:
-    """(rid, doc_id, k, th, n, d1, d2, sketch, tokens) of every row, written once. tokens: per
-    run and level, the chosen shingles."""
+    """(rid, doc_id, k, th, n, d1, d2, sketch, own, tokens) of every row, written once. own: the
+    shingles of a tiny set; tokens: per run and level, the chosen shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = seeds(runs, depth).ravel()
         for b in batches:
             for s in range(0, b.num_rows, 64):
                 part = b.slice(s, 64)
-                n, d1, d2, sketches, tokens = [], [], [], [], []
+                n, d1, d2, sketches, own, tokens = [], [], [], [], [], []
                 for h in shingle_sets(part[4].to_pylist(), size):
                     n.append(len(h))
                     with np.errstate(over="ignore"):
                         d1.append(int(np.add.reduce(mix(h), initial=np.uint64(len(h))).view("int64")))
                         d2.append(int(np.bitwise_xor.reduce(h * np.uint64(0xC2B2AE3D27D4EB4F), initial=np.uint64(0)).view("int64")))
                     sketches.append(sketch(h) if len(h) else b"")
+                    own.append(h.tobytes() if len(h) <= TINY else b"")
                     tokens.append([sample(h, m, threshold).view("int64") for m in multipliers] if len(h) else [])
                 yield pa.record_batch(
-                    [*(part[c] for c in range(4)), pa.array(n, pa.int32()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sketches, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64())))],
-                    ["rid", "doc_id", "k", "th", "n", "d1", "d2", "sketch", "tokens"],
+                    [*(part[c] for c in range(4)), pa.array(n, pa.int32()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sketches, pa.binary()), pa.array(own, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64())))],
+                    ["rid", "doc_id", "k", "th", "n", "d1", "d2", "sketch", "own", "tokens"],
                 )
 
     return materialize(
-        df.select("rid", "doc_id", "k", "th", "text").mapInArrow(run, "rid long, doc_id long, k long, th long, n int, d1 long, d2 long, sketch binary, tokens array<array<long>>"),
+        df.select("rid", "doc_id", "k", "th", "text").mapInArrow(run, "rid long, doc_id long, k long, th long, n int, d1 long, d2 long, sketch binary, own binary, tokens array<array<long>>"),
         "sets",
     )
 
@@ -146,35 +148,62 @@ def sides(table: pa.Table) -> np.ndarray | None:
     return side[:, None] != side[None, :]
 
 
-def close(apart: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Whether sketches and sizes leave a link possible, with a margin of several deviations."""
+def close(apart: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sketches and sizes leave a link possible. At similarity s the bits differ in a
+    share of (1 - s) / 2 with a deviation that was measured as below; five of them are allowed,
+    so fewer than one link in a million is passed over."""
     low, high = np.minimum(n, m), np.maximum(n, m)
-    return (apart <= np.where(low < SMALL, 0.40, 0.25) * BINS) & (low >= 0.75 * high)
-
-
-def near(table: pa.Table) -> pa.RecordBatch:
-    """Spanning edges of a bucket's pairs whose sketches are close."""
-    n = table["n"].to_numpy().astype(float)
-    bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), "uint64").reshape(len(n), -1)
-    apart = np.zeros((len(n), len(n)), "uint16")
-    for column in bits.T:
-        apart += np.bitwise_count(column[:, None] ^ column[None, :])
-    linked = close(apart, n[:, None], n[None, :])
-    if (across := sides(table)) is not None:
-        linked &= across
-    root = spanning(linked)
-    node = table["node"].to_numpy()
-    tied = root != np.arange(len(root))
-    return pa.record_batch([pa.array(node[tied]), pa.array(node[root[tied]])], ["a", "b"])
-
-
-def near_pairs(b: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+    deviation = np.sqrt(0.0125**2 + 0.029 / low)
+    return (apart <= ((1 - threshold) / 2 + 5 * deviation) * BINS) & (low >= threshold * high - 1e-9)
+
+
+def alike(common: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
+    return common >= threshold * (n + m - common) - 1e-9
+
+
+def near(threshold: float) -> Callable[[pa.Table], pa.RecordBatch]:
+    """Spanning edges of a bucket's pairs whose sets may be linked."""
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        n = table["n"].to_numpy().astype(float)
+        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), "uint64").reshape(len(n), -1)
+        apart = np.zeros((len(n), len(n)), "uint16")
+        for column in bits.T:
+            apart += np.bitwise_count(column[:, None] ^ column[None, :])
+        linked = close(apart, n[:, None], n[None, :], threshold)
+        tiny = np.flatnonzero(n <= TINY)
+        if len(tiny) > 1:
+            own = [np.frombuffer(x, "uint64") for x in table["own"].take(pa.array(tiny)).to_pylist()]
+            linked[np.ix_(tiny, tiny)] = alike(overlaps(own), n[tiny][:, None], n[tiny][None, :], threshold)
+        if (across := sides(table)) is not None:
+            linked &= across
+        root = spanning(linked)
+        node = table["node"].to_numpy()
+        tied = root != np.arange(len(root))
+        return pa.record_batch([pa.array(node[tied]), pa.array(node[root[tied]])], ["a", "b"])
+
+    return work
+
+
+def near_pairs(threshold: float) -> Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]:
     """:func:`near` for many buckets of two nodes. A bucket that was cut into blocks has its two
     on one side or on both; either way the pair is one that may be compared."""
-    bits = [np.frombuffer(b"".join(b["sketch"].take(pa.array(starts + k)).to_pylist()), "uint64").reshape(len(starts), -1) for k in (0, 1)]
-    n, node = b["n"].to_numpy().astype(float), b["node"].to_numpy()
-    found = starts[close(np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1), n[starts], n[starts + 1])]
-    return pa.record_batch([pa.array(node[found]), pa.array(node[found + 1])], ["a", "b"])
+
+    def work(b: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        of = lambda c, k: b[c].take(pa.array(starts + k)).to_pylist()
+        bits = [np.frombuffer(b"".join(of("sketch", k)), "uint64").reshape(len(starts), -1) for k in (0, 1)]
+        n, node = b["n"].to_numpy().astype(float), b["node"].to_numpy()
+        first, second = n[starts], n[starts + 1]
+        linked = close(np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1), first, second, threshold)
+        tiny = np.flatnonzero((first <= TINY) & (second <= TINY))
+        if len(tiny):
+            x, y = of("own", 0), of("own", 1)
+            common = np.array([len(np.intersect1d(np.frombuffer(x[i], "uint64"), np.frombuffer(y[i], "uint64"), assume_unique=True)) for i in tiny.tolist()], float)
+            linked[tiny] = alike(common, first[tiny], second[tiny], threshold)
+        found = starts[linked]
+        return pa.record_batch([pa.array(node[found]), pa.array(node[found + 1])], ["a", "b"])
+
+    return work
 
 
 def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -208,7 +237,7 @@ def exact(threshold: float) -> Callable[[pa.Table], pa.RecordBatch]:
             common = np.full((2, 2), float(len(np.intersect1d(*sets, assume_unique=True))))
         else:
             common = overlaps(sets).astype("float64")
-        linked = common >= threshold * (n[:, None] + n[None, :] - common) - 1e-9
+        linked = alike(common, n[:, None], n[None, :], threshold)
         np.fill_diagonal(linked, False)
         if (across := sides(table)) is not None:
             linked &= across
@@ -231,9 +260,9 @@ def in_blocks(df: DataFrame, group: str, blocks: str) -> DataFrame:
     )
 
 
-def bucket_edges(nodes: DataFrame, runs: int, depth: int, limit: int) -> DataFrame:
+def bucket_edges(nodes: DataFrame, runs: int, depth: int, limit: int, threshold: float) -> DataFrame:
     """Coarse edges of all runs: recursive splitting, then brute force in small buckets."""
-    light = nodes.select("node", "n", "sketch")
+    light = nodes.select("node", "n", "sketch", "own")
     firsts = F.filter("tokens", lambda _, at: at % depth == 0)
     paths = nodes.select("node", F.posexplode(firsts).alias("run", "chosen"))
     entries = paths.select("node", "run", F.explode("chosen").alias("token")).select(
@@ -243,7 +272,7 @@ def bucket_edges(nodes: DataFrame, runs: int, depth: int, limit: int) -> DataFra
     for level in range(1, depth + 1):
         entries = materialize(entries, "paths")
         sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        met = entries.join(sizes, "bucket")
+        met = meet(entries, sizes, ["bucket"], "size", entries.count())
         last = level == depth
         small = met if last else met.where(F.col("size") <= limit)
         done.append(small.select("bucket", "node", F.ceil(F.col("size") / limit).cast("int").alias("blocks")))
@@ -261,7 +290,7 @@ def bucket_edges(nodes: DataFrame, runs: int, depth: int, limit: int) -> DataFra
     for more in done[1:]:
         pairs = pairs.unionByName(more)
     rows = in_blocks(pairs.join(light, "node"), "bucket", "blocks")
-    return by_group(rows, ["bucket", "i", "j"], near, "a long, b long", near_pairs).distinct()
+    return by_group(rows, ["bucket", "i", "j"], near(threshold), "a long, b long", near_pairs(threshold)).distinct()
 
 
 def jaccard_join(
@@ -305,17 +334,18 @@ def classes(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, s
         .select("d1", "d2", "n", "copies", F.col("best.rid").alias("node"), F.col("best.k").alias("k"), F.col("best.th").alias("th")),
         "nodes",
     )
-    nodes = full.select(F.col("rid").alias("node"), "n", "sketch", "tokens").join(few(same.select("node")), "node")
-    coarse = components(bucket_edges(materialize(nodes, "tokens"), runs, depth, limit))
+    nodes = full.select(F.col("rid").alias("node"), "n", "sketch", "own", "tokens").join(few(same.select("node")), "node")
+    coarse = components(bucket_edges(materialize(nodes, "tokens"), runs, depth, limit, threshold))
     linked = verified(rows, sets, same, coarse, threshold, size, limit)
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(linked.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     told = same.join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = told.groupBy("root").agg(F.min(F.struct("k", "node")).alias("first"))
-    per_node = told.join(first, "root").select(
-        "d1", "d2", "n", "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "first"
+    told = materialize(told, "told")
+    first = told.groupBy("root").agg(F.min(F.struct("k", "node")).alias("first"), F.count(F.lit(1)).alias("size"))
+    per_node = meet(told, first, ["root"], "size", told.count()).select(
+        "d1", "d2", "n", "node", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "first"
     )
-    out = sets.select("rid", "doc_id", "k", "th", "d1", "d2", "n").join(per_node, ["d1", "d2", "n"], "left")
+    out = meet(sets.select("rid", "doc_id", "k", "th", "d1", "d2", "n"), per_node, ["d1", "d2", "n"], "copies", sets.count(), "left")
     class_k = F.coalesce("first.k", "k")
     return out.select(
         "k",
@@ -330,10 +360,10 @@ def classes(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, s
 
 def verified(rows: DataFrame, sets: DataFrame, same: DataFrame, coarse: DataFrame, threshold: float, size: int, limit: int) -> DataFrame:
     """(node, root, links) of every block pair of every coarse component, from whole texts."""
-    members = coarse.join(same.select("node", "n", "copies", "k", "th"), "node")
-    weight = coarse.join(same.select("node", "n"), "node").groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    members = materialize(coarse.join(same.select("node", "n", "copies", "k", "th"), "node"), "coarse")
+    weight = members.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("m") / limit), F.ceil(F.col("total") / F.lit(1_000_000))).cast("int")
-    members = materialize(members.join(weight.select("root", blocks.alias("blocks")), "root"), "members")
+    members = materialize(meet(members, weight.select("root", "m", blocks.alias("blocks")), ["root"], "m", members.count()), "members")
     texts = rows.select("k", "th", "text").join(few(members), ["k", "th"])
     if repeated(sets):
         texts = texts.dropDuplicates(["node"])
@@ -355,14 +385,16 @@ def repeated(rows: DataFrame) -> bool:
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that lead their class, with all their columns."""
+    """The rows of ``df`` that lead their class, with all their columns. Rows without a word
+    lead a class each and all stay; of other rows with the same id and text one may stay."""
     found = classes(df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), id_col, text_col)
-    stay = materialize(found.groupBy("k", "th").agg(F.max("leader").alias("stays"), F.count(F.lit(1)).alias("n")).where("stays"), "leaders")
-    stay = stay.select(F.col("k").alias("__k"), F.col("th").alias("__th"), F.col("n").alias("__n"))
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    out = df.withColumn("__k", key).withColumn("__th", F.xxhash64(text_or_empty(text_col))).join(stay, ["__k", "__th"])
-    if not stay.where("__n > 1").isEmpty():
-        # Repeated rows without a word lead a class each; they all stay, other repeats go.
-        wordless = ~F.lower(text_or_empty(text_col)).rlike(r"[\p{L}\p{N}_]")
-        out = out.where((F.col("__n") == 1) | wordless).unionByName(out.where((F.col("__n") > 1) & ~wordless).dropDuplicates(["__k", "__th"]))
+    per_key = found.groupBy("k", "th").agg(F.max("leader").alias("stays"), F.max("n_shingles").alias("words"), F.count(F.lit(1)).alias("n"))
+    odd = materialize(per_key.where("not stays or (n > 1 and words > 0)").select("k", "th", "stays"), "followers")
+    odd = odd.select(F.col("k").alias("__k"), F.col("th").alias("__th"), F.col("stays").alias("__stays"))
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
+    keyed = df.withColumn("__k", key).withColumn("__th", F.xxhash64(text_or_empty(text_col)))
+    out = keyed.join(few(odd.drop("__stays")), ["__k", "__th"], "left_anti")
+    many = odd.where("__stays")
+    if not many.isEmpty():
+        out = out.unionByName(keyed.join(few(many.drop("__stays")), ["__k", "__th"], "left_semi").dropDuplicates(["__k", "__th"]))
     return out.select(*[F.col(f"`{c}`") for c in df.columns])
