@@ -1,14 +1,18 @@
 """Substring dedup by sliding spans of consecutive sentences.
 
-A run counts if it has at least ``least_units`` sentences and ``least_words`` words, or is one
-sentence of ``long_words``. Every sentence gives the shortest such run that starts and the
-shortest that ends at it, and itself if it is long: these spans cover each sentence of every
-longer repeated run, for such a run holds, from any of its sentences, the shortest one that
-starts there or else the shortest one that ends at its own end. Spans are
-hashed (96 bits) in the tasks; one row per document and distinct span goes to the global
-join, where the first document (smallest id) of each repeated span is found by a partial
+Sentences end at full stops of any script and at line ends; a passage that was pasted into a
+running sentence starts anew at a capital after a small letter, digit, comma or bracket. A
+sentence of more than ``CUT_OVER`` words is cut further at places that its own words choose
+(content-defined), so that a pasted passage falls into the same pieces wherever it stands.
+
+A run counts if it has at least ``least_units`` sentences and ``least_words`` words. Every
+sentence gives the shortest such run that starts and the shortest that ends at it: these
+spans cover each sentence of every longer repeated run, for such a run holds, from any of its
+sentences, the shortest one that starts there or else the shortest one that ends at its own
+end. Spans are hashed (96 bits) in the tasks; one row per document and distinct span goes to
+the global join, where the first document of each repeated span is found by a partial
 aggregate, so that a span that a third of all documents share arrives as counts. The
-occurrences then meet the repeated spans in an ordinary join, which Spark splits when skewed.
+occurrences then meet the repeated spans; hot ones are broadcast, so no task gets one whole.
 """
 
 from __future__ import annotations
@@ -19,36 +23,68 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
-
-#: White space that ends a sentence: after a full stop, at a line end, or before a capital
-#: letter that follows a lower-case one (a passage pasted into a running sentence).
-BREAK = re.compile(r"\s(?:(?<=\n)|(?<=[.!?]\s)|(?<=[a-zß-öø-ÿ]\s)(?=[A-ZÀ-ÖØ-Þ]))\s*")
+from .common import materialize, meet, text_or_empty
+
+#: White space that ends a sentence, and full stops of scripts that need none after them.
+BREAK = regex.compile(
+    r"(?<=[\u3002\uff01\uff1f\uff61])\s*|\s(?:(?<=\n)|(?<=[.!?\u0964\u0965\u06d4\u061f\u2026\u1362\u104b\u17d4][\"')\]\u00bb\u201d]?\s)|(?<=[\p{Ll}\p{N},;:)\]\"\u00bb\u201d]\s)(?=\p{Lu}))\s*"
+)
+#: Characters of scripts that write no spaces between words: each counts as a word.
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
+SPACED = re.compile(r"\S+")
+CUT_OVER = 24
+CUT_SHARE = 8
 NO_ID = -(1 << 63)
 
 
+def cut_places(text: str, start: int, end: int, word: re.Pattern) -> list[int]:
+    """Where an overlong sentence is cut: before each word whose two neighbours on the left
+    hash to 0 modulo ``CUT_SHARE``, so the places depend on nothing farther away."""
+    found = list(word.finditer(text, start, end))
+    if len(found) <= CUT_OVER:
+        return []
+    hashes = [xxhash.xxh3_64_intdigest(m.group().lower().encode("utf-8", "surrogatepass")) for m in found]
+    return [found[k].start() for k in range(2, len(found)) if not (hashes[k - 2] * 31 + hashes[k - 1]) % CUT_SHARE]
+
+
 def units(text: str) -> list[int]:
-    """Start of each sentence, and the text's length."""
-    starts = [0, *(m.end() for m in BREAK.finditer(text)), len(text)]
-    return starts if len(starts) < 3 or starts[-2] < len(text) else starts[:-1]
+    """Start of each sentence or piece of an overlong one, and the text's length."""
+    starts = [0, *(m.end() for m in BREAK.finditer(text) if m.end()), len(text)]
+    if len(starts) >= 3 and starts[-2] >= len(text):
+        starts.pop(-2)
+    dense = HAS_UNSPACED.search(text) is not None
+    out = []
+    for a, b in zip(starts, starts[1:]):
+        out.append(a)
+        if dense:
+            out += cut_places(text, a, b, WORD)
+        elif b - a > 2 * CUT_OVER and len(text[a:b].split()) > CUT_OVER:
+            out += cut_places(text, a, b, SPACED)
+    return [*out, len(text)]
 
 
-def spans(text: str, least_units: int, least_words: int, long_words: int) -> list[tuple[int, int, bytes]]:
+def words_of(piece: str) -> list[str]:
+    return WORD.findall(piece) if HAS_UNSPACED.search(piece) else piece.split()
+
+
+def spans(text: str, least_units: int, least_words: int) -> list[tuple[int, int, bytes]]:
     """(first sentence, last sentence, digest) of every span; case and white space don't count."""
     at = units(text)
     digests, counts = [], []
     for a, b in zip(at, at[1:]):
-        words = text[a:b].lower().split()
+        words = words_of(text[a:b].lower())
         counts.append(len(words))
         digests.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
     at = [k for k, n in enumerate(counts) if n]
     sums = [0, *accumulate(counts[k] for k in at)]
-    found = {(k, k + 1) for k in range(len(at)) if counts[at[k]] >= long_words}
-    i = 0
+    found, i = set(), 0
     for j in range(least_units, len(at) + 1):
         first = i
         while j - i >= least_units and sums[j] - sums[i] >= least_words:
@@ -56,11 +92,7 @@ def spans(text: str, least_units: int, least_words: int, long_words: int) -> lis
         found.update((k, j) for k in range(first, i))  # each the shortest from k; the last is the shortest up to j
         if i and i == first:
             found.add((i - 1, j))
-    out = []
-    for i, j in sorted(found):
-        own = [digests[k] for k in at[i:j]]
-        out.append((at[i], at[j - 1], own[0] if len(own) == 1 else xxhash.xxh3_128_digest(b"".join(own))))
-    return out
+    return [(at[i], at[j - 1], xxhash.xxh3_128_digest(b"".join(digests[k] for k in at[i:j]))) for i, j in sorted(found)]
 
 
 def removed_units(text: str, places: set[int], *limits: int) -> set[int]:
@@ -74,7 +106,7 @@ def without(text: str, drop: set[int]) -> str:
     return "".join(text[a:b] for k, (a, b) in enumerate(zip(at, at[1:])) if k not in drop) if drop else text
 
 
-def span_rows(df: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
+def span_rows(df: DataFrame, limits: tuple[int, int]) -> DataFrame:
     """(k, th, pos, h1, h2, again) of every span, written once; pos: its number in the text,
     again: seen earlier in its text."""
 
@@ -102,21 +134,25 @@ def span_rows(df: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
     return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int, again boolean"), "spans")
 
 
-def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 2, least_words: int = 16, long_words: int = 30) -> DataFrame:
+def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 2, least_words: int = 24) -> DataFrame:
     """``df`` with ``text_col`` cleaned, and n_removed (long, sentences) appended.
 
     A sentence goes when a repeated span covers it and the span's first occurrence (smallest
-    id, then place in the text) is elsewhere. A text without repeated spans is returned
-    unchanged; null stays null; texts may become empty. A null id ranks first; rows that
-    share an id count as one document, whose spans don't repeat each other. A column
-    named n_removed is replaced.
+    id, then smallest hash of the text, then place in the text) is elsewhere. A text without
+    repeated spans is returned unchanged; null stays null; texts may become empty. A null id
+    ranks first. Rows that share both id and text count as one document, whose copies keep the
+    same sentences. An empty table gives no rows; a column named n_removed is replaced.
     """
-    limits = (least_units, least_words, long_words)
-    k, th = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.xxhash64(text_or_empty(text_col))
+    limits = (least_units, least_words)
+    k, th = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), F.xxhash64(text_or_empty(text_col))
     rows = span_rows(df.select(k.alias("k"), th.alias("th"), text_or_empty(text_col).alias("text")), limits)
     firsts = rows.where("not again").drop("again")
-    repeated = firsts.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last")).where("first < last").drop("last")
-    later = firsts.join(repeated, ["h1", "h2"]).where("k > first").select("k", "th", "pos")
+    repeated = (
+        firsts.groupBy("h1", "h2")
+        .agg(F.min(F.struct("k", "th")).alias("first"), F.max(F.struct("k", "th")).alias("last"), F.count(F.lit(1)).alias("n"))
+        .where("first < last").drop("last")
+    )
+    later = meet(firsts, repeated, ["h1", "h2"], "n", rows.count()).where("struct(k, th) > first").select("k", "th", "pos")
     places = (
         later.unionByName(rows.where("again").select("k", "th", "pos"))
         .groupBy(F.col("k").alias("__k"), F.col("th").alias("__th"))

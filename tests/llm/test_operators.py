@@ -162,67 +162,90 @@ def test_em_finds_accuracies():
     assert p[:400].max() < 0.5 and (p[400:] > 0.5).mean() > 0.95
 
 
-def brute_spans(rows, limits=(2, 16, 30)):
-    first, out = {}, []
-    order = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0))
-    for r in order:
-        for _, _, d in span_dedup.spans(r.text or "", *limits):
-            first.setdefault(d, r.doc_id)
-    for r in rows:
-        seen, drop = set(), set()
-        for i, j, d in span_dedup.spans(r.text or "", *limits):
-            if first[d] != r.doc_id or d in seen:
-                drop.update(range(i, j + 1))
-            seen.add(d)
-        out.append((r.doc_id, None if r.text is None else span_dedup.without(r.text, drop), len(drop)))
+def brute_runs(rows, limits=(2, 24)):
+    """(doc_id, text, removed) by looking at every run of sentences: a run of at least two that
+    holds 24 words goes where the same words stood in an earlier document or place."""
+    seen, out, done = {}, [], {}
+    key = lambda r: (r[0] is not None, r[0] or 0, xxh64(r[1] or ""))
+    for doc, text in sorted(rows, key=key):
+        if (doc, text) in done:
+            out.append((doc, *done[doc, text]))
+            continue
+        at = span_dedup.units(text or "")
+        said = [tuple(span_dedup.words_of((text or "")[a:b].lower())) for a, b in zip(at, at[1:])]
+        full = [k for k, x in enumerate(said) if x]
+        drop, held = set(), set()
+        for x in range(len(full)):
+            for y in range(x + 1, len(full)):
+                run = tuple(said[k] for k in full[x : y + 1])
+                if y - x + 1 < limits[0] or sum(map(len, run)) < limits[1]:
+                    continue
+                if run in seen or run in held:
+                    drop.update(range(full[x], full[y] + 1))
+                held.add(run)
+        seen.update(dict.fromkeys(held))
+        done[doc, text] = None if text is None else "".join(text[at[k] : at[k + 1]] for k in range(len(said)) if k not in drop), len(drop)
+        out.append((doc, *done[doc, text]))
     return sorted(out, key=str)
 
 
-def test_span_dedup(spark, small, odd, empty):
-    passage = " ".join(f"Thus sentence {k} of the passage goes on with words." for k in range(8))
-    extra = spark.createDataFrame([(10_000 + k, f"Own text {k} begins here and " + passage + f" it ends {k}.") for k in range(5)], "doc_id long, text string")
-    for df in (small.select("doc_id", "text").unionByName(extra), odd, empty):
-        got = span_dedup.span_dedup(df)
-        assert sorted(((r.doc_id, r.text, r.n_removed) for r in got.collect()), key=str) == brute_spans(df.collect())
-    texts = {r.doc_id: r.text for r in span_dedup.span_dedup(extra).collect()}
-    assert passage in texts[10_000] and all("sentence 5" not in texts[10_000 + k] for k in range(1, 5))
+def xxh64(text):
+    """Spark's xxhash64 of a text, signed."""
+    import xxhash
 
+    value = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return value - (1 << 64) if value >> 63 else value
 
-def brute_runs(rows, limits=(2, 16, 30)):
-    """Sentences under every run whose words occur in a smaller id or earlier in the text."""
-    seen, out = {}, {}
-    for doc, text in sorted(rows):
-        at = span_dedup.units(text)
-        said = [tuple(text[a:b].lower().split()) for a, b in zip(at, at[1:])]
-        drop, held = set(), set()
-        for i in range(len(said)):
-            for j in range(i + 1, len(said) + 1):
-                n = sum(map(len, said[i:j]))
-                if (j - i >= limits[0] and n >= limits[1]) or (j - i == 1 and n >= limits[2]):
-                    run = tuple(said[i:j])
-                    if run in seen or run in held:
-                        drop.update(range(i, j))
-                    held.add(run)
-        seen.update(dict.fromkeys(held))
-        out[doc] = (span_dedup.without(text, drop), len(drop))
-    return out
+
+def cleaned(df):
+    return sorted(((r.doc_id, r.text, r.n_removed) for r in span_dedup.span_dedup(df).collect()), key=str)
 
 
-def test_span_dedup_removes_every_repeated_run(spark):
+def test_span_dedup_removes_every_repeated_run(spark, odd, empty):
     rng = random.Random(4)
     said = lambda n, tag: " ".join([f"{tag}{rng.random()}"] + ["word"] * (n - 1)) + "."
     rows = []
-    for lengths in ((35, 20), (20, 20, 6, 6), (3, 3, 3, 40, 2, 2), (8, 8), (31, 1), (5, 4, 3, 2, 1), (29, 1, 1), (16,), (34,)):
+    for lengths in ((35, 20), (20, 20, 6, 6), (3, 3, 3, 40, 2, 2), (8, 8), (31, 1), (5, 4, 3, 2, 1), (29, 1, 1), (16,), (34,), (12, 12)):
         passage = " ".join(said(n, "p") for n in lengths)
         for _ in range(3):
             rows.append((len(rows), " ".join([said(rng.randint(1, 12), "own") for _ in range(2)] + [passage] + [said(9, "own"), said(25, "own")])))
     pool = [said(rng.randint(1, 34), "pool") for _ in range(12)]
     for _ in range(60):
         rows.append((len(rows), " ".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))))
-    got = span_dedup.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    want = brute_runs(rows)
-    assert {r.doc_id: (r.text, r.n_removed) for r in got} == want
-    assert want[1][1] == 2 and want[4][1] == 4
+    rows += [(None, rows[0][1] + " Tail one."), (None, rows[0][1] + " Tail two."), (None, None), rows[3], (500, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, want = cleaned(df), brute_runs(rows)
+    assert got == want
+    assert {d: n for d, _, n in want}[4] >= 4  # the second copy of four sentences
+    short = odd.where("length(text) < 1000 or text is null")
+    assert cleaned(short) == brute_runs([(r.doc_id, r.text) for r in short.collect()])
+    clash = odd.withColumn("n_removed", F.lit("x"))
+    assert span_dedup.span_dedup(clash).columns == [c for c in clash.columns if c != "n_removed"] + ["n_removed"]
+    assert span_dedup.span_dedup(odd).count() == odd.count() and span_dedup.span_dedup(empty).count() == 0
+
+
+PASSAGES = {
+    "one sentence": " ".join(f"word{i * i % 89}x{i}" for i in range(90)),
+    "after a comma": " ".join(f"Das {i} Wort steht hier im {i * 7} Satz." for i in range(12)),
+    "han": "".join(chr(0x4E00 + i * 37 % 3000) + ("\u3002" if i % 14 == 13 else "") for i in range(140)),
+    "devanagari": " ".join(f"\u0915{chr(0x0916 + i % 20)}{i}" + ("\u0964" if i % 9 == 8 else "") for i in range(90)),
+    "thai": "".join(chr(0x0E01 + i * 7 % 40) for i in range(150)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PASSAGES))
+def test_pasted_passages_go(name):
+    """A passage of over 50 words in the middle of other text loses nearly all of its words in
+    the second document, whatever stands before and after it."""
+    passage = PASSAGES[name]
+    around = [("some own words here, ", " and so it goes on."), ("Other things (2024) ", " 77 more"), ("\u4ed6\u8bf4, ", " \u5b8c")]
+    first = {d for i, j, d in span_dedup.spans(around[0][0] + passage + around[0][1], 2, 24)}
+    for before, after in around[1:]:
+        text = before + passage + after
+        drop = {k for i, j, d in span_dedup.spans(text, 2, 24) if d in first for k in range(i, j + 1)}
+        left = span_dedup.without(text, drop)
+        assert len(left) - len(before) - len(after) <= 0.35 * len(passage)
+        assert before.strip() in left and left.endswith(after.strip())
 
 
 def test_units_cover_the_text():
