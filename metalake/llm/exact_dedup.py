@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, text_or_empty
+from .common import few, materialize, shuffle_partitions, text_or_empty
 
 KEY = ["sha", "n_bytes", "check"]
+NO_ID = -(1 << 63)
 
 
 def digest_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 64) -> DataFrame:
@@ -71,16 +72,16 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that :func:`exact_dedup` keeps, with all their columns."""
-    kept = materialize(
-        exact_dedup(df, id_col, text_col).groupBy("doc_id", "text_sha256").agg(
-            F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n_same")
-        ).where("kept"),
-        "kept",
-    ).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_same").alias("__n"))
-    tagged = df.withColumn("__sha_d", F.sha2(text_or_empty(text_col).cast("binary"), 256))
-    on = tagged[id_col].cast("long").eqNullSafe(kept["__id"]) & (tagged["__sha_d"] == kept["__sha"])
-    out = tagged.join(kept, on)
-    if not kept.where("__n > 1").isEmpty():
-        out = out.where("__n = 1").unionByName(out.where("__n > 1").dropDuplicates(["__id", "__sha"]))
+    """The rows of ``df`` that :func:`exact_dedup` keeps, with all their columns.
+
+    Only the dropped rows' ids and digests go to the join, which is a broadcast while they are
+    few; of repeated rows (same id and text) that stay, one is chosen."""
+    told = exact_dedup(df, id_col, text_col).groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    id_key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NO_ID))
+    odd = materialize(told.where("not kept or n > 1").select(id_key("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), "kept"), "dropped")
+    tagged = df.withColumn("__id", id_key(f"`{id_col}`")).withColumn("__sha", F.unhex(F.sha2(text_or_empty(text_col).cast("binary"), 256)))
+    out = tagged.join(few(odd.select("__id", "__sha")), ["__id", "__sha"], "left_anti")
+    many = odd.where("kept").select("__id", "__sha")
+    if not many.isEmpty():
+        out = out.unionByName(tagged.join(few(many), ["__id", "__sha"], "left_semi").dropDuplicates(["__id", "__sha"]))
     return out.select(*[F.col(f"`{c}`") for c in df.columns])
