@@ -92,7 +92,8 @@ def write_streams(records: DataFrame, folder: str) -> DataFrame:
         store, root = fs.FileSystem.from_uri(folder)
         n, out = 0, None
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
+            for at in range(b.num_rows):  # one payload at a time, however long they are
+                row = [c[at].as_py() for c in b.columns]
                 if out is None:
                     store.create_dir(root, recursive=True)
                     out = gzip.GzipFile(fileobj=store.open_output_stream(f"{root}/{name}", compression=None), mode="wb", compresslevel=1, mtime=0)
@@ -224,6 +225,13 @@ def read_records(index: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, PAGE)
 
 
+def wrong_revisits(records: DataFrame) -> DataFrame:
+    """Revisits of ``records`` whose response is missing or has another digest or length. The
+    payloads themselves were checked against the digests when the responses were read."""
+    responses = records.where("record_type = 'response' and page_id is not null").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes")
+    return records.where("record_type = 'revisit'").join(responses, ["refers_to", "payload_digest", "payload_bytes"], "left_anti")
+
+
 def archive_round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 1000) -> DataFrame:
     """Writes a record per row, normalises the archives and reads every record back.
 
