@@ -5,78 +5,72 @@ The blended-spectrum presence kernel of two texts is the number of distinct byte
 numbers. Nyström landmarks turn it into a feature map: with K the kernel among landmarks and
 k(x) that of x with them, z(x) = k(x) K^-1/2. One ridge regression per language on z is then
 kernel ridge regression, one versus the rest. A batch of documents is a 0/1 matrix over the
-landmarks' n-grams; one matrix product gives its kernels and a second one its scores.
+landmarks' n-grams; one matrix product gives its kernels and a second one its scores. An
+n-gram of up to four bytes is a number, so sets are exact.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SCALE, text_or_empty
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 ORDERS = (1, 2, 3, 4)
-SLOT_BITS = 18
-SLOTS = 1 << SLOT_BITS
 BATCH = 128
-STEP = np.uint32(0x9E3779B1)  # odd hash multiplier
-
-
-def gram_codes(text: str, n: int) -> np.ndarray:
-    """Slot (18-bit hash) of every n-gram of the text's bytes, in order, with repeats."""
-    data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), "uint8").astype("uint32")
-    size = len(data) - n + 1
-    if size <= 0:
-        return np.empty(0, "uint32")
-    code = np.full(size, n * 0x85EBCA77 & 0xFFFFFFFF, "uint32")
-    for k in range(n):
-        code = (code ^ data[k : k + size]) * STEP
-        code ^= code >> np.uint32(15)
-    return code >> np.uint32(32 - SLOT_BITS)
 
 
 def grams(text: str) -> np.ndarray:
-    """Distinct slots of all orders."""
-    seen = np.zeros(SLOTS, bool)
+    """The distinct n-grams of all orders as sorted numbers: n * 2**32 + the bytes, big end first."""
+    data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), "uint8").astype("uint32")
+    out, code = [], np.zeros(len(data), "uint32")
     for n in ORDERS:
-        seen[gram_codes(text, n)] = True
-    return np.flatnonzero(seen)
+        if len(data) < n:
+            break
+        code = (code[: len(data) - n + 1] << np.uint32(8)) | data[n - 1 :]
+        if n <= 2:
+            own = np.flatnonzero(np.bincount(code, minlength=1))
+        else:
+            own = np.sort(code)
+            own = own[np.r_[True, own[1:] != own[:-1]]]
+        out.append(own.astype("int64") + (n << 32))
+    return np.concatenate(out) if out else np.empty(0, "int64")
 
 
 class Kernel:
     """Presence kernel with fixed landmarks."""
 
     def __init__(self, landmarks: list[np.ndarray]):
-        slots = np.unique(np.concatenate(landmarks)) if landmarks else np.empty(0, "int64")
-        self.column = np.full(SLOTS, len(slots), "int32")
-        self.column[slots] = np.arange(len(slots))
-        self.matrix = np.zeros((len(slots) + 1, len(landmarks)), "float32")
+        self.known = np.unique(np.concatenate(landmarks)) if landmarks else np.empty(0, "int64")
+        self.matrix = np.zeros((len(self.known) + 1, len(landmarks)), "float32")  # the last row: any other n-gram
         for k, own in enumerate(landmarks):
-            self.matrix[self.column[own], k] = 1
+            self.matrix[np.searchsorted(self.known, own), k] = 1
         self.sizes = np.array([len(x) for x in landmarks], "float64")
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """0/1 rows over the landmarks' n-grams (the last column: any other), and set sizes."""
+        """0/1 rows over the landmarks' n-grams, and set sizes."""
         out = np.zeros((len(texts), len(self.matrix)), "float32")
         sizes = np.empty(len(texts))
-        seen = np.zeros(SLOTS, bool)
         for k, text in enumerate(texts):
-            codes = [gram_codes(text, n) for n in ORDERS]
-            for c in codes:
-                seen[c] = True
-                out[k, self.column[c]] = 1
-            sizes[k] = np.count_nonzero(seen)
-            for c in codes:
-                seen[c] = False
-        out[:, -1] = 0
+            own = grams(text)
+            sizes[k] = len(own)
+            at = np.searchsorted(self.known, own)
+            at[at == len(self.known)] = 0
+            if len(self.known):
+                out[k, at[self.known[at] == own]] = 1
         return out, np.maximum(sizes, 1)
 
+    @property
+    def batch(self) -> int:
+        """Texts whose 0/1 rows take 64 MB at most."""
+        return max(1, min(BATCH, 16_000_000 // len(self.matrix)))
+
     def values(self, texts: list[str]) -> np.ndarray:
         out, sizes = self.rows(texts)
         return (out @ self.matrix) / np.sqrt(sizes[:, None] * np.maximum(self.sizes, 1))
@@ -123,16 +117,17 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([b[0], pa.array([grams(t).astype("<i4").tobytes() for t in b[1].to_pylist()], pa.binary())], ["id", "x"])
+            yield pa.record_batch([b[0], pa.array([grams(t).astype("<i8").tobytes() for t in b[1].to_pylist()], pa.binary())], ["id", "x"])
 
-    got = {r["id"]: np.frombuffer(r["x"], "<i4") for r in texts.join(F.broadcast(marked), "id").mapInArrow(sets, "id long, x binary").collect()}
+    got = {r["id"]: np.frombuffer(r["x"], "<i8") for r in texts.join(F.broadcast(marked), "id").mapInArrow(sets, "id long, x binary").collect()}
     kernel = Kernel([got[i] for i in sorted(got)])
     shared = spark.sparkContext.broadcast(kernel)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in range(0, b.num_rows, BATCH):
-                part = b.slice(s, BATCH)
+            step = shared.value.batch
+            for s in range(0, b.num_rows, step):
+                part = b.slice(s, step)
                 k = shared.value.values(part[1].to_pylist()).astype("<f8")
                 yield pa.record_batch([part[0], pa.array([x.tobytes() for x in k], pa.binary())], ["id", "x"])
 
@@ -157,9 +152,10 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        step = model.kernel.batch
         for b in batches:
-            for s in range(0, b.num_rows, BATCH):
-                part = b.slice(s, BATCH)
+            for s in range(0, b.num_rows, step):
+                part = b.slice(s, step)
                 texts = part[1].to_pylist()
                 known = [k for k, t in enumerate(texts) if LETTER.search(t)] if model.languages else []
                 names, score = ["und"] * len(texts), np.zeros(len(texts))
@@ -182,8 +178,8 @@ def held_out(id_col: str = "doc_id"):
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learns from rows that aren't held out.
 
-    ``und`` for texts that are null or have no letter, and for all texts if nothing could be
-    learned. Repeated rows get equal predictions (rows that share an id teach one language).
+    ``und`` for texts that are null or have no letter (Unicode category L), and for all texts if
+    nothing could be learned. Of equal scores the language whose name sorts first is told. Repeated rows get equal predictions (rows that share an id teach one language).
     An empty table gives no rows; further columns are not read.
     """
     model = fit(df.where(~held_out(id_col)), id_col, text_col, lang_col)
