@@ -83,8 +83,9 @@ class Graph:
         k = len(centroids)
         self.entries = np.unique(np.linspace(0, k - 1, min(k, 8)).astype(int))
         neighbours = []
-        for low in range(0, k, 1024):
-            near = distances(centroids[low : low + 1024], centroids)
+        step = max(1, min(1024, 4_000_000 // k))  # a block of distances stays small
+        for low in range(0, k, step):
+            near = distances(centroids[low : low + step], centroids)
             near[np.arange(len(near)), low + np.arange(len(near))] = np.inf
             neighbours.append(np.argsort(near, axis=1, kind="stable")[:, : min(degree, k - 1)])
         own = np.vstack(neighbours) if k > 1 else np.empty((k, 0), int)
@@ -124,11 +125,15 @@ class Graph:
         return np.array([j for _, j in found]), np.sqrt([d for d, _ in found])
 
 
-def build_graph(vectors: DataFrame, top: float, sample: int, list_size: int, n: int) -> Graph:
-    """Centroids from the ``sample`` vectors of smallest id hash (bounded, documented)."""
-    rows = draw(vectors, "vec_id", n, sample).select("x").collect()
-    points = lifted(matrix([r["x"] for r in rows]), top)
-    most = max(4, int(list_size * len(points) / max(n, 1)))
+POINTS = 4
+
+
+def build_graph(vectors: DataFrame, top: float, sample: int, most_sample: int, list_size: int, n: int) -> Graph:
+    """Centroids from the vectors of smallest id hash: at least ``sample``, and as many more as
+    give every list of ``list_size`` vectors ``POINTS`` of them, up to ``most_sample``."""
+    size = min(max(sample, POINTS * n // list_size), most_sample)
+    points = lifted(np.vstack([matrix([r["x"]]) for r in draw(vectors, "vec_id", n, size).select("x").toLocalIterator()]), top)
+    most = max(POINTS, int(list_size * len(points) / max(n, 1)))
     return Graph(np.vstack(halves(points, most, np.random.default_rng(7))))
 
 
@@ -137,9 +142,10 @@ def assign(vectors: DataFrame, graph, top: float, copies: int, spread: float) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centroids = graph.value.centroids
+        step = max(1, min(1024, 4_000_000 // len(centroids)))
         for b in batches:
-            for s in range(0, b.num_rows, 1024):
-                part = b.slice(s, 1024)
+            for s in range(0, b.num_rows, step):
+                part = b.slice(s, step)
                 if not part.num_rows:
                     continue
                 d = distances(lifted(matrix(part[1]), top), centroids)
@@ -225,6 +231,7 @@ def nearest(
     k: int = 20,
     list_size: int = 400,
     sample: int = 20_000,
+    most_sample: int = 400_000,
     copies: int = 4,
     spread: float = 1.12,
     beam: int = 48,
@@ -242,7 +249,9 @@ def nearest(
     one candidate, with its best score. No usable vector: no rows. At least ``k`` candidates
     are always looked at, if there are as many. ``beam`` lists within ``ratio`` of the nearest
     are searched at least; both are raised until ``target`` of the true neighbours of
-    ``probes`` sample vectors are reached.
+    ``probes`` sample vectors are reached. Centroids are fitted on a sample that grows with the
+    table from ``sample`` to ``most_sample`` vectors (bounded, documented), so lists stay near
+    ``list_size`` up to 40 million vectors; beyond that lists grow, dealt to chunks as ever.
     """
     spark = df.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
@@ -251,7 +260,7 @@ def nearest(
     if not total["n"]:
         return spark.createDataFrame([], out)
     top, n = total["top"], total["n"]
-    graph = spark.sparkContext.broadcast(build_graph(vectors, top, sample, list_size, n))
+    graph = spark.sparkContext.broadcast(build_graph(vectors, top, sample, most_sample, list_size, n))
     lists = materialize(assign(vectors, graph, top, copies, spread), "lists")
     held = lists.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
     owners = lists.where("own").groupBy("vec_id").agg(F.min("list").alias("list"))  # an id counts in one list only

@@ -118,6 +118,41 @@ def test_licences(spark, odd, empty):
     assert licences.license_scan(odd).count() == odd.count() and licences.license_scan(empty).count() == 0
 
 
+def test_licence_labels_match_a_scan_of_every_window(spark):
+    """The rare-word lookup finds what a comparison of every notice at every place finds."""
+    rng = random.Random(8)
+    notices = [(label, key.split(), notice.split()) for label, key, notice in licences.TEMPLATES]
+    texts = []
+    for k in range(150):
+        words = [rng.choice(["the", "of", "a", "software", "license", "terms", f"own{rng.randint(0, 99)}"]) for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 3)):
+            notice = list(rng.choice(notices)[2])
+            if rng.random() < 0.3:
+                notice[rng.randrange(len(notice))] = "changed"
+            at = rng.randint(0, len(words))
+            words[at:at] = notice
+        texts.append((k, " ".join(words)))
+    got = {r.doc_id: r for r in licences.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    exact = rows = 0
+    for k, text in texts:
+        words, full, close = text.split(), set(), set()
+        for label, key, notice in notices:
+            for s in range(-2, len(words)):
+                window = words[max(0, s - 2) : max(0, s + len(notice) + 2)]
+                if not any(window[i : i + len(key)] == key for i in range(len(window))):
+                    continue
+                hits = sum(any(0 <= s + q + d < len(words) and words[s + q + d] == w for d in (-1, 0, 1)) for q, w in enumerate(notice))
+                if words[max(s, 0) : max(s, 0) + len(notice)] == notice:
+                    full.add(label)
+                if hits >= 0.6 * len(notice):
+                    close.add(label)
+        told = set(filter(None, got[k].labels.split(",")))
+        base = set(filter(None, got[k].base_labels.split(",")))
+        assert full <= told <= close | base, (text, full, told, close)
+        rows, exact = rows + 1, exact + (told == close | base)
+    assert exact >= 0.9 * rows
+
+
 def test_language_id(spark, odd, empty):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.identify(df).join(df.select("doc_id", "lang"), "doc_id").collect()
@@ -129,14 +164,21 @@ def test_language_id(spark, odd, empty):
     assert len(told) == odd.count()
     assert {r.lang_pred for r in told if r.doc_id in (1, 2, 7)} == {"und"}
     assert language_id.identify(empty).count() == 0
+    letterless = spark.createDataFrame([(k, t, "en", "x", 1) for k, t in enumerate(["\u00bd", "\u00b2 \u00b3", "\u2163", "7_7", "\u4e2d", "a1"])], "doc_id long, text string, lang string, lang_pred string, score int")
+    told = {r.doc_id: r.lang_pred for r in language_id.identify(letterless.unionByName(letterless.withColumn("doc_id", F.col("doc_id") + 100))).collect()}
+    assert [told[k] == "und" for k in range(6)] == [True, True, True, True, False, False]
 
 
 def test_kernel_matches_its_definition():
-    texts = ["the cat sat", "le chat", "die katze saß", ""]
-    sets = [set(language_id.grams(t).tolist()) for t in texts]
-    kernel = language_id.Kernel([language_id.grams(t) for t in texts[:3]])
+    rng = random.Random(2)
+    texts = ["the cat sat", "le chat", "die katze saß", "\u4e2d\u6587 TEXT \U0001f600", "", "a", " ".join(f"w{rng.getrandbits(60)}" for _ in range(3000))]
+    sets = []
+    for t in texts:
+        data = t.lower().encode()
+        sets.append({data[i : i + n] for n in (1, 2, 3, 4) for i in range(len(data) - n + 1)})
+    kernel = language_id.Kernel([language_id.grams(t) for t in texts[:4]])
     got = kernel.values(texts)
-    for i, j in itertools.product(range(4), range(3)):
+    for i, j in itertools.product(range(len(texts)), range(4)):
         want = len(sets[i] & sets[j]) / math.sqrt(max(1, len(sets[i])) * len(sets[j]))
         assert abs(got[i, j] - want) < 1e-6
 
@@ -265,6 +307,12 @@ def test_warc(spark):
         want.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None))
     assert got == sorted(want, key=str)
     assert warc.archive_round_trip(df.limit(0)).count() == 0
+    big = spark.createDataFrame([(1, "u", "b" * 9_000_000, "z"), (2, "u", "b" * 9_000_000, None)], "page_id long, url string, html string, record_type string")
+    back = warc.archive_round_trip(big)
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in back.collect()) == [(1, 9_000_000, "revisit", 2), (2, 9_000_000, "response", None)]
+    assert warc.wrong_revisits(back).count() == 0
+    wrong = spark.createDataFrame([(1, 5, "aa", "revisit", 2), (2, 5, "bb", "response", None)], back.schema)
+    assert warc.wrong_revisits(wrong).count() == 1
 
 
 def test_gzip_normaliser_reads_streams_of_any_shape():
@@ -299,6 +347,10 @@ def test_nearest_neighbours(spark):
         assert all(abs(r.score - scores[q, r.vec_id]) < 1e-9 for r in found)
         hits += len({r.vec_id for r in found} & set(np.lexsort((np.arange(3000), -np.round(scores[q], 10)))[:20].tolist()))
     assert hits >= 0.9 * 20 * len(got)
+    assert ann.nearest(df.limit(0), lambda c: c >= 0).count() == 0
+    clash = df.where("vec_id < 100").withColumn("rank", F.lit("x")).withColumn("score", F.lit(1)).withColumn("list", F.lit(None))
+    twice = by_id(ann.nearest(clash.unionByName(clash), lambda c: c % 20 == 0), "query_id")
+    assert {q: len(v) for q, v in twice.items()} == {0: 20, 20: 20, 40: 20, 60: 20, 80: 20} and all(len({r.vec_id for r in v}) == 20 for v in twice.values())
     few = ann.nearest(df.where("vec_id < 7"), lambda c: c % 2 == 0)
     assert Counter(r.query_id for r in few.collect()) == {0: 6, 2: 6, 4: 6, 6: 6}
     assert ann.nearest(df.where("vec_id = 3000"), lambda c: c >= 0).count() == 0
@@ -320,3 +372,22 @@ def test_nearest_neighbours_of_repeated_ids(spark, noise):
         assert all(r.score <= best[q, r.vec_id] + 1e-9 for r in got[q])
         hits += sum(abs(r.score - best[q, r.vec_id]) < 1e-9 for r in got[q] if r.vec_id in np.argsort(-best[q])[:20])
     assert hits >= 0.9 * 20 * 15
+
+
+CLASHES = "length int, n_tokens string, labels int, score string, keep string, lang_pred int, record_type string, sequence_id string"
+
+
+def test_columns_named_like_the_results(spark):
+    """Further columns that bear a result's or a work column's name change nothing."""
+    rows = [(k, f"Licensed under the MIT license, text {k}.", "en", *[None] * 8) for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + CLASHES)
+    plain = df.select("doc_id", "text", "lang")
+    jobs = {
+        "op4": language_id.identify,
+        "op5": lambda d: byte_bpe.round_trip(d, byte_bpe.multi_path()),
+        "op6": lambda d: packing.pack(d, packing.tokenizer_path(), 1024, 2).drop("sequence_id", "offset"),
+        "op7": licences.license_scan,
+        "op8": lambda d: quality.classify(d).select("doc_id", "score", "keep"),
+    }
+    for name, job in jobs.items():
+        assert Counter(map(tuple, job(df).collect())) == Counter(map(tuple, job(plain).collect())), name
