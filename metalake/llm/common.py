@@ -50,15 +50,17 @@ def few(df: DataFrame, most_bytes: int = 8_000_000) -> DataFrame:
 
 
 def meet(left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int, how: str = "inner", share: int = 512) -> DataFrame:
-    """``left`` joined with ``right``, whose keys are unique and whose ``weight`` counts the rows
-    of ``left`` with that key; the weights add up to ``total`` at most. Keys of more than
-    1/``share`` of all rows are thus fewer than ``share``: those are broadcast, so their rows
-    stay where they are, and only the others are shuffled."""
-    bound = total / share
-    hot = right.where(F.col(weight) > bound)
-    there = left.join(F.broadcast(hot), on)
-    rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(right.where(F.col(weight) <= bound), on, how)
-    return there.unionByName(rest)
+    """``left`` joined with ``right``, a written table whose keys are unique and whose ``weight``
+    counts the rows of ``left`` with that key; the weights add up to ``total`` at most. Keys of
+    more than 1/``share`` of all rows are thus fewer than ``share``: the driver learns their
+    hashes, they are broadcast, and their rows of ``left`` stay where they are."""
+    key = F.xxhash64(*on)
+    hot = [r[0] for r in right.where(F.col(weight) > total / share).select(key).collect()]
+    if not hot:
+        return left.join(right, on, how)
+    is_hot = key.isin(hot)
+    there = left.where(is_hot).join(F.broadcast(right.where(is_hot)), on, how)
+    return there.unionByName(left.where(~is_hot).join(right.where(~is_hot), on, how))
 
 
 SCALE = 1 << 40

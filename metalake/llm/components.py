@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, meet
+from .common import materialize
+
+
+SHARE = 512
 
 
 def _moved(pairs: DataFrame, least: Column, rows: int) -> DataFrame:
-    """``pairs`` with m, the smallest node known at ``a``. A hub's pairs are not shuffled."""
+    """``pairs``, ``rows`` at most, with m, the smallest node known at ``a``. Hubs, nodes with
+    more than 1/``SHARE`` of all pairs, are fewer than ``SHARE``: they are broadcast, and their
+    pairs are not shuffled."""
     by_node = pairs.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("n"))
-    return meet(pairs, by_node, ["a"], "n", rows).drop("n")
+    hub = F.broadcast(by_node.where(F.col("n") > rows / SHARE))
+    others = pairs.join(hub.select("a"), "a", "left_anti").join(by_node.where(F.col("n") <= rows / SHARE), "a")
+    return pairs.join(hub, "a").unionByName(others).drop("n")
 
 
 def _large_star(edges: DataFrame, n: int) -> DataFrame:

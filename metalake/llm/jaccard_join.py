@@ -271,7 +271,7 @@ def bucket_edges(nodes: DataFrame, runs: int, depth: int, limit: int, threshold:
     done = []
     for level in range(1, depth + 1):
         entries = materialize(entries, "paths")
-        sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        sizes = materialize(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         met = meet(entries, sizes, ["bucket"], "size", entries.count())
         last = level == depth
         small = met if last else met.where(F.col("size") <= limit)
@@ -341,11 +341,11 @@ def classes(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, s
     roots = components(linked.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     told = same.join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     told = materialize(told, "told")
-    first = told.groupBy("root").agg(F.min(F.struct("k", "node")).alias("first"), F.count(F.lit(1)).alias("size"))
+    first = materialize(told.groupBy("root").agg(F.min(F.struct("k", "node")).alias("first"), F.count(F.lit(1)).alias("size")), "firsts")
     per_node = meet(told, first, ["root"], "size", told.count()).select(
         "d1", "d2", "n", "node", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "first"
     )
-    out = meet(sets.select("rid", "doc_id", "k", "th", "d1", "d2", "n"), per_node, ["d1", "d2", "n"], "copies", sets.count(), "left")
+    out = meet(sets.select("rid", "doc_id", "k", "th", "d1", "d2", "n"), materialize(per_node, "per-node"), ["d1", "d2", "n"], "copies", sets.count(), "left")
     class_k = F.coalesce("first.k", "k")
     return out.select(
         "k",
@@ -363,7 +363,8 @@ def verified(rows: DataFrame, sets: DataFrame, same: DataFrame, coarse: DataFram
     members = materialize(coarse.join(same.select("node", "n", "copies", "k", "th"), "node"), "coarse")
     weight = members.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("m") / limit), F.ceil(F.col("total") / F.lit(1_000_000))).cast("int")
-    members = materialize(meet(members, weight.select("root", "m", blocks.alias("blocks")), ["root"], "m", members.count()), "members")
+    weight = materialize(weight.select("root", "m", blocks.alias("blocks")), "weights")
+    members = materialize(meet(members, weight, ["root"], "m", members.count()), "members")
     texts = rows.select("k", "th", "text").join(few(members), ["k", "th"])
     if repeated(sets):
         texts = texts.dropDuplicates(["node"])

@@ -152,7 +152,7 @@ def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         .agg(F.min(F.struct("k", "th")).alias("first"), F.max(F.struct("k", "th")).alias("last"), F.count(F.lit(1)).alias("n"))
         .where("first < last").drop("last")
     )
-    later = meet(firsts, repeated, ["h1", "h2"], "n", rows.count()).where("struct(k, th) > first").select("k", "th", "pos")
+    later = meet(firsts, materialize(repeated, "repeated"), ["h1", "h2"], "n", rows.count()).where("struct(k, th) > first").select("k", "th", "pos")
     places = (
         later.unionByName(rows.where("again").select("k", "th", "pos"))
         .groupBy(F.col("k").alias("__k"), F.col("th").alias("__th"))
