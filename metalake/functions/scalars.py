@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Prefix of license URIs, prefix of persistent object identifiers.
@@ -15,10 +18,6 @@ def is_url(c: Column) -> Column:
     return F.coalesce(~c.contains(" ") & c.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]+"), F.lit(False))
 
 
-def url_or_null(c: Column) -> Column:
-    return F.when(is_url(c), c)
-
-
 def netloc(c: Column) -> Column:
     """User info, host and port of a URL; empty when there is none."""
     return F.regexp_extract(c, r"^[^:/?#]*:?//([^/?#]*)", 1)
@@ -49,6 +48,32 @@ def canonical_json(json_text: Column) -> Column:
     return F.to_json(F.try_parse_json(json_text))
 
 
+def whole_json(text: Column) -> Column:
+    """A text that is one JSON value and nothing else, as variant. The parser stops after the
+    first value; inside brackets, what follows is an error or a second item."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_variant_get(listed, "$[1]", "variant").isNull() & F.rtrim(text).rlike(r"[^\]\s]\s*$|^\s*\[[\s\S]*\]\s*$")
+    return F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+@contextmanager
+def last_key_wins(spark: SparkSession) -> Iterator[None]:
+    """JSON expressions made inside keep the last value of a repeated key, at any depth."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def parsed(rows: DataFrame, text: Column, column: str) -> DataFrame:
+    """``rows`` with ``text`` as variant; invalid JSON gives null, the last of repeated keys counts."""
+    with last_key_wins(rows.sparkSession):
+        return rows.withColumn(column, whole_json(text))
+
+
 def json_leaves(json_text: Column) -> Column:
     """String values (not keys) of JSON text, in order."""
     # Control characters can't occur in JSON text: they stand in for escaped backslashes and
@@ -75,17 +100,23 @@ def has_metadata(json_text: Column) -> Column:
     return F.size(F.array_except(F.coalesce(F.json_object_keys(json_text), F.array().cast("array<string>")), F.array(F.lit("@context")))) > 0
 
 
-#: Fixed value: pattern of archive file names (package, version, suffix, extension).
-ARCHIVE = r"^(.*)[-_]([0-9]+(?:\.[0-9])*)([-+][a-zA-Z0-9.~]+?)?((?:\.[a-zA-Z0-9]+)+)$"
+#: Parts of an archive's file name: package, version (after its first number each further one
+#: is a single digit), a suffix, extensions.
+VERSION = r"[0-9]+(?:\.[0-9])*"
+SUFFIX = r"[-+][a-zA-Z0-9.~]+?"
+EXTENSIONS = r"(?:\.[a-zA-Z0-9]+)+"
+ARCHIVE = rf"^(.*)[-_]({VERSION})({SUFFIX})?({EXTENSIONS})$"
 
 
 def version_key(name: Column) -> Column:
     """Sortable key of an archive's file name: unmatched names first, then by version numbers;
-    a pre-release (-x) sorts before and a post-release (+x) after its version."""
+    a pre-release (-x) sorts before and a post-release (+x) after its version. Numbers may have
+    up to 38 digits; a longer one counts as the largest of these."""
     numbers, suffix = F.regexp_extract(name, ARCHIVE, 2), F.regexp_extract(name, ARCHIVE, 3)
-    flag = F.when(suffix.startswith("-"), -1).when(suffix.startswith("+"), 1).otherwise(0)
+    flag = F.when(suffix.startswith("-"), -1).when(suffix.startswith("+"), 1).otherwise(0).cast("decimal(38,0)")
     matched = name.rlike(ARCHIVE)
-    parts = F.transform(F.split(F.when(matched, numbers).otherwise("0"), r"\."), lambda x: x.cast("int"))
+    whole = lambda x: F.coalesce(x.try_cast("decimal(38,0)"), F.lit("9" * 38).cast("decimal(38,0)"))
+    parts = F.transform(F.split(F.when(matched, numbers).otherwise("0"), r"\."), whole)
     return F.struct(
         matched.alias("matched"),
         F.concat(parts, F.array(flag)).alias("numbers"),
@@ -93,38 +124,86 @@ def version_key(name: Column) -> Column:
     )
 
 
+def first_of(rules: list[tuple[Column, str]]) -> Column:
+    """The value of the first rule that holds; null if none does."""
+    out = F
+    for condition, value in rules:
+        out = out.when(condition, value)
+    return out
+
+
 def mime_charset(data: Column) -> tuple[Column, Column]:
     """(mimetype, encoding) of bytes, by leading signatures and character rules."""
-    head = F.hex(F.substring(data, 1, 16))
-    kind, charset = F.lit(None).cast("string"), F.lit(None).cast("string")
+    head = F.hex(F.substring(data, 1, 300))
     text = F.decode(data, "ISO-8859-1")
+    start = F.substring(text, 1, 1024)
     ascii_only = ~text.rlike(r"[\x80-\xff]")
     utf8 = F.is_valid_utf8(data.cast("string"))
-    control = text.rlike(r"[\x00-\x06\x0e-\x1a\x1c-\x1f]")
-    for prefix, mime in SIGNATURES:
-        kind = F.coalesce(kind, F.when(head.startswith(prefix), mime))
+    wide = F.when(head.startswith("FFFE") & ~head.startswith("FFFE0000"), "utf-16le").when(head.startswith("FEFF"), "utf-16be")
+    control = text.rlike(r"[\x00-\x06\x0e-\x1a\x1c-\x1f]") & wide.isNull()
+    kind = first_of([(F.substring(head, 2 * offset + 1, len(mark)) == mark, mime) for offset, mark, mime in SIGNATURES])
     binary = F.coalesce(kind.isNotNull(), F.lit(False))
-    wordy = F.when(F.lower(text).rlike(r"^\s*(<!doctype html|<html)"), "text/html").when(text.rlike(r"^\s*<\?xml"), "text/xml").when(
-        text.rlike(r"^#!.*python"), "text/x-python").when(text.rlike(r"^#!.*sh\b"), "text/x-shellscript").when(
-        text.rlike(r"^\s*[{\[]") & F.try_parse_json(data.cast("string")).isNotNull(), "application/json").otherwise("text/plain")
+    wordy = first_of([(start.rlike(pattern), mime) for pattern, mime in TEXT_KINDS])
+    is_json = text.rlike(r"^\s*[{\[]") & whole_json(data.cast("string")).isNotNull()
+    wordy = F.coalesce(F.when(is_json, "application/json"), wordy, F.lit("text/plain"))
     empty = F.octet_length(data) == 0
     readable = ~control & (ascii_only | utf8)
-    kind = F.when(empty, "application/x-empty").when(binary, kind).when(readable, wordy).when(control, "application/octet-stream").otherwise("text/plain")
-    charset = F.when(empty | binary | control, "binary").when(ascii_only, "us-ascii").when(utf8, "utf-8").otherwise("iso-8859-1")
+    kind = F.when(empty, "application/x-empty").when(binary, kind).when(wide.isNotNull(), "text/plain").when(readable, wordy).when(control, "application/octet-stream").otherwise("text/plain")
+    charset = F.when(empty | binary | control, "binary").when(wide.isNotNull(), wide).when(ascii_only, "us-ascii").when(utf8, "utf-8").otherwise("iso-8859-1")
     return kind, charset
 
 
-#: Leading bytes (hex) of common binary formats and their MIME types.
+#: Fixed values: (offset, bytes in hex, MIME type) of common binary formats.
 SIGNATURES = [
-    ("89504E470D0A1A0A", "image/png"),
-    ("FFD8FF", "image/jpeg"),
-    ("474946383761", "image/gif"),
-    ("474946383961", "image/gif"),
-    ("25504446", "application/pdf"),
-    ("504B0304", "application/zip"),
-    ("1F8B", "application/gzip"),
-    ("425A68", "application/x-bzip2"),
-    ("FD377A585A00", "application/x-xz"),
-    ("7F454C46", "application/x-executable"),
-    ("CAFEBABE", "application/java-vm"),
+    (0, "89504E470D0A1A0A", "image/png"),
+    (0, "FFD8FF", "image/jpeg"),
+    (0, "474946383761", "image/gif"),
+    (0, "474946383961", "image/gif"),
+    (0, "49492A00", "image/tiff"),
+    (0, "4D4D002A", "image/tiff"),
+    (0, "424D", "image/bmp"),
+    (8, "57454250", "image/webp"),
+    (0, "00000100", "image/vnd.microsoft.icon"),
+    (0, "25504446", "application/pdf"),
+    (0, "25215053", "application/postscript"),
+    (0, "504B0304", "application/zip"),
+    (0, "504B0506", "application/zip"),
+    (0, "1F8B", "application/gzip"),
+    (0, "425A68", "application/x-bzip2"),
+    (0, "FD377A585A00", "application/x-xz"),
+    (0, "28B52FFD", "application/zstd"),
+    (0, "377ABCAF271C", "application/x-7z-compressed"),
+    (0, "526172211A07", "application/x-rar"),
+    (257, "7573746172", "application/x-tar"),
+    (0, "213C617263683E0A", "application/x-archive"),
+    (0, "7F454C46", "application/x-executable"),
+    (0, "4D5A", "application/x-dosexec"),
+    (0, "CAFEBABE", "application/java-vm"),
+    (0, "0061736D", "application/wasm"),
+    (0, "53514C69746520666F726D6174203300", "application/vnd.sqlite3"),
+    (0, "D0CF11E0A1B11AE1", "application/vnd.ms-office"),
+    (0, "494433", "audio/mpeg"),
+    (0, "4F676753", "audio/ogg"),
+    (0, "664C6143", "audio/flac"),
+    (8, "57415645", "audio/x-wav"),
+    (4, "66747970", "video/mp4"),
+    (0, "1A45DFA3", "video/webm"),
+    (0, "774F4646", "font/woff"),
+    (0, "774F4632", "font/woff2"),
+]
+#: Fixed values: (pattern at the start, MIME type) of kinds of text.
+TEXT_KINDS = [
+    (r"(?i)^\s*(<!doctype html|<html|<head|<body)", "text/html"),
+    (r"(?i)^\s*<svg|^\s*<\?xml[^>]*\?>\s*<svg", "image/svg+xml"),
+    (r"^\s*<\?xml", "text/xml"),
+    (r"^#![^\n]*python", "text/x-python"),
+    (r"^#![^\n]*perl", "text/x-perl"),
+    (r"^#![^\n]*ruby", "text/x-ruby"),
+    (r"^#![^\n]*node", "application/javascript"),
+    (r"^#![^\n]*sh\b", "text/x-shellscript"),
+    (r"^<\?php", "text/x-php"),
+    (r"^diff --git |^--- [^\n]*\n\+\+\+ ", "text/x-diff"),
+    (r"^%!PS", "application/postscript"),
+    (r"^\\documentclass", "text/x-tex"),
+    (r"^(From |Return-Path: |Received: )[^\n]*\n", "message/rfc822"),
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metalake.functions.scalars import spdx_name
+from metalake.functions.scalars import parsed, spdx_name
 from metalake.operators.props import expand
 
 PEOPLE = ["author", "editor", "publisher"]
@@ -17,11 +17,15 @@ TEXTS = [
 ENTRY_TYPES = {"snp": "software", "rev": "softwareversion", "rel": "softwareversion", "dir": "softwareversion", "cnt": "codefragment"}
 
 
-def unwrap_roles(rows: DataFrame, depth: int = 3) -> DataFrame:
-    """``rows`` with ``node`` (variant): an object value, or the node inside its Roles."""
-    rows = rows.withColumn("node", F.when(F.col("kind") == "object", F.try_parse_json("value")))
+def unwrap_roles(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``node`` (variant): an object value, or the node inside its Roles, however
+    deep: one pass tells how many Roles the deepest value can hold."""
+    marks = F.regexp_count("value", F.lit('"Role"'))
+    depth = rows.where("kind = 'object'").agg(F.max(marks)).first()[0] or 0
+    rows = parsed(rows, F.when(F.col("kind") == "object", F.col("value")), "node")
     for _ in range(depth):
         inner = F.coalesce(*[F.try_variant_get("node", f"$.{p}", "variant") for p in PEOPLE])
+        inner = F.coalesce(F.try_variant_get(inner, "$[0]", "variant"), inner)
         role = F.coalesce(F.try_variant_get("node", "$.type", "string"), F.lit("")) == "Role"
         # explode keeps the levels apart: merged into one projection they would double each time
         rows = rows.withColumn("node", F.explode(F.array(F.when(role, inner).otherwise(F.col("node")))))
@@ -56,9 +60,10 @@ def facts(docs: DataFrame) -> DataFrame:
         first_seen(F.collect_list(F.when(F.col("prop") == p, F.struct(F.col("pos").alias("p"), F.col("person").alias("v"))))).alias(f"{p}s")
         for p in PEOPLE
     ]
+    place = F.when(F.col("prop") == "id", -1).otherwise(F.col("pos"))  # the document's own id comes first
     texts = [
-        first_seen(F.collect_list(F.when(F.col("prop") == p, F.struct(F.col("pos").alias("p"), F.col("value").alias("v"))))).alias(name)
-        for p, name in (("license", "license_uris"), ("identifier", "identifiers"))
+        first_seen(F.collect_list(F.when(F.col("prop").isin(p), F.struct(place.alias("p"), F.col("value").alias("v"))))).alias(name)
+        for p, name in ((["license"], "license_uris"), (["identifier", "id"], "identifiers"))
     ]
     out = rows.groupBy("doc_id").agg(*single, *lists, *texts)
     out = out.withColumn("licenses", F.array_compact(F.transform("license_uris", spdx_name)))
@@ -103,6 +108,29 @@ def doi() -> Column:
     return F.regexp_replace(F.get(found, F.lit(0)), r"^https?://(dx\.)?doi\.org/", "")
 
 
+def fielded(value: Column, verbatim: bool) -> Column:
+    """A field's value in quotes, or in braces where it has quotes itself. Braces that don't
+    pair up are written as TeX commands; characters that TeX reads as commands are escaped,
+    but for ``verbatim`` values."""
+    escaped = value if verbatim else F.regexp_replace(value, r"([&%$#_])", r"\\$1")
+    paired = F.aggregate(
+        F.split(F.regexp_replace(value, "[^{}]", ""), ""),
+        F.struct(F.lit(0).alias("open"), F.lit(True).alias("fine")),
+        lambda s, c: F.struct(
+            (s["open"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("open"),
+            (s["fine"] & (s["open"] - F.when(c == "}", 1).otherwise(0) >= 0)).alias("fine"),
+        ),
+        lambda s: s["fine"] & (s["open"] == 0),
+    )
+    spelled = F.replace(F.replace(escaped, F.lit("{"), F.lit("\\textbraceleft ")), F.lit("}"), F.lit("\\textbraceright "))
+    plain = F.when(paired, escaped).otherwise(spelled)
+    return F.when(plain.contains('"'), F.concat(F.lit("{"), plain, F.lit("}"))).otherwise(F.concat(F.lit('"'), plain, F.lit('"')))
+
+
+#: Fields that are names in BibTeX form, addresses or keys.
+VERBATIM = {"author", "editor", "date", "year", "doi", "repository", "url", "swhid"}
+
+
 def bibtex(rows: DataFrame) -> DataFrame:
     """Facts (with a column swhid, which may be null) with ``bibtex`` and ``error``."""
     text, date = citation_date()
@@ -114,7 +142,7 @@ def bibtex(rows: DataFrame) -> DataFrame:
         ("publisher", F.nullif(F.array_join(F.transform("publishers", lambda p: p["name"]), ", "), F.lit(""))), ("repository", F.col("codeRepository")), ("url", F.coalesce("url", "relatedLink", "downloadUrl", "installUrl")),
         ("title", F.col("name")), ("abstract", F.col("description")), ("version", F.col("version")), ("swhid", F.col("swhid")),
     ]
-    lines = F.array_compact(F.array(*[F.when(c.isNotNull(), F.concat(F.lit(f"    {k} = "), c if k == "month" else F.concat(F.lit('"'), c, F.lit('"')))) for k, c in fields]))
+    lines = F.array_compact(F.array(*[F.when(c.isNotNull(), F.concat(F.lit(f"    {k} = "), c if k == "month" else fielded(c, k in VERBATIM))) for k, c in fields]))
     head = F.concat(F.lit("@"), entry_type(swhid), F.lit("{"), citation_key(swhid), F.lit(",\n"))
     body = F.concat(head, F.array_join(lines, ",\n"), F.lit("\n}\n"))
     return rows.withColumn("bibtex", F.when(F.size(lines) > 0, body)).withColumn("error", F.when(F.size(lines) == 0, "no field to cite"))

@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metalake.functions.scalars import is_url, spdx_uri
+from metalake.functions.scalars import is_url, parsed, spdx_uri
+from metalake.operators.props import TERMS, expand
 
 STRINGS = "array<string>"
 
@@ -25,30 +26,41 @@ def utf8(data: str = "data") -> Column:
     return F.try_validate_utf8(F.col(data).cast("string"))
 
 
-def json_files(files: DataFrame, schema: str) -> DataFrame:
-    """Files whose data is a JSON object, with ``v`` (variant). Repeated keys, which the strict
-    parser refuses, are read by ``schema`` instead: their last value counts."""
-    text = utf8()
-    strict = F.try_parse_json(text)
-    loose = F.try_parse_json(F.to_json(F.from_json(text, schema)))
-    rows = files.select("doc_id", F.coalesce(strict, loose).alias("v"))
-    return rows.where(F.schema_of_variant("v").startswith("OBJECT"))
+def json_files(files: DataFrame, *keys: str) -> DataFrame:
+    """(doc_id, f) of files whose data is a JSON object; f: the values of ``keys`` as variants,
+    taken apart in one step. Of repeated keys the last counts, at any depth."""
+    rows = parsed(files.select("doc_id", utf8().alias("t")), F.col("t"), "v").where(F.schema_of_variant("v").startswith("OBJECT"))
+    fields = ", ".join(f"`{k}`: variant" for k in keys)
+    return rows.select("doc_id", F.try_variant_get("v", "$", f"struct<{fields}>").alias("f"))
+
+
+def item(key: str, *inner: str) -> Column:
+    """The variant under a key, or under the keys inside it."""
+    x = F.col(f"f.`{key}`")
+    return F.try_variant_get(x, "$" + "".join(f"['{k}']" for k in inner), "variant") if inner else x
+
+
+def shape(x: Column) -> Column:
+    return F.schema_of_variant(x)
+
 
+def text_of(x: Column) -> Column:
+    """A variant that is a string; numbers and other types give null."""
+    return F.when(shape(x) == "STRING", F.try_variant_get(x, "$", "string"))
 
-def shape(path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get("v", path, "variant"))
 
+def texts_of(x: Column) -> Column:
+    """A string, or the strings of an array; other items are dropped."""
+    listed = F.transform(F.filter(F.try_variant_get(x, "$", "array<variant>"), lambda i: shape(i) == "STRING"), lambda i: F.try_variant_get(i, "$", "string"))
+    return F.when(shape(x) == "STRING", F.array(F.try_variant_get(x, "$", "string"))).otherwise(F.coalesce(listed, F.array().cast(STRINGS)))
 
-def text_at(path: str) -> Column:
-    """The string at a path; numbers and other types give null."""
-    return F.when(shape(path) == "STRING", F.try_variant_get("v", path, "string"))
 
+def text_at(key: str, *inner: str) -> Column:
+    return text_of(item(key, *inner))
 
-def texts_at(path: str) -> Column:
-    """A string, or the strings of an array, at a path; other items are dropped."""
-    items = F.try_variant_get("v", path, "array<variant>")
-    listed = F.transform(F.filter(items, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: x.cast("string"))
-    return F.when(shape(path) == "STRING", F.array(F.try_variant_get("v", path, "string"))).otherwise(F.coalesce(listed, F.array().cast(STRINGS)))
+
+def texts_at(key: str) -> Column:
+    return texts_of(item(key))
 
 
 def as_array(c: Column) -> Column:
@@ -67,12 +79,13 @@ def person_json(name: Column | None, email: Column | None = None, url: Column |
 
 
 def placed(prop: str, kind: str) -> Callable[[Column, Column], Column]:
-    return lambda x, i: F.struct(F.lit(prop).alias("prop"), F.lit(kind).alias("kind"), i.alias("pos"), x.alias("value"))
+    return lambda x, i: F.struct(F.lit(prop).alias("prop"), F.lit(kind).alias("kind"), i.cast("int").alias("pos"), x.alias("value"))
 
 
-def values(rows: DataFrame, **props: tuple[str, Column]) -> DataFrame:
-    """Property table from arrays: prop=(kind, array column); nulls and, for uri, non-URLs go."""
-    out = []
+def values(rows: DataFrame, root: str = "SoftwareSourceCode", **props: tuple[str, Column]) -> DataFrame:
+    """Property table from arrays: prop=(kind, array column); nulls and, for uri, non-URLs go.
+    Every document gets a row for its type, ``root``."""
+    out = [F.array(placed("type", "type")(F.lit(root), F.lit(0)))]
     for prop, (kind, items) in props.items():
         tidy = F.filter(F.coalesce(items, F.array().cast(STRINGS)), lambda x: x.isNotNull())
         if kind == "uri":
@@ -87,22 +100,42 @@ def rejected(files: DataFrame, translated: DataFrame) -> DataFrame:
 
 
 def named_person(text: Column) -> Column:
-    """``Name <email> (url)`` as a Person node."""
-    # Fixed value: the form of a person in package files.
-    pattern = r"^ *(.*?)(?: +<(.*)>)?(?: +\((.*)\))? *$"
-    part = lambda k: F.trim(F.regexp_extract(text, pattern, k))
-    return person_json(part(1), part(2), part(3))
+    """``Name <email> (url)`` as a Person node; the marks may be missing, in that order."""
+    url = F.regexp_extract(text, r" \((.*)\) *$", 1)
+    rest = F.regexp_replace(text, r" +\(.*\) *$", "")
+    email = F.regexp_extract(rest, r" <(.*)> *$", 1)
+    name = F.regexp_replace(rest, r" +<.*> *$", "")
+    return person_json(F.trim(name), F.trim(email), F.trim(url))
+
+
+TYPE_KEY = "@type of the document"
+
+
+def by_rules(files: DataFrame, rules: DataFrame, root: str = "SoftwareSourceCode", hooks: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Property table of JSON files by a table of rules (key, term, kind), such as a crosswalk's
+    with a kind for each key. Strings, and strings in lists, become values; other types and
+    unknown keys are left out. ``hooks`` turn a key's variant into an array of strings first."""
+    rows = parsed(files.select("doc_id", utf8().alias("t")), F.col("t"), "v").where(F.schema_of_variant("v").startswith("OBJECT"))
+    own = F.struct(F.lit(TYPE_KEY).alias("key"), F.lit(None).cast("variant").alias("value"))
+    entries = F.concat(F.map_entries(F.expr("try_variant_get(v, '$', 'map<string, variant>')")), F.array(own))
+    pairs = rows.select("doc_id", F.explode(entries).alias("e")).select("doc_id", "e.key", F.col("e.value").alias("x"))
+    told = F.when(F.col("key") == TYPE_KEY, F.array(F.lit(root))).otherwise(texts_of(F.col("x")))
+    for key, hook in (hooks or {}).items():
+        told = F.when(F.col("key") == key, hook(F.col("x"))).otherwise(told)
+    every = rules.select("key", "term", "kind").unionByName(files.sparkSession.createDataFrame([(TYPE_KEY, "type", "type")], "key string, term string, kind string"))
+    each = pairs.withColumn("items", told).join(F.broadcast(every), "key")  # as many rules as a vocabulary has keys
+    found = each.select("doc_id", F.col("term").alias("prop"), "kind", F.posexplode("items").alias("pos", "value"))
+    return found.where(F.col("value").isNotNull() & ((F.col("kind") != "uri") | is_url(F.col("value"))))
 
 
 # -- npm ------------------------------------------------------------------------------------
 
-NPM = "name string, version string, description string, homepage string, repository string, bugs string, author string, license string, keywords array<string>"
 SHORTCUTS = {"github": "github.com", "gitlab": "gitlab.com", "gist": "gist.github.com"}  # fixed values
 
 
 def npm_repository() -> Column:
-    kind, url = text_at("$.repository.type"), text_at("$.repository.url")
-    plain = text_at("$.repository")
+    kind, url = text_at("repository", "type"), text_at("repository", "url")
+    plain = text_at("repository")
     host, rest = F.regexp_extract(plain, "^([a-z]+):(.*)$", 1), F.regexp_extract(plain, "^([a-z]+):(.*)$", 2)
     short = F.lit(None).cast("string")
     for prefix, site in SHORTCUTS.items():
@@ -112,7 +145,7 @@ def npm_repository() -> Column:
 
 
 def npm_licenses() -> Column:
-    text = F.regexp_replace(text_at("$.license"), r"[()]", "")
+    text = F.regexp_replace(text_at("license"), r"[()]", "")
     parts = F.transform(F.split(text, " OR "), lambda x: F.trim(x))
     good = ~text.startswith("SEE LICENSE IN") & ~F.exists(parts, lambda x: x.contains(" "))
     return F.when(good, F.transform(parts, spdx_uri))
@@ -120,7 +153,7 @@ def npm_licenses() -> Column:
 
 def npm_description() -> Column:
     """UTF-16 that was read as UTF-8 starts with two replacement characters and has NULs."""
-    text = text_at("$.description")
+    text = text_at("description")
     broken = text.startswith("\ufffd\ufffd") & text.contains("\u0000")
     tail = F.substring(F.encode(text, "UTF-8"), 7, 2**31 - 1)
     even = F.when(F.octet_length(tail) % 2 == 0, tail).otherwise(F.substring(tail, F.lit(1), F.octet_length(tail) - 1))
@@ -132,41 +165,40 @@ def npm_description() -> Column:
 
 
 def npm(files: DataFrame) -> DataFrame:
-    rows = json_files(files, NPM)
-    author = F.when(shape("$.author") == "STRING", named_person(text_at("$.author"))).otherwise(person_json(text_at("$.author.name"), text_at("$.author.email"), text_at("$.author.url")))
+    rows = json_files(files, "name", "version", "description", "homepage", "repository", "bugs", "author", "license", "keywords")
+    author = F.when(shape(item("author")) == "STRING", named_person(text_at("author"))).otherwise(person_json(text_at("author", "name"), text_at("author", "email"), text_at("author", "url")))
     return values(
         rows,
-        name=("literal", as_array(text_at("$.name"))),
-        version=("literal", as_array(text_at("$.version"))),
+        name=("literal", as_array(text_at("name"))),
+        version=("literal", as_array(text_at("version"))),
         description=("literal", as_array(npm_description())),
-        url=("uri", as_array(text_at("$.homepage"))),
+        url=("uri", as_array(text_at("homepage"))),
         codeRepository=("uri", as_array(npm_repository())),
-        issueTracker=("uri", as_array(F.coalesce(text_at("$.bugs.url"), text_at("$.bugs")))),
+        issueTracker=("uri", as_array(F.coalesce(text_at("bugs", "url"), text_at("bugs")))),
         author=("object", as_array(author)),
         license=("uri", npm_licenses()),
-        keywords=("literal", texts_at("$.keywords")),
+        keywords=("literal", texts_at("keywords")),
     )
 
 
 def composer(files: DataFrame) -> DataFrame:
-    rows = json_files(files, NPM)
-    people = F.from_json(F.to_json(F.try_variant_get("v", "$.authors", "array<variant>")), "array<struct<name:string,email:string>>")
+    rows = json_files(files, "name", "version", "description", "homepage", "keywords", "license", "authors")
+    people = F.filter(F.try_variant_get(item("authors"), "$", "array<variant>"), lambda p: shape(p).startswith("OBJECT"))
+    get = lambda p, k: text_of(F.try_variant_get(p, f"$.{k}", "variant"))
     return values(
         rows,
-        name=("literal", as_array(text_at("$.name"))),
-        version=("literal", as_array(text_at("$.version"))),
-        description=("literal", as_array(text_at("$.description"))),
-        url=("uri", as_array(text_at("$.homepage"))),
-        keywords=("literal", texts_at("$.keywords")),
-        license=("uri", F.transform(as_array(text_at("$.license")), spdx_uri)),
-        author=("object", F.transform(people, lambda p: person_json(p["name"], p["email"]))),
+        name=("literal", as_array(text_at("name"))),
+        version=("literal", as_array(text_at("version"))),
+        description=("literal", as_array(text_at("description"))),
+        url=("uri", as_array(text_at("homepage"))),
+        keywords=("literal", texts_at("keywords")),
+        license=("uri", F.transform(as_array(text_at("license")), spdx_uri)),
+        author=("object", F.transform(people, lambda p: person_json(get(p, "name"), get(p, "email")))),
     )
 
 
 def codemeta(files: DataFrame) -> DataFrame:
     """Documents of a known vocabulary context, property by property."""
-    from metalake.operators.props import expand
-
     return expand(files.select("doc_id", utf8().alias("metadata")))
 
 
@@ -274,7 +306,7 @@ def gem_values(key: str) -> Column:
 
 
 def gemspec(files: DataFrame) -> DataFrame:
-    text = F.coalesce(utf8(), F.decode("data", "ISO-8859-1"))
+    text = utf8()
     body = F.regexp_replace(text, HEADER, "")
     rows = files.select("doc_id", F.split(body, r"\r?\n").alias("lines"), text.alias("t")).where(F.col("t").rlike(HEADER))
     people = F.concat(F.coalesce(gem_values("author"), F.array().cast(STRINGS)), F.coalesce(gem_values("authors"), F.array().cast(STRINGS)))
@@ -297,7 +329,7 @@ def gemspec(files: DataFrame) -> DataFrame:
 
 def yaml_to_json(files: DataFrame) -> DataFrame:
     """Files with ``data`` as JSON text: the one step that needs a Python parser. Text that is
-    no YAML mapping (or that uses unknown tags) becomes null."""
+    no YAML mapping, uses unknown tags or nests too deep for the parser becomes null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
@@ -306,10 +338,22 @@ def yaml_to_json(files: DataFrame) -> DataFrame:
 
         def convert(data: bytes | None) -> bytes | None:
             try:
-                doc = yaml.load((data or b"").decode("utf-8"), Loader=getattr(yaml, "CBaseLoader", yaml.BaseLoader))
-            except (yaml.YAMLError, UnicodeDecodeError, ValueError):
+                text = (data or b"").decode("utf-8")
+                if deep(text):
+                    return None
+                doc = yaml.load(text, Loader=getattr(yaml, "CBaseLoader", yaml.BaseLoader))
+                return json.dumps(doc, ensure_ascii=False).encode() if isinstance(doc, dict) else None
+            except (yaml.YAMLError, ValueError, TypeError, RecursionError):
                 return None
-            return json.dumps(doc, ensure_ascii=False).encode() if isinstance(doc, dict) else None
+
+        def deep(text: str, most: int = 200) -> bool:
+            """Brackets or indents beyond ``most`` levels, which the C parser's stack can't take."""
+            level = 0
+            for c in text:
+                level += (c in "[{") - (c in "]}")
+                if level > most:
+                    return True
+            return any(len(line) - len(line.lstrip(" -?")) > 2 * most for line in text.split("\n"))
 
         for b in batches:
             yield pa.record_batch([b["doc_id"], pa.array([convert(x) for x in b["data"].to_pylist()], pa.binary())], ["doc_id", "data"])
@@ -318,82 +362,90 @@ def yaml_to_json(files: DataFrame) -> DataFrame:
 
 
 def cff(files: DataFrame) -> DataFrame:
-    rows = json_files(yaml_to_json(files), "title string")
-    cited = F.try_variant_get("v", "$['preferred-citation']", "variant")
-    rows = rows.withColumn("v", F.when(F.schema_of_variant(cited).startswith("OBJECT"), cited).otherwise(F.col("v")))
-    people = F.from_json(F.to_json(F.try_variant_get("v", "$.authors", "array<variant>")), "array<struct<`family-names`:string,`given-names`:string,affiliation:string,orcid:string>>")
+    keys = ("title", "abstract", "version", "keywords", "doi", "license", "date-released", "url", "repository-code", "authors")
+    rows = json_files(yaml_to_json(files), *keys, "preferred-citation")
+    cited = F.col("f.`preferred-citation`")
+    inner = F.try_variant_get(cited, "$", "struct<" + ", ".join(f"`{k}`: variant" for k in keys) + ">")
+    own = F.struct(*[F.col(f"f.`{k}`").alias(k) for k in keys])
+    rows = rows.select("doc_id", F.when(F.schema_of_variant(cited).startswith("OBJECT"), inner).otherwise(own).alias("f"))
+    people = F.from_json(F.to_json(F.try_variant_get(item("authors"), "$", "array<variant>")), "array<struct<`family-names`:string,`given-names`:string,affiliation:string,orcid:string>>")
     node = lambda p: F.when(F.trim(p["orcid"]).rlike("^[a-z]+://[^/ ]+"), F.trim(p["orcid"]))
     return values(
         rows,
-        name=("literal", as_array(text_at("$.title"))),
-        description=("literal", as_array(text_at("$.abstract"))),
-        version=("literal", as_array(text_at("$.version"))),
-        keywords=("literal", texts_at("$.keywords")),
-        identifier=("uri", F.transform(as_array(text_at("$.doi")), lambda d: F.concat(F.lit("https://doi.org/"), d))),
-        license=("uri", F.transform(texts_at("$.license"), spdx_uri)),
-        datePublished=("date", as_array(text_at("$['date-released']"))),
-        url=("uri", as_array(text_at("$.url"))),
-        codeRepository=("uri", as_array(text_at("$['repository-code']"))),
+        name=("literal", as_array(text_at("title"))),
+        description=("literal", as_array(text_at("abstract"))),
+        version=("literal", as_array(text_at("version"))),
+        keywords=("literal", texts_at("keywords")),
+        identifier=("uri", F.transform(as_array(text_at("doi")), lambda d: F.concat(F.lit("https://doi.org/"), d))),
+        license=("uri", F.transform(texts_at("license"), spdx_uri)),
+        datePublished=("date", as_array(text_at("date-released"))),
+        url=("uri", as_array(text_at("url"))),
+        codeRepository=("uri", as_array(text_at("repository-code"))),
         author=("object", F.transform(people, lambda p: person_json(None, given=p["given-names"], family=p["family-names"], node=node(p), org=p["affiliation"]))),
     )
 
 
 def pubspec(files: DataFrame) -> DataFrame:
-    rows = json_files(yaml_to_json(files), "name string")
+    rows = json_files(yaml_to_json(files), "name", "description", "keywords", "repository", "issue_tracker", "homepage", "license", "author", "authors", "platforms")
     return values(
         rows,
-        name=("literal", as_array(text_at("$.name"))),
-        description=("literal", as_array(text_at("$.description"))),
-        keywords=("literal", texts_at("$.keywords")),
-        codeRepository=("uri", as_array(text_at("$.repository"))),
-        issueTracker=("uri", as_array(text_at("$.issue_tracker"))),
-        url=("uri", as_array(text_at("$.homepage"))),
-        license=("uri", F.transform(as_array(text_at("$.license")), spdx_uri)),
-        author=("object", F.transform(F.concat(as_array(text_at("$.author")), texts_at("$.authors")), named_person)),
+        name=("literal", as_array(text_at("name"))),
+        description=("literal", as_array(text_at("description"))),
+        keywords=("literal", texts_at("keywords")),
+        codeRepository=("uri", as_array(text_at("repository"))),
+        issueTracker=("uri", as_array(text_at("issue_tracker"))),
+        operatingSystem=("literal", texts_at("platforms")),
+        url=("uri", as_array(text_at("homepage"))),
+        license=("uri", F.transform(as_array(text_at("license")), spdx_uri)),
+        author=("object", F.transform(F.concat(as_array(text_at("author")), texts_at("authors")), named_person)),
     )
 
 
 # -- forges ---------------------------------------------------------------------------------
 
 
-def counter(path: str, prop: str) -> tuple[str, Column]:
-    number = F.when(shape(path) == "BIGINT", F.try_variant_get("v", path, "long"))
-    node = F.to_json(F.struct(number.cast("string").alias("as:totalItems"), F.lit("as:Collection").alias("type")))
+def counter(key: str, collection: str = "as:Collection") -> tuple[str, Column]:
+    """A collection node of ``key`` items; the count is a typed value."""
+    number = F.when(shape(item(key)) == "BIGINT", F.try_variant_get(item(key), "$", "string"))
+    items = F.struct(number.alias("@value"), F.lit("xsd:nonNegativeInteger").alias("type"))
+    node = F.to_json(F.struct(items.alias("as:totalItems"), F.lit(collection).alias("type")))
     return "object", as_array(F.when(number.isNotNull(), node))
 
 
 def forge(files: DataFrame, name: str, site: str, stars: str, followers: str) -> DataFrame:
-    rows = json_files(files, "html_url string").where(text_at("$.html_url").isNotNull())
+    rows = json_files(
+        files, "html_url", "parent", "has_issues", "license", name, "description", site, "language", "topics", "clone_url", "created_at", "updated_at", "forks_count", stars, followers
+    ).where(text_at("html_url").isNotNull())
     node = lambda url: F.to_json(F.struct(url.alias("id")))
-    parent = text_at("$.parent.html_url")
-    issues = F.when((shape("$.has_issues") == "BOOLEAN") & F.try_variant_get("v", "$.has_issues", "boolean"), F.concat(text_at("$.html_url"), F.lit("/issues")))
-    spdx = text_at("$.license.spdx_id")
+    parent = text_at("parent", "html_url")
+    issues = F.when((shape(item("has_issues")) == "BOOLEAN") & F.try_variant_get(item("has_issues"), "$", "boolean"), F.concat(text_at("html_url"), F.lit("/issues")))
     return values(
         rows,
-        id=("uri", as_array(text_at("$.html_url"))),
+        "forge:Repository",
+        id=("uri", as_array(text_at("html_url"))),
         name=("literal", as_array(text_at(name))),
-        description=("literal", as_array(text_at("$.description"))),
+        description=("literal", as_array(text_at("description"))),
         url=("uri", as_array(text_at(site))),
-        programmingLanguage=("literal", as_array(text_at("$.language"))),
-        keywords=("literal", texts_at("$.topics")),
-        codeRepository=("uri", as_array(text_at("$.clone_url"))),
-        dateCreated=("date", as_array(text_at("$.created_at"))),
-        dateModified=("date", as_array(text_at("$.updated_at"))),
-        license=("uri", F.transform(as_array(spdx), spdx_uri)),
+        programmingLanguage=("literal", as_array(text_at("language"))),
+        keywords=("literal", texts_at("topics")),
+        codeRepository=("uri", as_array(text_at("clone_url"))),
+        dateCreated=("date", as_array(text_at("created_at"))),
+        dateModified=("date", as_array(text_at("updated_at"))),
+        license=("uri", F.transform(as_array(text_at("license", "spdx_id")), spdx_uri)),
         issueTracker=("uri", as_array(issues)),
         forge__forkedFrom=("object", as_array(F.when(is_url(parent), node(parent)))),
-        forge__forks=counter("$.forks_count", "forks"),
-        as__likes=counter(stars, "likes"),
-        as__followers=counter(followers, "followers"),
+        forge__forks=counter("forks_count", "as:OrderedCollection"),
+        as__likes=counter(stars),
+        as__followers=counter(followers),
     )
 
 
 def github(files: DataFrame) -> DataFrame:
-    return forge(files, "$.full_name", "$.homepage", "$.stargazers_count", "$.subscribers_count")
+    return forge(files, "full_name", "homepage", "stargazers_count", "subscribers_count")
 
 
 def gitea(files: DataFrame) -> DataFrame:
-    return forge(files, "$.name", "$.website", "$.stars_count", "$.watchers_count")
+    return forge(files, "name", "website", "stars_count", "watchers_count")
 
 
 # -- SWORD ----------------------------------------------------------------------------------
@@ -427,10 +479,11 @@ def sword_leaves(files: DataFrame) -> DataFrame:
             for doc_id, data in zip(b["doc_id"].to_pylist(), b["data"].to_pylist()):
                 try:
                     root = ElementTree.fromstring(data or b"")
-                except (ElementTree.ParseError, ValueError):
+                    told = [(child, node(child)) for child in root]
+                    json.dumps([value for _, value in told])
+                except (ElementTree.ParseError, ValueError, RecursionError):
                     continue
-                for pos, child in enumerate(root):
-                    value = node(child)
+                for pos, (child, value) in enumerate(told):
                     rows.append((doc_id, pos, *tag(child), value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":")), not isinstance(value, str)))
             columns = list(zip(*rows)) or [()] * 6
             kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_())
@@ -462,10 +515,11 @@ def sword(files: DataFrame) -> DataFrame:
 
 def sword_json(files: DataFrame) -> DataFrame:
     """The older JSON form of deposits, keys as ``prefix:name``; a missing @xmlns is Atom."""
-    rows = json_files(files, "`@xmlns` string")
-    space = F.coalesce(text_at("$['@xmlns']"), F.lit(ATOM))
-    prefix = F.coalesce(text_at("$['@xmlns:codemeta']"), F.lit(VOCABULARY))
-    rows = rows.where(space == ATOM).select("doc_id", prefix.alias("vocabulary"), F.explode(F.expr("variant_get(v, '$', 'map<string, variant>')")).alias("key", "x")).where("not startswith(key, '@')")
+    rows = parsed(files.select("doc_id", utf8().alias("t")), F.col("t"), "v").where(F.schema_of_variant("v").startswith("OBJECT"))
+    rows = rows.select("doc_id", F.expr("try_variant_get(v, '$', 'map<string, variant>')").alias("m"))
+    space = F.coalesce(text_of(F.col("m")["@xmlns"]), F.lit(ATOM))
+    prefix = F.coalesce(text_of(F.col("m")["@xmlns:codemeta"]), F.lit(VOCABULARY))
+    rows = rows.where(space == ATOM).select("doc_id", prefix.alias("vocabulary"), F.explode("m").alias("key", "x")).where("not startswith(key, '@')")
     many = F.when(F.schema_of_variant("x").startswith("ARRAY"), F.expr("try_variant_get(x, '$', 'array<variant>')")).otherwise(F.array("x"))
     rows = rows.select("doc_id", "vocabulary", "key", F.posexplode(many).alias("pos", "x"))
     nested = F.schema_of_variant("x").startswith("OBJECT")
@@ -476,19 +530,22 @@ def sword_json(files: DataFrame) -> DataFrame:
     return sword_props(leaves)
 
 
-#: name: (job, formats of forge records, terms that it can produce)
+FORGE_TERMS = ("name", "description", "url", "programmingLanguage", "keywords", "codeRepository", "dateCreated", "dateModified", "license", "issueTracker", "forge:forkedFrom", "forge:forks", "as:likes", "as:followers")
+
+#: name: (job, formats of forge records, terms that it can produce; mappings that pass documents
+#: of the vocabulary on can produce every term)
 BUILTIN: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...], tuple[str, ...]]] = {
     "cff": (cff, (), ("name", "description", "version", "keywords", "identifier", "license", "datePublished", "url", "codeRepository", "author")),
-    "codemeta": (codemeta, (), ("name", "description", "version", "keywords", "identifier", "license", "datePublished", "url", "codeRepository", "author", "issueTracker", "programmingLanguage")),
+    "codemeta": (codemeta, (), tuple(TERMS)),
     "composer": (composer, (), ("name", "version", "description", "url", "keywords", "license", "author")),
     "gemspec": (gemspec, (), ("name", "version", "email", "description", "codeRepository", "license", "author")),
-    "gitea": (gitea, ("gitea-repository-json", "gogs-repository-json"), ("name", "description", "url", "programmingLanguage", "keywords", "codeRepository", "dateCreated", "dateModified", "license", "issueTracker")),
-    "github": (github, ("application/vnd.github.v3+json",), ("name", "description", "url", "programmingLanguage", "keywords", "codeRepository", "dateCreated", "dateModified", "license", "issueTracker")),
-    "json-sword-codemeta": (sword_json, ("sword-v2-atom-codemeta-v2-in-json",), ("name", "author", "email")),
+    "gitea": (gitea, ("gitea-repository-json", "gogs-repository-json"), FORGE_TERMS),
+    "github": (github, ("application/vnd.github.v3+json",), FORGE_TERMS),
+    "json-sword-codemeta": (sword_json, ("sword-v2-atom-codemeta-v2-in-json",), tuple(TERMS)),
     "maven": (maven, (), ("name", "version", "description", "identifier", "codeRepository", "license")),
     "npm": (npm, (), ("name", "version", "description", "url", "codeRepository", "issueTracker", "author", "license", "keywords")),
     "nuget": (nuget, (), ("name", "version", "description", "url", "license", "releaseNotes", "author", "keywords")),
     "pkg-info": (pkg_info, (), ("name", "version", "description", "url", "keywords", "license", "author")),
-    "pubspec": (pubspec, (), ("name", "description", "keywords", "codeRepository", "issueTracker", "url", "license", "author")),
-    "sword-codemeta": (sword, ("sword-v2-atom-codemeta", "sword-v2-atom-codemeta-v2"), ("name", "author", "email")),
+    "pubspec": (pubspec, (), ("name", "description", "keywords", "codeRepository", "issueTracker", "operatingSystem", "url", "license", "author")),
+    "sword-codemeta": (sword, ("sword-v2-atom-codemeta", "sword-v2-atom-codemeta-v2"), tuple(TERMS)),
 }

@@ -24,27 +24,24 @@ def latest_full_visits(statuses: DataFrame) -> DataFrame:
 
 def resolve_aliases(branches: DataFrame, names: list[str]) -> DataFrame:
     """(snapshot, name, target_type, target) of the named branches that reach a revision or a
-    release through aliases of their snapshot. Dangling branches, other targets and cycles
-    give no row. The loop runs over the hops of the longest chain; each is one join whose
-    result is written, so that no hop is computed twice.
+    release through aliases of their snapshot, however many. Dangling branches, other targets
+    and cycles give no row.
+
+    Aliases jump over each other: every round doubles the length of the chains they stand for,
+    so as many rounds as the largest number of aliases in a snapshot has binary digits reach
+    every end. Each round is one join of the aliases alone, whose result is written.
     """
-    ends = ["revision", "release"]
-    at = branches.where(F.col("name").isin(names)).select("snapshot", F.col("name").alias("start"), "target_type", "target", F.array("name").alias("seen"))
-    at = written(at, "hop")
-    done = at.where(F.col("target_type").isin(ends)).drop("seen")
-    links = branches.select("snapshot", F.col("name").alias("at"), F.col("target_type").alias("next_type"), F.col("target").alias("next"))
-    open_ = at.where("target_type = 'alias'")
-    while True:  # ends: a chain never returns to a branch it has seen
-        moved = open_.join(links, (open_["target"] == links["at"]) & (open_["snapshot"] == links["snapshot"])).select(
-            open_["snapshot"], "start", F.col("next_type").alias("target_type"), F.col("next").alias("target"),
-            F.array_append("seen", F.col("at")).alias("seen"),
-        )
-        moved = written(moved, "hop")
-        done = done.unionByName(moved.where(F.col("target_type").isin(ends)).drop("seen"))
-        open_ = moved.where("target_type = 'alias' and not array_contains(seen, target)")
-        if open_.isEmpty():
-            break
-    return done.withColumnRenamed("start", "name")
+    aliases = written(branches.where("target_type = 'alias'").select("snapshot", "name", "target"), "aliases")
+    longest = aliases.groupBy("snapshot").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(longest.bit_length()):
+        further = aliases.select("snapshot", F.col("name").alias("target"), F.col("target").alias("next"))
+        jumped = aliases.join(further, ["snapshot", "target"], "left")
+        aliases = written(jumped.select("snapshot", "name", F.coalesce("next", "target").alias("target")), "aliases")
+    ends = branches.where(F.col("target_type").isin("revision", "release"))
+    direct = ends.where(F.col("name").isin(names)).select("snapshot", "name", "target_type", "target")
+    last = ends.select("snapshot", F.col("name").alias("end"), "target_type", "target")
+    through = aliases.where(F.col("name").isin(names)).select("snapshot", "name", F.col("target").alias("end")).join(last, ["snapshot", "end"])
+    return direct.unionByName(through.drop("end"))
 
 
 def generic_heads(branches: DataFrame) -> DataFrame:
@@ -84,12 +81,12 @@ def root_entries(entries: DataFrame, most: int = 100) -> DataFrame:
     return entries.where(F.col("pos") <= most).join(sizes, "dir_id")
 
 
-def descend_single(entries: DataFrame) -> DataFrame:
-    """Entries of each directory; where its only entry is a directory, that one's entries
-    (one level down) under the original dir_id."""
+def descend_single(entries: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Entries of each directory; where its only entry is a directory, that one's entries (one
+    level down) under the original dir_id. They come from ``source``, by default ``entries``."""
     one = entries.groupBy("dir_id").agg(F.count(F.lit(1)).alias("n"), F.any_value(F.struct("type", "target")).alias("only")).where("n = 1 and only.type = 'dir'")
     inner = one.select(F.col("dir_id").alias("outer_id"), F.col("only.target").alias("dir_id"))
-    below = inner.join(entries, "dir_id").drop("dir_id").withColumnRenamed("outer_id", "dir_id")
+    below = inner.join(entries if source is None else source, "dir_id").drop("dir_id").withColumnRenamed("outer_id", "dir_id")
     return entries.join(one.select("dir_id"), "dir_id", "left_anti").unionByName(below.select(*entries.columns))
 
 

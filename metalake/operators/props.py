@@ -1,24 +1,32 @@
 """Property tables: the shape in which translated documents are merged and compacted.
 
 A property table has a row (doc_id, prop, kind, pos, value) per value; kind is literal, uri,
-date, number or object (value: JSON text, for nested nodes), pos orders lists (author).
+date, number, type or object (value: JSON text, for nested nodes), pos orders lists (author).
+The document's own id and types are the props ``id`` and ``type``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metalake.functions.scalars import parsed
+
 CONTEXT = "https://doi.org/10.5063/schema/codemeta-2.0"
-#: Other names of the version 2 context, and names of version 3.
+#: Contexts of version 2 (the first may end in a slash), of version 3, and the
+#: general vocabulary, whose terms have no types of their own.
 CONTEXT_V2 = [
     "https://doi.org/10.5063/schema/codemeta-2.0",
-    "https://raw.githubusercontent.com/codemeta/codemeta/2.0/codemeta.jsonld",
     "https://raw.githubusercontent.com/codemeta/codemeta/master/codemeta.jsonld",
+    "https://raw.githubusercontent.com/codemeta/codemeta/2.0/codemeta.jsonld",
+    "https://doi.org/doi:10.5063/schema/codemeta-2.0",
     "http://purl.org/codemeta/2.0",
-    "https://codemeta.github.io/schema/codemeta-2.0",
 ]
-CONTEXT_V3 = ["https://w3id.org/codemeta/3.0", "https://doi.org/10.5063/schema/codemeta-3.0"]
+CONTEXT_V3 = ["https://w3id.org/codemeta/3.0", "https://raw.githubusercontent.com/codemeta/codemeta/3.0/codemeta.jsonld"]
+CONTEXT_SCHEMA = ["http://schema.org", "https://schema.org"]
+#: Namespaces of the vocabularies.
+SCHEMA_IRI, CODEMETA_IRI = "http://schema.org/", "https://codemeta.github.io/terms/"
+PREFIXES = {"as": "https://www.w3.org/ns/activitystreams#", "forge": "https://forgefed.org/ns#", "xsd": "http://www.w3.org/2001/XMLSchema#"}
 #: Terms whose values are URIs, dates and lists in the vocabulary's context.
 URI_TERMS = [
     "applicationCategory", "applicationSubCategory", "codeRepository", "downloadUrl", "fileFormat", "identifier", "installUrl", "license",
@@ -27,7 +35,17 @@ URI_TERMS = [
 ]
 DATE_TERMS = ["dateCreated", "dateModified", "datePublished", "embargoDate"]
 LIST_TERMS = ["author"]
-PREFIXED = ["forge:", "as:", "schema:", "codemeta:", "xsd:"]
+#: The vocabulary's other terms.
+PLAIN_TERMS = [
+    "Organization", "Person", "SoftwareSourceCode", "SoftwareApplication", "Text", "URL", "address", "affiliation", "citation", "contributor", "copyrightHolder",
+    "copyrightYear", "description", "email", "editor", "encoding", "familyName", "fileSize", "funder", "givenName", "hasPart", "isAccessibleForFree", "isPartOf",
+    "keywords", "name", "operatingSystem", "permissions", "position", "processorRequirements", "producer", "programmingLanguage", "provider", "publisher",
+    "runtimePlatform", "softwareHelp", "softwareVersion", "sponsor", "supportingData", "targetProduct", "version", "funding", "maintainer",
+]
+#: Every term that a document of the vocabulary itself can carry.
+TERMS = sorted({*URI_TERMS, *DATE_TERMS, *LIST_TERMS, *PLAIN_TERMS, "schema", "codemeta"})
+PREFIXED = ["forge:", "as:", "schema:", "codemeta:", "xsd:", "http://", "https://"]
+STRINGS = "array<string>"
 
 
 def drop_empty_uris(rows: DataFrame) -> DataFrame:
@@ -42,74 +60,115 @@ def one_of(c: Column, values: list[str]) -> Column:
 def compact_key(prop: Column, kind: Column) -> Column:
     """A term, or the term under ``schema:`` where the value's kind isn't what its context wants."""
     wants = F.when(one_of(prop, URI_TERMS), "uri").when(one_of(prop, DATE_TERMS), "date").otherwise("any")
-    known = F.greatest(*[prop.startswith(p) for p in PREFIXED])
+    known = F.greatest(*[prop.startswith(p) for p in PREFIXED]) | prop.isin("id", "type")
     fits = known | (wants == "any") & kind.isin("literal", "number", "object", "uri", "date") | (wants == kind) | (kind == "object")
     return F.when(fits, prop).otherwise(F.concat(F.lit("schema:"), prop))
 
 
+def quoted(value: Column) -> Column:
+    """A string as JSON text."""
+    wrapped = F.substring(F.to_json(F.struct(value.alias("v"))), 6, 2**31 - 1)
+    return F.substring(wrapped, F.lit(1), F.length(wrapped) - 1)
+
+
 def json_value(value: Column, kind: Column) -> Column:
     """JSON text of one value: numbers and nested nodes as they are, the rest as strings."""
-    quoted = F.substring(F.to_json(F.struct(value.alias("v"))), 6, 2**31 - 1)
-    return F.when(kind.isin("number", "object"), value).otherwise(F.substring(quoted, F.lit(1), F.length(quoted) - 1))
+    return F.when(kind.isin("number", "object"), value).otherwise(quoted(value))
+
+
+def full_names(text: Column) -> Column:
+    """JSON text (or, after its quote, a name) with the forge prefixes written out."""
+    for prefix, iri in PREFIXES.items():
+        text = F.replace(text, F.lit(f'"{prefix}:'), F.lit(f'"{iri}'))
+    return text
 
 
-def compact(props: DataFrame, root_type: str = "SoftwareSourceCode") -> DataFrame:
-    """(doc_id, metadata): JSON documents with sorted keys. One value is a scalar, several a
-    sorted array without repeats; lists (author) are always arrays, in order."""
+def compact(props: DataFrame, forge: bool = False) -> DataFrame:
+    """(doc_id, metadata): JSON documents, context and type first, then sorted keys. One value is
+    a scalar, several a sorted array without repeats; lists (author) are always arrays, in
+    order. With ``forge`` the context declares the prefixes of forge records; without, their
+    names are written out. A document's rows meet in one exchange."""
     rows = drop_empty_uris(props).where("value is not null")
     listed = F.col("prop").isin(LIST_TERMS)
-    keyed = rows.select(
-        "doc_id", compact_key(F.col("prop"), F.col("kind")).alias("key"), listed.alias("listed"),
-        F.struct(F.when(listed, F.col("pos")).otherwise(0).alias("pos"), json_value(F.col("value"), F.col("kind")).alias("json")).alias("v"),
-    )
-    values = keyed.groupBy("doc_id", "key").agg(F.max("listed").alias("listed"), F.array_sort(F.collect_set("v")).alias("vs"))
+    key, json = compact_key(F.col("prop"), F.col("kind")), json_value(F.col("value"), F.col("kind"))
+    if not forge:
+        of_forge = F.col("prop").startswith("as:") | F.col("prop").startswith("forge:") | (F.col("prop") == "type")
+        key = F.substring(full_names(F.concat(F.lit('"'), key)), 2, 2**31 - 1)
+        json = F.when(of_forge, full_names(json)).otherwise(json)
+    keyed = rows.select("doc_id", key.alias("key"), listed.alias("listed"), F.struct(F.when(listed, F.col("pos")).otherwise(0).alias("pos"), json.alias("json")).alias("v"))
+    values = keyed.repartition("doc_id").groupBy("doc_id", "key").agg(F.max("listed").alias("listed"), F.array_sort(F.collect_set("v")).alias("vs"))
     texts = F.array_distinct(F.transform("vs", lambda v: v["json"]))
     body = F.when(F.col("listed") | (F.size(texts) > 1), F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).otherwise(F.element_at(texts, 1))
-    pair = F.struct("key", F.concat(F.lit('"'), F.col("key"), F.lit('":'), body).alias("text"))
+    pair = F.struct((F.col("key") != "type").alias("late"), "key", F.concat(F.lit('"'), F.col("key"), F.lit('":'), body).alias("text"))
     docs = values.groupBy("doc_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
-    fixed = F.array(F.lit(f'"@context":"{CONTEXT}"'), F.lit(f'"type":"{root_type}"'))
-    return docs.select("doc_id", F.concat(F.lit("{"), F.array_join(F.concat(fixed, F.transform("pairs", lambda p: p["text"])), ","), F.lit("}")).alias("metadata"))
+    more = ",".join(f'"{p}":"{iri}"' for p, iri in PREFIXES.items())
+    context = F.array(F.lit(f'"@context":["{CONTEXT}",{{{more}}}]' if forge else f'"@context":"{CONTEXT}"'))
+    return docs.select("doc_id", F.concat(F.lit("{"), F.array_join(F.concat(context, F.transform("pairs", lambda p: p["text"])), ","), F.lit("}")).alias("metadata"))
 
 
 def known_context(context: Column) -> Column:
-    """2 or 3 for the accepted vocabulary contexts (any case, trailing slash), else null."""
-    plain = F.regexp_replace(F.lower(context), "/$", "")
-    return F.when(plain.isin([c.lower() for c in CONTEXT_V2]), 2).when(plain.isin([c.lower() for c in CONTEXT_V3]), 3)
+    """2 or 3 for the vocabulary's contexts, 0 for the general one (any case), else null."""
+    low = F.lower(context)
+    plain = F.rtrim(low, F.lit("/"))
+    two = (plain == CONTEXT_V2[0]) | low.isin(CONTEXT_V2)
+    return F.when(two, 2).when(plain.isin(CONTEXT_V3), 3).when(plain.isin(CONTEXT_SCHEMA), 0)
 
 
 def expand(docs: DataFrame) -> DataFrame:
-    """Property table of JSON documents (doc_id, metadata); invalid text, no object or an
-    unknown context give no rows. Version 3 documents need no other rules here."""
-    v = F.try_parse_json("metadata")
-    rows = docs.select("doc_id", v.alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
-    context = F.try_variant_get("v", "$['@context']", "string")
-    rows = rows.where(known_context(context).isNotNull())
-    pairs = rows.select("doc_id", F.expr("variant_get(v, '$', 'map<string, variant>')").alias("m")).select("doc_id", F.explode("m").alias("prop", "x"))
-    pairs = pairs.where("prop not in ('@context', 'type', '@type', 'id', '@id')")
-    many = F.when(F.expr("schema_of_variant(x) like 'ARRAY%'"), F.expr("try_variant_get(x, '$', 'array<variant>')")).otherwise(F.array("x"))
-    each = pairs.select("doc_id", "prop", F.posexplode(many).alias("pos", "x"))
+    """Property table of JSON documents (doc_id, metadata).
+
+    The context may be one name, or a list of names and of inline prefixes; invalid text, no
+    object, no context or an unknown one give no rows. Of repeated keys the last counts. ``id``
+    and ``type`` become rows too; ``@list``, ``@value`` and bare references are unwrapped. Under
+    the general vocabulary alone, URIs and dates are plain texts.
+    """
+    rows = parsed(docs.select("doc_id", "metadata"), F.col("metadata"), "v").where("v is not null and schema_of_variant(v) like 'OBJECT%'")
+    rows = rows.select("doc_id", F.expr("try_variant_get(v, '$', 'map<string, variant>')").alias("m"))
+    rows = rows.withColumn("c", F.col("m")["@context"]).where("c is not null")
+    listed = F.when(F.expr("schema_of_variant(c) like 'ARRAY%'"), F.expr("try_variant_get(c, '$', 'array<variant>')")).otherwise(F.array("c"))
+    inline = lambda c: F.schema_of_variant(c).startswith("OBJECT")
+    versions = F.transform(F.filter(listed, lambda c: ~inline(c)), lambda c: F.coalesce(known_context(F.when(F.schema_of_variant(c) == "STRING", F.try_variant_get(c, "$", "string"))), F.lit(-1)))
+    rows = rows.withColumn("versions", versions).where("size(versions) > 0 and array_min(versions) >= 0")
+    pairs = rows.select("doc_id", (F.array_max("versions") > 0).alias("typed"), F.explode("m").alias("key", "x")).where("key <> '@context'")
+    plain = F.regexp_replace(F.regexp_replace("key", "^(https?://schema\\.org/|schema:|codemeta:)", ""), f"^{CODEMETA_IRI}", "")
+    prop = F.when(F.col("key").isin("@id", "id"), "id").when(F.col("key").isin("@type", "type"), "type").otherwise(plain)
+    inner = F.coalesce(F.try_variant_get("x", "$['@list']", "array<variant>"), F.when(F.expr("schema_of_variant(x) like 'ARRAY%'"), F.expr("try_variant_get(x, '$', 'array<variant>')")), F.array("x"))
+    each = pairs.select("doc_id", "typed", prop.alias("prop"), F.col("key").startswith("schema:").alias("forced"), F.posexplode(inner).alias("pos", "x"))
+    bare = F.try_variant_get("x", "$['@value']", "variant")
+    each = each.withColumn("wrapped", bare.isNotNull()).withColumn("x", F.coalesce(bare, F.col("x")))
     shape = F.expr("schema_of_variant(x)")
-    text = F.when(shape.startswith("OBJECT"), F.to_json("x")).otherwise(F.expr("try_variant_get(x, '$', 'string')"))
-    name = F.regexp_replace("prop", "^schema:", "")
-    forced = F.col("prop").startswith("schema:")
+    reference = F.coalesce(F.try_variant_get("x", "$['@id']", "string"), F.try_variant_get("x", "$.id", "string"))
+    only_id = shape.rlike("^OBJECT<`?@?id`?: STRING>$") & reference.isNotNull()
+    nested = shape.startswith("OBJECT") & ~only_id
+    node = F.to_json(F.try_parse_json(F.regexp_replace(F.to_json("x"), '"@(id|type)":', '"$1":')))  # keys in order again
+    text = F.when(nested, node).when(only_id, reference).otherwise(F.expr("try_variant_get(x, '$', 'string')"))
+    named = F.when(F.col("prop") == "type", F.regexp_replace(text, "^(https?://schema\\.org/|schema:)", "")).otherwise(text)
+    plain_kind = ~F.col("typed") | F.col("forced") | F.col("wrapped")
     kind = (
-        F.when(shape.startswith("OBJECT"), "object")
+        F.when(F.col("prop") == "type", "type")
+        .when((F.col("prop") == "id") | only_id, "uri")
+        .when(nested, "object")
         .when(shape.startswith("BIGINT") | shape.startswith("DECIMAL") | shape.startswith("DOUBLE") | (shape == "BOOLEAN"), "number")
-        .when(~forced & one_of(name, URI_TERMS), "uri").when(~forced & one_of(name, DATE_TERMS), "date").otherwise("literal")
+        .when(~plain_kind & one_of(F.col("prop"), URI_TERMS), "uri")
+        .when(~plain_kind & one_of(F.col("prop"), DATE_TERMS), "date")
+        .otherwise("literal")
     )
-    return each.select("doc_id", name.alias("prop"), kind.alias("kind"), "pos", text.alias("value")).where("value is not null")
+    return each.select("doc_id", "prop", kind.alias("kind"), "pos", named.alias("value")).where("value is not null")
 
 
 def merge(props: DataFrame, groups: DataFrame) -> DataFrame:
     """Property table of merged documents. ``groups`` has (group, rank, doc_id): values of a
-    property keep the order of first appearance, repeats go; of the documents' ids (prop
-    ``id``) the first stays and other ones become ``sameAs``."""
-    rows = groups.join(props, "doc_id")
-    first = rows.groupBy("group", "prop", "kind", "value").agg(F.min(F.struct("rank", "pos")).alias("at"))
-    ids = first.where("prop = 'id'")
-    kept = ids.groupBy("group").agg(F.min_by("value", "at").alias("value"))
-    others = ids.join(kept.withColumnRenamed("value", "kept"), "group").where("value <> kept")
-    body = first.where("prop <> 'id'").unionByName(others.select("group", F.lit("sameAs").alias("prop"), F.lit("uri").alias("kind"), "value", "at"))
-    numbered = body.groupBy("group", "prop").agg(F.array_sort(F.collect_set(F.struct("at", "kind", "value"))).alias("vs"))
-    values = numbered.select("group", "prop", F.posexplode("vs").alias("pos", "v")).select(F.col("group").alias("doc_id"), "prop", "v.kind", "pos", "v.value")
-    return values.unionByName(kept.select(F.col("group").alias("doc_id"), F.lit("id").alias("prop"), F.lit("uri").alias("kind"), F.lit(0).alias("pos"), "value")).distinct()
+    property keep the order of first appearance, repeats go; of the documents' ids the first
+    stays and other ones become texts of ``sameAs``. A group's rows meet in one exchange."""
+    at = F.struct("rank", "pos").alias("at")
+    rows = groups.join(props, "doc_id").select("group", "prop", "kind", "value", at).repartition("group")
+    first = rows.groupBy("group", "prop", "kind", "value").agg(F.min("at").alias("at"))
+    kept = F.min(F.when(F.col("prop") == "id", F.struct("at", "value"))).over(Window.partitionBy("group"))["value"]
+    other = (F.col("prop") == "id") & (F.col("value") != F.col("kept"))
+    named = first.withColumn("kept", kept).select(
+        "group", F.when(other, "sameAs").otherwise(F.col("prop")).alias("prop"), F.when(other, "literal").otherwise(F.col("kind")).alias("kind"), "value", "at"
+    )
+    again = named.groupBy("group", "prop", "kind", "value").agg(F.min("at").alias("at"))
+    numbered = again.groupBy("group", "prop").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "value"))).alias("vs"))
+    values = numbered.select(F.col("group").alias("doc_id"), "prop", F.posexplode("vs").alias("pos", "v"))
+    return values.select("doc_id", "prop", "v.kind", F.when(F.col("prop") == "id", 0).otherwise(F.col("pos")).alias("pos"), "v.value")

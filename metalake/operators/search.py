@@ -38,10 +38,11 @@ def by_producer(rows: DataFrame, mappings: list[str] | None = None, tool_ids: li
 
 
 def producer_page(rows: DataFrame, page_token: str = "", limit: int = 100, **filters) -> tuple[DataFrame, str | None]:
-    """One page by id, and the token of the next: the last id, if more rows follow."""
+    """One page by id, and the token of the next: the last id, if more rows follow. The plan runs
+    once; ``limit`` + 1 rows pass through the driver."""
     page = by_producer(rows, **filters).where(F.col("id") > page_token).orderBy("id").limit(limit + 1)
-    ids = [r["id"] for r in page.select("id").collect()]
-    return page.limit(limit), ids[limit - 1] if len(ids) > limit else None
+    got = page.collect()
+    return rows.sparkSession.createDataFrame(got[:limit], page.schema), got[limit - 1]["id"] if len(got) > limit else None
 
 
 def bound(i: int, n: int, digits: int = 40) -> str:
@@ -88,14 +89,27 @@ def open_mapping_stats(rows: DataFrame) -> DataFrame:
 
 
 def postings(rows: DataFrame, id_col: str = "id") -> DataFrame:
-    """Inverted index (token, id, tf, n); bucket it by token for repeated searches."""
+    """Inverted index (token, id, tf, n); write it clustered by token for repeated searches."""
     each = rows.select(F.col(id_col), F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     return each.groupBy("token", id_col, "n").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def search_postings(index: DataFrame, terms: DataFrame, id_col: str = "id") -> DataFrame:
-    """Many queries at once: ``terms`` (query_id, token); all tokens of a query must occur."""
-    wanted = terms.distinct()
-    need = wanted.groupBy("query_id").agg(F.count(F.lit(1)).alias("need"))
-    met = wanted.join(index, "token").groupBy("query_id", id_col, "n").agg(F.count(F.lit(1)).alias("met"), F.sum("tf").alias("hits"))
-    return met.join(need, "query_id").where("met = need").select("query_id", id_col, F.round(F.col("hits") / (1 + F.log(F.col("n").cast("double"))), 6).alias("rank"))
+def token_counts(index: DataFrame) -> DataFrame:
+    """(token, df): in how many documents each token occurs."""
+    return index.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+
+def search_postings(index: DataFrame, terms: DataFrame, counts: DataFrame | None = None, id_col: str = "id") -> DataFrame:
+    """Many queries at once: ``terms`` (query_id, token); all tokens of a query must occur.
+
+    A query's rarest token (by ``counts``) yields its candidates, so frequent tokens never
+    meet the whole index; the candidates' other tokens are then looked up by token and id."""
+    counts = token_counts(index) if counts is None else counts
+    wanted = terms.distinct().join(counts, "token", "left")
+    per_query = wanted.groupBy("query_id").agg(
+        F.min_by("token", F.struct("df", "token")).alias("rare"), F.collect_list("token").alias("all"), F.count(F.lit(1)).alias("need"), F.count("df").alias("met")
+    ).where("met = need")
+    first = index.select(F.col("token").alias("rare"), id_col)
+    asked = per_query.join(first, "rare").select("query_id", id_col, "need", F.explode("all").alias("token"))
+    met = asked.join(index, ["token", id_col]).groupBy("query_id", id_col, "n", "need").agg(F.count(F.lit(1)).alias("met"), F.sum("tf").alias("hits"))
+    return met.where("met = need").select("query_id", id_col, F.round(F.col("hits") / (1 + F.log(F.col("n").cast("double"))), 6).alias("rank"))

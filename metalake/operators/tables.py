@@ -35,9 +35,10 @@ def upsert(table: DataFrame, rows: DataFrame, key: list[str], keep_existing: boo
     """The table's next version: new rows replace old ones with their key. With
     ``keep_existing`` old rows win instead (license rows: a conflict changes nothing).
 
-    Write the result to a new location: a plan must not overwrite what it reads.
+    Two new rows with one key raise :class:`DuplicateId`, or, with ``keep_existing``, count
+    once. Write the result to a new location: a plan must not overwrite what it reads.
     """
-    rows = rows.select(*table.columns)
+    rows = rows.select(*table.columns).dropDuplicates(key) if keep_existing else checked(rows.select(*table.columns), key)
     if keep_existing:
         return table.unionByName(rows.join(table.select(*key), key, "left_anti").select(*table.columns))
     return rows.unionByName(table.join(rows.select(*key), key, "left_anti").select(*table.columns))

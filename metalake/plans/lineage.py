@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """One folder per application in ``spark.checkpoint.dir``; only where that is unset (tests
-    on one machine) a temporary folder is chosen, once per session."""
+    """One folder per application in ``spark.checkpoint.dir``; where that is unset a session on
+    one machine chooses a temporary folder, once, and a cluster raises."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="metalake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
@@ -23,3 +26,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = f"{work_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_MADE: dict[tuple[str, str, str], str] = {}
+
+
+def made_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from the tables of ``sf_dir``, written by its first use in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MADE:
+        path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        make().write.parquet(path)
+        _MADE[key] = path
+    return spark.read.parquet(_MADE[key])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,38 +34,92 @@ def content_metadata(files: DataFrame, mapping: str, tool_id: int = 1) -> DataFr
     return props.compact(MAPPINGS[mapping].translate(files)).select(F.col("doc_id").alias("id"), "metadata", F.lit(tool_id).cast("long").alias("tool_id"))
 
 
-def directory_metadata(detected: DataFrame, part_props: DataFrame) -> DataFrame:
-    """(dir_id, metadata, mappings): the merge of a directory's translated files.
+class Indexed(NamedTuple):
+    """What a directory or origin job finds. contents: (id, mapping, metadata) of newly translated
+    files; directories: (id, metadata, mappings, truncated); origins: (id, metadata,
+    from_directory, mappings), None for a job over directories."""
+
+    contents: DataFrame
+    directories: DataFrame
+    origins: DataFrame | None = None
+
+
+EMPTY = f'{{"@context":"{props.CONTEXT}"}}'
+
 
-    ``part_props`` is the property table of files, doc_id = ``<target>/<mapping>``. Mappings
-    are sorted by name; files that could not be translated don't count.
+def translated_files(files: DataFrame) -> DataFrame:
+    """Property table of written files (doc_id, mapping, data), each by its mapping. Only the
+    mappings that occur are planned; there are as many as the registry has."""
+    from metalake.registry import REGISTRY
+
+    known = REGISTRY.mappings()
+    out = None
+    for name in sorted(r["mapping"] for r in files.select("mapping").distinct().collect()):
+        rows = known[name].translate(files.where(F.col("mapping") == name).select("doc_id", "data")).select("doc_id", "prop", "kind", "pos", "value")
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        return files.sparkSession.createDataFrame([], "doc_id string, prop string, kind string, pos int, value string")
+    return out
+
+
+def directory_metadata(wanted: DataFrame, dir_entries: DataFrame, contents: DataFrame, blobs: DataFrame, known: DataFrame | None = None, most: int = 100) -> Indexed:
+    """Metadata of the directories ``wanted`` (dir_id), from their files' bytes.
+
+    The first ``most`` entries of a directory (of its only sub-directory, if it holds nothing
+    else) are searched for metadata files. Contents (sha1_git, sha1) that are not known are
+    skipped. Files whose content is in ``known`` (id, metadata; whichever tool made the rows)
+    are not translated again; the others are read from ``blobs`` (sha1, data) and translated,
+    each content and mapping once. ``mappings`` names every mapping whose file was found,
+    also where its translation failed; a directory without metadata has only the context.
     """
-    file = F.concat_ws("/", F.col("target").cast("string"), "mapping")
-    groups = detected.select(F.col("dir_id").cast("string").alias("group"), F.col("mapping").alias("rank"), file.alias("doc_id"), "dir_id", "mapping")
-    done = groups.join(part_props.select("doc_id").distinct(), "doc_id", "left_semi")
-    used = done.groupBy("dir_id").agg(F.array_sort(F.collect_set("mapping")).alias("mappings"))
-    docs = props.compact(props.merge(part_props, done.select("group", "rank", "doc_id")))
-    return used.join(docs.withColumnRenamed("doc_id", "group"), F.col("dir_id").cast("string") == F.col("group")).select("dir_id", "metadata", "mappings")
+    from metalake.registry import REGISTRY
+
+    roots = dir_entries.join(wanted.select("dir_id").distinct(), "dir_id", "left_semi")
+    sizes = roots.groupBy("dir_id").agg((F.max("pos") > most).alias("truncated"))
+    reached = graph.descend_single(roots, dir_entries).where(F.col("pos") <= most)
+    located = written(graph.entry_contents(graph.detect_files(reached, REGISTRY.file_rules()), contents).select("dir_id", "mapping", "sha1"), "located")
+    if known is None:
+        known = blobs.sparkSession.createDataFrame([], "id string, metadata string")
+    reused, rest = graph.split_known(located, known)
+    name = F.concat_ws("/", "mapping", "sha1")
+    todo = rest.select("sha1", "mapping").distinct().withColumnRenamed("sha1", "id")
+    files = content.with_blobs(todo, blobs)[0].withColumnRenamed("id", "sha1")
+    files = written(files.select(name.alias("doc_id"), "mapping", "data"), "files")
+    fresh = written(translated_files(files), "translated")
+    old = known.select(F.col("id").alias("sha1"), "metadata").join(reused.select("sha1").distinct(), "sha1", "left_semi")
+    old = written(old.withColumn("doc_id", F.concat_ws("/", F.lit("known"), "sha1", F.xxhash64("metadata").cast("string"))).distinct(), "reused")
+    told = fresh.unionByName(props.expand(old.select("doc_id", "metadata")))
+    group = F.col("dir_id").cast("string").alias("group")
+    groups = rest.select(group, F.col("mapping").alias("rank"), name.alias("doc_id")).unionByName(
+        reused.join(old.select("sha1", "doc_id"), "sha1").select(group, F.col("mapping").alias("rank"), "doc_id")
+    )
+    docs = written(props.compact(props.merge(told, groups)), "merged")
+    used = located.groupBy("dir_id").agg(F.array_sort(F.collect_set("mapping")).alias("mappings"))
+    rows = sizes.join(used, "dir_id", "left").withColumn("group", F.col("dir_id").cast("string")).join(docs.withColumnRenamed("doc_id", "group"), "group", "left")
+    directories = rows.select(
+        F.col("dir_id").alias("id"), F.coalesce("metadata", F.lit(EMPTY)).alias("metadata"), F.coalesce("mappings", F.array().cast("array<string>")).alias("mappings"), "truncated"
+    )
+    done = props.compact(fresh).select(F.split("doc_id", "/")[1].alias("id"), F.split("doc_id", "/")[0].alias("mapping"), "metadata")
+    return Indexed(done, directories)
 
 
 def origin_intrinsic_metadata(
-    origins: DataFrame, visit_statuses: DataFrame, branches: DataFrame, revisions: DataFrame, releases: DataFrame, dir_entries: DataFrame, part_props: DataFrame
-) -> DataFrame:
-    """(id, metadata, from_directory, mappings) of every origin whose head has metadata."""
-    wanted = graph.full_visit_origins(visit_statuses, origins.limit(0))
+    origins: DataFrame, visit_statuses: DataFrame, branches: DataFrame, revisions: DataFrame, releases: DataFrame, dir_entries: DataFrame,
+    contents: DataFrame, blobs: DataFrame, known: DataFrame | None = None, most: int = 100,
+) -> Indexed:
+    """Metadata of every origin with a full visit, and of ``origins`` (url), from the files in
+    the root directory of its head. Origins without head, directory or metadata are left out;
+    an origin and a directory count once."""
+    wanted = graph.full_visit_origins(visit_statuses, origins)
     statuses = visit_statuses.join(wanted.select(F.col("url").alias("origin")), "origin", "left_semi")
     visits = graph.latest_full_visits(statuses)
     wanted_branches = branches.join(visits.select("snapshot").distinct(), "snapshot", "left_semi")
-    roots = written(graph.head_directories(graph.origin_heads(visits, wanted_branches), revisions, releases), "roots")
-    entries = dir_entries.join(roots.select(F.col("directory").alias("dir_id")).distinct(), "dir_id", "left_semi")
-    # a single sub-directory's entries are needed too, so the descent sees the whole table
-    one = entries.groupBy("dir_id").agg(F.count(F.lit(1)).alias("n"), F.any_value(F.struct("type", "target")).alias("only")).where("n = 1 and only.type = 'dir'")
-    inner = one.select(F.col("dir_id").alias("outer_id"), F.col("only.target").alias("dir_id"))
-    below = inner.join(dir_entries, "dir_id").drop("dir_id").withColumnRenamed("outer_id", "dir_id").select(*dir_entries.columns)
-    reached = entries.join(one.select("dir_id"), "dir_id", "left_anti").unionByName(below)
-    docs = directory_metadata(written(graph.detect_files(reached), "detected"), part_props)
-    docs = docs.where(S.has_metadata(F.col("metadata")))
-    return roots.join(docs, F.col("directory") == F.col("dir_id")).select(F.col("origin").alias("id"), "metadata", F.col("dir_id").alias("from_directory"), "mappings")
+    roots = written(graph.head_directories(graph.origin_heads(visits, wanted_branches), revisions, releases).dropDuplicates(["origin"]), "roots")
+    found = directory_metadata(roots.select(F.col("directory").alias("dir_id")), dir_entries, contents, blobs, known, most)
+    directories = written(found.directories, "directories")
+    told = directories.where(S.has_metadata(F.col("metadata")))
+    rows = roots.join(told, F.col("directory") == F.col("id")).select(F.col("origin").alias("id"), "metadata", F.col("directory").alias("from_directory"), "mappings")
+    return Indexed(found.contents, told, rows)
 
 
 #: Records of this fetcher had percent-encoded origins until then.
@@ -72,10 +128,11 @@ QUOTED_UNTIL = "2024-05-16 15:20:00"
 
 
 def target_of(remd: DataFrame) -> DataFrame:
-    """``remd`` with ``target``: SHA-1 (hex) of the origin that a record describes, or null."""
+    """``remd`` with ``target``: SHA-1 (hex) of the origin that a record describes, or null. An
+    origin that cannot be decoded counts as it is."""
     quoted = (F.col("fetcher.name") == QUOTED_FETCHER) & (F.col("discovery_date") < F.lit(QUOTED_UNTIL).cast("timestamp"))
-    plain = F.url_decode(F.replace("origin", F.lit("+"), F.lit("%2B")))
-    origin = F.when(quoted, plain).otherwise(F.col("origin"))
+    plain = F.try_url_decode(F.replace("origin", F.lit("+"), F.lit("%2B")))
+    origin = F.when(quoted, F.coalesce(plain, "origin")).otherwise(F.col("origin"))
     target = F.when(F.col("target_type") == "origin", F.col("target_id")).when(origin.isNotNull(), F.sha1(origin.cast("binary")))
     return remd.withColumn("target", target)
 

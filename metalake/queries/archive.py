@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
 from metalake.operators import graph, props
 from metalake.plans import pipelines
+from metalake.plans.lineage import work_dir
+from metalake.plans.store import Store
 from metalake.sources import bridge
 from metalake.sources.bridge import read
 
@@ -20,14 +24,16 @@ SQL_LINES = "lines as (select l_orderkey, l_linenumber, min(l_partkey) as part f
 NAMES = "['HEAD','master','refs/heads/dev','pkg-1.2.tar.gz','pkg-1.3.tar.gz','pkg-1.3-rc1.tar.gz','pkg_0.9+fix.zip']"
 SQL_BRANCHES = f"""{SQL_LINES}, branches as (select l_orderkey as snapshot, {NAMES}[l_linenumber] as name,
     case when part % 6 <= 1 then 'alias' when part % 6 <= 3 then 'revision' when part % 6 = 4 then 'release' when part % 12 = 5 then 'directory' end as target_type,
-    case when part % 6 <= 1 then {NAMES}[(l_linenumber % 7) + 1] when part % 6 <= 4 or part % 12 = 5 then part::varchar end as target from lines)"""
+    case when part % 6 <= 1 then {NAMES}[(l_linenumber % 7) + 1] when part % 6 <= 4 or part % 12 = 5 then part::varchar end as target from lines
+    union all select -c_custkey, case hop when 0 then 'HEAD' else 'hop' || hop end, case when hop < c_custkey % 30 then 'alias' else 'revision' end,
+      case when hop < c_custkey % 30 then 'hop' || (hop + 1) else c_custkey::varchar end from customer cross join range(30) h(hop) where c_custkey % 10 = 9 and hop <= c_custkey % 30)"""
 FILES = "['package.json','pom.xml','README.md','x.gemspec','PKG-INFO','CITATION.cff','CodeMeta.json','src','composer.json','a.nuspec']"
 SQL_ENTRIES = f"""{SQL_LINES}, entries as (select l_orderkey as dir_id, l_linenumber as pos, {FILES}[(part % 10 + 1)::int] as name,
     case when part % 10 = 7 then 'dir' else 'file' end as type, part as target from lines)"""
 SQL_LAST = f"""{SQL_VISITS}, last as (select origin, arg_max(visit, (date, visit)) as visit, arg_max(type, (date, visit)) as type, arg_max(snapshot, (date, visit)) as snapshot
     from visits where status = 'full' group by 1)"""
-SQL_RESOLVED = f"""{SQL_BRANCHES}, walk as (select snapshot, name as start, target_type, target, 0 as hop from branches where name in ('HEAD', 'master')
-      union all select w.snapshot, w.start, b.target_type, b.target, hop + 1 from walk w join branches b on b.snapshot = w.snapshot and b.name = w.target where w.target_type = 'alias' and hop < 16),
+SQL_RESOLVED = f"""{SQL_BRANCHES}, walk as (select snapshot, name as start, target_type, target, [name] as seen from branches where name in ('HEAD', 'master')
+      union all select w.snapshot, w.start, b.target_type, b.target, list_append(w.seen, b.name) from walk w join branches b on b.snapshot = w.snapshot and b.name = w.target where w.target_type = 'alias' and not list_contains(w.seen, w.target)),
     resolved as (select * from walk where target_type in ('revision', 'release')),
     generic as (select snapshot, arg_min(target_type, start) as target_type, arg_min(target, start) as target from resolved group by 1)"""
 #: Rank of the archive names that have a version, lowest first.
@@ -77,11 +83,16 @@ def archive_heads(spark, sf_dir):
     return graph.archive_heads(bridge.branches(spark, sf_dir))
 
 
-@query(r"""with n as (select o_orderkey, 'lib-' || (o_orderkey % 9) || '.' || (o_custkey % 9) || ['', '-rc1', '+fix'][o_orderkey % 3 + 1] || '.tar.gz' as name from orders)
-    select o_orderkey, name, true as matched, [(o_orderkey % 9)::int, (regexp_extract(name, '^lib-\d\.(\d)', 1))::int, [0, -1, 1][o_orderkey % 3 + 1]] as numbers, ['', 'rc1', 'fix'][o_orderkey % 3 + 1] as suffix from n""")
+@query(r"""with n as (select o_orderkey, case when o_orderkey % 7 = 0 then 'lib-20240101123456' || (o_custkey % 9) || '.tar.gz'
+      else 'lib-' || (o_orderkey % 9) || '.' || (o_custkey % 9) || ['', '-rc1', '+fix'][o_orderkey % 3 + 1] || '.tar.gz' end as name, o_custkey from orders)
+    select o_orderkey, name, true as matched, case when o_orderkey % 7 = 0 then ['20240101123456' || (o_custkey % 9), '0'] else [(o_orderkey % 9)::varchar, (o_custkey % 9)::varchar, ['0', '-1', '1'][o_orderkey % 3 + 1]] end as numbers,
+      case when o_orderkey % 7 = 0 then '' else ['', 'rc1', 'fix'][o_orderkey % 3 + 1] end as suffix from n""")
 def version_keys(spark, sf_dir):
-    name = F.concat(F.lit("lib-"), (F.col("o_orderkey") % 9).cast("string"), F.lit("."), (F.col("o_custkey") % 9).cast("string"), bridge.pick(["", "-rc1", "+fix"], F.col("o_orderkey") % 3), F.lit(".tar.gz"))
-    return read(spark, sf_dir, "orders").select("o_orderkey", name.alias("name"), S.version_key(name).alias("k")).select("o_orderkey", "name", "k.*")
+    minor = (F.col("o_custkey") % 9).cast("string")
+    short = F.concat(F.lit("lib-"), (F.col("o_orderkey") % 9).cast("string"), F.lit("."), minor, bridge.pick(["", "-rc1", "+fix"], F.col("o_orderkey") % 3), F.lit(".tar.gz"))
+    name = F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("lib-20240101123456"), minor, F.lit(".tar.gz"))).otherwise(short)
+    keys = read(spark, sf_dir, "orders").select("o_orderkey", name.alias("name"), S.version_key(name).alias("k")).select("o_orderkey", "name", "k.*")
+    return keys.withColumn("numbers", F.transform("numbers", lambda x: x.cast("string")))
 
 
 @query(f"with recursive {SQL_HEADS} select * from heads")
@@ -125,39 +136,69 @@ def reuse_contents(spark, sf_dir):
     return both.groupBy("mapping", "reused").agg(F.count(F.lit(1)).alias("n"))
 
 
-SQL_ROLLED = f"""{SQL_DETECTED}, rolled as (select dir_id, list_sort(list_distinct(list(mapping))) as mappings,
-      list_sort(list_distinct(list(p_name || ' ' || mapping))) as names, list_sort(list_distinct(list(p_brand))) as brands
-    from detected join part on p_partkey = target where p_partkey % 5 <> 0 group by 1)"""
-DOC = """'{{"@context":"https://doi.org/10.5063/schema/codemeta-2.0","type":"SoftwareSourceCode",' ||
-    '"name":' || case when len(names) = 1 then '"' || names[1] || '"' else '["' || array_to_string(names, '","') || '"]' end || ',' ||
-    '"programmingLanguage":' || case when len(brands) = 1 then '"' || brands[1] || '"' else '["' || array_to_string(brands, '","') || '"]' end || '}}'""".format()
+#: What the file of a part says; the file's kind is part % 10, and every twentieth is broken.
+SQL_FILES = """said as (select p_partkey as part, p_partkey % 7 = 0 as known, (p_partkey // 10) % 20 = 3 and p_partkey % 7 <> 0 as broken, p_partkey % 10 as kind, p_brand as brand,
+      case when p_partkey % 7 = 0 then 'known ' || p_partkey else p_name end as name from part where p_partkey % 11 <> 0)"""
+SQL_ROLLED = f"""{SQL_DETECTED}, {SQL_FILES}, met as (select dir_id, mapping, s.* from detected join said s on s.part = target),
+    rolled as (select dir_id, list_sort(list_distinct(list(mapping))) as mappings, count(*) filter (not broken or kind = 4) as n,
+      list(distinct name order by name) filter (not broken) as names,
+      list(distinct brand order by brand) filter (not broken and not known and kind in (1, 4, 5)) as told, any_value(brand) filter (not broken and not known and kind = 3) as author,
+      any_value(brand) filter (not broken and not known and kind = 0) as keyword, any_value('https://id.org/' || part) filter (not broken and not known and kind = 6) as id,
+      list(distinct case kind when 0 then 'MIT' else 'GPL-3.0' end) filter (not broken and not known and kind in (0, 8)) as licenses from met group by 1)"""
+ITEMS = """case when len({0}) = 1 then '"{1}' || {0}[1] || '"' else '["{1}' || array_to_string(list_sort({0}), '","{1}') || '"]' end"""
+DOC = f"""case when coalesce(n, 0) = 0 then '{{"@context":"https://doi.org/10.5063/schema/codemeta-2.0"}}' else '{{"@context":"https://doi.org/10.5063/schema/codemeta-2.0","type":"SoftwareSourceCode"' ||
+    array_to_string(list_transform(list_filter([
+      '"author":[{{"name":"' || author || '","type":"Person"}}]', '"description":' || {ITEMS.format('told', '')}, '"id":"' || id || '"', '"keywords":"' || keyword || '"',
+      '"license":' || {ITEMS.format('licenses', 'https://spdx.org/licenses/')}, '"name":' || {ITEMS.format('names', '')}], lambda x: x is not null), lambda x: ',' || x), '') || '}}' end"""
 
 
-def part_metadata(spark, sf_dir):
-    """Property table of translated files: one per (part, mapping)."""
-    rows = read(spark, sf_dir, "part").where("p_partkey % 5 <> 0").crossJoin(F.broadcast(spark.createDataFrame([(m,) for m, _, _ in graph.FILE_RULES], "mapping string")))
-    doc = F.concat(F.col("p_partkey").cast("string"), F.lit("/"), F.col("mapping"))
-    name = rows.select(doc.alias("doc_id"), F.lit("name").alias("prop"), F.lit("literal").alias("kind"), F.lit(0).alias("pos"), F.concat("p_name", F.lit(" "), "mapping").alias("value"))
-    brand = rows.select(doc.alias("doc_id"), F.lit("programmingLanguage").alias("prop"), F.lit("literal").alias("kind"), F.lit(0).alias("pos"), F.col("p_brand").alias("value"))
-    return name.unionByName(brand)
+def files_of(spark, sf_dir) -> dict:
+    return {
+        "dir_entries": bridge.dir_entries(spark, sf_dir), "contents": bridge.contents(spark, sf_dir),
+        "blobs": bridge.part_blobs(spark, sf_dir), "known": bridge.known_metadata(spark, sf_dir),
+    }
 
 
-@query(f"with {SQL_ENTRIES}, {SQL_ROLLED} select dir_id as id, {DOC} as metadata, mappings from rolled")
+@query(f"""with {SQL_ENTRIES}, {SQL_ROLLED} select e.dir_id as id, {DOC} as metadata, coalesce(mappings, []) as mappings, false as truncated
+    from (select distinct dir_id from entries) e left join rolled using (dir_id)""")
 def directory_metadata(spark, sf_dir):
-    found = graph.detect_files(graph.descend_single(bridge.dir_entries(spark, sf_dir)))
-    return pipelines.directory_metadata(found, part_metadata(spark, sf_dir)).select(F.col("dir_id").alias("id"), "metadata", "mappings")
+    """Every directory, from its files' bytes to its merged document."""
+    wanted = bridge.dir_entries(spark, sf_dir).select("dir_id").distinct()
+    return pipelines.directory_metadata(wanted, **files_of(spark, sf_dir)).directories
 
 
-@query(f"with recursive {SQL_DIRS}, {SQL_ENTRIES.replace(SQL_LINES + ', ', '')}, {SQL_ROLLED} select origin as id, {DOC} as metadata, dir_id as from_directory, mappings from rolled join head_dirs on directory = dir_id")
+@query(f"""with recursive {SQL_DIRS}, {SQL_ENTRIES.replace(SQL_LINES + ', ', '')}, {SQL_ROLLED}
+    select origin as id, {DOC} as metadata, dir_id as from_directory, mappings from rolled join head_dirs on directory = dir_id where n > 0""")
 def origin_intrinsic_metadata(spark, sf_dir):
-    return pipelines.origin_intrinsic_metadata(part_props=part_metadata(spark, sf_dir), **inputs(spark, sf_dir))
+    """Every origin, from its visits to the merged document of its head's files."""
+    i = inputs(spark, sf_dir)
+    i["origins"] = i["origins"].limit(0)
+    return pipelines.origin_intrinsic_metadata(**i, **{k: v for k, v in files_of(spark, sf_dir).items() if k != "dir_entries"}).origins
 
 
-@query("""with g as (select l_orderkey, l_linenumber, l_partkey, 'https://x/' || l_suppkey as url, l_suppkey, p_name, p_brand from lineitem join part on p_partkey = l_partkey where l_orderkey % 4 = 0),
-    i as (select l_orderkey, arg_min(url, (l_linenumber, l_partkey, l_suppkey)) as id, list_sort(list_distinct(list(url))) as urls from g group by 1)
-    select l_orderkey::varchar as doc_id, id, list_sort(list_filter(urls, lambda u: u <> id)) as same_as, (select list_sort(list_distinct(list(p_brand))) from g where g.l_orderkey = i.l_orderkey) as brands from i""")
+@query(f"""with recursive {SQL_DIRS}, {SQL_ENTRIES.replace(SQL_LINES + ', ', '')}, {SQL_ROLLED},
+    found as (select origin, {DOC} as metadata, dir_id::varchar as dir_id, mappings from rolled join head_dirs on directory = dir_id where n > 0)
+    select 'origin_intrinsic' as name, origin as id, metadata, mappings, 2 as tool_id from found union all
+    select distinct 'directory_metadata', dir_id, metadata, mappings, 1 from found""")
+def stored_origin_metadata(spark, sf_dir):
+    """The flagship job twice into the index tables, read back: the second run replaces every row."""
+    i = inputs(spark, sf_dir)
+    i["origins"] = i["origins"].limit(0)
+    found = pipelines.origin_intrinsic_metadata(**i, **{k: v for k, v in files_of(spark, sf_dir).items() if k != "dir_entries"})
+    tools = spark.createDataFrame([(1, "translator", "1", "{}"), (2, "roll-up", "1", "{}")], "id long, tool_name string, tool_version string, tool_configuration string")
+    store = Store(spark, f"{work_dir(spark)}/store-{uuid.uuid4().hex}", tools, 8)
+    rows = {"directory_metadata": found.directories.withColumn("tool_id", F.lit(1)), "origin_intrinsic": found.origins.withColumn("tool_id", F.lit(2))}
+    for _ in range(2):
+        store.add(rows)
+    told = [store.table(name).select(F.lit(name).alias("name"), "id", "metadata", "mappings", "tool_id") for name in rows]
+    return told[0].unionByName(told[1])
+
+
+@query("""with g as (select l_orderkey, l_linenumber, l_partkey, 'https://x/' || l_suppkey as url, l_suppkey, p_brand from lineitem join part on p_partkey = l_partkey),
+    i as (select l_orderkey, arg_min(url, (l_linenumber, l_partkey, l_suppkey)) as id, list_sort(list_distinct(list(url))) as urls, list_sort(list_distinct(list(p_brand))) as brands from g group by 1)
+    select l_orderkey::varchar as doc_id, id, list_filter(urls, lambda u: u <> id) as same_as, brands from i""")
 def merge_documents(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     doc = F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     rank = F.struct("l_linenumber", "l_partkey", "l_suppkey")
     values = F.array(F.struct(F.lit("id").alias("prop"), F.lit("uri").alias("kind"), F.concat(F.lit("https://x/"), F.col("l_suppkey").cast("string")).alias("value")),

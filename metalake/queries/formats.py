@@ -23,8 +23,9 @@ def text(template: str) -> Column:
     return F.concat(*parts).cast("binary")
 
 
-def rows_sql(source: str, doc_id: str, items: list[tuple[str, str, str]], where: str = "true") -> str:
-    """(doc_id, prop, kind, value) of a table: every item's SQL value that isn't null."""
+def rows_sql(source: str, doc_id: str, items: list[tuple[str, str, str]], where: str = "true", root: str | None = "SoftwareSourceCode") -> str:
+    """(doc_id, prop, kind, value) of a table: every item's SQL value that isn't null, and the type."""
+    items = [*items, ("type", "type", f"'{root}'")] if root else items
     structs = ", ".join(f"{{'prop': '{p}', 'kind': '{k}', 'value': ({v})::varchar}}" for p, k, v in items)
     return f"select doc_id, x.prop as prop, x.kind as kind, x.value as value from (select ({doc_id})::varchar as doc_id, unnest([{structs}]) as x from {source} where {where}) where x.value is not null"
 
@@ -48,7 +49,8 @@ def npm_files(spark, sf_dir):
     })
     for c in ("repository", "end", "bugs", "author"):
         rows = rows.withColumn(c, F.replace(F.replace(c, F.lit("[["), F.lit("{")), F.lit("]]"), F.lit("}")))
-    body = text('[["name":"{p_name}","version":"1.{p_size}","description":{size},"homepage":"https://h.org/{doc_id}","repository":{repository}{doc_id}{end},"bugs":{bugs},"author":{author},"license":{license},"keywords":["{p_brand}",5,"{p_type}"] ]]')
+    # keys that come again later, in other shapes: the last counts
+    body = text('[["name":"first","author":[["name":"first"]],"repository":"x/y","license":[1,2],"keywords":[["a":1]],"name":"{p_name}","version":"1.{p_size}","description":{size},"homepage":"https://h.org/{doc_id}","repository":{repository}{doc_id}{end},"bugs":{bugs},"author":{author},"license":{license},"keywords":["{p_brand}",5,"{p_type}"] ]]')
     broken = F.lit("{not json").cast("binary")
     return rows.select("doc_id", F.when(F.col("p_partkey") % 50 == 7, broken).otherwise(body).alias("data"))
 
@@ -88,7 +90,7 @@ def content_metadata(spark, sf_dir):
     ("author", "object", """'{"email":"a@x.org","name":"' || p_name || '","type":"Person"}'"""), ("author", "object", """'{"name":"Z","type":"Person"}'""")]))
 def composer_translate(spark, sf_dir):
     rows = parts(spark, sf_dir).withColumn("home", F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("https://h.org/"), "doc_id")).otherwise("no url"))
-    body = text('[["name":"{p_name}","version":"2.{p_size}","description":"{p_type}","homepage":"{home}","keywords":["{p_brand}","php"],"license":"GPL-3.0","authors":[ [["name":"{p_name}","email":"a@x.org"]],[["name":"Z"]] ] ]]')
+    body = text('[["authors":[],"name":[1],"name":"{p_name}","version":"2.{p_size}","description":"{p_type}","homepage":"{home}","keywords":["{p_brand}","php"],"license":"GPL-3.0","authors":[ [["name":"{p_name}","email":"a@x.org"]],[["name":"Z"]] ] ]]')
     return told(formats.composer(rows.select("doc_id", body.alias("data"))))
 
 
@@ -164,8 +166,8 @@ def pubspec_translate(spark, sf_dir):
 FORGE_ITEMS = [
     ("id", "uri", "'https://f.org/' || c_custkey"), ("name", "literal", "c_name"), ("description", "literal", "c_mktsegment"), ("programmingLanguage", "literal", "n_name"), ("keywords", "literal", "'t1'"), ("keywords", "literal", "'t2'"),
     ("codeRepository", "uri", "'https://f.org/' || c_custkey || '.git'"), ("dateCreated", "date", "'2020-01-01T00:00:00Z'"), ("dateModified", "date", "'2021-01-01T00:00:00Z'"), ("license", "uri", "'https://spdx.org/licenses/MIT'"),
-    ("issueTracker", "uri", "case when c_custkey % 2 = 0 then 'https://f.org/' || c_custkey || '/issues' end"), ("forge:forks", "object", """'{"as:totalItems":"' || n_orders || '","type":"as:Collection"}'"""),
-    ("as:likes", "object", """'{"as:totalItems":"' || c_nationkey || '","type":"as:Collection"}'"""),
+    ("issueTracker", "uri", "case when c_custkey % 2 = 0 then 'https://f.org/' || c_custkey || '/issues' end"), ("forge:forks", "object", """'{"as:totalItems":{"@value":"' || n_orders || '","type":"xsd:nonNegativeInteger"},"type":"as:OrderedCollection"}'"""),
+    ("as:likes", "object", """'{"as:totalItems":{"@value":"' || c_nationkey || '","type":"xsd:nonNegativeInteger"},"type":"as:Collection"}'"""),
 ]
 FORGE_SQL = "(select customer.*, n_name, count(o_orderkey) as n_orders from customer join nation on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by all)"
 
@@ -175,16 +177,16 @@ def forge_files(spark, sf_dir, names: dict[str, str]):
     nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     rows = customers(spark, sf_dir).join(orders, "c_custkey", "left").join(F.broadcast(nations), "c_nationkey").withColumn("n_orders", F.coalesce("n", F.lit(0)))
     rows = rows.withColumn("issues", F.when(F.col("c_custkey") % 2 == 0, "true").otherwise("false"))
-    body = text('[["html_url":"https://f.org/{doc_id}","%s":"{c_name}","description":"{c_mktsegment}","language":"{n_name}","topics":["t1","t2"],"clone_url":"https://f.org/{doc_id}.git","created_at":"2020-01-01T00:00:00Z","updated_at":"2021-01-01T00:00:00Z","license":[["spdx_id":"MIT"]],"has_issues":{issues},"parent":[["html_url":"https://up.org/{c_nationkey}"]],"forks_count":{n_orders},"%s":{c_nationkey},"%s":"many"]]' % (names["name"], names["stars"], names["followers"]))
+    body = text('[["forks_count":"many","license":"MIT","topics":7,"html_url":"https://f.org/{doc_id}","%s":"{c_name}","description":"{c_mktsegment}","language":"{n_name}","topics":["t1","t2"],"clone_url":"https://f.org/{doc_id}.git","created_at":"2020-01-01T00:00:00Z","updated_at":"2021-01-01T00:00:00Z","license":[["spdx_id":"MIT"]],"has_issues":{issues},"parent":[["html_url":"https://up.org/{c_nationkey}"]],"forks_count":{n_orders},"%s":{c_nationkey},"%s":"many"]]' % (names["name"], names["stars"], names["followers"]))
     return rows.select("doc_id", body.alias("data"), "c_custkey", "c_name")
 
 
-@query(rows_sql(FORGE_SQL, "c_custkey", [*FORGE_ITEMS, ("forge:forkedFrom", "object", """'{"id":"https://up.org/' || c_nationkey || '"}'""")]))
+@query(rows_sql(FORGE_SQL, "c_custkey", [*FORGE_ITEMS, ("forge:forkedFrom", "object", """'{"id":"https://up.org/' || c_nationkey || '"}'""")], root="forge:Repository"))
 def github_translate(spark, sf_dir):
     return told(formats.github(forge_files(spark, sf_dir, {"name": "full_name", "stars": "stargazers_count", "followers": "subscribers_count"})))
 
 
-@query(rows_sql(FORGE_SQL, "c_custkey", [*FORGE_ITEMS, ("forge:forkedFrom", "object", """'{"id":"https://up.org/' || c_nationkey || '"}'""")]))
+@query(rows_sql(FORGE_SQL, "c_custkey", [*FORGE_ITEMS, ("forge:forkedFrom", "object", """'{"id":"https://up.org/' || c_nationkey || '"}'""")], root="forge:Repository"))
 def gitea_translate(spark, sf_dir):
     return told(formats.gitea(forge_files(spark, sf_dir, {"name": "name", "stars": "stars_count", "followers": "watchers_count"})))
 
@@ -195,65 +197,90 @@ SWORD_ITEMS = [
 ]
 
 
-@query(rows_sql("customer", "c_custkey", SWORD_ITEMS))
+@query(rows_sql("customer", "c_custkey", SWORD_ITEMS, root=None))
 def sword_translate(spark, sf_dir):
     rows = customers(spark, sf_dir).withColumn("day", F.col("c_custkey") % 9 + 1)
     body = text('<?xml version="1.0"?><entry xmlns="http://www.w3.org/2005/Atom" xmlns:codemeta="https://doi.org/10.5063/SCHEMA/CODEMETA-2.0"><title>{c_name}</title><id>https://id.org/{doc_id}</id><id>https://second.org/</id><updated>x</updated><codemeta:author>{c_name}</codemeta:author><codemeta:datePublished>2024-3-{day}</codemeta:datePublished><codemeta:version>{c_nationkey}</codemeta:version><codemeta:license><codemeta:name>{c_mktsegment}</codemeta:name></codemeta:license></entry>')
     return told(formats.sword(rows.select("doc_id", body.alias("data"))))
 
 
-@query(rows_sql("customer", "c_custkey", SWORD_ITEMS))
+@query(rows_sql("customer", "c_custkey", SWORD_ITEMS, root=None))
 def sword_json_translate(spark, sf_dir):
     rows = customers(spark, sf_dir).withColumn("day", F.col("c_custkey") % 9 + 1)
     body = text('[["title":"{c_name}","id":"https://id.org/{doc_id}","codemeta:author":"{c_name}","codemeta:datePublished":"2024-3-{day}","codemeta:version":"{c_nationkey}","codemeta:license":[["codemeta:name":"{c_mktsegment}"]]]]')
     return told(formats.sword_json(rows.select("doc_id", body.alias("data"))))
 
 
-@query(rows_sql("part", "p_partkey", [("name", "literal", "p_name"), ("version", "number", "p_size"), ("license", "uri", "'https://l.org/'"), ("identifier", "literal", "p_brand"), ("dateCreated", "date", "'2020-01-01'"), ("keywords", "literal", "p_type"), ("keywords", "literal", "'k'")], "p_partkey % 4 <> 3"))
+@query(rows_sql("part", "p_partkey", [("id", "uri", "'https://id.org/' || p_partkey"), ("name", "literal", "p_name"), ("version", "number", "p_size"), ("license", "uri", "'https://l.org/'"), ("identifier", "literal", "p_brand"),
+    ("dateCreated", "date", "'2020-01-01'"), ("keywords", "literal", "p_type"), ("keywords", "literal", "'k'"), ("url", "uri", "'https://u.org/'"), ("author", "object", """'{"id":"https://o.org/1","name":"' || p_brand || '","type":"Person"}'""")], "p_partkey % 4 <> 3"))
 def codemeta_translate(spark, sf_dir):
-    context = pick([props.CONTEXT, "HTTPS://w3id.org/codemeta/3.0/", "http://purl.org/codemeta/2.0", "https://other.org/"], F.col("k"))
-    body = text('[["@context":"{context}","type":"SoftwareSourceCode","name":"{p_name}","version":{p_size},"license":"https://l.org/","schema:identifier":"{p_brand}","dateCreated":"2020-01-01","keywords":["{p_type}","k"] ]]')
+    contexts = [f'"{props.CONTEXT}/"', '["HTTPS://w3id.org/codemeta/3.0/","https://schema.org/"]', '["http://purl.org/codemeta/2.0",[["x":"https://x.org/"]]]', '["http://purl.org/codemeta/2.0","https://other.org/"]']
+    context = F.replace(F.replace(pick(contexts, F.col("k")), F.lit("[["), F.lit("{")), F.lit("]]]"), F.lit("}]"))
+    body = text('[["name":[["first":1]],"@context":{context},"@type":"SoftwareSourceCode","@id":"https://id.org/{doc_id}","name":"{p_name}","version":{p_size},"license":[["@id":"https://l.org/"]],"schema:identifier":"{p_brand}","dateCreated":"2020-01-01","keywords":["{p_type}","k"],"url":"https://u.org/","author":[["@list":[ [["@type":"Person","@id":"https://o.org/1","name":"{p_brand}"]] ] ]] ]]')
     return told(formats.codemeta(parts(spark, sf_dir).withColumn("context", context).select("doc_id", body.alias("data"))))
 
 
-@query("""select p_partkey::varchar as doc_id, '{"@context":"https://doi.org/10.5063/schema/codemeta-2.0","type":"SoftwareSourceCode",' ||
+@query("""select p_partkey::varchar as doc_id, '{"@context":"https://doi.org/10.5063/schema/codemeta-2.0",' ||
     '"license":"https://l.org/","name":"' || p_name || '","schema:identifier":"' || p_brand || '","version":' || p_size || '}' as metadata from part""")
 def compact_documents(spark, sf_dir):
     body = text('[["@context":"http://purl.org/codemeta/2.0","version":{p_size},"name":"{p_name}","license":"https://l.org/","schema:identifier":"{p_brand}"]]')
     return props.compact(formats.codemeta(parts(spark, sf_dir).select("doc_id", body.alias("data"))))
 
 
+@query("""select p_partkey::varchar as doc_id, x.prop, x.kind, x.value from (select p_partkey, unnest([{'prop': 'type', 'kind': 'type', 'value': 'SoftwareSourceCode'}, {'prop': 'name', 'kind': 'literal', 'value': p_name},
+      {'prop': 'license', 'kind': 'uri', 'value': case when p_partkey % 2 = 0 then 'https://l.org/' || p_size end}, {'prop': 'keywords', 'kind': 'literal', 'value': lower(p_brand)}, {'prop': 'keywords', 'kind': 'literal', 'value': 'k'}]) as x from part) where x.value is not null""")
+def rule_translate(spark, sf_dir):
+    """Files of a format that only a table of rules knows, with a hook for one of its keys."""
+    rules = spark.createDataFrame([("title", "name", "literal"), ("licence", "license", "uri"), ("tags", "keywords", "literal")], "key string, term string, kind string")
+    body = text('[["title":"old","title":"{p_name}","licence":"{site}{p_size}","tags":"{p_brand} K","other":[1] ]]')
+    rows = parts(spark, sf_dir).withColumn("site", F.when(F.col("p_partkey") % 2 == 0, "https://l.org/").otherwise("l "))
+    hooks = {"tags": lambda x: F.split(F.lower(formats.text_of(x)), " ")}
+    return told(formats.by_rules(rows.select("doc_id", body.alias("data")), rules, hooks=hooks))
+
+
 def remd(spark, sf_dir):
-    """Forge records: each customer's repository, seen at most twice, by the forge or by another site."""
+    """Forge records: each customer's repository, seen at most twice, by the forge or by another
+    site. Every fifth describes a directory of its origin, whose URL is percent-encoded (and
+    broken for every thirteenth)."""
     files = forge_files(spark, sf_dir, {"name": "full_name", "stars": "stargazers_count", "followers": "subscribers_count"})
     again = F.explode(F.array(F.lit(1), F.lit(2)))
     rows = files.withColumn("seen", again).where("seen = 1 or c_custkey % 3 = 0")
     url = F.concat(F.lit("https://f.org/"), F.col("doc_id"))
     old = F.col("c_custkey") % 5 == 0
+    quoted = F.concat(F.replace(url, F.lit(":"), F.lit("%3A")), F.when(F.col("c_custkey") % 13 == 0, "%zz").otherwise(""))
     return rows.select(
-        F.concat_ws("/", "doc_id", "seen").alias("id"), F.lit("origin").alias("target_type"), F.sha1(url.cast("binary")).alias("target_id"),
-        F.when(old, F.regexp_replace(url, ":", "%3A")).alias("origin"), F.to_timestamp(F.concat(F.lit("2024-0"), F.col("seen").cast("string"), F.lit("-01"))).alias("discovery_date"),
+        F.concat_ws("/", "doc_id", "seen").alias("id"), F.when(old, "directory").otherwise("origin").alias("target_type"), F.when(~old, F.sha1(url.cast("binary"))).alias("target_id"),
+        F.when(old, quoted).alias("origin"), F.to_timestamp(F.concat(F.lit("2024-0"), F.col("seen").cast("string"), F.lit("-01"))).alias("discovery_date"),
         F.struct(F.lit("forge").alias("type"), F.when(F.col("c_custkey") % 7 == 0, "https://elsewhere.org/").otherwise("https://f.org/").alias("url")).alias("authority"),
         F.struct(F.when(old, pipelines.QUOTED_FETCHER).otherwise("lister").alias("name"), F.lit("1").alias("version")).alias("fetcher"),
         F.when(F.col("c_custkey") % 11 == 0, "unknown").otherwise("application/vnd.github.v3+json").alias("format"), F.col("data").alias("metadata"),
     )
 
 
-@query("""select 'https://f.org/' || c_custkey as id, c_custkey || '/' || case when c_custkey % 3 = 0 then 2 else 1 end as from_remd_id, ['github'] as mappings,
-    c_name as name from customer join nation on n_nationkey = c_nationkey where c_custkey % 7 <> 0 and c_custkey % 11 <> 0 and c_custkey % 13 <> 0""")
+def known_forge_origins(spark, sf_dir):
+    return customers(spark, sf_dir).where("c_custkey % 13 <> 0").select(F.concat(F.lit("https://f.org/"), "doc_id").alias("url"))
+
+
+SQL_EXTRINSIC = f"""select 'https://f.org/' || c_custkey as id, c_custkey || '/' || case when c_custkey % 3 = 0 then 2 else 1 end as from_remd_id, ['github'] as mappings,
+    '{{"@context":"https://doi.org/10.5063/schema/codemeta-2.0","type":"https://forgefed.org/ns#Repository","codeRepository":"https://f.org/' || c_custkey || '.git","dateCreated":"2020-01-01T00:00:00Z","dateModified":"2021-01-01T00:00:00Z","description":"' || c_mktsegment ||
+    '","https://forgefed.org/ns#forkedFrom":{{"id":"https://up.org/' || c_nationkey || '"}},"https://forgefed.org/ns#forks":{{"https://www.w3.org/ns/activitystreams#totalItems":{{"@value":"' || n_orders ||
+    '","type":"http://www.w3.org/2001/XMLSchema#nonNegativeInteger"}},"type":"https://www.w3.org/ns/activitystreams#OrderedCollection"}},"https://www.w3.org/ns/activitystreams#likes":{{"https://www.w3.org/ns/activitystreams#totalItems":{{"@value":"' || c_nationkey ||
+    '","type":"http://www.w3.org/2001/XMLSchema#nonNegativeInteger"}},"type":"https://www.w3.org/ns/activitystreams#Collection"}},"id":"https://f.org/' || c_custkey || '",' || case when c_custkey % 2 = 0 then '"issueTracker":"https://f.org/' || c_custkey || '/issues",' else '' end ||
+    '"keywords":["t1","t2"],"license":"https://spdx.org/licenses/MIT","name":"' || c_name || '","programmingLanguage":"' || n_name || '"}}' as metadata
+    from {FORGE_SQL} where c_custkey % 7 <> 0 and c_custkey % 11 <> 0 and c_custkey % 13 <> 0"""
+
+
+@query(SQL_EXTRINSIC)
 def origin_extrinsic_metadata(spark, sf_dir):
-    known = customers(spark, sf_dir).where("c_custkey % 13 <> 0").select(F.concat(F.lit("https://f.org/"), "doc_id").alias("url"))
-    out = pipelines.origin_extrinsic_metadata(remd(spark, sf_dir), known)
-    return out.select("id", "from_remd_id", "mappings", F.try_variant_get(F.try_parse_json("metadata"), "$.name", "string").alias("name"))
+    return pipelines.origin_extrinsic_metadata(remd(spark, sf_dir), known_forge_origins(spark, sf_dir))
 
 
-@query("""select 'https://f.org/' || c_custkey as origin, count(*) as n from customer where c_custkey % 13 = 0 and c_custkey % 11 <> 0 group by all""")
+@query("""select sha1(case when c_custkey % 5 = 0 then 'https%3A//f.org/' || c_custkey || '%zz' else 'https://f.org/' || c_custkey end) as target, count(*) as n
+    from customer, (values (1), (2)) as s(seen) where c_custkey % 13 = 0 and c_custkey % 11 <> 0 and (seen = 1 or c_custkey % 3 = 0) group by 1""")
 def unresolved_records(spark, sf_dir):
-    known = customers(spark, sf_dir).where("c_custkey % 13 <> 0").select(F.concat(F.lit("https://f.org/"), "doc_id").alias("url"))
     records = remd(spark, sf_dir).where("format <> 'unknown'")
-    _, lost = pipelines.resolve_targets(records, known)
-    names = customers(spark, sf_dir).select(F.concat(F.lit("https://f.org/"), "doc_id").alias("origin"))
-    return lost.drop("origin").join(names.withColumn("target", F.sha1(F.col("origin").cast("binary"))), "target").groupBy("origin").agg(F.countDistinct(F.split("id", "/")[0]).alias("n"))
+    _, lost = pipelines.resolve_targets(records, known_forge_origins(spark, sf_dir))
+    return lost.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES, ORACLES = query.queries, query.oracles

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
 from metalake.operators import content, search, tables
+from metalake.operators.props import TERMS
 from metalake.plans import pipelines
+from metalake.plans.lineage import made_once
 from metalake.sources import bridge
 from metalake.sources.bridge import read
 
@@ -38,7 +40,8 @@ def no_tools(spark: SparkSession) -> DataFrame:
 
 
 def tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.register_tools(no_tools(spark), raw_tools(spark, sf_dir))[0]
+    """The stored table of registered tools."""
+    return made_once(spark, sf_dir, "tools", lambda: tables.register_tools(no_tools(spark), raw_tools(spark, sf_dir))[0])
 
 
 def origin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +68,15 @@ SQL_ORIGINS = f"""origins_i as (select 'https://forge.example.org/' || lpad(doc_
 
 
 def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return origin_rows(spark, sf_dir).withColumn("tokens", S.json_tokens(F.col("metadata")))
+    """The stored index table: tokens are made when rows are written, not when they are searched."""
+    make = lambda: tables.clustered(origin_rows(spark, sf_dir).withColumn("tokens", S.json_tokens(F.col("metadata"))), ["id"], 16)
+    return made_once(spark, sf_dir, "origins", make)
+
+
+def stored_postings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stored inverted index, clustered by token, and its token counts."""
+    index = made_once(spark, sf_dir, "postings", lambda: tables.clustered(search.postings(searchable(spark, sf_dir)), ["token", "id"], 16))
+    return index, made_once(spark, sf_dir, "token-counts", lambda: search.token_counts(index))
 
 
 # -- tables ---------------------------------------------------------------------------------
@@ -73,7 +84,7 @@ def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {SQL_TOOLS} select * from tools")
 def register_tools(spark, sf_dir):
-    return tools(spark, sf_dir)
+    return tables.register_tools(no_tools(spark), raw_tools(spark, sf_dir))[0]
 
 
 @query("""select source as tool_name, '1.' || length(lang) as tool_version, count(*) as n,
@@ -91,10 +102,15 @@ def tool_lookup(spark, sf_dir):
     keyed = docs.select("doc_id", F.col("source").alias("tool_name"), F.concat(F.lit("1."), F.length("lang")).alias("tool_version"),
                         S.canonical_json(F.concat(F.lit('{"type":"'), F.col("lang"), F.lit('","context":["'), F.col("source"), F.lit('"]}'))).alias("tool_configuration"))
     known = tables.register_tools(no_tools(spark), natural)[0]
-    return keyed.join(F.broadcast(known), tables.NATURAL).select("doc_id", F.col("id").alias("tool_id"))
+    return keyed.join(known, tables.NATURAL).select("doc_id", F.col("id").alias("tool_id"))
 
 
 def mimetype_rows(spark, sf_dir):
+    """The stored index table of MIME types."""
+    return made_once(spark, sf_dir, "mimetypes", lambda: tables.clustered(made_mimetypes(spark, sf_dir), ["id"], 16))
+
+
+def made_mimetypes(spark, sf_dir):
     return read(spark, sf_dir, "orders").select(F.sha1(F.col("o_orderkey").cast("string").cast("binary")).alias("id"), F.col("o_custkey").alias("n"),
         bridge.pick(["text/plain", "text/x-python", "image/png", "application/json"], F.col("o_orderkey") % 4).alias("mimetype"),
         bridge.pick(["us-ascii", "utf-8", "binary"], F.col("o_orderkey") % 3).alias("encoding"), (F.col("o_orderkey") % 5).alias("tool_id"))
@@ -238,17 +254,20 @@ def full_text_search(spark, sf_dir):
     return search.full_text(searchable(spark, sf_dir), ["the and"], 100).select("id", "rank")
 
 
-@query(f"""with {SQL_ORIGINS}, q as (select distinct 'q' || role as query_id, unnest(regexp_extract_all(lower(left(text, 12)), '[a-z0-9]{{2,}}')[1:2]) as token from conversations where turn = 0 and conv_id % 10 = 0 and role = 'user'
-       union select 'all', 'the' union select 'all', 'of'),
-     p as (select token, id, n, count(*) as tf from (select id, len(tokens) as n, unnest(tokens) as token from origins_i) group by all),
-     need as (select query_id, count(*) as need from q group by 1)
-    select q.query_id, p.id, round(sum(tf) / (1 + ln(n)), 6) as rank from q join p using (token) join need using (query_id) group by q.query_id, p.id, n, need having count(*) = need""")
+@query(f"""with {SQL_ORIGINS}, docs as (select id, tokens, len(tokens) as n from origins_i),
+     q as (select 'c' || conv_id || '/' || turn as query_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) as wanted from conversations where text is not null
+       union all select 'all', ['the', 'of'] union all select 'pair', ['source', 'the']),
+     p as (select distinct unnest(tokens) as token, id from docs), df as (select token, count(*) as df from p group by 1),
+     need as (select query_id, wanted, unnest(wanted) as token from q),
+     rare as (select query_id, any_value(wanted) as wanted, arg_min(token, (df, token)) as token from need left join df using (token) group by 1 having count(*) = count(df))
+    select query_id, d.id, round(len(list_filter(d.tokens, lambda t: list_contains(wanted, t))) / (1 + ln(d.n)), 6) as rank from rare join p using (token) join docs d on d.id = p.id where list_has_all(d.tokens, wanted)""")
 def search_by_postings(spark, sf_dir):
-    first = read(spark, sf_dir, "conversations").where("turn = 0 and conv_id % 10 = 0 and role = 'user'")
-    words = F.slice(F.regexp_extract_all(F.lower(F.substring("text", 1, 12)), F.lit("[a-z0-9]{2,}"), 0), 1, 2)
-    terms = first.select(F.concat(F.lit("q"), F.col("role")).alias("query_id"), F.explode(words).alias("token"))
-    fixed = spark.createDataFrame([("all", "the"), ("all", "of")], "query_id string, token string")
-    return search.search_postings(search.postings(searchable(spark, sf_dir)), terms.unionByName(fixed))
+    """Every turn of every conversation is a search for all of its words."""
+    words = S.tokens(F.col("text"))
+    terms = read(spark, sf_dir, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")).alias("query_id"), F.explode(words).alias("token"))
+    fixed = spark.createDataFrame([("all", "the"), ("all", "of"), ("pair", "source"), ("pair", "the")], "query_id string, token string")
+    index, counts = stored_postings(spark, sf_dir)
+    return search.search_postings(index, terms.unionByName(fixed), counts)
 
 
 @query(f"with {SQL_ORIGINS} select id, tool_id from origins_i where list_has_any(mappings, ['gemspec', 'maven']) and tool_id in (1, 3)")
@@ -314,49 +333,96 @@ def update_contents(spark, sf_dir):
     return content.update_columns(known, again, "doc_id", ["sha256"])
 
 
-@query(r"""select doc_id, case when strlen(text) = 0 then 'application/x-empty' else 'text/plain' end as mimetype,
-    case when strlen(text) = 0 then 'binary' when strlen(text) = length(text) then 'us-ascii' else 'utf-8' end as encoding from documents where text is not null and not regexp_matches(text, '^\s*[\{\[]')""")
+def kinds_sql(text: str) -> tuple[str, str]:
+    """SQL for the MIME type and the encoding of a text column, by the documented rules."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    head = f"substr(hex(encode(left({text}, 300))), 1, 600)"
+    binary = " ".join(f"when substr({head}, {2 * at + 1}, {len(mark)}) = '{mark}' then '{mime}'" for at, mark, mime in S.SIGNATURES)
+    words = " ".join(f"when regexp_matches(left({text}, 1024), {quote(pattern)}) then '{mime}'" for pattern, mime in S.TEXT_KINDS)
+    control = f"regexp_matches({text}, '[\\x00-\\x06\\x0e-\\x1a\\x1c-\\x1f]')"
+    is_json = f"(regexp_matches({text}, '^\\s*[\\{{\\[]') and json_valid({text}))"
+    signed = f"(case {binary} end)"
+    kind = f"case when strlen({text}) = 0 then 'application/x-empty' when {signed} is not null then {signed} when {control} then 'application/octet-stream' when {is_json} then 'application/json' {words} else 'text/plain' end"
+    encoding = f"case when strlen({text}) = 0 or {signed} is not null or {control} then 'binary' when strlen({text}) = length({text}) then 'us-ascii' else 'utf-8' end"
+    return kind, encoding
+
+
+@query("select doc_id, {} as mimetype, {} as encoding from documents where text is not null".format(*kinds_sql("text")))
 def content_mimetype(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents").where(r"text is not null and not text rlike '^\\s*[\\{\\[]'")
+    rows = read(spark, sf_dir, "documents").where("text is not null")
     return content.mimetypes(rows.select("doc_id", F.col("text").cast("binary").alias("data")), "doc_id")
 
 
-@query("""select page_id, 'text/html' as mimetype, case when strlen(html) = length(html) then 'us-ascii' else 'utf-8' end as encoding from pages where lower(html) like '<!doctype html%' or lower(html) like '<html%'""")
+@query("select page_id, {} as mimetype, {} as encoding from pages where html is not null".format(*kinds_sql("html")))
 def page_mimetype(spark, sf_dir):
-    rows = read(spark, sf_dir, "pages").where("lower(html) like '<!doctype html%' or lower(html) like '<html%'")
+    rows = read(spark, sf_dir, "pages").where("html is not null")
     return content.mimetypes(rows.select("page_id", F.col("html").cast("binary").alias("data")), "page_id")
 
 
-@query(r"""with t as (select doc_id, ' ' || regexp_replace(lower(text), '[^a-z0-9.+-]+', ' ', 'g') || ' ' as w from documents where text <> '')
-    select doc_id, 'MIT' as license from t where w like '% mit license%' union all select doc_id, 'Apache-2.0' from t where w like '% apache license version 2.0%'
-    union all select doc_id, 'GPL-3.0' from t where w like '% gnu general public license version 3%' union all select doc_id, 'CC-BY-NC-4.0' from t where w like '% cc by-nc 4.0%'""")
+KINDS = [(b"\0" * at + bytes.fromhex(mark), mime) for at, mark, mime in S.SIGNATURES]
+STARTS = [
+    (b"<!DOCTYPE html><p>", "text/html"), (b"\n <HTML>", "text/html"), (b"<?xml version='1.0'?>\n<a/>", "text/xml"), (b"<?xml version='1.0'?> <svg/>", "image/svg+xml"), (b"#!/usr/bin/env python3\n", "text/x-python"),
+    (b"#!/usr/bin/perl\n", "text/x-perl"), (b"#!/usr/bin/env ruby\n", "text/x-ruby"), (b"#!/usr/bin/env node\n", "application/javascript"), (b"#!/bin/sh\n", "text/x-shellscript"), (b"<?php ", "text/x-php"),
+    (b"diff --git a b\n", "text/x-diff"), (b"\\documentclass{a}\n", "text/x-tex"), (b"Received: by x\n", "message/rfc822"), (b"[1, 2] ", "text/plain"), (b"plain ", "text/plain"), (b"\x01 control ", "application/octet-stream"),
+]
+
+
+@query(f"""select o_orderkey, {[m for _, m in KINDS + STARTS]}[(o_orderkey % {len(KINDS + STARTS)} + 1)::int] as mimetype,
+    case when o_orderkey % {len(KINDS + STARTS)} < {len(KINDS)} or o_orderkey % {len(KINDS + STARTS)} = {len(KINDS + STARTS) - 1} then 'binary' else 'us-ascii' end as encoding from orders""")
+def signature_mimetypes(spark, sf_dir):
+    """A file of every known kind: each order's comment-like text behind one of all leading marks."""
+    heads = F.array(*[F.unhex(F.lit(head.hex())) for head, _ in KINDS + STARTS])
+    data = F.concat(F.element_at(heads, (F.col("o_orderkey") % len(KINDS + STARTS) + 1).cast("int")), F.concat(F.lit(" order "), F.col("o_orderkey").cast("string"), F.lit(" "), F.col("o_orderpriority")).cast("binary"))
+    return content.mimetypes(read(spark, sf_dir, "orders").select("o_orderkey", data.alias("data")), "o_orderkey")
+
+
+def licenses_sql(key: str, extra: str = "") -> str:
+    """SQL for (key, license) of all documents: every phrase of the table, and every SPDX tag."""
+    phrases = ", ".join(f"('{name}', '{phrase}')" for name, phrase in content.PHRASES)
+    return f"""with t as (select {key}, text, ' ' || regexp_replace(lower(text), '[^a-z0-9.+-]+', ' ', 'g') || ' ' as w from documents where text <> ''),
+      found as (select {key}, license from t, (values {phrases}) as p(license, phrase) where contains(w, phrase)
+        union all select {key}, unnest(regexp_extract_all(text, 'SPDX-License-Identifier:\\s*([A-Za-z0-9.+-]+)', 1)) from t)
+      select distinct {key}, license{extra} from found"""
+
+
+@query(licenses_sql("doc_id"))
 def content_license(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("data"))
-    return content.licenses(rows, "doc_id").where(F.col("license").isin("MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0"))
+    return content.licenses(rows, "doc_id")
+
 
+LICENSE_LINES = ["Released under the MIT License.", "// SPDX-License-Identifier: ISC", "GNU Lesser General Public License, version 3", "Mozilla Public License Version 2.0", "Redistribution and use in source and binary forms, with", "no license", "SPDX-License-Identifier: MIT OR Apache-2.0", "GNU General Public License version 2; CC BY-NC 4.0"]
+LICENSE_NAMES = [["MIT"], ["ISC"], ["LGPL-3.0"], ["MPL-2.0"], ["BSD"], [], ["MIT"], ["CC-BY-NC-4.0", "GPL-2.0"]]
 
-@query("""select sha1(text) as id, count(*) as n from documents where text <> '' and doc_id % 3 = 0 group by 1""")
+
+@query(f"select o_orderkey, unnest({LICENSE_NAMES}[o_orderkey % 8 + 1]) as license from orders")
+def license_lines(spark, sf_dir):
+    """Files with the lines of several licenses."""
+    text = F.concat_ws("\n", F.col("o_orderpriority"), bridge.pick(LICENSE_LINES, F.col("o_orderkey") % 8))
+    return content.licenses(read(spark, sf_dir, "orders").select("o_orderkey", text.cast("binary").alias("data")), "o_orderkey")
+
+
+@query("""select sha1(text) as id, count(*) as n from documents where text <> '' group by 1""")
 def blob_lookup(spark, sf_dir):
-    wanted = read(spark, sf_dir, "documents").where("doc_id % 3 = 0 and text is not null").select(F.sha1(F.col("text").cast("binary")).alias("id"))
+    wanted = read(spark, sf_dir, "documents").where("text is not null").select(F.sha1(F.col("text").cast("binary")).alias("id"))
     found, _ = content.with_blobs(wanted, bridge.blobs(spark, sf_dir))
     return found.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""select sha1(text) as id, any_value(case when strlen(text) = length(text) then 'us-ascii' else 'utf-8' end) as encoding, 1 as tool_id from documents
-    where text <> '' and doc_id % 2 = 0 and sha1(text) not in (select sha1(text) from documents where doc_id % 5 = 0) group by 1""")
+    where text <> '' and sha1(text) not in (select sha1(text) from documents where doc_id % 5 = 0 and text is not null) group by 1""")
 def mimetype_job(spark, sf_dir):
-    """Contents of every other document, without those that were indexed before."""
+    """All contents, without those that were indexed before (those of every fifth document)."""
     docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("id"))
     known = docs.where("doc_id % 5 = 0").select("id", F.lit(1).cast("long").alias("tool_id"))
-    out = pipelines.content_mimetypes(docs.where("doc_id % 2 = 0"), bridge.blobs(spark, sf_dir), known, 1)
+    out = pipelines.content_mimetypes(docs, bridge.blobs(spark, sf_dir), known, 1)
     return out.select("id", "encoding", "tool_id")
 
 
-@query(r"""with t as (select distinct sha1(text) as id, ' ' || regexp_replace(lower(text), '[^a-z0-9.+-]+', ' ', 'g') || ' ' as w from documents where text <> '')
-    select id, 'MIT' as license, 7 as tool_id from t where w like '% mit license%' union all select id, 'Apache-2.0', 7 from t where w like '% apache license version 2.0%'""")
+@query(licenses_sql("sha1(text) as id", ", 7 as tool_id").replace("select distinct sha1(text) as id", "select distinct id").replace("found as (select sha1(text) as id", "found as (select id").replace("union all select sha1(text) as id", "union all select id"))
 def license_job(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").where("text is not null").select(F.sha1(F.col("text").cast("binary")).alias("id"))
-    return pipelines.content_licenses(docs, bridge.blobs(spark, sf_dir), 7).where(F.col("license").isin("MIT", "Apache-2.0"))
+    return pipelines.content_licenses(docs, bridge.blobs(spark, sf_dir), 7)
 
 
 @query(f"with {SQL_ORIGINS} select mapping, tool_id, count(*) as n, min(id) as first from (select id, tool_id, unnest(list_distinct(mappings)) as mapping from origins_i) group by all")
@@ -366,15 +432,29 @@ def list_by_producer(spark, sf_dir):
     return rows.select("id", "tool_id", F.explode(F.array_distinct("mappings")).alias("mapping")).groupBy("mapping", "tool_id").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
 
 
-@query("select supported.mapping, term, count(*) as n from (values ('npm', 'name'), ('npm', 'license'), ('maven', 'name')) as supported(mapping, term) join events on (user_id % 2 = 0) = (mapping = 'npm') group by all")
+#: What each mapping can produce, as its documentation says.
+SUPPORTED = {
+    "cff": "author codeRepository datePublished description identifier keywords license name url version",
+    "composer": "author description keywords license name url version",
+    "gemspec": "author codeRepository description email license name version",
+    "maven": "codeRepository description identifier license name version",
+    "npm": "author codeRepository description issueTracker keywords license name url version",
+    "nuget": "author description keywords license name releaseNotes url version",
+    "pkg-info": "author description keywords license name url version",
+    "pubspec": "author codeRepository description issueTracker keywords license name operatingSystem url",
+    "codemeta": " ".join(TERMS),
+}
+SQL_SUPPORTED = "supported as (select mapping, unnest(string_split(terms, ' ')) as term from (values {}) as s(mapping, terms))".format(", ".join(f"('{m}', '{t}')" for m, t in sorted(SUPPORTED.items())))
+
+
+@query(f"with {SQL_SUPPORTED} select mapping, term, count(*) as n from supported join events on mapping = {sorted(SUPPORTED)}[user_id % 9 + 1] group by all")
 def term_coverage_of_files(spark, sf_dir):
     """How many files of each mapping could yield a term."""
     from metalake.registry import REGISTRY
 
-    files = read(spark, sf_dir, "events").select(F.when(F.col("user_id") % 2 == 0, "npm").otherwise("maven").alias("mapping"))
+    files = read(spark, sf_dir, "events").select(bridge.pick(sorted(SUPPORTED), F.col("user_id") % 9).alias("mapping"))
     terms = REGISTRY.term_coverage(spark).select("term", F.explode("mappings").alias("mapping"))
-    wanted = terms.where("(mapping = 'npm' and term in ('name', 'license')) or (mapping = 'maven' and term = 'name')")
-    return files.groupBy("mapping").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(wanted), "mapping").select("mapping", "term", "n")
+    return files.groupBy("mapping").agg(F.count(F.lit(1)).alias("n")).join(terms, "mapping").select("mapping", "term", "n")
 
 
 QUERIES, ORACLES = query.queries, query.oracles

@@ -6,10 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from metalake.plans import pipelines
 from metalake.plans.lineage import work_dir
 from metalake.sources.bridge import read
 from metalake.streaming import journal
 
+from .formats import SQL_EXTRINSIC, known_forge_origins, remd
 from .register import Register
 
 query = Register()
@@ -21,7 +23,7 @@ def streamed_events(spark, sf_dir):
     base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     events = read(spark, sf_dir, "events")
     events.repartition(3, "event_id").write.parquet(f"{base}/log")
-    log = journal.file_log(spark, f"{base}/log", events._jdf.schema().toDDL(), 1)
+    log = journal.file_log(spark, f"{base}/log", events.schema, 1)
     jobs = {"good": lambda rows: rows.where("event_type <> 'error'").groupBy("user_id").agg(F.max("event_id").alias("last_event"), F.count(F.lit(1)).alias("n"))}
     journal.run_indexers(log, jobs, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     rows = spark.read.parquet(f"{base}/out/good")
@@ -38,4 +40,30 @@ def streamed_index(spark, sf_dir):
     return journal.read_index(spark, f"{base}/out", "mimetype", ["id"])
 
 
+@query(SQL_EXTRINSIC)
+def streamed_extrinsic(spark, sf_dir):
+    """Forge records from the log, oldest first; of an origin's rows the latest batch's stays."""
+    base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
+    records, known = remd(spark, sf_dir), known_forge_origins(spark, sf_dir)
+    for month in (1, 2):
+        records.where(F.month("discovery_date") == month).coalesce(1).write.mode("append").parquet(f"{base}/log")
+    log = journal.file_log(spark, f"{base}/log", records.schema, 1)
+    journal.run_indexers(log, {"extrinsic": lambda rows: pipelines.origin_extrinsic_metadata(rows, known)}, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return journal.read_index(spark, f"{base}/out", "extrinsic", ["id"])
+
+
+@query("""select 'good' as job, 3 as batches, count(*) filter (event_type <> 'error') as added, 'eventful' as status from events
+    union all select 'changes', 3, count(*), 'eventful' from events union all select 'broken', 3, 0, 'failed'""")
+def stream_status(spark, sf_dir):
+    """What each job of a stream reports, with an additions log and a job that always fails."""
+    base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = read(spark, sf_dir, "events")
+    events.repartition(3, "event_id").write.parquet(f"{base}/log")
+    log = journal.file_log(spark, f"{base}/log", events.schema, 1)
+    jobs = {"good": lambda rows: rows.where("event_type <> 'error'"), "broken": lambda rows: rows.select(F.raise_error(F.lit("no tool")).alias("x"))}
+    changes = {"changes": lambda rows: rows.select(F.to_json(F.struct("event_id", "event_type")).alias("message"))}
+    journal.run_indexers(log, jobs, f"{base}/out", f"{base}/checkpoint", changes).awaitTermination()
+    return journal.status(spark, f"{base}/out").groupBy("job", "status").agg(F.countDistinct("batch").cast("int").alias("batches"), F.sum("added").alias("added"))
+
+
 QUERIES, ORACLES = query.queries, query.oracles

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metalake.operators import formats
 from metalake.operators.graph import FILE_RULES
@@ -32,6 +33,20 @@ class Mapping:
     terms: tuple[str, ...] = ()
 
 
+def ruled(name: str, rules: DataFrame, rule: tuple[str, str] | None = None, extrinsic: tuple[str, ...] = (), hooks: dict[str, Callable[[Column], Column]] | None = None, terms: tuple[str, ...] = ()) -> Mapping:
+    """A mapping of JSON files by rules (key, term, kind), such as :func:`crosswalk_rules` gives.
+    ``hooks`` change single keys: from the key's variant to an array of strings."""
+    return Mapping(name, lambda files: formats.by_rules(files, rules, hooks=hooks), rule, extrinsic, terms)
+
+
+def crosswalk_rules(crosswalk: DataFrame, terms: DataFrame, ecosystem: str) -> DataFrame:
+    """(key, term, kind) of one ecosystem: the crosswalk's keys, with the kind that the context's
+    terms (term, iri, coerce) want; other terms hold plain texts."""
+    kinds = terms.select("term", F.when(F.col("coerce") == "@id", "uri").when(F.col("coerce").endswith("Date"), "date").otherwise("literal").alias("kind"))
+    mine = crosswalk.where(F.col("ecosystem") == ecosystem).select("key", "term")
+    return mine.join(kinds, "term", "left").select("key", "term", F.coalesce("kind", F.lit("literal")).alias("kind"))
+
+
 @dataclass(frozen=True)
 class Indexer:
     """A job over named input tables."""
@@ -76,8 +91,6 @@ class Registry:
 
     def term_coverage(self, spark: SparkSession, exclude: tuple[str, ...] = ()) -> DataFrame:
         """(term, mappings): the mappings that can produce a term."""
-        from pyspark.sql import functions as F
-
         rows = [(t, m.name) for m in self.mappings().values() if m.name not in exclude for t in m.terms]
         table = spark.createDataFrame(rows, "term string, mapping string")
         return table.groupBy("term").agg(F.array_sort(F.collect_set("mapping")).alias("mappings"))

@@ -1,25 +1,17 @@
-"""DDL of the tables that the engine reads and writes, and their logical keys."""
+"""DDL of the index tables that jobs write, and their logical keys. Ids of objects are hex."""
 
 from __future__ import annotations
 
-TOOLS = "id long, tool_name string, tool_version string, tool_configuration string"
-CONTENT_MIMETYPE = "id binary, mimetype string, encoding string, tool_id long"
-CONTENT_LICENSE = "id binary, license string, tool_id long"
-CONTENT_METADATA = "id binary, metadata string, tool_id long"
-DIRECTORY_METADATA = "id binary, metadata string, tool_id long, mappings array<string>"
-ORIGIN_INTRINSIC = "id string, metadata string, tool_id long, from_directory binary, mappings array<string>, tokens array<string>"
-ORIGIN_EXTRINSIC = "id string, metadata string, tool_id long, from_remd_id binary, mappings array<string>, tokens array<string>"
-
-#: Logical key of each index table; rows with equal keys replace each other.
-KEYS: dict[str, list[str]] = {
-    "content_mimetype": ["id", "tool_id"],
-    "content_license": ["id", "license", "tool_id"],
-    "content_metadata": ["id", "tool_id"],
-    "directory_metadata": ["id", "tool_id"],
-    "origin_intrinsic": ["id", "tool_id"],
-    "origin_extrinsic": ["id", "tool_id"],
+TABLES: dict[str, str] = {
+    "content_mimetype": "id string, mimetype string, encoding string, tool_id long",
+    "content_license": "id string, license string, tool_id long",
+    "content_metadata": "id string, metadata string, tool_id long",
+    "directory_metadata": "id string, metadata string, tool_id long, mappings array<string>",
+    "origin_intrinsic": "id string, metadata string, tool_id long, from_directory string, mappings array<string>, tokens array<string>",
+    "origin_extrinsic": "id string, metadata string, tool_id long, from_remd_id string, mappings array<string>, tokens array<string>",
 }
-
-#: Property table: one row per value of a property of a document.
-#: kind is literal, uri, date, person or type; pos orders authors.
-PROPS = "doc_id string, prop string, kind string, pos int, value string, node struct<id:string,type:string,name:string,email:string,url:string,given:string,family:string,affiliation:string>"
+#: Logical key of each index table; rows with equal keys replace each other.
+KEYS: dict[str, list[str]] = {name: ["id", "license", "tool_id"] if name == "content_license" else ["id", "tool_id"] for name in TABLES}
+COMMITS = "name string, version long, path string"
+CHANGES = "object_type string, message string"
+SUMMARY = "name string, added long, status string, error string"

@@ -10,23 +10,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 Job = Callable[[DataFrame], DataFrame]
 
 
-def file_log(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1) -> DataFrame:
+def file_log(spark: SparkSession, path: str, schema: str | StructType, files_per_batch: int = 1) -> DataFrame:
     """A log kept as Parquet files; ``files_per_batch`` bounds a batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def kafka_log(spark: SparkSession, brokers: str, prefix: str, object_types: list[str], per_batch: int = 200) -> DataFrame:
-    """A Kafka log, one topic per object type (needs Spark's Kafka package on the class path)."""
+def kafka_options(brokers: str, prefix: str, object_types: list[str], per_batch: int = 200, group: str | None = None) -> dict[str, str]:
+    """Options of a Kafka source with one topic per object type."""
     topics = ",".join(f"{prefix}.{t}" for t in sorted(set(object_types)))
-    return (
-        spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("subscribe", topics)
-        .option("maxOffsetsPerTrigger", per_batch).option("startingOffsets", "earliest").load()
-    )
+    options = {"kafka.bootstrap.servers": brokers, "subscribe": topics, "maxOffsetsPerTrigger": str(per_batch), "startingOffsets": "earliest"}
+    return options | ({"kafka.group.id": group} if group else {})
+
+
+def kafka_log(spark: SparkSession, brokers: str, prefix: str, object_types: list[str], per_batch: int = 200, group: str | None = None) -> DataFrame:
+    """A Kafka log (needs Spark's Kafka package on the class path)."""
+    return spark.readStream.format("kafka").options(**kafka_options(brokers, prefix, object_types, per_batch, group)).load()
 
 
 def topics_of(indexers: dict[str, list[str]], chosen: list[str]) -> list[str]:
@@ -34,25 +39,49 @@ def topics_of(indexers: dict[str, list[str]], chosen: list[str]) -> list[str]:
     return sorted({t for name in chosen for t in indexers[name]})
 
 
-def run_indexers(log: DataFrame, jobs: dict[str, Job], out: str, checkpoint: str, changes: dict[str, Job] | None = None) -> StreamingQuery:
+def run_indexers(log: DataFrame, jobs: dict[str, Job], out: str, checkpoint: str, changes: dict[str, Job] | None = None, stop_after: int | None = None) -> StreamingQuery:
     """Gives each batch to every job and writes its rows under ``out/<job>/batch=<n>``; jobs of
-    ``changes`` write the additions log. Ends when the log is read to its end."""
+    ``changes`` write the additions log, once their batch's index rows are there.
+
+    Each batch and job leaves a row in ``out/_status``: eventful, uneventful or failed. A job
+    that fails writes nothing of that batch and doesn't keep the others from theirs. The
+    stream ends when the log is read to its end or, at the end of a batch, when ``stop_after``
+    objects were read; a later run goes on from there.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
         rows.persist()
+        told = []
         try:
             for name, job in (jobs | (changes or {})).items():
-                job(rows).write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+                path = f"{out}/{name}/batch={number}"
+                try:
+                    job(rows).write.mode("overwrite").parquet(path)
+                    n = rows.sparkSession.read.parquet(path).count()
+                    told.append((name, n, "eventful" if n else "uneventful", None))
+                except Exception as error:  # noqa: BLE001 - a job's failure is its status, not the stream's
+                    told.append((name, 0, "failed", f"{type(error).__name__}: {error}"[:1000]))
+            status = rows.sparkSession.createDataFrame(told, "job string, added long, status string, error string")
+            status.coalesce(1).write.mode("overwrite").parquet(f"{out}/_status/batch={number}")
         finally:
             rows.unpersist()
 
-    return log.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = log.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    read: dict[int, int] = {}
+    while stop_after is not None and not query.awaitTermination(0.1):
+        read.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
+        if sum(read.values()) >= stop_after:
+            query.stop()
+    return query
+
+
+def status(spark: SparkSession, out: str) -> DataFrame:
+    """(batch, job, added, status, error) of all batches so far."""
+    return spark.read.option("basePath", f"{out}/_status").parquet(f"{out}/_status/batch=*")
 
 
 def read_index(spark: SparkSession, out: str, job: str, key: list[str]) -> DataFrame:
     """The index table that the batches make: for each key, the row of the latest batch."""
-    from pyspark.sql import functions as F
-
     rows = spark.read.parquet(f"{out}/{job}")
     last = rows.groupBy(*key).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in key]), "batch").alias("v"))
     return last.select(*key, "v.*").drop("batch")

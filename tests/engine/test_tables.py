@@ -33,6 +33,8 @@ def test_duplicate_ids_change_nothing(spark):
     rows = mime(spark, [("a", "x", "y", 1), ("a", "z", "y", 1)])
     with pytest.raises(tables.DuplicateId):
         tables.checked(rows, ["id", "tool_id"])
+    with pytest.raises(tables.DuplicateId):
+        tables.upsert(mime(spark, []), rows, ["id", "tool_id"])
 
 
 def test_licenses_add_up(spark):
@@ -110,7 +112,7 @@ def test_json_tokens_skip_keys_and_unescape(spark):
 
 
 def test_version_order(spark):
-    names = ["foo", "x-0.0.1-beta2.tar.gz", "x-0.0.1.tar.gz", "x-0.0.1+foobar.tar.gz", "x-0.0.2.tar.gz", "x-1.0.tar.gz"]
+    names = ["foo", "x-0.0.1-beta2.tar.gz", "x-0.0.1.tar.gz", "x-0.0.1+foobar.tar.gz", "x-0.0.2.tar.gz", "x-1.0.tar.gz", "x-20240101123456.tar.gz", f"x-{'9' * 60}.tar.gz"]
     df = spark.createDataFrame([(n,) for n in reversed(names)], "n string")
     assert [r["n"] for r in df.orderBy(S.version_key(F.col("n"))).collect()] == names
 
