@@ -18,28 +18,41 @@ occurrences then meet the repeated spans; hot ones are broadcast, so no task get
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, meet, text_or_empty
 
-#: White space that ends a sentence, and full stops of scripts that need none after them.
-BREAK = regex.compile(
-    r"(?<=[\u3002\uff01\uff1f\uff61])\s*|\s(?:(?<=\n)|(?<=[.!?\u0964\u0965\u06d4\u061f\u2026\u1362\u104b\u17d4][\"')\]\u00bb\u201d]?\s)|(?<=[\p{Ll}\p{N},;:)\]\"\u00bb\u201d]\s)(?=\p{Lu}))\s*"
-)
+
+
+def letters(category: str) -> str:
+    """A regular expression's class of the letters of a Unicode category, as ranges."""
+    codes = [c for c in range(0x20000) if unicodedata.category(chr(c)) == category]
+    breaks = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
+    return "".join(f"{chr(codes[i])}-{chr(codes[j - 1])}" for i, j in zip(breaks, breaks[1:]))
+
+
+SMALL, CAPITAL = letters("Ll"), letters("Lu")
+STOPS = ".!?\u0964\u0965\u06d4\u061f\u2026\u1362\u104b\u17d4"
+CLOSERS = "\"')\\]\u00bb\u201d"
+#: White space that ends a sentence: at a line end, after a full stop (and a closing mark), or
+#: before a capital that follows a small letter, a digit or a mark.
+BREAK = re.compile(rf"\s(?:(?<=\n)|(?<=[{STOPS}]\s)|(?<=[{STOPS}][{CLOSERS}]\s)|(?<=[{SMALL}0-9,;:{CLOSERS}]\s)(?=[{CAPITAL}]))\s*")
+#: Full stops of scripts that need no white space after them.
+WIDE_STOP = re.compile(r"[\u3002\uff01\uff1f\uff61]\s*")
 #: Characters of scripts that write no spaces between words: each counts as a word.
 UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
 HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
 WORD = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
 SPACED = re.compile(r"\S+")
-CUT_OVER = 24
+CUT_OVER = 32
 CUT_SHARE = 8
 NO_ID = -(1 << 63)
 
@@ -56,10 +69,13 @@ def cut_places(text: str, start: int, end: int, word: re.Pattern) -> list[int]:
 
 def units(text: str) -> list[int]:
     """Start of each sentence or piece of an overlong one, and the text's length."""
-    starts = [0, *(m.end() for m in BREAK.finditer(text) if m.end()), len(text)]
+    dense = HAS_UNSPACED.search(text) is not None
+    ends = [m.end() for m in BREAK.finditer(text)]
+    if dense:
+        ends = sorted({*ends, *(m.end() for m in WIDE_STOP.finditer(text))})
+    starts = [0, *ends, len(text)]
     if len(starts) >= 3 and starts[-2] >= len(text):
         starts.pop(-2)
-    dense = HAS_UNSPACED.search(text) is not None
     out = []
     for a, b in zip(starts, starts[1:]):
         out.append(a)
@@ -107,54 +123,55 @@ def without(text: str, drop: set[int]) -> str:
 
 
 def span_rows(df: DataFrame, limits: tuple[int, int]) -> DataFrame:
-    """(k, th, pos, h1, h2, again) of every span, written once; pos: its number in the text,
-    again: seen earlier in its text."""
+    """(k, th, pos, h1, h2) of every span, written once; pos: its number in the text, as
+    -1 - pos where the span was seen earlier in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in range(0, b.num_rows, 128):
                 part = b.slice(s, 128)
-                rows, digests, again, sizes = [], [], [], []
+                rows, digests, sizes = [], [], []
                 for text in part[2]:
                     seen: set[bytes] = set()
                     found = spans(text.as_py(), *limits)
                     for pos, (_, _, digest) in enumerate(found):
-                        rows.append(pos)
+                        rows.append(-1 - pos if digest in seen else pos)
                         digests.append(digest)
-                        again.append(digest in seen)
                         seen.add(digest)
                     sizes.append(len(found))
                 at = pa.array(np.repeat(np.arange(part.num_rows), sizes))
                 h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 yield pa.record_batch(
-                    [part[0].take(at), part[1].take(at), pa.array(rows, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].astype("int32")), pa.array(again, pa.bool_())],
-                    ["k", "th", "pos", "h1", "h2", "again"],
+                    [part[0].take(at), part[1].take(at), pa.array(rows, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].astype("int32"))],
+                    ["k", "th", "pos", "h1", "h2"],
                 )
 
-    return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int, again boolean"), "spans")
+    return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int"), "spans")
 
 
 def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 2, least_words: int = 24) -> DataFrame:
     """``df`` with ``text_col`` cleaned, and n_removed (long, sentences) appended.
 
     A sentence goes when a repeated span covers it and the span's first occurrence (smallest
-    id, then smallest hash of the text, then place in the text) is elsewhere. A text without
-    repeated spans is returned unchanged; null stays null; texts may become empty. A null id
-    ranks first. Rows that share both id and text count as one document, whose copies keep the
-    same sentences. An empty table gives no rows; a column named n_removed is replaced.
+    id, then place in the text) is elsewhere. A text without repeated spans is returned
+    unchanged; null stays null; texts may become empty. Rows with a null id rank first, by a
+    hash of their text, and are documents of their own (of equal texts, one); rows that share
+    an id count as one document, whose spans don't repeat each other. Ids lie above -2**62. An
+    empty table gives no rows; a column named n_removed is replaced.
     """
     limits = (least_units, least_words)
-    k, th = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), F.xxhash64(text_or_empty(text_col))
+    th = F.xxhash64(text_or_empty(text_col))
+    k = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.shiftrightunsigned(th, 2) + F.lit(NO_ID))
     rows = span_rows(df.select(k.alias("k"), th.alias("th"), text_or_empty(text_col).alias("text")), limits)
-    firsts = rows.where("not again").drop("again")
+    firsts = rows.where("pos >= 0")
     repeated = (
         firsts.groupBy("h1", "h2")
-        .agg(F.min(F.struct("k", "th")).alias("first"), F.max(F.struct("k", "th")).alias("last"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("k").alias("first"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
         .where("first < last").drop("last")
     )
-    later = meet(firsts, materialize(repeated, "repeated"), ["h1", "h2"], "n", rows.count()).where("struct(k, th) > first").select("k", "th", "pos")
+    later = meet(firsts, materialize(repeated, "repeated"), ["h1", "h2"], "n", rows.count()).where("k > first").select("k", "th", "pos")
     places = (
-        later.unionByName(rows.where("again").select("k", "th", "pos"))
+        later.unionByName(rows.where("pos < 0").select("k", "th", (-1 - F.col("pos")).alias("pos")))
         .groupBy(F.col("k").alias("__k"), F.col("th").alias("__th"))
         .agg(F.collect_set("pos").alias("__places"))
     )

@@ -208,7 +208,7 @@ def brute_runs(rows, limits=(2, 24)):
     """(doc_id, text, removed) by looking at every run of sentences: a run of at least two that
     holds 24 words goes where the same words stood in an earlier document or place."""
     seen, out, done = {}, [], {}
-    key = lambda r: (r[0] is not None, r[0] or 0, xxh64(r[1] or ""))
+    key = lambda r: (r[0] is not None, xxh64(r[1] or "") >> 2 if r[0] is None else r[0])
     for doc, text in sorted(rows, key=key):
         if (doc, text) in done:
             out.append((doc, *done[doc, text]))
@@ -232,11 +232,10 @@ def brute_runs(rows, limits=(2, 24)):
 
 
 def xxh64(text):
-    """Spark's xxhash64 of a text, signed."""
+    """Spark's xxhash64 of a text, unsigned."""
     import xxhash
 
-    value = xxhash.xxh64_intdigest(text.encode(), seed=42)
-    return value - (1 << 64) if value >> 63 else value
+    return xxhash.xxh64_intdigest(text.encode(), seed=42)
 
 
 def cleaned(df):
