@@ -5,47 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, meet
 
 
-SHARE = 512
+def _with_least(pairs: DataFrame, least: Column, rows: int) -> DataFrame:
+    """``pairs``, ``rows`` at most, with m, the smallest node known at ``a``. A hub's pairs are
+    not shuffled."""
+    by_node = materialize(pairs.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("n")), "by-node")
+    return meet(pairs, by_node, ["a"], "n", rows).drop("n")
 
 
-def _moved(pairs: DataFrame, least: Column, rows: int) -> DataFrame:
-    """``pairs``, ``rows`` at most, with m, the smallest node known at ``a``. Hubs, nodes with
-    more than 1/``SHARE`` of all pairs, are fewer than ``SHARE``: they are broadcast, and their
-    pairs are not shuffled."""
-    by_node = pairs.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("n"))
-    hub = F.broadcast(by_node.where(F.col("n") > rows / SHARE))
-    others = pairs.join(hub.select("a"), "a", "left_anti").join(by_node.where(F.col("n") <= rows / SHARE), "a")
-    return pairs.join(hub, "a").unionByName(others).drop("n")
+def _both(x: str, y: str) -> Column:
+    return F.explode(F.array(F.struct(F.col(x).alias("a"), F.col(y).alias("b")), F.struct(F.col(y).alias("a"), F.col(x).alias("b"))))
 
 
 def _large_star(edges: DataFrame, n: int) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    told = _moved(both, F.least(F.min("b"), F.col("a")), 2 * n)
+    """Every node's larger neighbours are tied to its smallest one: one pair an edge at most."""
+    both = edges.select(_both("a", "b").alias("e")).select("e.*")
+    told = _with_least(both, F.least(F.min("b"), F.col("a")), 2 * n)
     return told.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame, n: int) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    told = _moved(down, F.min("b"), n)
-    moved = told.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(told.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+def _small_star(down: DataFrame, n: int) -> DataFrame:
+    """Every node and its smaller neighbours (a > b) are tied to the smallest of them."""
+    told = _with_least(down, F.min("b"), n)
+    pairs = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+    return told.select(F.explode(pairs).alias("e")).select("e.*").where("a <> b").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(node, root): the smallest node of each component, for every node that has an edge.
 
-    ``edges`` has long columns a and b. Each round ends in a written table, so a lost executor
-    costs one round; sums of the roots tell when nothing changes any more.
+    ``edges`` has long columns a and b. Each step ends in a written table, so a lost executor
+    costs one step; sums of the edges tell when nothing changes any more.
     """
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     now, told = materialize(ordered, "edges"), None
     n = now.count()
     for _ in range(most_rounds):
-        # a large star has at most one pair for each of its edges, so n bounds both steps
-        now = materialize(_small_star(_large_star(now, n), n), "edges")
+        now = materialize(_small_star(materialize(_large_star(now, n), "stars"), n), "edges")
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == told:
             break
