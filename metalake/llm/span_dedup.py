@@ -67,9 +67,11 @@ def cut_places(text: str, start: int, end: int, word: re.Pattern) -> list[int]:
     return [found[k].start() for k in range(2, len(found)) if not (hashes[k - 2] * 31 + hashes[k - 1]) % CUT_SHARE]
 
 
-def units(text: str) -> list[int]:
-    """Start of each sentence or piece of an overlong one, and the text's length."""
-    dense = HAS_UNSPACED.search(text) is not None
+def units(text: str, dense: bool | None = None) -> list[int]:
+    """Start of each sentence or piece of an overlong one, and the text's length. dense: whether
+    the text has a script without spaces, if known."""
+    if dense is None:
+        dense = HAS_UNSPACED.search(text) is not None
     ends = [m.end() for m in BREAK.finditer(text)]
     if dense:
         ends = sorted({*ends, *(m.end() for m in WIDE_STOP.finditer(text))})
@@ -86,29 +88,32 @@ def units(text: str) -> list[int]:
     return [*out, len(text)]
 
 
-def words_of(piece: str) -> list[str]:
-    return WORD.findall(piece) if HAS_UNSPACED.search(piece) else piece.split()
+def words_of(piece: str, dense: bool | None = None) -> list[str]:
+    if dense is None:
+        dense = HAS_UNSPACED.search(piece) is not None
+    return WORD.findall(piece) if dense else piece.split()
 
 
 def spans(text: str, least_units: int, least_words: int) -> list[tuple[int, int, bytes]]:
     """(first sentence, last sentence, digest) of every span; case and white space don't count."""
-    at = units(text)
-    digests, counts = [], []
-    for a, b in zip(at, at[1:]):
-        words = words_of(text[a:b].lower())
-        counts.append(len(words))
-        digests.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
-    at = [k for k, n in enumerate(counts) if n]
-    sums = [0, *accumulate(counts[k] for k in at)]
-    found, i = set(), 0
+    dense = HAS_UNSPACED.search(text) is not None
+    starts = units(text, dense)
+    at, digests, counts = [], [], []
+    for k, (a, b) in enumerate(zip(starts, starts[1:])):
+        if words := words_of(text[a:b].lower(), dense):
+            at.append(k)
+            counts.append(len(words))
+            digests.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
+    sums, flat, width = [0, *accumulate(counts)], b"".join(digests), len(digests[0]) if digests else 0
+    found, i = [], 0
     for j in range(least_units, len(at) + 1):
         first = i
         while j - i >= least_units and sums[j] - sums[i] >= least_words:
             i += 1
-        found.update((k, j) for k in range(first, i))  # each the shortest from k; the last is the shortest up to j
-        if i and i == first:
-            found.add((i - 1, j))
-    return [(at[i], at[j - 1], xxhash.xxh3_128_digest(b"".join(digests[k] for k in at[i:j]))) for i, j in sorted(found)]
+        # each the shortest from its start; the last is the shortest up to j
+        for k in range(first if i > first else max(i - 1, 0), i):
+            found.append((at[k], at[j - 1], xxhash.xxh3_128_digest(flat[k * width : j * width])))
+    return found
 
 
 def removed_units(text: str, places: set[int], *limits: int) -> set[int]:
