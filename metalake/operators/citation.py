@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metalake.functions.scalars import parsed, spdx_name
 from metalake.operators.props import expand
+from metalake.plans.lineage import written
 
 PEOPLE = ["author", "editor", "publisher"]
 TEXTS = [
@@ -17,12 +18,13 @@ TEXTS = [
 ENTRY_TYPES = {"snp": "software", "rev": "softwareversion", "rel": "softwareversion", "dir": "softwareversion", "cnt": "codefragment"}
 
 
-def unwrap_roles(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``node`` (variant): an object value, or the node inside its Roles, however
-    deep: one pass tells how many Roles the deepest value can hold."""
+def unwrap_roles(rows: DataFrame, which: Column) -> DataFrame:
+    """``rows`` with ``node`` (variant): for those of ``which``, an object value or the node
+    inside its Roles, however deep: one pass tells how many Roles the deepest value can hold."""
     marks = F.regexp_count("value", F.lit('"Role"'))
-    depth = rows.where("kind = 'object'").agg(F.max(marks)).first()[0] or 0
-    rows = parsed(rows, F.when(F.col("kind") == "object", F.col("value")), "node")
+    of = which & (F.col("kind") == "object")
+    depth = rows.where(of).agg(F.max(marks)).first()[0] or 0
+    rows = parsed(rows, F.when(of, F.col("value")), "node")
     for _ in range(depth):
         inner = F.coalesce(*[F.try_variant_get("node", f"$.{p}", "variant") for p in PEOPLE])
         inner = F.coalesce(F.try_variant_get(inner, "$[0]", "variant"), inner)
@@ -52,9 +54,9 @@ def first_seen(items: Column) -> Column:
 def facts(docs: DataFrame) -> DataFrame:
     """One row per document (doc_id, metadata): single texts, and lists of licenses,
     identifiers, people and affiliations. Documents without a usable vocabulary are absent."""
-    expanded = expand(docs)
-    someone = unwrap_roles(expanded.where(F.col("prop").isin(PEOPLE))).withColumn("person", person()).where("person.name is not null").drop("node")
-    rows = expanded.where(~F.col("prop").isin(PEOPLE)).withColumn("person", F.lit(None).cast(someone.schema["person"].dataType)).unionByName(someone)
+    someone = F.col("prop").isin(PEOPLE)
+    rows = unwrap_roles(written(expand(docs), "expanded"), someone).withColumn("person", F.when(someone, person())).drop("node")
+    rows = rows.where(~someone | F.col("person.name").isNotNull())
     single = [F.min(F.when(F.col("prop") == t, F.struct("pos", "value")))["value"].alias(t) for t in TEXTS]
     lists = [
         first_seen(F.collect_list(F.when(F.col("prop") == p, F.struct(F.col("pos").alias("p"), F.col("person").alias("v"))))).alias(f"{p}s")
