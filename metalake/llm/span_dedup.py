@@ -1,26 +1,17 @@
 """Substring dedup by sliding spans of consecutive sentences.
 
-Sentences end at full stops of any script and at line ends; a passage that was pasted into a
-running sentence starts anew at a capital after a small letter, digit, comma or bracket. A
-sentence of more than ``CUT_OVER`` words is cut further at places that its own words choose
-(content-defined), so that a pasted passage falls into the same pieces wherever it stands.
-
-A run counts if it has at least ``least_units`` sentences and ``least_words`` words. Every
-sentence gives the shortest such run that starts and the shortest that ends at it: these
-spans cover each sentence of every longer repeated run, for such a run holds, from any of its
-sentences, the shortest one that starts there or else the shortest one that ends at its own
-end. Spans are hashed (96 bits) in the tasks; one row per document and distinct span goes to
-the global join, where the first document of each repeated span is found by a partial
-aggregate, so that a span that a third of all documents share arrives as counts. The
-occurrences then meet the repeated spans; hot ones are broadcast, so no task gets one whole.
+Every run of ``least_units`` consecutive sentences is hashed (96 bits) in the tasks, whatever
+their lengths; a longer repeated run is covered by the repeated runs inside it. One row per
+document and distinct span goes to the global join, where the first document of each repeated
+span is found by a partial aggregate, so that a span that a third of all documents share
+arrives as counts. The occurrences then meet the repeated spans; hot ones are broadcast, so no
+task gets one whole. Texts stay where they are as long as the places to remove are few enough
+to be sent to them.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,105 +20,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, meet, text_or_empty
+from .sentences import HAS_UNSPACED, starts, words
 
-
-
-def letters(category: str) -> str:
-    """A regular expression's class of the letters of a Unicode category, as ranges."""
-    codes = [c for c in range(0x20000) if unicodedata.category(chr(c)) == category]
-    breaks = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
-    return "".join(f"{chr(codes[i])}-{chr(codes[j - 1])}" for i, j in zip(breaks, breaks[1:]))
-
-
-SMALL, CAPITAL = letters("Ll"), letters("Lu")
-STOPS = ".!?\u0964\u0965\u06d4\u061f\u2026\u1362\u104b\u17d4"
-CLOSERS = "\"')\\]\u00bb\u201d"
-#: White space that ends a sentence: at a line end, after a full stop (and a closing mark), or
-#: before a capital that follows a small letter, a digit or a mark.
-BREAK = re.compile(rf"\s(?:(?<=\n)|(?<=[{STOPS}]\s)|(?<=[{STOPS}][{CLOSERS}]\s)|(?<=[{SMALL}0-9,;:{CLOSERS}]\s)(?=[{CAPITAL}]))\s*")
-#: Full stops of scripts that need no white space after them.
-WIDE_STOP = re.compile(r"[\u3002\uff01\uff1f\uff61]\s*")
-#: Characters of scripts that write no spaces between words: each counts as a word.
-UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
-HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
-WORD = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
-SPACED = re.compile(r"\S+")
-CUT_OVER = 32
-CUT_SHARE = 8
 NO_ID = -(1 << 63)
+#: Places to remove are broadcast up to this many bytes; beyond, they and the texts are joined by shuffle.
+MOST_SENT = 32_000_000
 
 
-def cut_places(text: str, start: int, end: int, word: re.Pattern) -> list[int]:
-    """Where an overlong sentence is cut: before each word whose two neighbours on the left
-    hash to 0 modulo ``CUT_SHARE``, so the places depend on nothing farther away."""
-    found = list(word.finditer(text, start, end))
-    if len(found) <= CUT_OVER:
-        return []
-    hashes = [xxhash.xxh3_64_intdigest(m.group().lower().encode("utf-8", "surrogatepass")) for m in found]
-    return [found[k].start() for k in range(2, len(found)) if not (hashes[k - 2] * 31 + hashes[k - 1]) % CUT_SHARE]
-
-
-def units(text: str, dense: bool | None = None) -> list[int]:
-    """Start of each sentence or piece of an overlong one, and the text's length. dense: whether
-    the text has a script without spaces, if known."""
-    if dense is None:
-        dense = HAS_UNSPACED.search(text) is not None
-    ends = [m.end() for m in BREAK.finditer(text)]
-    if dense:
-        ends = sorted({*ends, *(m.end() for m in WIDE_STOP.finditer(text))})
-    starts = [0, *ends, len(text)]
-    if len(starts) >= 3 and starts[-2] >= len(text):
-        starts.pop(-2)
-    out = []
-    for a, b in zip(starts, starts[1:]):
-        out.append(a)
-        if dense:
-            out += cut_places(text, a, b, WORD)
-        elif b - a > 2 * CUT_OVER and len(text[a:b].split()) > CUT_OVER:
-            out += cut_places(text, a, b, SPACED)
-    return [*out, len(text)]
-
-
-def words_of(piece: str, dense: bool | None = None) -> list[str]:
-    if dense is None:
-        dense = HAS_UNSPACED.search(piece) is not None
-    return WORD.findall(piece) if dense else piece.split()
-
-
-def spans(text: str, least_units: int, least_words: int) -> list[tuple[int, int, bytes]]:
-    """(first sentence, last sentence, digest) of every span; case and white space don't count."""
+def spans(text: str, least_units: int) -> list[tuple[int, int, bytes]]:
+    """(first sentence, last sentence, digest) of every run of ``least_units`` sentences; case and
+    white space don't count, nor do sentences without words."""
     dense = HAS_UNSPACED.search(text) is not None
-    starts = units(text, dense)
-    at, digests, counts = [], [], []
-    for k, (a, b) in enumerate(zip(starts, starts[1:])):
-        if words := words_of(text[a:b].lower(), dense):
+    bounds = starts(text, dense)
+    at, digests = [], []
+    for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        if said := words(text[a:b].lower(), dense):
             at.append(k)
-            counts.append(len(words))
-            digests.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
-    sums, flat, width = [0, *accumulate(counts)], b"".join(digests), len(digests[0]) if digests else 0
-    found, i = [], 0
-    for j in range(least_units, len(at) + 1):
-        first = i
-        while j - i >= least_units and sums[j] - sums[i] >= least_words:
-            i += 1
-        # each the shortest from its start; the last is the shortest up to j
-        for k in range(first if i > first else max(i - 1, 0), i):
-            found.append((at[k], at[j - 1], xxhash.xxh3_128_digest(flat[k * width : j * width])))
-    return found
-
-
-def removed_units(text: str, places: set[int], *limits: int) -> set[int]:
+            digests.append(xxhash.xxh3_128_digest(" ".join(said).encode("utf-8", "surrogatepass")))
+    flat, width = b"".join(digests), 16
+    return [(at[i], at[i + least_units - 1], xxhash.xxh3_128_digest(flat[i * width : (i + least_units) * width])) for i in range(len(at) - least_units + 1)]
+
+
+def removed_units(text: str, places: set[int], least_units: int) -> set[int]:
     """Sentences under the spans whose numbers in the text are ``places``."""
-    found = spans(text, *limits)
+    found = spans(text, least_units)
     return {k for p in places for k in range(found[p][0], found[p][1] + 1)}
 
 
 def without(text: str, drop: set[int]) -> str:
-    at = units(text)
+    at = starts(text)
     return "".join(text[a:b] for k, (a, b) in enumerate(zip(at, at[1:])) if k not in drop) if drop else text
 
 
-def span_rows(df: DataFrame, limits: tuple[int, int]) -> DataFrame:
+def span_rows(df: DataFrame, least_units: int) -> DataFrame:
     """(k, th, pos, h1, h2) of every span, written once; pos: its number in the text, as
     -1 - pos where the span was seen earlier in its text."""
 
@@ -138,7 +63,7 @@ def span_rows(df: DataFrame, limits: tuple[int, int]) -> DataFrame:
                 rows, digests, sizes = [], [], []
                 for text in part[2]:
                     seen: set[bytes] = set()
-                    found = spans(text.as_py(), *limits)
+                    found = spans(text.as_py(), least_units)
                     for pos, (_, _, digest) in enumerate(found):
                         rows.append(-1 - pos if digest in seen else pos)
                         digests.append(digest)
@@ -154,20 +79,27 @@ def span_rows(df: DataFrame, limits: tuple[int, int]) -> DataFrame:
     return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int"), "spans")
 
 
-def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 2, least_words: int = 24) -> DataFrame:
+def with_places(tagged: DataFrame, places: DataFrame) -> DataFrame:
+    """``tagged`` (with __k and __th) with __places, int32 numbers as binary. The places of a few
+    documents are sent to the texts, which aren't shuffled then."""
+    bytes_ = places.agg(F.sum(F.octet_length("__places") + 32)).first()[0] or 0
+    return tagged.join(F.broadcast(places) if bytes_ <= MOST_SENT else places, ["__k", "__th"], "left")
+
+
+def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_units: int = 3) -> DataFrame:
     """``df`` with ``text_col`` cleaned, and n_removed (long, sentences) appended.
 
     A sentence goes when a repeated span covers it and the span's first occurrence (smallest
-    id, then place in the text) is elsewhere. A text without repeated spans is returned
+    id, then place in the text) is elsewhere. Spans are runs of ``least_units`` sentences, short
+    or long; sentences are those of :mod:`.sentences`. A text without repeated spans is returned
     unchanged; null stays null; texts may become empty. Rows with a null id rank first, by a
     hash of their text, and are documents of their own (of equal texts, one); rows that share
     an id count as one document, whose spans don't repeat each other. Ids lie above -2**62. An
     empty table gives no rows; a column named n_removed is replaced.
     """
-    limits = (least_units, least_words)
     th = F.xxhash64(text_or_empty(text_col))
     k = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.shiftrightunsigned(th, 2) + F.lit(NO_ID))
-    rows = span_rows(df.select(k.alias("k"), th.alias("th"), text_or_empty(text_col).alias("text")), limits)
+    rows = span_rows(df.select(k.alias("k"), th.alias("th"), text_or_empty(text_col).alias("text")), least_units)
     firsts = rows.where("pos >= 0")
     repeated = (
         firsts.groupBy("h1", "h2")
@@ -175,14 +107,18 @@ def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         .where("first < last").drop("last")
     )
     later = meet(firsts, materialize(repeated, "repeated"), ["h1", "h2"], "n", rows.count()).where("k > first").select("k", "th", "pos")
-    places = (
-        later.unionByName(rows.where("pos < 0").select("k", "th", (-1 - F.col("pos")).alias("pos")))
-        .groupBy(F.col("k").alias("__k"), F.col("th").alias("__th"))
-        .agg(F.collect_set("pos").alias("__places"))
-    )
+    gone = later.unionByName(rows.where("pos < 0").select("k", "th", (-1 - F.col("pos")).alias("pos")))
+    # one document's places: no more than it has sentences
+    places = gone.groupBy(F.col("k").alias("__k"), F.col("th").alias("__th")).agg(F.collect_set("pos").alias("__set"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b[0], b[1], pa.array([np.asarray(x.values, "<i4").tobytes() for x in b[2]], pa.binary())], ["__k", "__th", "__places"])
+
+    places = materialize(places.mapInArrow(pack, "__k long, __th long, __places binary"), "places")
     columns = [c for c in df.columns if c != "n_removed"]
     tagged = df.select(*[F.col(f"`{c}`") for c in columns], k.alias("__k"), th.alias("__th"))
-    joined = tagged.join(places, ["__k", "__th"], "left").select(*[F.col(f"`{c}`") for c in columns], "__places")
+    joined = with_places(tagged, places).select(*[F.col(f"`{c}`") for c in columns], "__places")
     at, kind = columns.index(text_col), joined.schema[text_col].dataType.simpleString()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1]) + ", n_removed long"
     assert kind == "string", f"{text_col} is {kind}"
@@ -191,13 +127,13 @@ def span_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         for b in batches:
             for s in range(0, b.num_rows, 128):
                 part = b.slice(s, 128)
-                texts, gone = [], []
+                texts, removed = [], []
                 for text, of in zip(part[at].to_pylist(), part[len(columns)].to_pylist()):
-                    drop = removed_units(text, set(of), *limits) if of else set()
+                    drop = removed_units(text, set(np.frombuffer(of, "<i4").tolist()), least_units) if of else set()
                     texts.append(without(text, drop) if drop else text)
-                    gone.append(len(drop))
+                    removed.append(len(drop))
                 arrays = [part[c] for c in range(len(columns))]
                 arrays[at] = pa.array(texts, pa.string())
-                yield pa.record_batch([*arrays, pa.array(gone, pa.int64())], [*columns, "n_removed"])
+                yield pa.record_batch([*arrays, pa.array(removed, pa.int64())], [*columns, "n_removed"])
 
     return joined.mapInArrow(clean, schema)
