@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metalake.functions.scalars import parsed, spdx_name
-from metalake.operators.props import expand
+from metalake.functions.scalars import spdx_name
+from metalake.operators import jsonld
+from metalake.operators.jsonld import PEOPLE
+from metalake.plans.lineage import written
 
-PEOPLE = ["author", "editor", "publisher"]
 TEXTS = [
     "name", "description", "dateCreated", "datePublished", "dateModified", "url", "version", "codeRepository",
     "relatedLink", "downloadUrl", "installUrl", "releaseNotes", "referencePublication",
@@ -17,31 +18,31 @@ TEXTS = [
 ENTRY_TYPES = {"snp": "software", "rev": "softwareversion", "rel": "softwareversion", "dir": "softwareversion", "cnt": "codefragment"}
 
 
-def unwrap_roles(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``node`` (variant): an object value, or the node inside its Roles, however
-    deep: one pass tells how many Roles the deepest value can hold."""
-    marks = F.regexp_count("value", F.lit('"Role"'))
-    depth = rows.where("kind = 'object'").agg(F.max(marks)).first()[0] or 0
-    rows = parsed(rows, F.when(F.col("kind") == "object", F.col("value")), "node")
-    for _ in range(depth):
-        inner = F.coalesce(*[F.try_variant_get("node", f"$.{p}", "variant") for p in PEOPLE])
-        inner = F.coalesce(F.try_variant_get(inner, "$[0]", "variant"), inner)
-        role = F.coalesce(F.try_variant_get("node", "$.type", "string"), F.lit("")) == "Role"
-        # explode keeps the levels apart: merged into one projection they would double each time
-        rows = rows.withColumn("node", F.explode(F.array(F.when(role, inner).otherwise(F.col("node")))))
-    return rows
-
-
-def person() -> Column:
-    """Person struct of one author-like row; null without a name."""
-    get = lambda p: F.try_variant_get("node", f"$.{p}", "string")
-    name = F.coalesce(get("name"), F.when(F.col("kind") != "object", F.col("value")))
-    affiliation = F.coalesce(get("affiliation.name"), F.when(F.schema_of_variant(F.try_variant_get("node", "$.affiliation", "variant")) == "STRING", get("affiliation")))
-    whole = F.coalesce(name, F.nullif(F.trim(F.concat_ws(" ", get("givenName"), get("familyName"))), F.lit("")))
-    return F.struct(
-        whole.alias("name"), get("givenName").alias("given"), get("familyName").alias("family"),
-        (F.coalesce(get("type"), F.lit("Person")) == "Organization").alias("organization"), affiliation.alias("affiliation"), get("email").alias("email"),
+PERSON = "struct<name: string, given: string, family: string, organization: boolean, email: string>"
+
+
+def people(table: DataFrame) -> DataFrame:
+    """(doc_id, role, path, person, affiliations) of everyone with a name, in order of path."""
+    entity = F.col("kind") == "person"
+    found = table.where(F.col("kind").startswith("person")).select("doc_id", F.col("prop").alias("role"), F.array("pos").alias("path"), F.when(entity, F.col("value")).alias("node"), F.when(~entity, F.col("value")).alias("literal"))
+    names = table.where(F.col("prop").isin("name", "givenName", "familyName", "type", "email", "affiliation"))
+    first = lambda p: F.min(F.when(F.col("prop") == p, F.struct("pos", "value")))["value"]
+    told = names.groupBy("doc_id", "node").agg(
+        first("name").alias("name"), first("givenName").alias("given"), first("familyName").alias("family"), first("email").alias("email"),
+        F.coalesce(F.bool_or((F.col("prop") == "type") & (F.col("value") == "Organization")), F.lit(False)).alias("organization"),
     )
+    whole = told.withColumn("name", F.coalesce("name", F.nullif(F.trim(F.concat_ws(" ", "given", "family")), F.lit("")))).where("name is not null")
+    joined = found.join(whole, ["doc_id", "node"], "left")
+    person = F.when(
+        F.coalesce("name", "literal").isNotNull(), F.struct(F.coalesce("name", "literal").alias("name"), "given", "family", F.coalesce("organization", F.lit(False)).alias("organization"), "email")
+    ).cast(PERSON)
+    # whom a person is affiliated with: a node's name, or a text
+    member = names.where("prop = 'affiliation'").select("doc_id", "node", "pos", "kind", F.col("value").alias("place"))
+    org = whole.select("doc_id", F.col("node").alias("place"), F.col("name").alias("org"))
+    member = member.join(org, ["doc_id", "place"], "left").withColumn("org", F.coalesce("org", F.when(F.col("kind") == "literal", F.col("place"))))
+    member = member.where("org is not null").groupBy("doc_id", "node").agg(F.array_sort(F.collect_list(F.struct("pos", "org"))).alias("orgs"))
+    out = joined.join(member, ["doc_id", "node"], "left").select("doc_id", "role", "path", person.alias("person"), F.transform("orgs", lambda o: o["org"]).alias("affiliations"))
+    return out.where("person is not null")
 
 
 def first_seen(items: Column) -> Column:
@@ -50,26 +51,27 @@ def first_seen(items: Column) -> Column:
 
 
 def facts(docs: DataFrame) -> DataFrame:
-    """One row per document (doc_id, metadata): single texts, and lists of licenses,
-    identifiers, people and affiliations. Documents without a usable vocabulary are absent."""
-    expanded = expand(docs)
-    someone = unwrap_roles(expanded.where(F.col("prop").isin(PEOPLE))).withColumn("person", person()).where("person.name is not null").drop("node")
-    rows = expanded.where(~F.col("prop").isin(PEOPLE)).withColumn("person", F.lit(None).cast(someone.schema["person"].dataType)).unionByName(someone)
-    single = [F.min(F.when(F.col("prop") == t, F.struct("pos", "value")))["value"].alias(t) for t in TEXTS]
-    lists = [
-        first_seen(F.collect_list(F.when(F.col("prop") == p, F.struct(F.col("pos").alias("p"), F.col("person").alias("v"))))).alias(f"{p}s")
-        for p in PEOPLE
-    ]
-    place = F.when(F.col("prop") == "id", -1).otherwise(F.col("pos"))  # the document's own id comes first
+    """One row per document (doc_id, metadata): single texts, and lists of licenses, identifiers,
+    people and affiliations. Documents without a usable vocabulary are absent."""
+    table = written(jsonld.statements(docs), "statements")
+    own = table.where("root and not startswith(kind, 'person')").select("doc_id", "prop", F.array("pos").alias("path"), "value", F.lit(None).cast(PERSON).alias("person"), F.lit(None).cast("array<string>").alias("affiliations"))
+    own = own.where(~F.col("prop").isin(PEOPLE) & ~F.col("value").startswith("_:"))
+    someone = people(table).select("doc_id", F.col("role").alias("prop"), "path", F.lit(None).cast("string").alias("value"), "person", "affiliations")
+    everyone = table.select("doc_id").distinct().select("doc_id", F.lit("").alias("prop"), F.array().cast("array<int>").alias("path"), F.lit(None).cast("string").alias("value"), F.lit(None).cast(PERSON).alias("person"), F.lit(None).cast("array<string>").alias("affiliations"))
+    rows = own.unionByName(someone).unionByName(everyone)
+    single = [F.min(F.when(F.col("prop") == t, F.struct("path", "value")))["value"].alias(t) for t in TEXTS]
+    lists = [first_seen(F.collect_list(F.when(F.col("prop") == p, F.struct(F.col("path").alias("p"), F.col("person").alias("v"))))).alias(f"{p}s") for p in PEOPLE]
+    rank = F.concat(F.array(sum((F.when(F.col("prop") == p, i).otherwise(0) for i, p in enumerate(PEOPLE)), F.lit(0))), F.col("path"))
+    where = F.collect_list(F.when(F.col("affiliations").isNotNull(), F.struct(rank.alias("p"), F.col("affiliations").alias("v"))))
+    place = F.when(F.col("prop") == "id", F.array(F.lit(-1))).otherwise(F.col("path"))  # the document's own id comes first
     texts = [
         first_seen(F.collect_list(F.when(F.col("prop").isin(p), F.struct(place.alias("p"), F.col("value").alias("v"))))).alias(name)
         for p, name in ((["license"], "license_uris"), (["identifier", "id"], "identifiers"))
     ]
-    out = rows.groupBy("doc_id").agg(*single, *lists, *texts)
+    out = rows.groupBy("doc_id").agg(*single, *lists, *texts, F.array_distinct(F.flatten(F.transform(F.array_sort(where), lambda x: x["v"]))).alias("affiliations"))
     out = out.withColumn("licenses", F.array_compact(F.transform("license_uris", spdx_name)))
-    where = F.flatten(F.array(*[F.transform(f"{p}s", lambda x: x["affiliation"]) for p in PEOPLE]))
     ordered = F.concat("identifiers", F.filter(F.transform("identifiers", lambda x: F.substring_index(x, "/", -1)), lambda x: ~x.contains("/")))
-    return out.withColumn("affiliations", F.array_distinct(F.array_compact(where))).withColumn("identifiers", F.array_distinct(ordered))
+    return out.withColumn("identifiers", F.array_distinct(ordered))
 
 
 def citation_date() -> tuple[Column, Column]:
@@ -108,23 +110,28 @@ def doi() -> Column:
     return F.regexp_replace(F.get(found, F.lit(0)), r"^https?://(dx\.)?doi\.org/", "")
 
 
-def fielded(value: Column, verbatim: bool) -> Column:
-    """A field's value in quotes, or in braces where it has quotes itself. Braces that don't
-    pair up are written as TeX commands; characters that TeX reads as commands are escaped,
-    but for ``verbatim`` values."""
-    escaped = value if verbatim else F.regexp_replace(value, r"([&%$#_])", r"\\$1")
-    paired = F.aggregate(
-        F.split(F.regexp_replace(value, "[^{}]", ""), ""),
+def paired(value: Column) -> Column:
+    """Do the braces of a text pair up?"""
+    braces = F.split(F.regexp_replace(value, "[^{}]", ""), "")
+    state = F.aggregate(
+        braces,
         F.struct(F.lit(0).alias("open"), F.lit(True).alias("fine")),
         lambda s, c: F.struct(
             (s["open"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("open"),
             (s["fine"] & (s["open"] - F.when(c == "}", 1).otherwise(0) >= 0)).alias("fine"),
         ),
-        lambda s: s["fine"] & (s["open"] == 0),
     )
+    return state["fine"] & (state["open"] == 0)
+
+
+def fielded(value: Column, verbatim: Column) -> Column:
+    """A field's value in quotes, or in braces where it has quotes itself. Braces that don't
+    pair up are written as TeX commands; characters that TeX reads as commands are escaped,
+    but for ``verbatim`` values."""
+    escaped = F.when(verbatim, value).otherwise(F.regexp_replace(value, r"([&%$#_])", r"\\$1"))
     spelled = F.replace(F.replace(escaped, F.lit("{"), F.lit("\\textbraceleft ")), F.lit("}"), F.lit("\\textbraceright "))
-    plain = F.when(paired, escaped).otherwise(spelled)
-    return F.when(plain.contains('"'), F.concat(F.lit("{"), plain, F.lit("}"))).otherwise(F.concat(F.lit('"'), plain, F.lit('"')))
+    plain = F.when(~value.rlike("[{}]"), escaped).when(paired(value), escaped).otherwise(spelled)
+    return F.when(value.contains('"'), F.concat(F.lit("{"), plain, F.lit("}"))).otherwise(F.concat(F.lit('"'), plain, F.lit('"')))
 
 
 #: Fields that are names in BibTeX form, addresses or keys.
@@ -142,7 +149,9 @@ def bibtex(rows: DataFrame) -> DataFrame:
         ("publisher", F.nullif(F.array_join(F.transform("publishers", lambda p: p["name"]), ", "), F.lit(""))), ("repository", F.col("codeRepository")), ("url", F.coalesce("url", "relatedLink", "downloadUrl", "installUrl")),
         ("title", F.col("name")), ("abstract", F.col("description")), ("version", F.col("version")), ("swhid", F.col("swhid")),
     ]
-    lines = F.array_compact(F.array(*[F.when(c.isNotNull(), F.concat(F.lit(f"    {k} = "), c if k == "month" else fielded(c, k in VERBATIM))) for k, c in fields]))
+    told = F.array(*[F.struct(F.lit(k).alias("name"), c.alias("value"), F.lit(k in VERBATIM).alias("verbatim")) for k, c in fields])
+    line = lambda f: F.concat(F.lit("    "), f["name"], F.lit(" = "), F.when(f["name"] == "month", f["value"]).otherwise(fielded(f["value"], f["verbatim"])))
+    lines = F.transform(F.filter(told, lambda f: f["value"].isNotNull()), line)
     head = F.concat(F.lit("@"), entry_type(swhid), F.lit("{"), citation_key(swhid), F.lit(",\n"))
     body = F.concat(head, F.array_join(lines, ",\n"), F.lit("\n}\n"))
     return rows.withColumn("bibtex", F.when(F.size(lines) > 0, body)).withColumn("error", F.when(F.size(lines) == 0, "no field to cite"))

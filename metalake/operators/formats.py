@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metalake.functions.scalars import is_url, parsed, spdx_uri
-from metalake.operators.props import TERMS, expand
+from metalake.operators.decode import gemspec_to_json, has_root, utf8, xml_text, yaml_to_json
+from metalake.operators.props import TERMS, expand, quoted
 
 STRINGS = "array<string>"
 
@@ -22,10 +23,6 @@ STRINGS = "array<string>"
 # -- shared shapes --------------------------------------------------------------------------
 
 
-def utf8(data: str = "data") -> Column:
-    return F.try_validate_utf8(F.col(data).cast("string"))
-
-
 def json_files(files: DataFrame, *keys: str) -> DataFrame:
     """(doc_id, f) of files whose data is a JSON object; f: the values of ``keys`` as variants,
     taken apart in one step. Of repeated keys the last counts, at any depth."""
@@ -206,10 +203,13 @@ def codemeta(files: DataFrame) -> DataFrame:
 
 
 def xml_files(files: DataFrame, schema: str, row: str) -> DataFrame:
-    """Files with ``x``: the elements that ``schema`` names; broken XML gives no row."""
-    text = F.regexp_replace(utf8(), r"^\ufeff?\s*<\?xml[^>]*\?>", "")
-    told = F.from_xml(text, f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE", "rowTag": row})
-    return files.select("doc_id", told.alias("x"), text.alias("t")).where(F.col("t").isNotNull() & F.col("x._corrupt").isNull() & F.col("t").rlike(rf"<{row}[\s>/]"))
+    """Files whose outermost element is ``row``, with ``x``: the elements that ``schema`` names.
+    Text is read in its declared character set; broken XML gives no row."""
+    text = xml_text(F.col("data"))
+    # explode keeps the steps apart: merged into one projection the text would be decoded for every field
+    rows = files.select("doc_id", F.explode(F.array(text)).alias("t")).where(F.col("t").isNotNull() & has_root(F.col("t"), row))
+    told = F.from_xml("t", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE", "rowTag": row})
+    return rows.select("doc_id", F.explode(F.array(told)).alias("x")).where(F.col("x._corrupt").isNull())
 
 
 POM = "groupId string, artifactId string, name string, version string, description string, repositories struct<repository: array<struct<url: string, layout: string>>>, licenses struct<license: array<struct<name: string, url: string>>>"
@@ -272,8 +272,11 @@ def pkg_info(files: DataFrame) -> DataFrame:
     head = F.element_at(F.split(text, r"\n\n", 2), 1)
     rows = files.select("doc_id", F.split(head, r"\n(?=\S)").alias("h")).where("h is not null")
     first = lambda k: F.get(header_values(k), F.lit(0))
-    names, mails = header_values("author"), header_values("author-email")
-    one = F.when(F.size(names) + F.size(mails) > 0, person_json(F.array_join(names, ", "), F.array_join(mails, ", ")))
+    # all names and addresses are of one person; several of a kind stay apart
+    several = lambda a: F.when(F.size(a) == 1, quoted(F.get(a, F.lit(0)))).when(F.size(a) > 1, F.to_json(a))
+    known = [F.concat(F.lit(f'"{k}":'), several(F.array_sort(F.array_distinct(header_values(h))))) for k, h in (("email", "author-email"), ("name", "author"))]
+    body = F.array_join(F.array_compact(F.array(*known)), ",")
+    one = F.when(body != "", F.concat(F.lit("{"), body, F.lit(',"type":"Person"}')))
     return values(
         rows,
         name=("literal", as_array(first("name"))),
@@ -286,81 +289,25 @@ def pkg_info(files: DataFrame) -> DataFrame:
     )
 
 
-LITERAL = r"""^(?:"([^"\\]*)"|'([^'\\]*)')(?:\.freeze)?$"""
-HEADER = r"(?s)^.*?Gem::Specification\.new\s*(?:do|\{)\s*\|\s*(\w+)\s*\|"
-
-
-def gem_literal(text: Column) -> Column:
-    whole = F.trim(text)
-    return F.when(whole.rlike(LITERAL), F.concat(F.regexp_extract(whole, LITERAL, 1), F.regexp_extract(whole, LITERAL, 2)))
-
-
-def gem_values(key: str) -> Column:
-    """The literal strings that the last assignment to a key gives; anything else is void."""
-    mine = F.filter("lines", lambda x: F.regexp_extract(x, r"^\s*\w+\.(\w+)\s*=(?![=~])", 1) == key)
-    expr = F.trim(F.regexp_replace(F.element_at(mine, F.when(F.size(mine) > 0, -1)), r"^\s*\w+\.\w+\s*=\s*", ""))
-    inner = F.regexp_extract(expr, r"^\[(.*)\](?:\.freeze)?$", 1)
-    items = F.transform(F.split(inner, r",\s*(?=[\"'\[])"), gem_literal)
-    listed = F.when(~F.exists(items, lambda x: x.isNull()), items)
-    return F.when(expr.startswith("["), F.when(F.trim(inner) == "", F.array().cast(STRINGS)).otherwise(listed)).otherwise(F.array_compact(F.array(gem_literal(expr))))
-
-
 def gemspec(files: DataFrame) -> DataFrame:
-    text = utf8()
-    body = F.regexp_replace(text, HEADER, "")
-    rows = files.select("doc_id", F.split(body, r"\r?\n").alias("lines"), text.alias("t")).where(F.col("t").rlike(HEADER))
-    people = F.concat(F.coalesce(gem_values("author"), F.array().cast(STRINGS)), F.coalesce(gem_values("authors"), F.array().cast(STRINGS)))
-    rows = rows.withColumn("people", people)
-    licenses = F.concat(F.coalesce(gem_values("license"), F.array().cast(STRINGS)), F.coalesce(gem_values("licenses"), F.array().cast(STRINGS)))
+    rows = json_files(gemspec_to_json(files), "name", "version", "email", "summary", "description", "homepage", "license", "licenses", "author", "authors")
+    listed = lambda key: F.when(shape(item(key)).startswith("ARRAY"), texts_at(key)).otherwise(F.array().cast(STRINGS))
+    people = F.concat(as_array(text_at("author")), listed("authors"))
     return values(
         rows,
-        name=("literal", gem_values("name")),
-        version=("literal", gem_values("version")),
-        email=("literal", gem_values("email")),
-        description=("literal", F.concat(F.coalesce(gem_values("summary"), F.array().cast(STRINGS)), F.coalesce(gem_values("description"), F.array().cast(STRINGS)))),
-        codeRepository=("uri", gem_values("homepage")),
-        license=("uri", F.transform(licenses, spdx_uri)),
-        author=("object", F.transform("people", lambda x: person_json(x))),
+        name=("literal", texts_at("name")),
+        version=("literal", texts_at("version")),
+        email=("literal", texts_at("email")),
+        description=("literal", F.concat(texts_at("summary"), texts_at("description"))),
+        codeRepository=("uri", texts_at("homepage")),
+        license=("uri", F.transform(F.concat(as_array(text_at("license")), listed("licenses")), spdx_uri)),
+        author=("object", F.transform(people, lambda x: person_json(x))),
     )
 
 
 # -- YAML -----------------------------------------------------------------------------------
 
 
-def yaml_to_json(files: DataFrame) -> DataFrame:
-    """Files with ``data`` as JSON text: the one step that needs a Python parser. Text that is
-    no YAML mapping, uses unknown tags or nests too deep for the parser becomes null."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import json
-
-        import yaml
-
-        def convert(data: bytes | None) -> bytes | None:
-            try:
-                text = (data or b"").decode("utf-8")
-                if deep(text):
-                    return None
-                doc = yaml.load(text, Loader=getattr(yaml, "CBaseLoader", yaml.BaseLoader))
-                return json.dumps(doc, ensure_ascii=False).encode() if isinstance(doc, dict) else None
-            except (yaml.YAMLError, ValueError, TypeError, RecursionError):
-                return None
-
-        def deep(text: str, most: int = 200) -> bool:
-            """Brackets or indents beyond ``most`` levels, which the C parser's stack can't take."""
-            level = 0
-            for c in text:
-                level += (c in "[{") - (c in "]}")
-                if level > most:
-                    return True
-            return any(len(line) - len(line.lstrip(" -?")) > 2 * most for line in text.split("\n"))
-
-        for b in batches:
-            yield pa.record_batch([b["doc_id"], pa.array([convert(x) for x in b["data"].to_pylist()], pa.binary())], ["doc_id", "data"])
-
-    return files.select("doc_id", "data").mapInArrow(run, "doc_id string, data binary")
-
-
 def cff(files: DataFrame) -> DataFrame:
     keys = ("title", "abstract", "version", "keywords", "doi", "license", "date-released", "url", "repository-code", "authors")
     rows = json_files(yaml_to_json(files), *keys, "preferred-citation")
@@ -368,8 +315,9 @@ def cff(files: DataFrame) -> DataFrame:
     inner = F.try_variant_get(cited, "$", "struct<" + ", ".join(f"`{k}`: variant" for k in keys) + ">")
     own = F.struct(*[F.col(f"f.`{k}`").alias(k) for k in keys])
     rows = rows.select("doc_id", F.when(F.schema_of_variant(cited).startswith("OBJECT"), inner).otherwise(own).alias("f"))
-    people = F.from_json(F.to_json(F.try_variant_get(item("authors"), "$", "array<variant>")), "array<struct<`family-names`:string,`given-names`:string,affiliation:string,orcid:string>>")
-    node = lambda p: F.when(F.trim(p["orcid"]).rlike("^[a-z]+://[^/ ]+"), F.trim(p["orcid"]))
+    people = F.filter(F.try_variant_get(item("authors"), "$", "array<variant>"), lambda p: shape(p).startswith("OBJECT"))
+    get = lambda p, k: text_of(F.try_variant_get(p, f"$['{k}']", "variant"))
+    node = lambda p: F.when(F.trim(get(p, "orcid")).rlike("^[a-z]+://[^/ ]+"), F.trim(get(p, "orcid")))
     return values(
         rows,
         name=("literal", as_array(text_at("title"))),
@@ -381,7 +329,7 @@ def cff(files: DataFrame) -> DataFrame:
         datePublished=("date", as_array(text_at("date-released"))),
         url=("uri", as_array(text_at("url"))),
         codeRepository=("uri", as_array(text_at("repository-code"))),
-        author=("object", F.transform(people, lambda p: person_json(None, given=p["given-names"], family=p["family-names"], node=node(p), org=p["affiliation"]))),
+        author=("object", F.transform(people, lambda p: person_json(None, given=get(p, "given-names"), family=get(p, "family-names"), node=node(p), org=get(p, "affiliation")))),
     )
 
 

@@ -10,31 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metalake.functions.scalars import parsed
+from metalake.operators import jsonld
+from metalake.operators.jsonld import CODEMETA_IRI, DATE_TERMS, LIST_TERMS, SCHEMA_IRI, URI_TERMS  # noqa: F401
 
 CONTEXT = "https://doi.org/10.5063/schema/codemeta-2.0"
-#: Contexts of version 2 (the first may end in a slash), of version 3, and the
-#: general vocabulary, whose terms have no types of their own.
-CONTEXT_V2 = [
-    "https://doi.org/10.5063/schema/codemeta-2.0",
-    "https://raw.githubusercontent.com/codemeta/codemeta/master/codemeta.jsonld",
-    "https://raw.githubusercontent.com/codemeta/codemeta/2.0/codemeta.jsonld",
-    "https://doi.org/doi:10.5063/schema/codemeta-2.0",
-    "http://purl.org/codemeta/2.0",
-]
-CONTEXT_V3 = ["https://w3id.org/codemeta/3.0", "https://raw.githubusercontent.com/codemeta/codemeta/3.0/codemeta.jsonld"]
-CONTEXT_SCHEMA = ["http://schema.org", "https://schema.org"]
-#: Namespaces of the vocabularies.
-SCHEMA_IRI, CODEMETA_IRI = "http://schema.org/", "https://codemeta.github.io/terms/"
 PREFIXES = {"as": "https://www.w3.org/ns/activitystreams#", "forge": "https://forgefed.org/ns#", "xsd": "http://www.w3.org/2001/XMLSchema#"}
-#: Terms whose values are URIs, dates and lists in the vocabulary's context.
-URI_TERMS = [
-    "applicationCategory", "applicationSubCategory", "codeRepository", "downloadUrl", "fileFormat", "identifier", "installUrl", "license",
-    "memoryRequirements", "relatedLink", "releaseNotes", "sameAs", "softwareRequirements", "storageRequirements", "url", "softwareSuggestions",
-    "contIntegration", "buildInstructions", "developmentStatus", "readme", "issueTracker", "referencePublication",
-]
-DATE_TERMS = ["dateCreated", "dateModified", "datePublished", "embargoDate"]
-LIST_TERMS = ["author"]
 #: The vocabulary's other terms.
 PLAIN_TERMS = [
     "Organization", "Person", "SoftwareSourceCode", "SoftwareApplication", "Text", "URL", "address", "affiliation", "citation", "contributor", "copyrightHolder",
@@ -106,54 +86,16 @@ def compact(props: DataFrame, forge: bool = False) -> DataFrame:
     return docs.select("doc_id", F.concat(F.lit("{"), F.array_join(F.concat(context, F.transform("pairs", lambda p: p["text"])), ","), F.lit("}")).alias("metadata"))
 
 
-def known_context(context: Column) -> Column:
-    """2 or 3 for the vocabulary's contexts, 0 for the general one (any case), else null."""
-    low = F.lower(context)
-    plain = F.rtrim(low, F.lit("/"))
-    two = (plain == CONTEXT_V2[0]) | low.isin(CONTEXT_V2)
-    return F.when(two, 2).when(plain.isin(CONTEXT_V3), 3).when(plain.isin(CONTEXT_SCHEMA), 0)
-
-
 def expand(docs: DataFrame) -> DataFrame:
     """Property table of JSON documents (doc_id, metadata).
 
     The context may be one name, or a list of names and of inline prefixes; invalid text, no
     object, no context or an unknown one give no rows. Of repeated keys the last counts. ``id``
-    and ``type`` become rows too; ``@list``, ``@value`` and bare references are unwrapped. Under
-    the general vocabulary alone, URIs and dates are plain texts.
+    and ``type`` become rows too; ``@list``, ``@value`` and bare references are unwrapped, and
+    names are terms at every depth. Of a ``@graph`` the root's properties are told. Under the
+    general vocabulary alone, URIs and dates are plain texts.
     """
-    rows = parsed(docs.select("doc_id", "metadata"), F.col("metadata"), "v").where("v is not null and schema_of_variant(v) like 'OBJECT%'")
-    rows = rows.select("doc_id", F.expr("try_variant_get(v, '$', 'map<string, variant>')").alias("m"))
-    rows = rows.withColumn("c", F.col("m")["@context"]).where("c is not null")
-    listed = F.when(F.expr("schema_of_variant(c) like 'ARRAY%'"), F.expr("try_variant_get(c, '$', 'array<variant>')")).otherwise(F.array("c"))
-    inline = lambda c: F.schema_of_variant(c).startswith("OBJECT")
-    versions = F.transform(F.filter(listed, lambda c: ~inline(c)), lambda c: F.coalesce(known_context(F.when(F.schema_of_variant(c) == "STRING", F.try_variant_get(c, "$", "string"))), F.lit(-1)))
-    rows = rows.withColumn("versions", versions).where("size(versions) > 0 and array_min(versions) >= 0")
-    pairs = rows.select("doc_id", (F.array_max("versions") > 0).alias("typed"), F.explode("m").alias("key", "x")).where("key <> '@context'")
-    plain = F.regexp_replace(F.regexp_replace("key", "^(https?://schema\\.org/|schema:|codemeta:)", ""), f"^{CODEMETA_IRI}", "")
-    prop = F.when(F.col("key").isin("@id", "id"), "id").when(F.col("key").isin("@type", "type"), "type").otherwise(plain)
-    inner = F.coalesce(F.try_variant_get("x", "$['@list']", "array<variant>"), F.when(F.expr("schema_of_variant(x) like 'ARRAY%'"), F.expr("try_variant_get(x, '$', 'array<variant>')")), F.array("x"))
-    each = pairs.select("doc_id", "typed", prop.alias("prop"), F.col("key").startswith("schema:").alias("forced"), F.posexplode(inner).alias("pos", "x"))
-    bare = F.try_variant_get("x", "$['@value']", "variant")
-    each = each.withColumn("wrapped", bare.isNotNull()).withColumn("x", F.coalesce(bare, F.col("x")))
-    shape = F.expr("schema_of_variant(x)")
-    reference = F.coalesce(F.try_variant_get("x", "$['@id']", "string"), F.try_variant_get("x", "$.id", "string"))
-    only_id = shape.rlike("^OBJECT<`?@?id`?: STRING>$") & reference.isNotNull()
-    nested = shape.startswith("OBJECT") & ~only_id
-    node = F.to_json(F.try_parse_json(F.regexp_replace(F.to_json("x"), '"@(id|type)":', '"$1":')))  # keys in order again
-    text = F.when(nested, node).when(only_id, reference).otherwise(F.expr("try_variant_get(x, '$', 'string')"))
-    named = F.when(F.col("prop") == "type", F.regexp_replace(text, "^(https?://schema\\.org/|schema:)", "")).otherwise(text)
-    plain_kind = ~F.col("typed") | F.col("forced") | F.col("wrapped")
-    kind = (
-        F.when(F.col("prop") == "type", "type")
-        .when((F.col("prop") == "id") | only_id, "uri")
-        .when(nested, "object")
-        .when(shape.startswith("BIGINT") | shape.startswith("DECIMAL") | shape.startswith("DOUBLE") | (shape == "BOOLEAN"), "number")
-        .when(~plain_kind & one_of(F.col("prop"), URI_TERMS), "uri")
-        .when(~plain_kind & one_of(F.col("prop"), DATE_TERMS), "date")
-        .otherwise("literal")
-    )
-    return each.select("doc_id", "prop", kind.alias("kind"), "pos", named.alias("value")).where("value is not null")
+    return jsonld.properties(docs)
 
 
 def merge(props: DataFrame, groups: DataFrame) -> DataFrame:

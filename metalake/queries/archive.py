@@ -172,7 +172,6 @@ def directory_metadata(spark, sf_dir):
 def origin_intrinsic_metadata(spark, sf_dir):
     """Every origin, from its visits to the merged document of its head's files."""
     i = inputs(spark, sf_dir)
-    i["origins"] = i["origins"].limit(0)
     return pipelines.origin_intrinsic_metadata(**i, **{k: v for k, v in files_of(spark, sf_dir).items() if k != "dir_entries"}).origins
 
 
@@ -183,10 +182,9 @@ def origin_intrinsic_metadata(spark, sf_dir):
 def stored_origin_metadata(spark, sf_dir):
     """The flagship job twice into the index tables, read back: the second run replaces every row."""
     i = inputs(spark, sf_dir)
-    i["origins"] = i["origins"].limit(0)
     found = pipelines.origin_intrinsic_metadata(**i, **{k: v for k, v in files_of(spark, sf_dir).items() if k != "dir_entries"})
     tools = spark.createDataFrame([(1, "translator", "1", "{}"), (2, "roll-up", "1", "{}")], "id long, tool_name string, tool_version string, tool_configuration string")
-    store = Store(spark, f"{work_dir(spark)}/store-{uuid.uuid4().hex}", tools, 8)
+    store = Store(spark, f"{work_dir(spark)}/store-{uuid.uuid4().hex}", tools, 2000)
     rows = {"directory_metadata": found.directories.withColumn("tool_id", F.lit(1)), "origin_intrinsic": found.origins.withColumn("tool_id", F.lit(2))}
     for _ in range(2):
         store.add(rows)

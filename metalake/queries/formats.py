@@ -95,27 +95,32 @@ def composer_translate(spark, sf_dir):
 
 
 @query(rows_sql("part", "p_partkey", [
-    ("name", "literal", "p_name"), ("version", "literal", "'1.0.' || p_size"), ("description", "literal", "p_type"), ("identifier", "literal", "'org.example.' || lower(p_type)"),
+    ("name", "literal", "p_name"), ("version", "literal", "'1.0.' || p_size"), ("description", "literal", "p_type || case when p_partkey % 4 = 2 then ' \u00e9' else '' end"), ("identifier", "literal", "'org.example.' || lower(p_type)"),
     ("codeRepository", "uri", "case p_partkey % 4 when 0 then 'https://repo.maven.apache.org/maven2/org/example/' || lower(p_type) || '/a' || p_partkey when 1 then 'https://r.org/m2/org/example/' || lower(p_type) || '/a' || p_partkey end"),
-    ("license", "uri", "'https://l.org/' || p_size"), ("license", "uri", "case when p_partkey % 4 = 1 then 'https://l.org/two' end")], "p_partkey % 40 <> 3"))
+    ("license", "uri", "'https://l.org/' || p_size"), ("license", "uri", "case when p_partkey % 4 = 1 then 'https://l.org/two' end")], "p_partkey % 40 not in (3, 5)"))
 def maven_translate(spark, sf_dir):
+    """Some in ISO-8859-1, some not well formed, some with a project below another root."""
     repositories = pick(["", "<repositories><repository><id>r</id><url>https://r.org/m2/</url><layout>default</layout></repository></repositories>",
         "<repositories><repository><url>${repo.url}</url></repository></repositories>", "<repositories><repository><url>no url</url></repository></repositories>"], F.col("k"))
     rows = parts(spark, sf_dir).withColumns({"low": F.lower("p_type"), "repositories": repositories, "more": F.when(F.col("k") == 1, "<license><name>n</name><url>https://l.org/two</url></license>").otherwise("")})
-    body = text('<?xml version="1.0"?>\n<project xmlns="http://maven.apache.org/POM/4.0.0"><groupId>org.example.{low}</groupId><artifactId>a{doc_id}</artifactId><name>{p_name}</name><version>1.0.{p_size}</version><description>{p_type}</description>{repositories}<licenses><license><name>n</name><url>https://l.org/{p_size}</url></license>{more}</licenses></project>')
+    rows = rows.withColumns({"charset": F.when(F.col("k") == 2, "ISO-8859-1").otherwise("utf-8"), "accent": F.when(F.col("k") == 2, " \u00e9").otherwise("")})
+    body = text('<?xml version="1.0" encoding="{charset}"?>\n<!-- made -->\n<project xmlns="http://maven.apache.org/POM/4.0.0"><groupId>org.example.{low}</groupId><artifactId>a{doc_id}</artifactId><name>{p_name}</name><version>1.0.{p_size}</version><description>{p_type}{accent}</description>{repositories}<licenses><license><name>n</name><url>https://l.org/{p_size}</url></license>{more}</licenses></project>')
     broken = F.lit("<project><name>x</project>").cast("binary")
-    return told(formats.maven(rows.select("doc_id", F.when(F.col("p_partkey") % 40 == 3, broken).otherwise(body).alias("data"))))
+    below = F.lit("<foo><project><name>x</name></project></foo>").cast("binary")
+    data = F.when(F.col("p_partkey") % 40 == 3, broken).when(F.col("p_partkey") % 40 == 5, below).when(F.col("k") == 2, F.encode(body.cast("string"), "ISO-8859-1")).otherwise(body)
+    return told(formats.maven(rows.select("doc_id", data.alias("data"))))
 
 
 @query(rows_sql("part", "p_partkey", [
     ("name", "literal", "'N' || p_partkey"), ("version", "literal", "'3.' || p_size"), ("description", "literal", "p_name"), ("description", "literal", "p_type"), ("url", "uri", "'https://p.org/' || p_partkey"),
     ("license", "uri", "case when p_partkey % 4 <> 2 then 'https://spdx.org/licenses/MIT' end"), ("license", "uri", "case when p_partkey % 4 = 1 then 'https://spdx.org/licenses/BSD-2-Clause' end"),
-    ("schema:copyrightNotice", "literal", "'(c) ' || p_brand"), ("schema:inLanguage", "literal", "'en'"), ("releaseNotes", "literal", "'notes ' || p_size"),
+    ("schema:copyrightNotice", "literal", "'\u00a9 ' || p_brand"), ("schema:inLanguage", "literal", "'en'"), ("releaseNotes", "literal", "'notes ' || p_size"),
     ("author", "object", """'{"name":"' || p_brand || '","type":"Person"}'"""), ("author", "object", """'{"name":"Eve","type":"Person"}'"""), ("keywords", "literal", "p_type"), ("keywords", "literal", "'tag'")]))
 def nuget_translate(spark, sf_dir):
     rows = parts(spark, sf_dir).withColumn("license", pick(["MIT", "MIT OR BSD-2-Clause", "MIT AND ISC", "MIT"], F.col("k")))
-    body = text('<package xmlns="http://schemas.microsoft.com/packaging/2013/05/nuspec.xsd"><metadata><id>N{doc_id}</id><version>3.{p_size}</version><description>{p_name}</description><summary>{p_type}</summary><projectUrl>https://p.org/{doc_id}</projectUrl><license type="expression">{license}</license><copyright>(c) {p_brand}</copyright><language>en</language><releaseNotes>notes {p_size}</releaseNotes><authors>{p_brand}, Eve</authors><tags>{p_type} tag</tags></metadata></package>')
-    return told(formats.nuget(rows.select("doc_id", body.alias("data"))))
+    body = text('<package xmlns="http://schemas.microsoft.com/packaging/2013/05/nuspec.xsd"><metadata><id>N{doc_id}</id><version>3.{p_size}</version><description>{p_name}</description><summary>{p_type}</summary><projectUrl>https://p.org/{doc_id}</projectUrl><license type="expression">{license}</license><copyright>\u00a9 {p_brand}</copyright><language>en</language><releaseNotes>notes {p_size}</releaseNotes><authors>{p_brand}, Eve</authors><tags>{p_type} tag</tags></metadata></package>')
+    wide = F.concat(F.unhex(F.lit("FFFE")), F.encode(body.cast("string"), "UTF-16LE"))
+    return told(formats.nuget(rows.select("doc_id", F.when(F.col("k") == 3, wide).otherwise(body).alias("data"))))
 
 
 def customers(spark, sf_dir):
@@ -125,33 +130,39 @@ def customers(spark, sf_dir):
 @query(rows_sql("customer", "c_custkey", [
     ("name", "literal", "'pkg-' || c_custkey"), ("version", "literal", "'0.' || c_nationkey"), ("description", "literal", "c_mktsegment"), ("description", "literal", "c_name || chr(10) || 'more of ' || c_name"),
     ("url", "uri", "case when c_custkey % 3 > 0 then 'https://c.org/' || c_custkey end"), ("keywords", "literal", "lower(c_mktsegment)"), ("keywords", "literal", "'py'"), ("license", "uri", "'https://spdx.org/licenses/MIT'"),
-    ("author", "object", """'{"email":"c' || c_custkey || '@x.org","name":"' || c_name || '","type":"Person"}'""")]))
+    ("author", "object", """'{"email":"c' || c_custkey || '@x.org","name":' || case when c_custkey % 4 = 1 then '["' || c_name || '","Zed"]' else '"' || c_name || '"' end || ',"type":"Person"}'""")]))
 def pkg_info_translate(spark, sf_dir):
-    rows = customers(spark, sf_dir).withColumns({"home": F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("https://c.org/"), "doc_id")).otherwise("UNKNOWN"), "low": F.lower("c_mktsegment")})
-    body = text("Metadata-Version: 1.1\nName: pkg-{doc_id}\nVersion: 0.{c_nationkey}\nSummary: {c_mktsegment}\nHome-page: {home}\nAuthor: {c_name}\nAuthor-email: c{doc_id}@x.org\nLicense: MIT\nDescription: {c_name}\n        more of {c_name}\nKeywords: {low} py\nPlatform: UNKNOWN\n\nName: body\n")
+    rows = customers(spark, sf_dir).withColumns({"home": F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("https://c.org/"), "doc_id")).otherwise("UNKNOWN"), "low": F.lower("c_mktsegment"), "second": F.when(F.col("c_custkey") % 4 == 1, "Author: Zed\n").otherwise("")})
+    body = text("Metadata-Version: 1.1\nName: pkg-{doc_id}\nVersion: 0.{c_nationkey}\nSummary: {c_mktsegment}\nHome-page: {home}\nAuthor: {c_name}\n{second}Author-email: c{doc_id}@x.org\nLicense: MIT\nDescription: {c_name}\n        more of {c_name}\nKeywords: {low} py\nPlatform: UNKNOWN\n\nName: body\n")
     return told(formats.pkg_info(rows.select("doc_id", body.alias("data"))))
 
 
 @query(rows_sql("customer", "c_custkey", [
-    ("name", "literal", "'gem' || c_custkey"), ("version", "literal", "case when c_custkey % 3 > 0 then '1.' || c_nationkey end"), ("description", "literal", "c_mktsegment"), ("description", "literal", "c_name"),
+    ("name", "literal", "'gem' || c_custkey"), ("version", "literal", "case when c_custkey % 3 > 0 then '1.' || c_nationkey end"), ("description", "literal", """'say "' || c_mktsegment || '"'"""), ("description", "literal", "c_name"),
     ("codeRepository", "uri", "'https://g.org/' || c_custkey"), ("license", "uri", "'https://spdx.org/licenses/MIT'"), ("license", "uri", "case when c_custkey % 2 = 0 then 'https://spdx.org/licenses/Ruby' end"),
     ("author", "object", """'{"name":"' || c_name || '","type":"Person"}'"""), ("author", "object", """'{"name":"Yu","type":"Person"}'""")]))
 def gemspec_translate(spark, sf_dir):
     rows = customers(spark, sf_dir).withColumns({
         "version": F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("'1."), F.col("c_nationkey").cast("string"), F.lit("'.freeze"))).otherwise("Gem::VERSION"),
         "licenses": F.when(F.col("c_custkey") % 2 == 0, 's.licenses = ["MIT", "Ruby"]').otherwise('s.license = "MIT"')})
-    body = text('require "x"\nGem::Specification.new do |s|\n  s.name = "old"\n  s.name = "gem{doc_id}"\n  s.version = {version}\n  s.summary = \'{c_mktsegment}\'\n  s.description = "{c_name}"\n  s.homepage = "https://g.org/{doc_id}"\n  {licenses}\n  s.authors = ["{c_name}", \'Yu\']\n  s.files = Dir["lib"]\nend\n')
+    body = text('require "x"\nGem::Specification.new do |s|\n  s.name = "old"\n  s.name = "gem{doc_id}"\n  s.version = {version}\n  s.summary = "say \\"{c_mktsegment}\\"" # not a "value"\n  s.name = NAME\n  s.description = "{c_name}"\n  s.homepage = "https://g.org/{doc_id}"\n  {licenses}\n  s.authors = ["{c_name}", \'Yu\']\n  s.files = Dir["lib"]\nend\n')
     return told(formats.gemspec(rows.select("doc_id", body.alias("data"))))
 
 
 @query(rows_sql("customer", "c_custkey", [
-    ("name", "literal", "'T ' || c_name"), ("description", "literal", "c_mktsegment"), ("version", "literal", "c_nationkey::varchar"), ("keywords", "literal", "'one'"), ("keywords", "literal", "lower(c_mktsegment)"),
+    ("name", "literal", "'T ' || c_name"), ("description", "literal", "case when c_custkey % 5 = 1 then repeat('[', 450) when c_custkey % 6 <> 1 then c_mktsegment end"), ("version", "literal", "case when c_custkey % 2 = 0 then c_nationkey::varchar end"), ("keywords", "literal", "'one'"), ("keywords", "literal", "lower(c_mktsegment)"),
     ("identifier", "uri", "'https://doi.org/10.1/' || c_custkey"), ("license", "uri", "'https://spdx.org/licenses/Apache-2.0'"), ("datePublished", "date", "'2024-01-02'"), ("codeRepository", "uri", "'https://c.org/' || c_custkey"),
     ("author", "object", """'{"affiliation":{"name":"Inst","type":"Organization"},"familyName":"' || c_name || '","givenName":"Al","id":"https://orcid.org/1","type":"Person"}'"""), ("author", "object", """'{"familyName":"Solo","type":"Person"}'""")], "c_custkey % 30 <> 4"))
 def cff_translate(spark, sf_dir):
-    rows = customers(spark, sf_dir).withColumn("low", F.lower("c_mktsegment"))
-    body = text("cff-version: 1.2.0\ntitle: T {c_name}\nabstract: {c_mktsegment}\nversion: {c_nationkey}\nkeywords:\n  - one\n  - {low}\ndoi: 10.1/{doc_id}\nlicense: Apache-2.0\ndate-released: 2024-01-02\nrepository-code: https://c.org/{doc_id}\nauthors:\n  - family-names: '{c_name}'\n    given-names: Al\n    affiliation: Inst\n    orcid: ' https://orcid.org/1 '\n  - family-names: Solo\n")
-    return told(formats.cff(rows.select("doc_id", F.when(F.col("c_custkey") % 30 == 4, F.lit("- a\n- b\n").cast("binary")).otherwise(body).alias("data"))))
+    """Numbers, true and null are no texts; brackets in a text are no nesting; an alias bomb is refused."""
+    key = F.col("c_custkey")
+    rows = customers(spark, sf_dir).withColumns({
+        "low": F.lower("c_mktsegment"), "version": F.when(key % 2 == 0, F.concat(F.lit("'"), F.col("c_nationkey").cast("string"), F.lit("'"))).otherwise(F.concat(F.col("c_nationkey").cast("string"), F.lit(".5"))),
+        "abstract": F.when(key % 5 == 1, F.concat(F.lit('"'), F.repeat(F.lit("["), 450), F.lit('"'))).when(key % 6 == 1, "null").otherwise(F.col("c_mktsegment")),
+    })
+    bomb = "title: x\na: &a [1,1,1,1,1,1,1,1,1]\n" + "".join(f"{y}: &{y} [{','.join(['*' + x] * 9)}]\n" for x, y in zip("abcdefg", "bcdefgh"))
+    body = text("cff-version: 1.2.0\ntitle: T {c_name}\nabstract: {abstract}\nversion: {version}\nkeywords:\n  - one\n  - true\n  - {low}\ndoi: 10.1/{doc_id}\nlicense: Apache-2.0\ndate-released: 2024-01-02\nrepository-code: https://c.org/{doc_id}\nauthors:\n  - family-names: '{c_name}'\n    given-names: Al\n    affiliation: Inst\n    orcid: ' https://orcid.org/1 '\n  - family-names: Solo\n")
+    return told(formats.cff(rows.select("doc_id", F.when(key % 60 == 4, F.lit("- a\n- b\n").cast("binary")).when(key % 60 == 34, F.lit(bomb).cast("binary")).otherwise(body).alias("data"))))
 
 
 @query(rows_sql("customer", "c_custkey", [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from metalake.plans import pipelines
 from metalake.plans.lineage import work_dir
 from metalake.sources.bridge import read
-from metalake.streaming import journal
+from metalake.streaming import journal, waiting
 
 from .formats import SQL_EXTRINSIC, known_forge_origins, remd
 from .register import Register
@@ -34,9 +34,9 @@ def streamed_events(spark, sf_dir):
 def streamed_index(spark, sf_dir):
     base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     events = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("mimetype"))
-    events.repartition(2, "id").write.parquet(f"{base}/log")
+    events.repartition(5, "id").write.parquet(f"{base}/log")
     log = journal.file_log(spark, f"{base}/log", "id long, mimetype string", 1)
-    journal.run_indexers(log, {"mimetype": lambda rows: rows}, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    journal.run_indexers(log, {"mimetype": lambda rows: rows}, f"{base}/out", f"{base}/checkpoint", index={"mimetype": ["id"]}).awaitTermination()
     return journal.read_index(spark, f"{base}/out", "mimetype", ["id"])
 
 
@@ -66,4 +66,24 @@ def stream_status(spark, sf_dir):
     return journal.status(spark, f"{base}/out").groupBy("job", "status").agg(F.countDistinct("batch").cast("int").alias("batches"), F.sum("added").alias("added"))
 
 
+@query("""select sha1('https://f.org/' || c_custkey) as key, case when c_custkey % 13 <> 0 then 'https://f.org/' || c_custkey end as url, c_custkey as customer,
+    case when c_custkey % 13 <> 0 then 'resolved' else 'dead' end as status from customer""")
+def late_records(spark, sf_dir):
+    """A record of every customer's repository comes first. Two batches later come the origins that
+    there are; the other records are given up after six tries."""
+    base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
+    customers = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("https://f.org/"), F.col("c_custkey").cast("string")).alias("url"))
+    records = customers.select(F.sha1(F.col("url").cast("binary")).alias("target"), F.col("c_custkey").alias("customer"))
+    known = customers.where("c_custkey % 13 <> 0").select("url")
+    idle = waiting.events(records.limit(0), customers.where("c_custkey = 1").select(F.concat("url", F.lit("/other")).alias("url")))
+    for part in (waiting.events(records, known.limit(0)), idle, waiting.events(records.limit(0), known), *[idle] * 6):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
+    found = waiting.resolve(journal.file_log(spark, f"{base}/log", waiting.EVENT, 1), tries=6, every_ms=1)
+    with waiting.without_idle_batches(spark):
+        stream = found.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    rows = spark.read.schema(waiting.OUT).parquet(f"{base}/out")
+    return rows.select("key", "url", F.from_json("record", "customer long")["customer"].alias("customer"), "status")
+
+
 QUERIES, ORACLES = query.queries, query.oracles

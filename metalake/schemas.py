@@ -12,6 +12,6 @@ TABLES: dict[str, str] = {
 }
 #: Logical key of each index table; rows with equal keys replace each other.
 KEYS: dict[str, list[str]] = {name: ["id", "license", "tool_id"] if name == "content_license" else ["id", "tool_id"] for name in TABLES}
-COMMITS = "name string, version long, path string"
+MANIFEST = "path string, low string, high string, rows long"
 CHANGES = "object_type string, message string"
 SUMMARY = "name string, added long, status string, error string"

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from metalake.streaming.levels import Levels
+
 Job = Callable[[DataFrame], DataFrame]
 
 
@@ -39,14 +41,16 @@ def topics_of(indexers: dict[str, list[str]], chosen: list[str]) -> list[str]:
     return sorted({t for name in chosen for t in indexers[name]})
 
 
-def run_indexers(log: DataFrame, jobs: dict[str, Job], out: str, checkpoint: str, changes: dict[str, Job] | None = None, stop_after: int | None = None) -> StreamingQuery:
+def run_indexers(log: DataFrame, jobs: dict[str, Job], out: str, checkpoint: str, changes: dict[str, Job] | None = None, stop_after: int | None = None, index: dict[str, list[str]] | None = None) -> StreamingQuery:
     """Gives each batch to every job and writes its rows under ``out/<job>/batch=<n>``; jobs of
     ``changes`` write the additions log, once their batch's index rows are there.
 
     Each batch and job leaves a row in ``out/_status``: eventful, uneventful or failed. A job
     that fails writes nothing of that batch and doesn't keep the others from theirs. The
     stream ends when the log is read to its end or, at the end of a batch, when ``stop_after``
-    objects were read; a later run goes on from there.
+    objects were read; a later run goes on from there. ``index`` names jobs whose rows are an index
+    table, with its key: those batches also go into :class:`.levels.Levels` under ``out/_index``,
+    from which :func:`read_index` reads few files however many batches there were.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
@@ -56,8 +60,11 @@ def run_indexers(log: DataFrame, jobs: dict[str, Job], out: str, checkpoint: str
             for name, job in (jobs | (changes or {})).items():
                 path = f"{out}/{name}/batch={number}"
                 try:
-                    job(rows).write.mode("overwrite").parquet(path)
-                    n = rows.sparkSession.read.parquet(path).count()
+                    seen = Observation()
+                    job(rows).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+                    if name in (index or {}):
+                        Levels(rows.sparkSession, f"{out}/_index/{name}", index[name]).add(rows.sparkSession.read.parquet(path), number)
+                    n = seen.get["n"]
                     told.append((name, n, "eventful" if n else "uneventful", None))
                 except Exception as error:  # noqa: BLE001 - a job's failure is its status, not the stream's
                     told.append((name, 0, "failed", f"{type(error).__name__}: {error}"[:1000]))
@@ -81,7 +88,10 @@ def status(spark: SparkSession, out: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, out: str, job: str, key: list[str]) -> DataFrame:
-    """The index table that the batches make: for each key, the row of the latest batch."""
+    """The index table that the batches make: for each key, the row of the latest batch. Jobs
+    that were run with ``index`` are read from their levels, others from all batches."""
+    if (kept := Levels(spark, f"{out}/_index/{job}", key).read()) is not None:
+        return kept
     rows = spark.read.parquet(f"{out}/{job}")
     last = rows.groupBy(*key).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in key]), "batch").alias("v"))
     return last.select(*key, "v.*").drop("batch")

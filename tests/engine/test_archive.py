@@ -168,33 +168,6 @@ def test_a_crosswalk_drives_a_mapping(spark, tmp_path):
     assert got == [("d", "dateCreated", "date", "2020"), ("d", "name", "literal", "N"), ("d", "type", "type", "SoftwareSourceCode"), ("e", "type", "type", "SoftwareSourceCode"), ("e", "url", "uri", "https://a/")]
 
 
-def test_store_keeps_tables_whole(spark, tmp_path):
-    from metalake.operators.tables import DuplicateId
-    from metalake.plans.store import Store
-
-    tools = spark.createDataFrame([(1, "t", "1", "{}")], "id long, tool_name string, tool_version string, tool_configuration string")
-    store = Store(spark, f"file://{tmp_path}/s", tools, 2)
-    rows = spark.createDataFrame([("a", '{"name":"x\\u0000 Y"}', 1), ("b", "{}", 1)], "id string, metadata string, tool_id long")
-    told = store.add({"content_metadata": rows, "origin_intrinsic": rows})
-    assert {(r.name, r.added, r.status) for r in told.collect()} == {("content_metadata", 2, "eventful"), ("origin_intrinsic", 2, "eventful")}
-    assert {r.id: r.tokens for r in store.table("origin_intrinsic").collect()} == {"a": ["x", "y"], "b": []}
-    again = spark.createDataFrame([("a", '{"name":"z"}', 1)], rows.schema)
-    store.add({"content_metadata": again})
-    store.add({"content_metadata": again})
-    assert rows_of(store, "content_metadata") == [("a", '{"name":"z"}'), ("b", "{}")]
-    assert store.changes().count() == 6 and "\\u0000" in "".join(r.message for r in store.changes().collect())
-    with pytest.raises(DuplicateId):
-        store.add({"origin_intrinsic": again, "content_metadata": again.union(again)})
-    assert store.table("origin_intrinsic").where("metadata like '%z%'").isEmpty()
-    failed = store.run(lambda: {"content_metadata": again.selectExpr("raise_error('x') as id")}).first()
-    assert failed.status == "failed" and failed.added == 0 and rows_of(store, "content_metadata") == [("a", '{"name":"z"}'), ("b", "{}")]
-    assert store.run(lambda: {"content_metadata": again.limit(0)}).first().status == "uneventful"
-
-
-def rows_of(store, name):
-    return sorted((r.id, r.metadata) for r in store.table(name).collect())
-
-
 def test_directories_from_bytes(spark):
     """Descent, the cap on entries, missing blobs, unknown and failing files, reuse."""
     from metalake.plans import pipelines
