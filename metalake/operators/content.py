@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metalake.functions.scalars import mime_charset
+from metalake.operators.licenses import PHRASES, licenses  # noqa: F401
 
 
 def with_blobs(ids: DataFrame, blobs: DataFrame, keep_empty: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -66,28 +67,3 @@ def mimetypes(blobs: DataFrame, id_col: str = "id") -> DataFrame:
     """(id, mimetype, encoding) of ``data``."""
     kind, charset = mime_charset(F.col("data"))
     return blobs.select(id_col, kind.alias("mimetype"), charset.alias("encoding"))
-
-
-#: License names and the phrases (lower-case words) that stand for them.
-PHRASES: list[tuple[str, str]] = [
-    ("MIT", " mit license"),
-    ("MIT", " permission is hereby granted free of charge"),
-    ("Apache-2.0", " apache license version 2.0"),
-    ("GPL-3.0", " gnu general public license version 3"),
-    ("GPL-2.0", " gnu general public license version 2"),
-    ("AGPL-3.0", " gnu affero general public license version 3"),
-    ("LGPL-3.0", " gnu lesser general public license version 3"),
-    ("BSD", " redistribution and use in source and binary forms"),
-    ("MPL-2.0", " mozilla public license version 2.0"),
-    ("CC-BY-NC-4.0", " cc by-nc 4.0"),
-]
-
-
-def licenses(blobs: DataFrame, id_col: str = "id") -> DataFrame:
-    """One row (id, license) per license that a text names: by SPDX tag or by phrase."""
-    text = F.lower(F.try_validate_utf8(F.col("data").cast("string")))
-    words = F.concat(F.lit(" "), F.regexp_replace(text, "[^a-z0-9.+-]+", " "), F.lit(" "))
-    tagged = F.regexp_extract_all(F.try_validate_utf8(F.col("data").cast("string")), F.lit(r"SPDX-License-Identifier:\s*([A-Za-z0-9.+-]+)"), 1)
-    named = F.array_compact(F.array(*[F.when(F.col("__w").contains(phrase), name) for name, phrase in PHRASES]))
-    rows = blobs.select(id_col, words.alias("__w"), tagged.alias("__t"))
-    return rows.select(id_col, F.explode(F.array_distinct(F.concat(named, F.coalesce("__t", F.array().cast("array<string>"))))).alias("license"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
-from metalake.operators import content, search, tables
+from metalake.operators import content, licenses, search, tables
 from metalake.operators.props import TERMS
 from metalake.plans import pipelines
 from metalake.plans.lineage import made_once
@@ -376,12 +376,16 @@ def signature_mimetypes(spark, sf_dir):
     return content.mimetypes(read(spark, sf_dir, "orders").select("o_orderkey", data.alias("data")), "o_orderkey")
 
 
+#: SQL for the names in the SPDX tags of a text.
+SQL_TAGS = "[n for n in flatten([regexp_extract_all(regexp_extract(e, '" + licenses.EXPRESSION.replace("{", "{{").replace("}", "}}") + "', 1), '" + licenses.OPERAND + "') for e in regexp_extract_all({}, '" + licenses.TAG + "', 1)]) if n not in ('AND', 'OR', 'WITH')]"
+
+
 def licenses_sql(key: str, extra: str = "") -> str:
     """SQL for (key, license) of all documents: every phrase of the table, and every SPDX tag."""
     phrases = ", ".join(f"('{name}', '{phrase}')" for name, phrase in content.PHRASES)
-    return f"""with t as (select {key}, text, ' ' || regexp_replace(lower(text), '[^a-z0-9.+-]+', ' ', 'g') || ' ' as w from documents where text <> ''),
+    return f"""with t as (select {key}, text, regexp_replace(' ' || regexp_replace(lower(text), '[^a-z0-9.+-]+', ' ', 'g') || ' ', '[.]+ ', ' ', 'g') as w from documents where text <> ''),
       found as (select {key}, license from t, (values {phrases}) as p(license, phrase) where contains(w, phrase)
-        union all select {key}, unnest(regexp_extract_all(text, 'SPDX-License-Identifier:\\s*([A-Za-z0-9.+-]+)', 1)) from t)
+        union all select {key}, unnest({SQL_TAGS.format('text')}) from t)
       select distinct {key}, license{extra} from found"""
 
 
@@ -392,7 +396,7 @@ def content_license(spark, sf_dir):
 
 
 LICENSE_LINES = ["Released under the MIT License.", "// SPDX-License-Identifier: ISC", "GNU Lesser General Public License, version 3", "Mozilla Public License Version 2.0", "Redistribution and use in source and binary forms, with", "no license", "SPDX-License-Identifier: MIT OR Apache-2.0", "GNU General Public License version 2; CC BY-NC 4.0"]
-LICENSE_NAMES = [["MIT"], ["ISC"], ["LGPL-3.0"], ["MPL-2.0"], ["BSD"], [], ["MIT"], ["CC-BY-NC-4.0", "GPL-2.0"]]
+LICENSE_NAMES = [["MIT"], ["ISC"], ["LGPL-3.0"], ["MPL-2.0"], ["BSD"], [], ["MIT", "Apache-2.0"], ["CC-BY-NC-4.0", "GPL-2.0"]]
 
 
 @query(f"select o_orderkey, unnest({LICENSE_NAMES}[o_orderkey % 8 + 1]) as license from orders")
@@ -402,6 +406,19 @@ def license_lines(spark, sf_dir):
     return content.licenses(read(spark, sf_dir, "orders").select("o_orderkey", text.cast("binary").alias("data")), "o_orderkey")
 
 
+EXPRESSIONS = ["MIT OR (Apache-2.0 AND BSD-3-Clause) */", "GPL-2.0-only WITH Classpath-exception-2.0", "(MIT)", "AND", "", "EPL-2.0 OR GPL-2.0-or-later -->", "LicenseRef-x:1+ AND", "MIT, see LICENSE OR ISC"]
+
+
+@query(f"""with t as (select o_orderkey, 'x' || chr(10) || '// SPDX-License-Identifier: ' || {EXPRESSIONS}[o_orderkey % 8 + 1] || chr(10) || 'Creative Commons Attribution-ShareAlike ' || (o_orderkey % 5) || '.0.' as text from orders)
+    select distinct o_orderkey, license from (select o_orderkey, unnest({SQL_TAGS.format('text')}) as license from t
+      union all select o_orderkey, 'CC-BY-SA-' || (o_orderkey % 5) || '.0' from orders where o_orderkey % 5 > 0)""")
+def license_expressions(spark, sf_dir):
+    """Files with whole SPDX expressions and a versioned notice."""
+    tag = F.concat(F.lit("x\n// SPDX-License-Identifier: "), bridge.pick(EXPRESSIONS, F.col("o_orderkey") % 8))
+    text = F.concat(tag, F.lit("\nCreative Commons Attribution-ShareAlike "), (F.col("o_orderkey") % 5).cast("string"), F.lit(".0."))
+    return content.licenses(read(spark, sf_dir, "orders").select("o_orderkey", text.cast("binary").alias("data")), "o_orderkey")
+
+
 @query("""select sha1(text) as id, count(*) as n from documents where text <> '' group by 1""")
 def blob_lookup(spark, sf_dir):
     wanted = read(spark, sf_dir, "documents").where("text is not null").select(F.sha1(F.col("text").cast("binary")).alias("id"))

@@ -152,3 +152,32 @@ def test_licenses(spark):
     data = [("a", b"// SPDX-License-Identifier: ISC\nReleased under the MIT License."), ("b", b"nothing")]
     got = content.licenses(spark.createDataFrame(data, "id string, data binary"))
     assert sorted((r["id"], r["license"]) for r in got.collect()) == [("a", "ISC"), ("a", "MIT")]
+
+
+def test_every_license_is_found_by_its_phrases(spark):
+    """All phrases, in capitals and broken over lines; and the names that expressions hold."""
+    from metalake.operators import licenses
+
+    assert len({n for n, _ in licenses.PHRASES}) >= 110
+    rows = [(str(k), ("Word! " + p.upper().replace(" ", "\n * ") + ", and more.").encode()) for k, (_, p) in enumerate(licenses.PHRASES)]
+    got = {}
+    for r in content.licenses(spark.createDataFrame(rows, "id string, data binary")).collect():
+        got.setdefault(r.id, set()).add(r.license)
+    assert all(name in got[str(k)] for k, (name, _) in enumerate(licenses.PHRASES))
+    # a version isn't taken for a longer one
+    lines = ["GNU General Public License version 2.1", "the GNU Lesser General Public License v2.1.", "GNU General Public License, version 30", "gnu general public license 3"]
+    told = content.licenses(spark.createDataFrame([(str(k), t.encode()) for k, t in enumerate(lines)], "id string, data binary")).collect()
+    assert sorted((r.id, r.license) for r in told) == [("1", "LGPL-2.1"), ("3", "GPL-3.0")]
+
+
+@pytest.mark.parametrize(
+    "expression, names",
+    [
+        ("MIT OR (Apache-2.0 AND BSD-3-Clause)", ["MIT", "Apache-2.0", "BSD-3-Clause"]), ("((MIT))", ["MIT"]), ("GPL-2.0+ WITH x-1 OR ISC", ["GPL-2.0+ WITH x-1", "ISC"]),
+        ("MIT */", ["MIT"]), ("", []), ("OR", []), ("MIT ISC", ["MIT"]), ("MIT AND (ISC", ["MIT", "ISC"]),
+    ],
+)
+def test_spdx_expressions(spark, expression, names):
+    from metalake.operators import licenses
+
+    assert spark.range(1).select(licenses.expression_names(F.lit(expression)).alias("n")).first().n == names
