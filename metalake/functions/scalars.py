@@ -190,6 +190,45 @@ SIGNATURES = [
     (0, "1A45DFA3", "video/webm"),
     (0, "774F4646", "font/woff"),
     (0, "774F4632", "font/woff2"),
+    (0, "4F54544F", "font/otf"),
+    (0, "0001000000", "font/ttf"),
+    (0, "38425053", "image/vnd.adobe.photoshop"),
+    (0, "0000000C6A502020", "image/jp2"),
+    (0, "0000000C4A584C20", "image/jxl"),
+    (0, "67696D7020786366", "image/x-xcf"),
+    (0, "41542654464F524D", "image/vnd.djvu"),
+    (0, "00000200", "image/x-win-bitmap"),
+    (0, "4D546864", "audio/midi"),
+    (0, "2E736E64", "audio/basic"),
+    (8, "41494646", "audio/x-aiff"),
+    (0, "2321414D52", "audio/amr"),
+    (0, "464C5601", "video/x-flv"),
+    (0, "000001BA", "video/mpeg"),
+    (0, "000001B3", "video/mpeg"),
+    (8, "41564920", "video/x-msvideo"),
+    (0, "3026B2758E66CF11", "video/x-ms-asf"),
+    (0, "04224D18", "application/x-lz4"),
+    (0, "4C5A4950", "application/x-lzip"),
+    (0, "1F9D", "application/x-compress"),
+    (0, "4D534346", "application/vnd.ms-cab-compressed"),
+    (0, "303730373031", "application/x-cpio"),
+    (0, "EDABEEDB", "application/x-rpm"),
+    (0, "CFFAEDFE", "application/x-mach-binary"),
+    (0, "FEEDFACF", "application/x-mach-binary"),
+    (0, "4243C0DE", "application/x-llvm"),
+    (0, "1B4C7561", "application/x-lua-bytecode"),
+    (0, "5041434B00", "application/x-git-pack"),
+    (0, "894844460D0A1A0A", "application/x-hdf5"),
+    (0, "43444601", "application/x-netcdf"),
+    (0, "50415231", "application/vnd.apache.parquet"),
+    (0, "4152524F5731", "application/vnd.apache.arrow.file"),
+    (0, "4F626A01", "application/avro"),
+    (0, "D4C3B2A1", "application/vnd.tcpdump.pcap"),
+    (0, "A1B2C3D4", "application/vnd.tcpdump.pcap"),
+    (128, "4449434D", "application/dicom"),
+    (0, "53494D504C4520203D", "image/fits"),
+    (0, "C5D0D3C6", "image/x-eps"),
+    (0, "789C", "application/zlib"),
 ]
 #: Fixed values: (pattern at the start, MIME type) of kinds of text.
 TEXT_KINDS = [

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metalake.functions.magic import refined
 from metalake.functions.scalars import mime_charset
 from metalake.operators.licenses import PHRASES, licenses  # noqa: F401
 
@@ -66,4 +67,6 @@ def update_columns(table: DataFrame, fresh: DataFrame, key: str, columns: list[s
 def mimetypes(blobs: DataFrame, id_col: str = "id") -> DataFrame:
     """(id, mimetype, encoding) of ``data``."""
     kind, charset = mime_charset(F.col("data"))
-    return blobs.select(id_col, kind.alias("mimetype"), charset.alias("encoding"))
+    # explode keeps the steps apart, so that the marks are looked up once and not for every test behind them
+    rows = blobs.select(id_col, "data", F.explode(F.array(F.struct(kind.alias("kind"), charset.alias("charset")))).alias("m"))
+    return rows.select(id_col, refined(F.col("data"), F.col("m.kind")).alias("mimetype"), F.col("m.charset").alias("encoding"))
