@@ -86,7 +86,7 @@ class Model:
 
 
 def spread(rows: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows (id, lang) in all, equally many of each language, those of smallest
+    """At most ``most`` rows (id, key, lang) in all, equally many of each language, those of smallest
     id hash, numbered by ``at``. Each language's share is thinned by a threshold first, so the
     ranking sees a few thousand rows of a language, however many there are."""
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per language
@@ -95,31 +95,35 @@ def spread(rows: DataFrame, most: int) -> DataFrame:
     for r in counts:
         if r["n"] > 4 * each:
             rows = rows.where((F.col("lang") != r["lang"]) | (place < int(SCALE * 4 * each / r["n"])))
-    order = Window.partitionBy("lang").orderBy(place, "id")
+    order = Window.partitionBy("lang").orderBy(place, "id", "key")
     return rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= each)
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", landmarks: int = 96, examples: int = 4000, ridge: float = 1e-3) -> Model:
     """Learns from the rows of ``df`` with a language. Bounds (documented): ``landmarks`` and
     ``examples`` rows, equally many of each language, chosen by a hash of the id; their whole
-    texts are used. The landmarks are the first of the examples."""
+    texts are used. The landmarks are the first of the examples. Null texts teach nothing; rows
+    that share an id are told apart by a hash of their text, and of several languages of one
+    text the first by name counts, so the model doesn't depend on the order of tasks."""
     spark = df.sparkSession
-    named = df.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    picked = spread(named.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang")), examples).collect()
+    named = df.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    row = named.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    picked = spread(row.select("id", "key", "lang"), examples).collect()
     languages = sorted({r["lang"] for r in picked})
     if not languages:
         return Model([], Kernel([]), np.zeros((1, 0)))
     each = max(1, landmarks // len(languages))
-    where = {r["id"]: r["lang"] for r in picked}
-    ids = spark.createDataFrame([(i,) for i in where], "id long")
-    texts = named.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).join(F.broadcast(ids), "id")
-    marked = spark.createDataFrame([(r["id"],) for r in picked if r["at"] <= each], "id long")
+    where: dict[int, str] = {}
+    for r in sorted(picked, key=lambda r: r["lang"]):
+        where.setdefault(r["key"], r["lang"])
+    texts = row.select("key", "text").join(F.broadcast(spark.createDataFrame([(k,) for k in where], "key long")), "key")
+    marked = spark.createDataFrame(sorted({(r["key"],) for r in picked if r["at"] <= each}), "key long")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([b[0], pa.array([grams(t).astype("<i8").tobytes() for t in b[1].to_pylist()], pa.binary())], ["id", "x"])
+            yield pa.record_batch([b[0], pa.array([grams(t).astype("<i8").tobytes() for t in b[1].to_pylist()], pa.binary())], ["key", "x"])
 
-    got = {r["id"]: np.frombuffer(r["x"], "<i8") for r in texts.join(F.broadcast(marked), "id").mapInArrow(sets, "id long, x binary").collect()}
+    got = {r["key"]: np.frombuffer(r["x"], "<i8") for r in texts.join(F.broadcast(marked), "key").mapInArrow(sets, "key long, x binary").collect()}
     kernel = Kernel([got[i] for i in sorted(got)])
     shared = spark.sparkContext.broadcast(kernel)
 
@@ -129,9 +133,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
             for s in range(0, b.num_rows, step):
                 part = b.slice(s, step)
                 k = shared.value.values(part[1].to_pylist()).astype("<f8")
-                yield pa.record_batch([part[0], pa.array([x.tobytes() for x in k], pa.binary())], ["id", "x"])
+                yield pa.record_batch([part[0], pa.array([x.tobytes() for x in k], pa.binary())], ["key", "x"])
 
-    data = {r["id"]: np.frombuffer(r["x"], "<f8") for r in texts.mapInArrow(near, "id long, x binary").collect()}
+    data = {r["key"]: np.frombuffer(r["x"], "<f8") for r in texts.mapInArrow(near, "key long, x binary").collect()}
     order = sorted(data)
     k = np.stack([data[i] for i in order])
     own = np.stack([data[i] for i in sorted(got)])
@@ -179,7 +183,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """doc_id, held_out, lang_pred, score of every row; learns from rows that aren't held out.
 
     ``und`` for texts that are null or have no letter (Unicode category L), and for all texts if
-    nothing could be learned. Of equal scores the language whose name sorts first is told. Repeated rows get equal predictions (rows that share an id teach one language).
+    nothing could be learned. Of equal scores the language whose name sorts first is told. Repeated rows get equal predictions.
     An empty table gives no rows; further columns are not read.
     """
     model = fit(df.where(~held_out(id_col)), id_col, text_col, lang_col)

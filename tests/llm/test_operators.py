@@ -430,3 +430,29 @@ def test_columns_named_like_the_results(spark):
     }
     for name, job in jobs.items():
         assert Counter(map(tuple, job(df).collect())) == Counter(map(tuple, job(plain).collect())), name
+
+
+def test_language_model_does_not_depend_on_row_order(spark, small):
+    """Ids that repeat with other texts and languages, and null texts with a language."""
+    again = small.limit(60).withColumn("text", F.concat(F.lit("zzz "), F.col("text"))).withColumn("lang", F.lit("xx"))
+    twice = small.limit(30).withColumn("lang", F.lit("aa"))
+    nulls = small.limit(20).withColumn("text", F.lit(None).cast("string")).withColumn("lang", F.lit("null-texts"))
+    rows = small.unionByName(again).unionByName(twice).unionByName(nulls)
+    models = [language_id.fit(rows.repartition(n, "n_chars")) for n in (1, 7)]
+    assert models[0].languages == models[1].languages and "null-texts" not in models[0].languages
+    assert np.array_equal(models[0].weights, models[1].weights)
+
+
+def test_byte_bpe_of_a_whole_table_is_the_library_s(spark):
+    import tiktoken
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.load_ranks(byte_bpe.multi_path()), special_tokens={})
+    got = {r.doc_id: r for r in byte_bpe.round_trip(docs, byte_bpe.multi_path()).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        ids = theirs.encode_ordinary(r.text or "")
+        g = got[r.doc_id]
+        assert (g.n_tokens, g.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert g.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
