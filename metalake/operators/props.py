@@ -102,8 +102,13 @@ def merge(props: DataFrame, groups: DataFrame) -> DataFrame:
     """Property table of merged documents. ``groups`` has (group, rank, doc_id): values of a
     property keep the order of first appearance, repeats go; of the documents' ids the first
     stays and other ones become texts of ``sameAs``. A group's rows meet in one exchange."""
+    return merge_rows(groups.join(props, "doc_id"))
+
+
+def merge_rows(joined: DataFrame) -> DataFrame:
+    """:func:`merge` of groups that are joined with their documents' properties already."""
     at = F.struct("rank", "pos").alias("at")
-    rows = groups.join(props, "doc_id").select("group", "prop", "kind", "value", at).repartition("group")
+    rows = joined.select("group", "prop", "kind", "value", at).repartition("group")
     first = rows.groupBy("group", "prop", "kind", "value").agg(F.min("at").alias("at"))
     kept = F.min(F.when(F.col("prop") == "id", F.struct("at", "value"))).over(Window.partitionBy("group"))["value"]
     other = (F.col("prop") == "id") & (F.col("value") != F.col("kept"))

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -21,13 +22,29 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` as a Parquet table in the work folder, read back: recovery starts there."""
+def written(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the work folder, read back: recovery starts there. With ``by``
+    each value of that column has files of its own, so a filter on it reads no others."""
     path = f"{work_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hot_joined(left: DataFrame, right: DataFrame, key: str, share: int = 512, most: int = 200_000) -> DataFrame:
+    """Inner join in which a key of more than 1/``share`` of the rows of ``left``, a written table, is
+    no task's burden: such keys are fewer than ``share``, their rows of ``right`` are broadcast
+    (if those are ``most`` at most) and their rows of ``left`` stay where they are."""
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = left.count()
+    hot = [r[key] for r in counts.where(F.col("n") > max(total / share, 10_000)).collect()]
+    mine = right.where(F.col(key).isin(hot)) if hot else None
+    if not hot or mine.count() > most:
+        return left.join(right, key)
+    there = left.where(F.col(key).isin(hot)).join(F.broadcast(mine), key)
+    return there.unionByName(left.where(~F.col(key).isin(hot)).join(right.where(~F.col(key).isin(hot)), key))
+
+
 _MADE: dict[tuple[str, str, str], str] = {}
 
 

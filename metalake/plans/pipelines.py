@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
 from metalake.operators import content, graph, props, tables
-from metalake.plans.lineage import written
+from metalake.plans.lineage import hot_joined, written
 
 
 def content_mimetypes(ids: DataFrame, blobs: DataFrame, known: DataFrame | None = None, tool_id: int = 1) -> DataFrame:
@@ -77,14 +77,16 @@ def directory_metadata(wanted: DataFrame, dir_entries: DataFrame, contents: Data
     roots = dir_entries.join(wanted.select("dir_id").distinct(), "dir_id", "left_semi")
     sizes = roots.groupBy("dir_id").agg((F.max("pos") > most).alias("truncated"))
     reached = graph.descend_single(roots, dir_entries).where(F.col("pos") <= most)
-    located = written(graph.entry_contents(graph.detect_files(reached, REGISTRY.file_rules()), contents).select("dir_id", "mapping", "sha1"), "located")
+    detected = written(graph.detect_files(reached, REGISTRY.file_rules()), "detected")
+    # one content may lie in a third of all directories
+    located = written(hot_joined(detected, contents.select(F.col("sha1_git").alias("target"), "sha1"), "target").select("dir_id", "mapping", "sha1"), "located")
     if known is None:
         known = blobs.sparkSession.createDataFrame([], "id string, metadata string")
     reused, rest = graph.split_known(located, known)
     name = F.concat_ws("/", "mapping", "sha1")
     todo = rest.select("sha1", "mapping").distinct().withColumnRenamed("sha1", "id")
     files = content.with_blobs(todo, blobs)[0].withColumnRenamed("id", "sha1")
-    files = written(files.select(name.alias("doc_id"), "mapping", "data"), "files")
+    files = written(files.select(name.alias("doc_id"), "mapping", "data"), "files", by="mapping")
     fresh = written(translated_files(files), "translated")
     old = known.select(F.col("id").alias("sha1"), "metadata").join(reused.select("sha1").distinct(), "sha1", "left_semi")
     old = written(old.withColumn("doc_id", F.concat_ws("/", F.lit("known"), "sha1", F.xxhash64("metadata").cast("string"))).distinct(), "reused")
@@ -93,7 +95,7 @@ def directory_metadata(wanted: DataFrame, dir_entries: DataFrame, contents: Data
     groups = rest.select(group, F.col("mapping").alias("rank"), name.alias("doc_id")).unionByName(
         reused.join(old.select("sha1", "doc_id"), "sha1").select(group, F.col("mapping").alias("rank"), "doc_id")
     )
-    docs = written(props.compact(props.merge(told, groups)), "merged")
+    docs = written(props.compact(props.merge_rows(hot_joined(written(groups, "groups"), told, "doc_id"))), "merged")
     used = located.groupBy("dir_id").agg(F.array_sort(F.collect_set("mapping")).alias("mappings"))
     rows = sizes.join(used, "dir_id", "left").withColumn("group", F.col("dir_id").cast("string")).join(docs.withColumnRenamed("doc_id", "group"), "group", "left")
     directories = rows.select(

@@ -55,3 +55,12 @@ def test_records_wait_for_their_origins(spark, tmp_path):
     assert {r.status: r.tries for r in rows.where("record in ('{\"n\":1}', '{\"n\":2}')").collect()} == {"resolved": 2, "dead": 6} or rows.where("status = 'dead'").first().tries == 6
     resolved, dead = waiting.split(rows, "n int")
     assert sorted((r.n, r.url) for r in resolved.collect()) == [(1, "https://late/"), (3, "https://late/"), (4, "https://early/")] and [(r.n, r.tries) for r in dead.collect()] == [(2, 6)]
+
+
+def test_hot_keys_are_joined_without_their_shuffle(spark):
+    from metalake.plans.lineage import hot_joined, written
+
+    left = written(spark.range(60_000).select("id", F.when(F.col("id") % 3 > 0, F.lit("licence")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("key")), "left")
+    right = spark.createDataFrame([("licence", 1), ("licence", 2), *((f"k{i}", i) for i in range(0, 500, 2))], "key string, v int")
+    got, want = hot_joined(left, right, "key"), left.join(right, "key")
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty() and hot_joined(left, right, "key", most=1).count() == want.count()
