@@ -48,11 +48,16 @@ def hot_joined(left: DataFrame, right: DataFrame, key: str, share: int = 512, mo
 _MADE: dict[tuple[str, str, str], str] = {}
 
 
-def made_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table derived from the tables of ``sf_dir``, written by its first use in an application."""
+def made_path(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
+    """Path of what ``make`` writes there from the tables of ``sf_dir``, by its first use in an application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MADE:
         path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        make().write.parquet(path)
+        make(path)
         _MADE[key] = path
-    return spark.read.parquet(_MADE[key])
+    return _MADE[key]
+
+
+def made_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from the tables of ``sf_dir``, written by its first use in an application."""
+    return spark.read.parquet(made_path(spark, sf_dir, name, lambda path: make().write.parquet(path)))

@@ -27,6 +27,7 @@ from metalake import schemas
 from metalake.functions import scalars as S
 from metalake.operators import search, tables
 from metalake.plans import files
+from metalake.plans.lineage import written
 
 
 class CommitConflict(RuntimeError):
@@ -111,6 +112,23 @@ class Store:
         page = self.spark.createDataFrame(got[:limit], schemas.TABLES[name])
         return page, got[limit - 1]["id"] if len(got) > limit else None
 
+    def having(self, name: str, ids: DataFrame, most: int = 200_000) -> DataFrame:
+        """Rows of the table with one of ``ids`` (id), from the files whose range an id falls into. Up
+        to ``most`` different ids are broadcast, so the table's rows stay where they are; of more, a
+        join on the id, for which Spark may sketch the ids, deals both sides."""
+        wanted, parts = written(ids.select("id").where("id is not null").distinct(), "wanted"), self.parts(name)
+        if not parts:
+            return self.read(name, [])
+        touched = ranges(wanted, [p.low for p in parts]).groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).collect()
+        met = [parts[r["range"]] for r in touched if parts[r["range"]].high >= r["low"] and parts[r["range"]].low <= r["high"]]
+        few = sum(r["n"] for r in touched) <= most
+        return self.read(name, met).join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+
+    def missing(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows whose key the table doesn't hold; only the table's matching rows are joined with them."""
+        key = schemas.KEYS[name]
+        return tables.missing(rows, self.having(name, rows).select(*key).distinct(), key)
+
     def changes(self) -> DataFrame:
         """The additions log: every added row of every commit with its whole tool, metadata as it came."""
         paths = [t["changes"] for c in self.commits() for t in c["tables"].values() if t.get("changes")]

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
-from metalake.operators import content, licenses, search, tables
+from metalake.operators import content, fetch, licenses, search, tables
 from metalake.operators.props import TERMS
-from metalake.plans import pipelines
-from metalake.plans.lineage import made_once
+from metalake.plans import pipelines, ranked
+from metalake.plans.lineage import made_once, made_path, work_dir, written
+from metalake.plans.store import Store
 from metalake.sources import bridge
 from metalake.sources.bridge import read
 
@@ -168,6 +171,37 @@ def resilient_fetch(spark, sf_dir):
     return hit.unionByName(wanted.join(found, "id", "left_anti").select("event_id", "user_id", F.lit(False).alias("resolved")))
 
 
+def decoded(rows: list[dict]) -> list[dict]:
+    """A source that fails for a whole batch when one object's bytes are no UTF-8, and doesn't have
+    the objects without bytes."""
+    return [{"doc_id": r["doc_id"], "n_chars": len(r["raw"].decode())} for r in rows if r["raw"]]
+
+
+@query("""select doc_id, case when coalesce(text, '') = '' and doc_id % 11 > 0 then 'missing' when doc_id % 11 = 0 then 'failed' else 'found' end as outcome,
+    case when doc_id % 11 > 0 and text <> '' then length(text) end as n_chars from documents""")
+def batched_fetch(spark, sf_dir):
+    """All texts through a source that fails for every eleventh document, in batches of 100."""
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    args = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 11 == 0, F.concat(raw, F.lit(b"\xff"))).otherwise(raw).alias("raw"))
+    answers = written(fetch.fetched(args, decoded, "doc_id long, n_chars long"), "answers")
+    found = fetch.results(answers).select("doc_id", F.lit("found").alias("outcome"), "n_chars")
+    failed = fetch.failures(answers).select("doc_id", F.lit("failed").alias("outcome"), F.lit(None).cast("long").alias("n_chars"))
+    gone = fetch.not_there(args, answers, "doc_id").select("doc_id", F.lit("missing").alias("outcome"), F.lit(None).cast("long").alias("n_chars"))
+    return found.unionByName(failed).unionByName(gone)
+
+
+@query(f"""with {SQL_MIME}, wanted as (select id, tool_id + n % 2 as tool_id from mime where n % 5 = 0 union all select sha1('new' || c_custkey), 1 from customer)
+    select id, tool_id from wanted w where not exists (select 1 from mime m where m.id = w.id and m.tool_id = w.tool_id)""")
+def missing_in_store(spark, sf_dir):
+    """Keys to index that the stored table lacks; the table's rows are not shuffled."""
+    store = Store(spark, f"{work_dir(spark)}/store-{uuid.uuid4().hex}", tools(spark, sf_dir), 10_000)
+    rows = mimetype_rows(spark, sf_dir)
+    store.add({"content_mimetype": rows.drop("n")})
+    changed = rows.where("n % 5 = 0").select("id", (F.col("tool_id") + F.col("n") % 2).alias("tool_id"))
+    new = read(spark, sf_dir, "customer").select(F.sha1(F.concat(F.lit("new"), F.col("c_custkey").cast("string")).cast("binary")).alias("id"), F.lit(1).cast("long").alias("tool_id"))
+    return store.missing("content_mimetype", changed.unionByName(new))
+
+
 @query(f"""with {SQL_TOOLS} select 'content_mimetype' as object_type, '{{"id":"' || sha1(o_orderkey::varchar) || '","mimetype":"' ||
       ['text/plain','text/x-python','image/png','application/json'][o_orderkey % 4 + 1] || '","encoding":"' || ['us-ascii','utf-8','binary'][o_orderkey % 3 + 1] ||
       '","tool":{{"name":"' || tool_name || '","version":"' || tool_version || '","configuration":"' || replace(tool_configuration, '"', '\\"') || '"}}}}' as message
@@ -270,6 +304,35 @@ def search_by_postings(spark, sf_dir):
     return search.search_postings(index, terms.unionByName(fixed), counts)
 
 
+def ranked_path(spark: SparkSession, sf_dir: str) -> str:
+    """The stored postings in blocks by length."""
+    return made_path(spark, sf_dir, "ranked", lambda path: ranked.build(searchable(spark, sf_dir), path, 500))
+
+
+@query(f"""with {SQL_ORIGINS}, docs as (select id, tokens, len(tokens) as n from origins_i),
+     q as (select 'c' || conv_id || '/' || turn as query_id, list_slice(list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))), 1, 2) as wanted from conversations where text is not null
+       union all select 'all', ['the', 'of'] union all select 'source', ['source']),
+     w as (select distinct wanted from q where len(wanted) > 0),
+     p as (select distinct unnest(tokens) as token, id from docs), df as (select token, count(*) as df from p group by 1),
+     need as (select wanted, unnest(wanted) as token from w),
+     rare as (select wanted, arg_min(token, (df, token)) as token from need left join df using (token) group by 1 having count(*) = count(df)),
+     m as (select wanted, d.id, round(len(list_filter(d.tokens, lambda t: list_contains(wanted, t))) / (1 + ln(d.n)), 6) as rank from rare join p using (token) join docs d on d.id = p.id where list_has_all(d.tokens, wanted)),
+     best as (select wanted, id, rank, row_number() over (partition by wanted order by rank desc, id) as place from m qualify place <= 10)
+    select query_id, id, rank, place from q join best using (wanted)""")
+def best_matches(spark, sf_dir):
+    """The ten best matches of the first two words, by the alphabet, of every turn of every conversation."""
+    words = F.slice(F.array_sort(F.array_distinct(S.tokens(F.col("text")))), 1, 2)
+    turns = read(spark, sf_dir, "conversations").where("text is not null")
+    asked = turns.select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")).alias("query_id"), words.alias("wanted"))
+    fixed = spark.createDataFrame([("all", ["of", "the"]), ("source", ["source"])], "query_id string, wanted array<string>")
+    asked = asked.unionByName(fixed).where(F.size("wanted") > 0)
+    # equal searches are asked once
+    terms = asked.select("wanted").distinct().select(F.array_join("wanted", " ").alias("query_id"), F.explode("wanted").alias("token"))
+    found, _ = ranked.best(spark, ranked_path(spark, sf_dir), terms, 10)
+    named = asked.select(F.col("query_id").alias("name"), F.array_join("wanted", " ").alias("query_id"))
+    return named.join(found, "query_id").select(F.col("name").alias("query_id"), "id", "rank", "place")
+
+
 @query(f"with {SQL_ORIGINS} select id, tool_id from origins_i where list_has_any(mappings, ['gemspec', 'maven']) and tool_id in (1, 3)")
 def search_by_producer(spark, sf_dir):
     return search.by_producer(origin_rows(spark, sf_dir), ["gemspec", "maven"], [1, 3]).select("id", "tool_id")

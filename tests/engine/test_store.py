@@ -118,3 +118,20 @@ def test_compaction_and_vacuum(spark, store):
     store.run(lambda: {"content_mimetype": mimetypes(spark, [5]).union(mimetypes(spark, [5]))})
     assert store.vacuum(1) > 0 and sorted(map(tuple, store.table("content_mimetype").collect())) == rows
     assert store.vacuum(1) == 0 and store.changes().count() == 1000
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookups_open_few_files_and_leave_the_table_where_it_is(spark, store):
+    assert store.having("content_mimetype", spark.createDataFrame([("a",)], "id string")).count() == 0
+    store.add({"content_mimetype": mimetypes(spark, range(0, 6400, 2))})
+    ids = spark.createDataFrame([(f"{i:06d}",) for i in (10, 11, 12, 12, 3000, 999999)] + [("",), (None,)], "id string")
+    rows = store.having("content_mimetype", ids)
+    assert sorted(r.id for r in rows.collect()) == ["000010", "000012", "003000"]
+    assert len(rows.inputFiles()) <= 3 and "BroadcastHashJoin" in plan_of(rows) and "hashpartitioning" not in plan_of(rows)
+    many = store.having("content_mimetype", ids, most=2)
+    assert sorted(r.id for r in many.collect()) == ["000010", "000012", "003000"]
+    wanted = mimetypes(spark, [10, 11, 3000]).unionByName(mimetypes(spark, [3000], tool=2)).select("id", "tool_id")
+    assert sorted(map(tuple, store.missing("content_mimetype", wanted).collect())) == [("000011", 1), ("003000", 2)]
