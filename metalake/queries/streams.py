@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from metalake.plans import pipelines
 from metalake.plans.lineage import work_dir
+from metalake.sources import bridge
 from metalake.sources.bridge import read
 from metalake.streaming import journal, waiting
 
@@ -52,6 +53,27 @@ def streamed_extrinsic(spark, sf_dir):
     return journal.read_index(spark, f"{base}/out", "extrinsic", ["id"])
 
 
+@query("""select 'contents' as job, user_id, count(*) as n, max(event_id) as last from events where event_id % 3 = 0 and event_id % 13 > 0 group by 2
+    union all select 'origins', user_id, count(*), max(event_id) from events where event_id % 3 = 1 and event_id % 13 > 0 group by 2
+    union all select 'unreadable', null, count(*), null from events where event_id % 3 < 2 and event_id % 13 = 0""")
+def streamed_topics(spark, sf_dir):
+    """A log of three topics, two of them subscribed; each job gets its own topic's objects, and
+    every thirteenth message is broken."""
+    base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
+    value = F.to_json(F.struct(F.col("event_id").alias("id"), "user_id"))
+    topic = F.concat(F.lit("log."), bridge.pick(["content", "origin", "other"], F.col("event_id") % 3))
+    sent = F.when(F.col("event_id") % 13 > 0, value).otherwise(F.expr("left(to_json(struct(event_id)), 5)")).cast("binary")
+    read(spark, sf_dir, "events").select(topic.alias("topic"), sent.alias("value")).repartition(3).write.parquet(f"{base}/log")
+    count = lambda rows: rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
+    types, kinds = {"contents": ("content", count), "origins": ("origin", count)}, {"content": "id long, user_id long", "origin": "id long, user_id long"}
+    log = journal.subscribed(journal.file_log(spark, f"{base}/log", "topic string, value binary", 1), "log", journal.topics_of({name: [t] for name, (t, _) in types.items()}, list(types)))
+    jobs = journal.by_topic(types, "log", kinds) | {"unreadable": lambda rows: journal.unreadable(rows).agg(F.count(F.lit(1)).alias("n"))}
+    journal.run_indexers(log, jobs, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    told = [spark.read.parquet(f"{base}/out/{name}").groupBy("user_id").agg(F.sum("n").alias("n"), F.max("last").alias("last")).select(F.lit(name).alias("job"), "user_id", "n", "last") for name in types]
+    broken = spark.read.parquet(f"{base}/out/unreadable").agg(F.sum("n").alias("n")).select(F.lit("unreadable").alias("job"), F.lit(None).cast("long").alias("user_id"), "n", F.lit(None).cast("long").alias("last"))
+    return told[0].unionByName(told[1]).unionByName(broken)
+
+
 @query("""select 'good' as job, 3 as batches, count(*) filter (event_type <> 'error') as added, 'eventful' as status from events
     union all select 'changes', 3, count(*), 'eventful' from events union all select 'broken', 3, 0, 'failed'""")
 def stream_status(spark, sf_dir):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -41,6 +41,39 @@ def topics_of(indexers: dict[str, list[str]], chosen: list[str]) -> list[str]:
     return sorted({t for name in chosen for t in indexers[name]})
 
 
+def subscribed(log: DataFrame, prefix: str, object_types: list[str]) -> DataFrame:
+    """The messages (topic, value, ...) of a log of several topics that object types are sent to; on a
+    log of files the topics are tested where the files are read."""
+    return log.where(F.col("topic").isin(sorted({f"{prefix}.{t}" for t in object_types})))
+
+
+def objects(log: DataFrame, topic: str, schema: str) -> DataFrame:
+    """The objects of one topic, from their JSON text (string or UTF-8 bytes); messages that
+    :func:`unreadable` lists are left out."""
+    told = log.where(F.col("topic") == topic).select(F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"}).alias("v"), "value")
+    return told.where(_readable("value")).select("v.*")
+
+
+def unreadable(log: DataFrame) -> DataFrame:
+    """(topic, value) of messages that hold no JSON object."""
+    return log.where(~_readable("value")).select("topic", F.col("value").cast("string").alias("value"))
+
+
+def _readable(column: str) -> Column:
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(column).cast("string"))).startswith("OBJECT"), F.lit(False))
+
+
+def by_topic(jobs: dict[str, tuple[str, Job]], prefix: str, kinds: dict[str, str]) -> dict[str, Job]:
+    """Jobs of :func:`run_indexers` from ``jobs`` (name: its object type and job): each is given the
+    objects of its own topic, with the schema that ``kinds`` names for the type. An object type that
+    several jobs read passes the log once."""
+
+    def reader(object_type: str, job: Job) -> Job:
+        return lambda rows: job(objects(rows, f"{prefix}.{object_type}", kinds[object_type]))
+
+    return {name: reader(object_type, job) for name, (object_type, job) in jobs.items()}
+
+
 def run_indexers(log: DataFrame, jobs: dict[str, Job], out: str, checkpoint: str, changes: dict[str, Job] | None = None, stop_after: int | None = None, index: dict[str, list[str]] | None = None) -> StreamingQuery:
     """Gives each batch to every job and writes its rows under ``out/<job>/batch=<n>``; jobs of
     ``changes`` write the additions log, once their batch's index rows are there.

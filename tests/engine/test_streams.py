@@ -64,3 +64,11 @@ def test_hot_keys_are_joined_without_their_shuffle(spark):
     right = spark.createDataFrame([("licence", 1), ("licence", 2), *((f"k{i}", i) for i in range(0, 500, 2))], "key string, v int")
     got, want = hot_joined(left, right, "key"), left.join(right, "key")
     assert got.count() == want.count() and got.exceptAll(want).isEmpty() and hot_joined(left, right, "key", most=1).count() == want.count()
+
+
+def test_topics_reach_their_own_jobs(spark):
+    rows = [("p.a", '{"id": 1, "x": "é"}'), ("p.a", '{"id": "no"}'), ("p.b", '{"id": 2}'), ("p.a", "{"), ("p.a", "[1]"), ("p.a", ""), ("p.a", None), ("p.c", '{"id": 3}'), (None, "{}")]
+    log = journal.subscribed(spark.createDataFrame(rows, "topic string, value string").selectExpr("topic", "cast(value as binary) as value"), "p", ["a", "b"])
+    jobs = journal.by_topic({"one": ("a", lambda r: r), "two": ("b", lambda r: r.selectExpr("id + 1 as id"))}, "p", {"a": "id long, x string", "b": "id long"})
+    assert sorted(map(tuple, jobs["one"](log).collect()), key=str) == [(1, "é"), (None, None)] and [r.id for r in jobs["two"](log).collect()] == [3]
+    assert sorted((r.topic, r.value or "") for r in journal.unreadable(log).collect()) == [("p.a", ""), ("p.a", ""), ("p.a", "[1]"), ("p.a", "{")]
