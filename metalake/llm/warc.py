@@ -149,11 +149,8 @@ def split_records(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byte
 
 
 def normalise(streams: DataFrame, folder: str) -> DataFrame:
-    """Rewrites each archive of ``path`` so that every record is its own gzip member.
-
-    The index, one JSON line per record, lies beside the archive (``.idx``) and is returned:
-    path, offset, length, record_id, record_type.
-    """
+    """Rewrites each archive of ``path`` so that every record is its own gzip member, with an index
+    beside it (``.idx``, one JSON line per record); returns (path, n_records) of the new archives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
@@ -163,22 +160,42 @@ def normalise(streams: DataFrame, folder: str) -> DataFrame:
                 store, root = fs.FileSystem.from_uri(folder)
                 store.create_dir(root, recursive=True)
                 name = f"{path.rpartition('/')[2].removesuffix('.warc.gz')}-{attempt}.warc.gz"
-                rows, offset = [], 0
+                n, offset = 0, 0
                 with source.open_input_stream(at, compression=None) as raw, store.open_output_stream(f"{root}/{name}", compression=None) as out, store.open_output_stream(f"{root}/{name}.idx", compression=None) as side:
                     for fields, data in split_records(inflate(raw)):
                         member = gzip.compress(data, 6, mtime=0)
                         out.write(member)
-                        rows.append((f"{folder}/{name}", offset, len(member), fields["warc-record-id"], fields["warc-type"]))
-                        side.write(json.dumps(dict(zip(("offset", "length", "id", "type"), rows[-1][1:]))).encode() + b"\n")
-                        offset += len(member)
+                        side.write(json.dumps({"offset": offset, "length": len(member), "id": fields["warc-record-id"], "type": fields["warc-type"]}).encode() + b"\n")
+                        n, offset = n + 1, offset + len(member)
+                yield pa.record_batch([pa.array([f"{folder}/{name}"]), pa.array([n], pa.int64())], ["path", "n_records"])
+
+    spread = streams.select("path").repartition("path")
+    return materialize(spread.mapInArrow(run, "path string, n_records long"), "archives")
+
+
+def read_index(archives: DataFrame) -> DataFrame:
+    """path, offset, length, record_id and record_type of every record of ``archives`` (path,
+    n_records), from their sidecar files; one that lists another number of records raises."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, n in zip(b["path"].to_pylist(), b["n_records"].to_pylist()):
+                store, at = fs.FileSystem.from_uri(path)
+                rows, seen = [], 0
+                with store.open_input_stream(f"{at}.idx", compression=None) as side:
+                    for line in io.BufferedReader(side, BLOCK):
+                        told = json.loads(line)
+                        rows.append((path, told["offset"], told["length"], told["id"], told["type"]))
+                        seen += 1
                         if len(rows) == 4096:
                             yield index_batch(rows)
                             rows = []
+                if seen != n:
+                    raise ValueError(f"{path}.idx lists {seen} records of {n}")
                 if rows:
                     yield index_batch(rows)
 
-    spread = streams.select("path").repartition("path")
-    return materialize(spread.mapInArrow(run, INDEX), "index")
+    return archives.mapInArrow(run, INDEX)
 
 
 def index_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -240,5 +257,4 @@ def archive_round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "u
     """
     spark = df.sparkSession
     streams = write_streams(record_types(df, id_col, url_col, html_col, least), new_path(spark, "warc-streams"))
-    index = normalise(streams, new_path(spark, "warc"))
-    return read_records(index)
+    return read_records(read_index(normalise(streams, new_path(spark, "warc"))))

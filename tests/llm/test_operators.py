@@ -1,6 +1,7 @@
 """The other training-data operators against brute force, exact round trips and held-out rows."""
 
 import base64
+import gzip
 import hashlib
 import itertools
 import math
@@ -354,6 +355,23 @@ def test_warc(spark):
     assert warc.wrong_revisits(wrong).count() == 1
 
 
+def test_records_are_found_by_the_sidecar(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"{i}-" + "c" * 3000 * (i % 4)) for i in range(300)], "page_id long, url string, html string").repartition(3)
+    streams = warc.write_streams(warc.record_types(df), f"file://{tmp_path}/streams")
+    archives = warc.normalise(streams, f"file://{tmp_path}/warc")
+    index = warc.read_index(archives).collect()
+    assert len({r.path for r in index}) == streams.count() and sum(r.n_records for r in archives.collect()) == len(index) == 300
+    for path in {r.path for r in index}:
+        mine = sorted((r.offset, r.length, r.record_id) for r in index if r.path == path)
+        data = open(path.removeprefix("file://"), "rb").read()
+        assert sum(length for _, length, _ in mine) == len(data)
+        for offset, length, record_id in mine:
+            assert warc.urn(warc.parse_record(gzip.decompress(data[offset : offset + length]))[0]) == record_id
+    short = archives.withColumn("n_records", F.col("n_records") + 1)
+    with pytest.raises(Exception, match="lists"):
+        warc.read_index(short).collect()
+
+
 def test_gzip_normaliser_reads_streams_of_any_shape():
     import gzip
     import io
