@@ -169,8 +169,13 @@ def normalise(streams: DataFrame, folder: str) -> DataFrame:
                         n, offset = n + 1, offset + len(member)
                 yield pa.record_batch([pa.array([f"{folder}/{name}"]), pa.array([n], pa.int64())], ["path", "n_records"])
 
-    spread = streams.select("path").repartition("path")
-    return materialize(spread.mapInArrow(run, "path string, n_records long"), "archives")
+    return materialize(spread(streams.select("path")).mapInArrow(run, "path string, n_records long"), "archives")
+
+
+def spread(files: DataFrame) -> DataFrame:
+    """``files``, one row for each archive, in a task for each: an archive's row is short and its work
+    long, so rows must not be put together by their size. Counting them reads a written table."""
+    return files.repartitionByRange(max(1, files.count()), "path")
 
 
 def read_index(archives: DataFrame) -> DataFrame:
@@ -195,7 +200,7 @@ def read_index(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield index_batch(rows)
 
-    return archives.mapInArrow(run, INDEX)
+    return spread(archives).mapInArrow(run, INDEX)
 
 
 def index_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -218,7 +223,9 @@ def parse_record(data: bytes) -> tuple[int | None, int, str, str, int | None]:
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """Every indexed record: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Every indexed record: page_id, payload_bytes, payload_digest, record_type, refers_to. Rows are
+    read where they are; rows of an archive that lie together, as :func:`read_index` gives them,
+    open it once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple[str, io.IOBase] | None = None
@@ -238,8 +245,7 @@ def read_records(index: DataFrame) -> DataFrame:
         if opened:
             opened[1].close()
 
-    ordered = index.repartition("path").sortWithinPartitions("path", "offset")
-    return ordered.mapInArrow(run, PAGE)
+    return index.mapInArrow(run, PAGE)
 
 
 def wrong_revisits(records: DataFrame) -> DataFrame:
