@@ -31,6 +31,14 @@ def written(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *key: str, per_task: int = 10_000) -> DataFrame:
+    """``df``, a stored table of narrow rows, dealt out by ``key`` so that no task has many more than
+    ``per_task`` rows. A small file holds many rows in a few row groups, and each of those is one
+    task, however much work its rows make later. Rows are counted by the files' footers."""
+    tasks = -(-df.count() // per_task)
+    return df.repartition(tasks, *key) if tasks > 1 else df
+
+
 def hot_joined(left: DataFrame, right: DataFrame, key: str, share: int = 512, most: int = 200_000) -> DataFrame:
     """Inner join in which a key of more than 1/``share`` of the rows of ``left``, a written table, is
     no task's burden: such keys are fewer than ``share``, their rows of ``right`` are broadcast

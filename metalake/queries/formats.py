@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metalake.operators import formats, props
 from metalake.plans import pipelines
+from metalake.plans.lineage import spread
 from metalake.sources.bridge import pick, read
 
 from .register import Register
@@ -35,7 +36,7 @@ def told(props_table):
 
 
 def parts(spark, sf_dir):
-    return read(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey").cast("string")).withColumn("k", F.col("p_partkey") % 4)
+    return spread(read(spark, sf_dir, "part"), "p_partkey").withColumn("doc_id", F.col("p_partkey").cast("string")).withColumn("k", F.col("p_partkey") % 4)
 
 
 def npm_files(spark, sf_dir):
@@ -124,7 +125,7 @@ def nuget_translate(spark, sf_dir):
 
 
 def customers(spark, sf_dir):
-    return read(spark, sf_dir, "customer").withColumn("doc_id", F.col("c_custkey").cast("string")).withColumn("balance", F.round("c_acctbal").cast("long"))
+    return spread(read(spark, sf_dir, "customer"), "c_custkey").withColumn("doc_id", F.col("c_custkey").cast("string")).withColumn("balance", F.round("c_acctbal").cast("long"))
 
 
 @query(rows_sql("customer", "c_custkey", [
