@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from metalake.plans import pipelines
-from metalake.plans.lineage import work_dir
+from metalake.plans.lineage import spread, work_dir
 from metalake.sources import bridge
 from metalake.sources.bridge import read
 from metalake.streaming import journal, waiting
@@ -94,13 +94,15 @@ def late_records(spark, sf_dir):
     """A record of every customer's repository comes first. Two batches later come the origins that
     there are; the other records are given up after six tries."""
     base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
-    customers = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("https://f.org/"), F.col("c_custkey").cast("string")).alias("url"))
+    told = read(spark, sf_dir, "customer")
+    files = 1 + told.count() // 500_000  # of each batch
+    customers = spread(told, "c_custkey").select("c_custkey", F.concat(F.lit("https://f.org/"), F.col("c_custkey").cast("string")).alias("url"))
     records = customers.select(F.sha1(F.col("url").cast("binary")).alias("target"), F.col("c_custkey").alias("customer"))
     known = customers.where("c_custkey % 13 <> 0").select("url")
-    idle = waiting.events(records.limit(0), customers.where("c_custkey = 1").select(F.concat("url", F.lit("/other")).alias("url")))
+    idle = waiting.events(records.limit(0), spark.range(files).coalesce(1).select(F.concat(F.lit("https://f.org/other/"), F.col("id").cast("string")).alias("url")))
     for part in (waiting.events(records, known.limit(0)), idle, waiting.events(records.limit(0), known), *[idle] * 6):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
-    found = waiting.resolve(journal.file_log(spark, f"{base}/log", waiting.EVENT, 1), tries=6, every_ms=1)
+        part.repartition(files).write.mode("append").parquet(f"{base}/log")
+    found = waiting.resolve(journal.file_log(spark, f"{base}/log", waiting.EVENT, files), tries=6, every_ms=1)
     with waiting.without_idle_batches(spark):
         stream = found.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
     stream.awaitTermination()

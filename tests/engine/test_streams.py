@@ -72,3 +72,20 @@ def test_topics_reach_their_own_jobs(spark):
     jobs = journal.by_topic({"one": ("a", lambda r: r), "two": ("b", lambda r: r.selectExpr("id + 1 as id"))}, "p", {"a": "id long, x string", "b": "id long"})
     assert sorted(map(tuple, jobs["one"](log).collect()), key=str) == [(1, "é"), (None, None)] and [r.id for r in jobs["two"](log).collect()] == [3]
     assert sorted((r.topic, r.value or "") for r in journal.unreadable(log).collect()) == [("p.a", ""), ("p.a", ""), ("p.a", "[1]"), ("p.a", "{")]
+
+
+def test_waiting_records_are_called_by_bucket(spark, tmp_path):
+    """A batch calls the step once for a bucket: the state has as many rows as buckets, not keys."""
+    base = f"file://{tmp_path}"
+    keys = spark.range(600).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.lit(None).cast("string").alias("url"), F.col("id").cast("string").alias("record"))
+    origins = keys.where("key like '%7'").select("key", F.col("key").alias("url"), F.lit(None).cast("string").alias("record"))
+    idle = spark.createDataFrame([("filler", None, "{}")], waiting.EVENT)
+    for part in (keys, origins, *[idle] * 7):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
+    found = waiting.resolve(journal.file_log(spark, f"{base}/log", waiting.EVENT, 1), tries=6, every_ms=1, buckets=8)
+    with waiting.without_idle_batches(spark):
+        query = found.writeStream.format("parquet").option("checkpointLocation", f"{base}/check").option("path", f"{base}/out").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 8
+    rows = spark.read.schema(waiting.OUT).parquet(f"{base}/out").where("key <> 'filler'").groupBy("status", "tries", F.col("url").isNull().alias("lost")).count().collect()
+    assert sorted(map(tuple, rows)) == [("dead", 6, True, 540), ("resolved", 1, False, 60)]
