@@ -49,6 +49,11 @@ def clustered(rows: DataFrame, key: list[str], partitions: int) -> DataFrame:
     return rows.repartitionByRange(partitions, *key).sortWithinPartitions(*key)
 
 
+def ranges(rows: DataFrame, per_range: int, least: int = 16) -> int:
+    """How many key ranges ``rows`` are written in, so that what a task sorts doesn't grow with the table."""
+    return max(least, -(-rows.count() // per_range))
+
+
 def missing(wanted: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``wanted`` whose key the table doesn't hold."""
     return wanted.join(table.select(*key), key, "left_anti")
