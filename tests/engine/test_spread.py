@@ -26,4 +26,4 @@ def test_files_of_the_search_tables_grow_with_the_documents(spark, tmp_path):
     of_file = rows.groupBy(F.input_file_name()).agg(F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("n")).orderBy("least").collect()
     assert sum(r.n for r in of_file) == 100_000 and len(of_file) > 16
     assert all(a.last < b.least for a, b in zip(of_file, of_file[1:]))
-    assert rows.where(F.array_contains("tokens", "a77")).count() == 1
+    assert rows.where(F.array_contains("tokens", "a78")).count() == 1
