@@ -24,11 +24,12 @@ STRINGS = "array<string>"
 
 
 def json_files(files: DataFrame, *keys: str) -> DataFrame:
-    """(doc_id, f) of files whose data is a JSON object; f: the values of ``keys`` as variants,
-    taken apart in one step. Of repeated keys the last counts, at any depth."""
-    rows = parsed(files.select("doc_id", utf8().alias("t")), F.col("t"), "v").where(F.schema_of_variant("v").startswith("OBJECT"))
+    """(doc_id, f) of JSON files; f: the values of ``keys`` as variants, taken apart in one step, or
+    null where the data is no JSON object. Of repeated keys the last counts, at any depth. Nothing is
+    filtered here: Spark would test the rows before, and parse every file again for each part of the test."""
+    rows = parsed(files.select("doc_id", utf8().alias("t")), F.col("t"), "v")
     fields = ", ".join(f"`{k}`: variant" for k in keys)
-    return rows.select("doc_id", F.try_variant_get("v", "$", f"struct<{fields}>").alias("f"))
+    return rows.select("doc_id", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.try_variant_get("v", "$", f"struct<{fields}>")).alias("f"))
 
 
 def item(key: str, *inner: str) -> Column:
@@ -79,16 +80,22 @@ def placed(prop: str, kind: str) -> Callable[[Column, Column], Column]:
     return lambda x, i: F.struct(F.lit(prop).alias("prop"), F.lit(kind).alias("kind"), i.cast("int").alias("pos"), x.alias("value"))
 
 
-def values(rows: DataFrame, root: str = "SoftwareSourceCode", **props: tuple[str, Column]) -> DataFrame:
+def values(rows: DataFrame, root: str = "SoftwareSourceCode", needs: Column | None = None, **props: tuple[str, Column]) -> DataFrame:
     """Property table from arrays: prop=(kind, array column); nulls and, for uri, non-URLs go.
-    Every document gets a row for its type, ``root``."""
+    Every document gets a row for its type, ``root``; rows of :func:`json_files` without object, and
+    those that don't meet ``needs``, give none."""
+    # arrays are columns of their own first: under a lambda every use of a part would evaluate it again
+    fine = (F.col("f").isNotNull() if "f" in rows.columns else F.lit(True)) & (F.lit(True) if needs is None else needs)
+    held = rows.select("doc_id", fine.alias("fine"), *[F.coalesce(items, F.array().cast(STRINGS)).alias(f"of_{prop}") for prop, (_, items) in props.items()])
     out = [F.array(placed("type", "type")(F.lit(root), F.lit(0)))]
-    for prop, (kind, items) in props.items():
-        tidy = F.filter(F.coalesce(items, F.array().cast(STRINGS)), lambda x: x.isNotNull())
+    for prop, (kind, _) in props.items():
+        tidy = F.filter(f"of_{prop}", lambda x: x.isNotNull())
         if kind == "uri":
             tidy = F.filter(tidy, is_url)
         out.append(F.transform(tidy, placed(prop.replace("__", ":"), kind)))
-    return rows.select("doc_id", F.explode(F.concat(*out)).alias("p")).select("doc_id", "p.*")
+    # an inner explode would have Spark make all arrays once more before, to test them
+    each = held.select("doc_id", F.explode_outer(F.when(F.col("fine"), F.concat(*out))).alias("p"))
+    return each.where("p is not null").select("doc_id", "p.*")
 
 
 def rejected(files: DataFrame, translated: DataFrame) -> DataFrame:
@@ -314,7 +321,7 @@ def cff(files: DataFrame) -> DataFrame:
     cited = F.col("f.`preferred-citation`")
     inner = F.try_variant_get(cited, "$", "struct<" + ", ".join(f"`{k}`: variant" for k in keys) + ">")
     own = F.struct(*[F.col(f"f.`{k}`").alias(k) for k in keys])
-    rows = rows.select("doc_id", F.when(F.schema_of_variant(cited).startswith("OBJECT"), inner).otherwise(own).alias("f"))
+    rows = rows.select("doc_id", F.when(F.schema_of_variant(cited).startswith("OBJECT"), inner).otherwise(F.when(F.col("f").isNotNull(), own)).alias("f"))
     people = F.filter(F.try_variant_get(item("authors"), "$", "array<variant>"), lambda p: shape(p).startswith("OBJECT"))
     get = lambda p, k: text_of(F.try_variant_get(p, f"$['{k}']", "variant"))
     node = lambda p: F.when(F.trim(get(p, "orcid")).rlike("^[a-z]+://[^/ ]+"), F.trim(get(p, "orcid")))
@@ -363,13 +370,14 @@ def counter(key: str, collection: str = "as:Collection") -> tuple[str, Column]:
 def forge(files: DataFrame, name: str, site: str, stars: str, followers: str) -> DataFrame:
     rows = json_files(
         files, "html_url", "parent", "has_issues", "license", name, "description", site, "language", "topics", "clone_url", "created_at", "updated_at", "forks_count", stars, followers
-    ).where(text_at("html_url").isNotNull())
+    )
     node = lambda url: F.to_json(F.struct(url.alias("id")))
     parent = text_at("parent", "html_url")
     issues = F.when((shape(item("has_issues")) == "BOOLEAN") & F.try_variant_get(item("has_issues"), "$", "boolean"), F.concat(text_at("html_url"), F.lit("/issues")))
     return values(
         rows,
         "forge:Repository",
+        text_at("html_url").isNotNull(),
         id=("uri", as_array(text_at("html_url"))),
         name=("literal", as_array(text_at(name))),
         description=("literal", as_array(text_at("description"))),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from metalake.operators import formats as jobs
 from metalake.plans.lineage import spread
 from metalake.queries import formats, relational
 
@@ -27,3 +28,13 @@ def test_files_of_the_search_tables_grow_with_the_documents(spark, tmp_path):
     assert sum(r.n for r in of_file) == 100_000 and len(of_file) > 16
     assert all(a.last < b.least for a, b in zip(of_file, of_file[1:]))
     assert rows.where(F.array_contains("tokens", "a78")).count() == 1
+
+
+def test_files_are_parsed_once_and_others_give_no_rows(spark):
+    rows = [("a", b'{"html_url":"https://f.org/a","full_name":"a"}'), ("b", b'{"full_name":"b"}'), ("c", b"[1]"), ("d", b"{<")]
+    files = spark.createDataFrame(rows, "doc_id string, data binary")
+    found = jobs.github(files)
+    assert {r.doc_id for r in found.collect()} == {"a"}
+    assert jobs.cff(files.where("doc_id > 'b'")).isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("VariantExpressionEvalUtils") <= 3
