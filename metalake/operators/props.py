@@ -76,11 +76,12 @@ def compact(props: DataFrame, forge: bool = False) -> DataFrame:
         key = F.substring(full_names(F.concat(F.lit('"'), key)), 2, 2**31 - 1)
         json = F.when(of_forge, full_names(json)).otherwise(json)
     keyed = rows.select("doc_id", key.alias("key"), listed.alias("listed"), F.struct(F.when(listed, F.col("pos")).otherwise(0).alias("pos"), json.alias("json")).alias("v"))
-    values = keyed.repartition("doc_id").groupBy("doc_id", "key").agg(F.max("listed").alias("listed"), F.array_sort(F.collect_set("v")).alias("vs"))
+    values = keyed.repartition("doc_id").groupBy("doc_id", "key").agg(F.max("listed").alias("listed"), F.sort_array(F.collect_set("v")).alias("vs"))
     texts = F.array_distinct(F.transform("vs", lambda v: v["json"]))
     body = F.when(F.col("listed") | (F.size(texts) > 1), F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).otherwise(F.element_at(texts, 1))
     pair = F.struct((F.col("key") != "type").alias("late"), "key", F.concat(F.lit('"'), F.col("key"), F.lit('":'), body).alias("text"))
-    docs = values.groupBy("doc_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+    # a column first, for what stands inside of an aggregate is evaluated part by part
+    docs = values.select("doc_id", pair.alias("pair")).groupBy("doc_id").agg(F.sort_array(F.collect_list("pair")).alias("pairs"))
     more = ",".join(f'"{p}":"{iri}"' for p, iri in PREFIXES.items())
     context = F.array(F.lit(f'"@context":["{CONTEXT}",{{{more}}}]' if forge else f'"@context":"{CONTEXT}"'))
     return docs.select("doc_id", F.concat(F.lit("{"), F.array_join(F.concat(context, F.transform("pairs", lambda p: p["text"])), ","), F.lit("}")).alias("metadata"))
@@ -116,6 +117,6 @@ def merge_rows(joined: DataFrame) -> DataFrame:
         "group", F.when(other, "sameAs").otherwise(F.col("prop")).alias("prop"), F.when(other, "literal").otherwise(F.col("kind")).alias("kind"), "value", "at"
     )
     again = named.groupBy("group", "prop", "kind", "value").agg(F.min("at").alias("at"))
-    numbered = again.groupBy("group", "prop").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "value"))).alias("vs"))
+    numbered = again.groupBy("group", "prop").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "value"))).alias("vs"))
     values = numbered.select(F.col("group").alias("doc_id"), "prop", F.posexplode("vs").alias("pos", "v"))
     return values.select("doc_id", "prop", "v.kind", F.when(F.col("prop") == "id", 0).otherwise(F.col("pos")).alias("pos"), "v.value")
