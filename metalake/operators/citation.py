@@ -40,14 +40,14 @@ def people(table: DataFrame) -> DataFrame:
     member = names.where("prop = 'affiliation'").select("doc_id", "node", "pos", "kind", F.col("value").alias("place"))
     org = whole.select("doc_id", F.col("node").alias("place"), F.col("name").alias("org"))
     member = member.join(org, ["doc_id", "place"], "left").withColumn("org", F.coalesce("org", F.when(F.col("kind") == "literal", F.col("place"))))
-    member = member.where("org is not null").groupBy("doc_id", "node").agg(F.array_sort(F.collect_list(F.struct("pos", "org"))).alias("orgs"))
+    member = member.where("org is not null").groupBy("doc_id", "node").agg(F.sort_array(F.collect_list(F.struct("pos", "org"))).alias("orgs"))
     out = joined.join(member, ["doc_id", "node"], "left").select("doc_id", "role", "path", person.alias("person"), F.transform("orgs", lambda o: o["org"]).alias("affiliations"))
     return out.where("person is not null")
 
 
 def first_seen(items: Column) -> Column:
     """Values of (pos, value) structs in order of pos, without repeats."""
-    return F.array_distinct(F.transform(F.array_sort(items), lambda x: x["v"]))
+    return F.array_distinct(F.transform(F.sort_array(items), lambda x: x["v"]))
 
 
 def facts(docs: DataFrame) -> DataFrame:
@@ -68,16 +68,18 @@ def facts(docs: DataFrame) -> DataFrame:
         first_seen(F.collect_list(F.when(F.col("prop").isin(p), F.struct(place.alias("p"), F.col("value").alias("v"))))).alias(name)
         for p, name in ((["license"], "license_uris"), (["identifier", "id"], "identifiers"))
     ]
-    out = rows.groupBy("doc_id").agg(*single, *lists, *texts, F.array_distinct(F.flatten(F.transform(F.array_sort(where), lambda x: x["v"]))).alias("affiliations"))
+    out = rows.groupBy("doc_id").agg(*single, *lists, *texts, F.array_distinct(F.flatten(F.transform(F.sort_array(where), lambda x: x["v"]))).alias("affiliations"))
     out = out.withColumn("licenses", F.array_compact(F.transform("license_uris", spdx_name)))
     ordered = F.concat("identifiers", F.filter(F.transform("identifiers", lambda x: F.substring_index(x, "/", -1)), lambda x: ~x.contains("/")))
     return out.withColumn("identifiers", F.array_distinct(ordered))
 
 
-def citation_date() -> tuple[Column, Column]:
-    """(text, date): published, else created, else modified; the date is null if unparsable."""
+def dated(rows: DataFrame) -> DataFrame:
+    """``rows`` with _text (published, else created, else modified) and _date, null if unparsable."""
     text = F.coalesce("datePublished", "dateCreated", "dateModified")
-    return text, F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+    day = F.substring("_text", 1, 10)
+    # what can't be a date isn't given to the parser, whose refusals are costly
+    return rows.withColumn("_text", text).withColumn("_date", F.when(day.rlike(r"^[+-]?\d+-\d+-\d+$"), F.try_to_date(day, "yyyy-MM-dd")))
 
 
 def last_name_first(p: Column) -> Column:
@@ -124,11 +126,11 @@ def paired(value: Column) -> Column:
     return state["fine"] & (state["open"] == 0)
 
 
-def fielded(value: Column, verbatim: Column) -> Column:
+def fielded(value: Column, verbatim: bool) -> Column:
     """A field's value in quotes, or in braces where it has quotes itself. Braces that don't
     pair up are written as TeX commands; characters that TeX reads as commands are escaped,
     but for ``verbatim`` values."""
-    escaped = F.when(verbatim, value).otherwise(F.regexp_replace(value, r"([&%$#_])", r"\\$1"))
+    escaped = value if verbatim else F.regexp_replace(value, r"([&%$#_])", r"\\$1")
     spelled = F.replace(F.replace(escaped, F.lit("{"), F.lit("\\textbraceleft ")), F.lit("}"), F.lit("\\textbraceright "))
     plain = F.when(~value.rlike("[{}]"), escaped).when(paired(value), escaped).otherwise(spelled)
     return F.when(value.contains('"'), F.concat(F.lit("{"), plain, F.lit("}"))).otherwise(F.concat(F.lit('"'), plain, F.lit('"')))
@@ -140,7 +142,8 @@ VERBATIM = {"author", "editor", "date", "year", "doi", "repository", "url", "swh
 
 def bibtex(rows: DataFrame) -> DataFrame:
     """Facts (with a column swhid, which may be null) with ``bibtex`` and ``error``."""
-    text, date = citation_date()
+    rows = dated(rows)
+    text, date = F.col("_text"), F.col("_date")
     year = F.coalesce(F.year(date).cast("string"), F.when(date.isNull() & text.isNotNull() & text.rlike(r"^\d{4}"), F.substring(text, 1, 4)))
     swhid = F.coalesce("swhid", F.lit(""))
     fields = [
@@ -149,17 +152,21 @@ def bibtex(rows: DataFrame) -> DataFrame:
         ("publisher", F.nullif(F.array_join(F.transform("publishers", lambda p: p["name"]), ", "), F.lit(""))), ("repository", F.col("codeRepository")), ("url", F.coalesce("url", "relatedLink", "downloadUrl", "installUrl")),
         ("title", F.col("name")), ("abstract", F.col("description")), ("version", F.col("version")), ("swhid", F.col("swhid")),
     ]
-    told = F.array(*[F.struct(F.lit(k).alias("name"), c.alias("value"), F.lit(k in VERBATIM).alias("verbatim")) for k, c in fields])
-    line = lambda f: F.concat(F.lit("    "), f["name"], F.lit(" = "), F.when(f["name"] == "month", f["value"]).otherwise(fielded(f["value"], f["verbatim"])))
-    lines = F.transform(F.filter(told, lambda f: f["value"].isNotNull()), line)
+    # every field is a column of its own first: inside a lambda its expression would be evaluated at each use
+    rows = rows.select("*", *[c.alias(f"field_{k}") for k, c in fields])
+    told = [F.when(F.col(f"field_{k}").isNotNull(), F.concat(F.lit(f"    {k} = "), F.col("field_month") if k == "month" else fielded(F.col(f"field_{k}"), k in VERBATIM))) for k, _ in fields]
+    rows = rows.withColumn("_lines", F.array_compact(F.array(*told)))
+    lines = F.col("_lines")
     head = F.concat(F.lit("@"), entry_type(swhid), F.lit("{"), citation_key(swhid), F.lit(",\n"))
     body = F.concat(head, F.array_join(lines, ",\n"), F.lit("\n}\n"))
-    return rows.withColumn("bibtex", F.when(F.size(lines) > 0, body)).withColumn("error", F.when(F.size(lines) == 0, "no field to cite"))
+    done = rows.withColumn("bibtex", F.when(F.size(lines) > 0, body)).withColumn("error", F.when(F.size(lines) == 0, "no field to cite"))
+    return done.drop("_lines", "_text", "_date", *[f"field_{k}" for k, _ in fields])
 
 
 def csl(rows: DataFrame) -> DataFrame:
     """Facts with ``csl``, a CSL-JSON object; unknown fields are left out."""
-    _, date = citation_date()
+    rows = dated(rows)
+    date = F.col("_date")
     words = lambda p: F.split(F.trim(p["name"]), " +")
     person = lambda p: F.struct(
         F.when(p["organization"], p["name"]).otherwise(F.coalesce(p["family"], F.element_at(words(p), -1))).alias("family"),
@@ -172,7 +179,7 @@ def csl(rows: DataFrame) -> DataFrame:
         doi().alias("DOI"), F.get("identifiers", F.lit(0)).alias("id"), F.get(F.transform("publishers", lambda p: p["name"]), F.lit(0)).alias("publisher"), F.col("codeRepository").alias("source"),
         F.coalesce("url", "relatedLink", "downloadUrl", "installUrl").alias("URL"), F.nullif(F.array_join("licenses", " and "), F.lit("")).alias("license"), F.col("version").alias("version"),
     )
-    return rows.withColumn("csl", F.to_json(record))
+    return rows.withColumn("csl", F.to_json(record)).drop("_text", "_date")
 
 
 def cite(docs: DataFrame, style: str = "bibtex") -> DataFrame:
