@@ -46,9 +46,10 @@ def streamed_extrinsic(spark, sf_dir):
     """Forge records from the log, oldest first; of an origin's rows the latest batch's stays."""
     base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     records, known = remd(spark, sf_dir), known_forge_origins(spark, sf_dir)
+    files = 1 + read(spark, sf_dir, "customer").count() // 25_000  # of each month
     for month in (1, 2):
-        records.where(F.month("discovery_date") == month).coalesce(1).write.mode("append").parquet(f"{base}/log")
-    log = journal.file_log(spark, f"{base}/log", records.schema, 1)
+        records.where(F.month("discovery_date") == month).repartition(files).write.mode("append").parquet(f"{base}/log")
+    log = journal.file_log(spark, f"{base}/log", records.schema, files)
     journal.run_indexers(log, {"extrinsic": lambda rows: pipelines.origin_extrinsic_metadata(rows, known)}, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return journal.read_index(spark, f"{base}/out", "extrinsic", ["id"])
 
