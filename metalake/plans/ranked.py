@@ -39,9 +39,11 @@ def build(rows: DataFrame, path: str, per_block: int = 20_000, id_col: str = "id
     lengths = docs.groupBy("n").agg(F.count(F.lit(1)).alias("many"))
     lengths = lengths.withColumn("before", F.sum("many").over(Window.orderBy("n")) - F.col("many"))
     at = F.col("before") + F.pmod(F.xxhash64("id"), F.col("many"))
-    dealt = docs.join(lengths, "n").select("id", "n", F.floor(at / per_block).cast("long").alias("block"), F.explode("tokens").alias("token"))
-    postings = dealt.groupBy("token", "id", "n", "block").agg(F.count(F.lit(1)).alias("tf"))
-    kept = postings.select("token", "id", "n", "tf", "block").repartition("block").sortWithinPartitions("block", "token", "id")
+    dealt = docs.join(F.broadcast(lengths), "n").select("id", "n", F.floor(at / per_block).cast("long").alias("block"), "tokens")
+    # whole documents are shuffled, once; their postings are made and counted where they are written
+    each = dealt.repartition("block").select("id", "n", "block", F.explode("tokens").alias("token"))
+    postings = each.groupBy("token", "id", "n", "block").agg(F.count(F.lit(1)).alias("tf"))
+    kept = postings.select("token", "id", "n", "tf", "block").sortWithinPartitions("block", "token", "id")
     kept.write.partitionBy("block").option("parquet.bloom.filter.enabled#token", "true").parquet(f"{path}/postings")
     tops = read_postings(rows.sparkSession, path).groupBy("token", "block").agg(F.max(rank_of(F.col("tf"), F.col("n"))).alias("top"))
     tops.sortWithinPartitions("token").write.parquet(f"{path}/tops")
