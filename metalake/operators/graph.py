@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metalake.functions.scalars import version_key
@@ -112,6 +112,22 @@ def file_mappings(rules: list[tuple[str, str, str]] = FILE_RULES):
     return F.array_compact(F.array(*hit))
 
 
+def searched(entries: DataFrame, rules: list[tuple[str, str, str]], most: int = 100) -> DataFrame:
+    """(dir_id, truncated, inner, hits), a row for each directory, in one aggregate. hits: (mapping,
+    target) of its first file of each mapping among its first ``most`` entries; inner: the
+    directory that is its only entry, or null."""
+    name, looked = F.col("name"), (F.col("type") == "file") & (F.col("pos") <= most)
+    meets: dict[str, Column] = {}
+    for mapping, kind, value in rules:
+        hit = F.lower(name) == value if kind == "exact" else name.rlike(value)
+        meets[mapping] = meets[mapping] | hit if mapping in meets else hit
+    firsts = [F.min_by("target", F.when(looked & hit, F.col("pos"))).alias(f"hit_{k}") for k, hit in enumerate(meets.values())]
+    only = F.max(F.when(F.col("type") == "dir", F.col("target"))).alias("only")
+    told = entries.groupBy("dir_id").agg((F.max("pos") > most).alias("truncated"), F.count(F.lit(1)).alias("n"), only, *firsts)
+    hits = [F.when(F.col(f"hit_{k}").isNotNull(), F.struct(F.lit(m).alias("mapping"), F.col(f"hit_{k}").alias("target"))) for k, m in enumerate(meets)]
+    return told.select("dir_id", "truncated", F.when(F.col("n") == 1, F.col("only")).alias("inner"), F.array_compact(F.array(*hits)).alias("hits"))
+
+
 def detect_files(entries: DataFrame, rules: list[tuple[str, str, str]] = FILE_RULES) -> DataFrame:
     """(dir_id, mapping, target): for each mapping, the first matching file of a directory."""
     hits = entries.where("type = 'file'").select("dir_id", "pos", "target", F.explode(file_mappings(rules)).alias("mapping"))

@@ -63,6 +63,16 @@ def full_names(text: Column) -> Column:
     return text
 
 
+def key_and_json(forge: bool = False) -> tuple[Column, Column]:
+    """The key and the JSON text with which a row of a property table stands in its document."""
+    key, json = compact_key(F.col("prop"), F.col("kind")), json_value(F.col("value"), F.col("kind"))
+    if not forge:
+        of_forge = F.col("prop").startswith("as:") | F.col("prop").startswith("forge:") | (F.col("prop") == "type")
+        key = F.substring(full_names(F.concat(F.lit('"'), key)), 2, 2**31 - 1)
+        json = F.when(of_forge, full_names(json)).otherwise(json)
+    return key, json
+
+
 def compact(props: DataFrame, forge: bool = False) -> DataFrame:
     """(doc_id, metadata): JSON documents, context and type first, then sorted keys. One value is
     a scalar, several a sorted array without repeats; lists (author) are always arrays, in
@@ -70,11 +80,7 @@ def compact(props: DataFrame, forge: bool = False) -> DataFrame:
     names are written out. A document's rows meet in one exchange."""
     rows = drop_empty_uris(props).where("value is not null")
     listed = F.col("prop").isin(LIST_TERMS)
-    key, json = compact_key(F.col("prop"), F.col("kind")), json_value(F.col("value"), F.col("kind"))
-    if not forge:
-        of_forge = F.col("prop").startswith("as:") | F.col("prop").startswith("forge:") | (F.col("prop") == "type")
-        key = F.substring(full_names(F.concat(F.lit('"'), key)), 2, 2**31 - 1)
-        json = F.when(of_forge, full_names(json)).otherwise(json)
+    key, json = key_and_json(forge)
     keyed = rows.select("doc_id", key.alias("key"), listed.alias("listed"), F.struct(F.when(listed, F.col("pos")).otherwise(0).alias("pos"), json.alias("json")).alias("v"))
     values = keyed.repartition("doc_id").groupBy("doc_id", "key").agg(F.max("listed").alias("listed"), F.sort_array(F.collect_set("v")).alias("vs"))
     texts = F.array_distinct(F.transform("vs", lambda v: v["json"]))
@@ -120,3 +126,54 @@ def merge_rows(joined: DataFrame) -> DataFrame:
     numbered = again.groupBy("group", "prop").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "value"))).alias("vs"))
     values = numbered.select(F.col("group").alias("doc_id"), "prop", F.posexplode("vs").alias("pos", "v"))
     return values.select("doc_id", "prop", "v.kind", F.when(F.col("prop") == "id", 0).otherwise(F.col("pos")).alias("pos"), "v.value")
+
+
+def entries(props: DataFrame) -> DataFrame:
+    """(doc_id, entries): of every document the key and JSON text of each value, made once however
+    many groups it is in. Only ids and lists keep what their merge goes by: pos, kind and value."""
+    is_id, listed = F.col("prop") == "id", F.col("prop").isin(LIST_TERMS)
+    stays = F.col("value").isNotNull() & ~((F.col("kind") == "uri") & (F.col("value") == ""))
+    key, json = key_and_json()
+    told = [F.when(is_id | listed, F.col(c)).alias(c) for c in ("pos", "kind", "value")]
+    rows = props.where(is_id | stays).select("doc_id", F.struct(key.alias("key"), F.when(stays, json).alias("json"), is_id.alias("is_id"), listed.alias("listed"), *told).alias("entry"))
+    return rows.groupBy("doc_id").agg(F.collect_list("entry").alias("entries"))
+
+
+def merged_documents(groups: DataFrame) -> DataFrame:
+    """``groups`` with ``metadata`` in the place of ``docs``, an array of (rank, entries): the text that
+    :func:`compact` gives of their :func:`merge`, null where nothing is told. A group is one row, so
+    neither of them has its values sorted as rows; each select below stands for itself, for an array
+    that is made under a lambda would be made again for each of its items."""
+    keep = [F.col(f"`{c}`") for c in groups.columns if c != "docs"]
+    own = ["key", "json", "is_id", "listed", "pos", "kind", "value"]
+    every = F.flatten(F.transform("docs", lambda d: F.transform(d["entries"], lambda e: F.struct(d["rank"].alias("rank"), *[e[c].alias(c) for c in own]))))
+    ids = F.transform(F.filter("every", lambda e: e["is_id"]), lambda e: F.struct(e["rank"], e["pos"], e["value"].alias("value")))
+    rows = groups.select(*keep, every.alias("every")).select("*", F.array_min(ids)["value"].alias("kept"))
+
+    def placed(e: Column) -> Column:
+        order = F.when(e["listed"], F.struct(e["rank"].alias("rank"), e["pos"].alias("pos"), e["kind"].alias("kind"), e["value"].alias("value")))
+        other = e["is_id"] & F.col("kept").isNotNull() & (e["value"] != F.col("kept"))
+        key = F.when(other, compact_key(F.lit("sameAs"), F.lit("literal"))).otherwise(e["key"])
+        return F.struct((key != "type").alias("late"), key.alias("key"), F.when(other, quoted(e["value"])).otherwise(e["json"]).alias("json"), order.alias("order"))
+
+    def same(array: str, x: Column, at: Column, *fields: str) -> Column:
+        found = F.lit(True)
+        for f in fields:
+            found = found & F.get(array, at)[f].eqNullSafe(x[f])
+        return found
+
+    rows = rows.select(*keep, F.sort_array(F.filter(F.transform("every", placed), lambda e: e["json"].isNotNull())).alias("values"))
+    first = F.filter("values", lambda x, i: ~same("values", x, i - 1, "key", "json"))
+    ordered = F.sort_array(F.transform(first, lambda x: F.struct(*[x[c].alias(c) for c in ("late", "key", "order", "json")])))
+    rows = rows.select(*keep, ordered.alias("values"))
+
+    def piece(x: Column, i: Column) -> Column:
+        before, after = same("values", x, i - 1, "key"), same("values", x, i + 1, "key")
+        many = x["order"].isNotNull() | before | after
+        start = F.when(before, "").otherwise(F.concat(F.lit('"'), x["key"], F.when(many, '":[').otherwise('":')))
+        return F.concat(start, x["json"], F.when(many & ~after, "]").otherwise(""))
+
+    pieces = F.concat(F.array(F.lit(f'"@context":"{CONTEXT}"')), F.transform("values", piece))
+    whole = F.when(F.size("values") > 0, F.concat(F.lit("{"), F.array_join(pieces, ","), F.lit("}")))
+    # explode keeps filters on the text above all of this; below, each would hold its steps many times over
+    return rows.select(*keep, F.explode_outer(F.array(whole)).alias("metadata"))

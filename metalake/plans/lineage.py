@@ -53,6 +53,20 @@ def hot_joined(left: DataFrame, right: DataFrame, key: str, share: int = 512, mo
     return there.unionByName(left.where(~F.col(key).isin(hot)).join(right.where(~F.col(key).isin(hot)), key))
 
 
+def weighed_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, share: int = 512) -> DataFrame:
+    """Inner join with ``right``, a written table whose keys are unique and whose ``weight`` counts the rows
+    of ``left`` with that key. Keys of more than 1/``share`` of all rows (and 10,000) are fewer than
+    ``share``: they are broadcast, and their rows of ``left`` stay where they are."""
+    key = F.xxhash64(*on)
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    hot = [r[0] for r in right.where(F.col(weight) > max(total / share, 10_000)).select(key).collect()]
+    narrow = right.drop(weight)
+    if not hot:
+        return left.join(narrow, on)
+    there = left.where(key.isin(hot)).join(F.broadcast(narrow.where(key.isin(hot))), on)
+    return there.unionByName(left.where(~key.isin(hot)).join(narrow.where(~key.isin(hot)), on))
+
+
 _MADE: dict[tuple[str, str, str], str] = {}
 
 

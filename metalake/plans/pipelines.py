@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from metalake.functions import scalars as S
 from metalake.operators import content, graph, props, tables
-from metalake.plans.lineage import hot_joined, written
+from metalake.plans.lineage import weighed_join, written
 
 
 def content_mimetypes(ids: DataFrame, blobs: DataFrame, known: DataFrame | None = None, tool_id: int = 1) -> DataFrame:
@@ -47,6 +47,10 @@ class Indexed(NamedTuple):
 EMPTY = f'{{"@context":"{props.CONTEXT}"}}'
 
 
+#: Ids that are sent to every task at most.
+MOST_SENT = 500_000
+
+
 def translated_files(files: DataFrame) -> DataFrame:
     """Property table of written files (doc_id, mapping, data), each by its mapping. Only the
     mappings that occur are planned; there are as many as the registry has."""
@@ -74,12 +78,18 @@ def directory_metadata(wanted: DataFrame, dir_entries: DataFrame, contents: Data
     """
     from metalake.registry import REGISTRY
 
+    rules = REGISTRY.file_rules()
     roots = dir_entries.join(wanted.select("dir_id").distinct(), "dir_id", "left_semi")
-    sizes = roots.groupBy("dir_id").agg((F.max("pos") > most).alias("truncated"))
-    reached = graph.descend_single(roots, dir_entries).where(F.col("pos") <= most)
-    detected = written(graph.detect_files(reached, REGISTRY.file_rules()), "detected")
-    # one content may lie in a third of all directories
-    located = written(hot_joined(detected, contents.select(F.col("sha1_git").alias("target"), "sha1"), "target").select("dir_id", "mapping", "sha1"), "located")
+    found = written(graph.searched(roots, rules, most), "found")
+    inner = found.where("inner is not null").select(F.col("dir_id").alias("outer"), F.col("inner").alias("dir_id"))
+    # the filter goes below whatever makes the entries; it is broadcast while the ids are few
+    ids = inner.select("dir_id").distinct()
+    below = dir_entries.join(F.broadcast(ids) if inner.count() <= MOST_SENT else ids, "dir_id", "left_semi").join(inner, "dir_id")
+    below = written(graph.searched(below.withColumn("dir_id", F.col("outer")), rules, most), "below")
+    hits = found.select("dir_id", "hits").unionByName(below.select("dir_id", "hits")).select("dir_id", F.inline("hits"))
+    # a content lies in many directories, so all that asks about contents asks once for each
+    pairs = hits.groupBy("target", "mapping").agg(F.count(F.lit(1)).alias("n"))
+    located = written(pairs.join(contents.select(F.col("sha1_git").alias("target"), "sha1"), "target"), "located")
     if known is None:
         known = blobs.sparkSession.createDataFrame([], "id string, metadata string")
     reused, rest = graph.split_known(located, known)
@@ -90,17 +100,17 @@ def directory_metadata(wanted: DataFrame, dir_entries: DataFrame, contents: Data
     fresh = written(translated_files(files), "translated")
     old = known.select(F.col("id").alias("sha1"), "metadata").join(reused.select("sha1").distinct(), "sha1", "left_semi")
     old = written(old.withColumn("doc_id", F.concat_ws("/", F.lit("known"), "sha1", F.xxhash64("metadata").cast("string"))).distinct(), "reused")
-    told = fresh.unionByName(props.expand(old.select("doc_id", "metadata")))
-    group = F.col("dir_id").cast("string").alias("group")
-    groups = rest.select(group, F.col("mapping").alias("rank"), name.alias("doc_id")).unionByName(
-        reused.join(old.select("sha1", "doc_id"), "sha1").select(group, F.col("mapping").alias("rank"), "doc_id")
-    )
-    docs = written(props.compact(props.merge_rows(hot_joined(written(groups, "groups"), told, "doc_id"))), "merged")
-    used = located.groupBy("dir_id").agg(F.array_sort(F.collect_set("mapping")).alias("mappings"))
-    rows = sizes.join(used, "dir_id", "left").withColumn("group", F.col("dir_id").cast("string")).join(docs.withColumnRenamed("doc_id", "group"), "group", "left")
-    directories = rows.select(
-        F.col("dir_id").alias("id"), F.coalesce("metadata", F.lit(EMPTY)).alias("metadata"), F.coalesce("mappings", F.array().cast("array<string>")).alias("mappings"), "truncated"
+    told = props.entries(fresh.unionByName(props.expand(old.select("doc_id", "metadata"))))
+    groups = rest.select("target", "mapping", "n", name.alias("doc_id")).unionByName(
+        reused.join(old.select("sha1", "doc_id"), "sha1").select("target", "mapping", "n", "doc_id")
     )
+    facts = groups.join(told, "doc_id", "left").groupBy("target", "mapping").agg(F.max("n").alias("n"), F.flatten(F.collect_list("entries")).alias("entries"))
+    met = weighed_join(hits, written(facts, "facts"), ["target", "mapping"], "n")
+    doc = F.struct(F.col("mapping").alias("rank"), "entries").alias("doc")
+    rows = met.select("dir_id", F.lit(None).cast("boolean").alias("truncated"), doc).unionByName(found.select("dir_id", "truncated", F.lit(None).alias("doc")))
+    each = rows.repartition("dir_id").groupBy("dir_id").agg(F.max("truncated").alias("truncated"), F.collect_list("doc").alias("docs"))
+    each = each.select("dir_id", "truncated", F.array_sort(F.array_distinct(F.col("docs.rank"))).alias("mappings"), "docs")
+    directories = props.merged_documents(each).select(F.col("dir_id").alias("id"), F.coalesce("metadata", F.lit(EMPTY)).alias("metadata"), "mappings", "truncated")
     done = props.compact(fresh).select(F.split("doc_id", "/")[1].alias("id"), F.split("doc_id", "/")[0].alias("mapping"), "metadata")
     return Indexed(done, directories)
 
