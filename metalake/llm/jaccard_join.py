@@ -260,11 +260,13 @@ def in_blocks(df: DataFrame, group: str, blocks: str) -> DataFrame:
     )
 
 
-def bucket_edges(nodes: DataFrame, runs: int, depth: int, limit: int, threshold: float) -> DataFrame:
-    """Coarse edges of all runs: recursive splitting, then brute force in small buckets."""
+def bucket_edges(nodes: DataFrame, heads: DataFrame, runs: int, depth: int, limit: int, threshold: float) -> DataFrame:
+    """Coarse edges of all runs: recursive splitting, then brute force in small buckets. ``nodes`` may
+    have rows besides ``heads`` (node), which alone take part: what a step needs of a node is looked
+    up in the table written first, so its tokens and sketch are written once."""
     light = nodes.select("node", "n", "sketch", "own")
     firsts = F.filter("tokens", lambda _, at: at % depth == 0)
-    paths = nodes.select("node", F.posexplode(firsts).alias("run", "chosen"))
+    paths = nodes.select("node", firsts.alias("firsts")).join(few(heads), "node").select("node", F.posexplode("firsts").alias("run", "chosen"))
     entries = paths.select("node", "run", F.explode("chosen").alias("token")).select(
         "node", "run", F.xxhash64("run", "token").alias("bucket")
     )
@@ -334,8 +336,8 @@ def classes(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, s
         .select("d1", "d2", "n", "copies", F.col("best.rid").alias("node"), F.col("best.k").alias("k"), F.col("best.th").alias("th")),
         "nodes",
     )
-    nodes = full.select(F.col("rid").alias("node"), "n", "sketch", "own", "tokens").join(few(same.select("node")), "node")
-    coarse = components(bucket_edges(materialize(nodes, "tokens"), runs, depth, limit, threshold))
+    nodes = full.select(F.col("rid").alias("node"), "n", "sketch", "own", "tokens")
+    coarse = components(bucket_edges(nodes, same.select("node"), runs, depth, limit, threshold))
     linked = verified(rows, sets, same, coarse, threshold, size, limit)
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(linked.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -101,3 +101,14 @@ def test_clashing_names_and_hot_groups(spark):
     assert len({r.class_id for r in check(df)}) == 202
     kept = jaccard_join.drop_near_copies(df)
     assert kept.columns == df.columns and kept.count() == 202
+
+
+def test_tokens_are_written_once(spark, monkeypatch):
+    seen = []
+    write = jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, tag: (seen.append(df.columns), write(df, tag))[1])
+    words = [f"w{i}" for i in range(30)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, " ".join(words)), (4, "other words that stand alone here"), (5, None)]
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == {1: (1, 2), 2: (1, 2), 3: (1, 2), 4: (4, 0), 5: (5, 0)}
+    assert sum("tokens" in columns for columns in seen) == 1
