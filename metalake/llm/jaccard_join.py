@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, materialize, meet, text_or_empty
+from .common import few, materialize, meet, small_batches, text_or_empty
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -85,10 +85,9 @@ def digests(df: DataFrame, runs: int, depth: int, threshold: float, size: int) -
                     ["rid", "doc_id", "k", "th", "n", "d1", "d2", "sketch", "own", "tokens"],
                 )
 
-    return materialize(
-        df.select("rid", "doc_id", "k", "th", "text").mapInArrow(run, "rid long, doc_id long, k long, th long, n int, d1 long, d2 long, sketch binary, own binary, tokens array<array<long>>"),
-        "sets",
-    )
+    schema = "rid long, doc_id long, k long, th long, n int, d1 long, d2 long, sketch binary, own binary, tokens array<array<long>>"
+    with small_batches(df.sparkSession):
+        return materialize(df.select("rid", "doc_id", "k", "th", "text").mapInArrow(run, schema), "sets")
 
 
 def by_group(df: DataFrame, key: list[str], work: Callable, schema: str, pairs: Callable | None = None) -> DataFrame:

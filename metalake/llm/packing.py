@@ -20,16 +20,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, text_or_empty
+from .common import materialize, shuffle_partitions, small_batches, text_or_empty
 from .pretokens import split
 
 PIECE = "rid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit integers, from the tokenizer."""
+    """Pre-token -> its ids as little-endian unsigned 32-bit integers, from the tokenizer. Each worker
+    holds ``most`` pre-tokens, some 45 MB; others are encoded again."""
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -170,7 +171,8 @@ def pack(df: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col
     others; an empty table gives no rows; further columns are not read. Sequences are
     numbered from 0 without gaps, offsets in a sequence have no gaps.
     """
-    pieces = materialize(token_pieces(df, path, capacity, end_id, id_col, text_col), "pieces")
+    with small_batches(df.sparkSession):
+        pieces = materialize(token_pieces(df, path, capacity, end_id, id_col, text_col), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = places(plan(counts, capacity))
     lookup = pieces.sparkSession.sparkContext.broadcast({k: np.array(v, "int64").reshape(-1, 4) for k, v in table.items()})

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import draw, materialize, text_or_empty
+from .common import draw, materialize, small_batches, text_or_empty
 
 #: Byte classes for the counts below: space, lower, upper, digit, full stop, mark, bar, symbol, other.
 SPACE, LOWER, UPPER, DIGIT, STOP, MARK, BAR, SYMBOL, WIDE = range(9)
@@ -198,7 +198,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int
     """Weak-label model and scorer. Votes are counted over all rows of ``df``; the scorer is
     trained on the ``most`` rows with the smallest hash of id and text (documented bound)."""
     key = F.xxhash64(F.col(id_col).cast("long"), text_or_empty(text_col))
-    ballots = materialize(voted(df.select(F.col(id_col), text_or_empty(text_col).alias(text_col)), text_col).select(key.alias("key"), "__votes"), "votes")
+    with small_batches(df.sparkSession):
+        ballots = materialize(voted(df.select(F.col(id_col), text_or_empty(text_col).alias(text_col)), text_col).select(key.alias("key"), "__votes"), "votes")
     rows = ballots.groupBy("__votes").agg(F.count(F.lit(1)).alias("n")).collect()
     if not rows:
         return {"weights": np.zeros(BUCKETS + 1, "float32"), "good_share": 0.5, "accuracies": {}}

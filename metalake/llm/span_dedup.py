@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, meet, text_or_empty
+from .common import materialize, meet, small_batches, text_or_empty
 from .sentences import HAS_UNSPACED, starts, words
 
 NO_ID = -(1 << 63)
@@ -76,7 +76,8 @@ def span_rows(df: DataFrame, least_units: int) -> DataFrame:
                     ["k", "th", "pos", "h1", "h2"],
                 )
 
-    return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int"), "spans")
+    with small_batches(df.sparkSession):
+        return materialize(df.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, h1 long, h2 int"), "spans")
 
 
 def with_places(tagged: DataFrame, places: DataFrame) -> DataFrame:
