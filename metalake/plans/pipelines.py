@@ -51,6 +51,11 @@ EMPTY = f'{{"@context":"{props.CONTEXT}"}}'
 MOST_SENT = 500_000
 
 
+def sent(ids: DataFrame) -> DataFrame:
+    """The distinct ``ids``, a column of a written table, marked for broadcast while its rows are few."""
+    return F.broadcast(ids.distinct()) if ids.count() <= MOST_SENT else ids.distinct()
+
+
 def translated_files(files: DataFrame) -> DataFrame:
     """Property table of written files (doc_id, mapping, data), each by its mapping. Only the
     mappings that occur are planned; there are as many as the registry has."""
@@ -83,8 +88,7 @@ def directory_metadata(wanted: DataFrame, dir_entries: DataFrame, contents: Data
     found = written(graph.searched(roots, rules, most), "found")
     inner = found.where("inner is not null").select(F.col("dir_id").alias("outer"), F.col("inner").alias("dir_id"))
     # the filter goes below whatever makes the entries; it is broadcast while the ids are few
-    ids = inner.select("dir_id").distinct()
-    below = dir_entries.join(F.broadcast(ids) if inner.count() <= MOST_SENT else ids, "dir_id", "left_semi").join(inner, "dir_id")
+    below = dir_entries.join(sent(inner.select("dir_id")), "dir_id", "left_semi").join(inner, "dir_id")
     below = written(graph.searched(below.withColumn("dir_id", F.col("outer")), rules, most), "below")
     hits = found.select("dir_id", "hits").unionByName(below.select("dir_id", "hits")).select("dir_id", F.inline("hits"))
     # a content lies in many directories, so all that asks about contents asks once for each
@@ -124,10 +128,11 @@ def origin_intrinsic_metadata(
     an origin and a directory count once."""
     wanted = graph.full_visit_origins(visit_statuses, origins)
     statuses = visit_statuses.join(wanted.select(F.col("url").alias("origin")), "origin", "left_semi")
-    visits = graph.latest_full_visits(statuses)
-    wanted_branches = branches.join(visits.select("snapshot").distinct(), "snapshot", "left_semi")
+    # both are read several times below, and whatever makes them shouldn't be run each time
+    visits = written(graph.latest_full_visits(statuses), "visits")
+    wanted_branches = written(branches.join(sent(visits.select("snapshot")), "snapshot", "left_semi"), "branches")
     roots = written(graph.head_directories(graph.origin_heads(visits, wanted_branches), revisions, releases).dropDuplicates(["origin"]), "roots")
-    found = directory_metadata(roots.select(F.col("directory").alias("dir_id")), dir_entries, contents, blobs, known, most)
+    found = directory_metadata(sent(roots.select(F.col("directory").alias("dir_id"))), dir_entries, contents, blobs, known, most)
     directories = written(found.directories, "directories")
     told = directories.where(S.has_metadata(F.col("metadata")))
     rows = roots.join(told, F.col("directory") == F.col("id")).select(F.col("origin").alias("id"), "metadata", F.col("directory").alias("from_directory"), "mappings")

@@ -54,3 +54,26 @@ def test_hot_keys_stay_where_they_are(spark):
     right = written(left.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.col("k") + 1), "right")
     got = weighed_join(left, right, ["k"], "n")
     assert got.count() == 60_000 and got.where("v <> k + 1").isEmpty() and "Union" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_branches_of_origins_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    schema = "snapshot long, name string, target_type string, target string"
+    rows = [(1, "HEAD", "alias", "master"), (1, "master", "revision", "r1"), (2, "a-1.0.zip", "release", "t1"), (2, "HEAD", "alias", "HEAD")]
+    branches = spark.createDataFrame(rows, schema).coalesce(1).mapInArrow(told, schema)
+    visits = spark.createDataFrame([("u1", 1, 5, "git", "full", 1), ("u2", 2, 5, "ftp", "full", 2)], "origin string, visit long, date long, type string, status string, snapshot long")
+    entries = spark.createDataFrame([(7, 1, "package.json", "file", "c1"), (8, 1, "src", "dir", 7)], "dir_id long, pos int, name string, type string, target string")
+    found = pipelines.origin_intrinsic_metadata(
+        visits.select(F.col("origin").alias("url")), visits, branches, spark.createDataFrame([("r1", 7)], "id string, directory long"),
+        spark.createDataFrame([("t1", "directory", 8)], "id string, target_type string, target long"), entries,
+        spark.createDataFrame([("c1", "s1")], "sha1_git string, sha1 string"), spark.createDataFrame([("s1", b'{"name":"n"}')], "sha1 string, data binary"),
+    )
+    text = f'{{"@context":"{props.CONTEXT}","type":"SoftwareSourceCode","name":"n"}}'
+    assert {(r.id, r.from_directory, r.metadata) for r in found.origins.collect()} == {("u1", 7, text), ("u2", 8, text)}
+    assert made.value == len(rows)
