@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metalake.functions.scalars import has_metadata, tokens
+from metalake.operators import packed
 
 #: Mappings that statistics always report.
 STAT_MAPPINGS = ["cff", "codemeta", "gemspec", "maven", "npm", "pkg-info"]
@@ -101,39 +100,31 @@ def token_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
-WORDS = 16  # of 64 bits, in a signature
-
-
-def signatures(tokens_of: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, ``name``0 ...): 1024 bits for each key of ``tokens_of`` (key, token), set by its tokens' hashes."""
-    bit = F.pmod(F.xxhash64("token"), F.lit(64 * WORDS))
-    rows = tokens_of.select(key, F.floor(bit / 64).alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(token), 64L) as int))").alias("mask"))
-    return rows.groupBy(key).agg(*[F.bit_or(F.when(F.col("word") == w, F.col("mask")).otherwise(F.lit(0).cast("long"))).alias(f"{name}{w}") for w in range(WORDS)])
-
-
 def search_postings(index: DataFrame, terms: DataFrame, counts: DataFrame | None = None, id_col: str = "id", docs: DataFrame | None = None) -> DataFrame:
     """Many queries at once: ``terms`` (query_id, token); all tokens of a query must occur.
 
     A query's rarest token (by ``counts``) yields its candidates, so frequent tokens never
-    meet the whole index; the candidates' other tokens are then looked up by token and id.
-    With ``docs`` (``id_col``, tokens), the indexed rows, a candidate whose signature lacks a bit of
-    its query's goes where it is made, before it is shuffled, and the rest are looked up in their
-    documents; the candidates grow with queries times documents, what is left with the results."""
+    meet the whole index; the candidates' other tokens are then looked up by token and id. With
+    ``docs`` (``id_col``, tokens), the indexed rows, all of that is done in memory (:func:`search_packed`)."""
+    if docs is not None:
+        kind = docs.schema[id_col].dataType
+        return search_packed(packed.pack(docs, id_col), terms).withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
     counts = token_counts(index) if counts is None else counts
     wanted = terms.distinct().join(counts, "token", "left")
     per_query = wanted.groupBy("query_id").agg(
         F.min_by("token", F.struct("df", "token")).alias("rare"), F.collect_list("token").alias("all"), F.count(F.lit(1)).alias("need"), F.count("df").alias("met")
     ).where("met = need")
     first = index.select(F.col("token").alias("rare"), id_col)
-    if docs is not None:
-        full = docs.where(F.size("tokens") > 0)
-        mine = first.join(per_query.select("rare").distinct(), "rare", "left_semi").join(signatures(full.select(id_col, F.explode("tokens").alias("token")), id_col, "has"), id_col)
-        asking = per_query.select("query_id", "rare").join(signatures(terms, "query_id", "asks"), "query_id")
-        held = [F.col(f"asks{w}").bitwiseAND(F.bitwise_not(f"has{w}")) == 0 for w in range(WORDS)]
-        likely = mine.join(asking, "rare").where(reduce(Column.__and__, held)).select("query_id", id_col)
-        met = likely.join(per_query.select("query_id", "all"), "query_id").join(full.select(id_col, "tokens"), id_col).where(F.forall("all", lambda t: F.array_contains("tokens", t)))
-        hits = F.aggregate("all", F.lit(0), lambda n, t: n + F.size("tokens") - F.size(F.array_remove("tokens", t)))
-        return met.select("query_id", id_col, F.round(hits / (1 + F.log(F.size("tokens").cast("double"))), 6).alias("rank"))
     asked = per_query.join(first, "rare").select("query_id", id_col, "need", F.explode("all").alias("token"))
     met = asked.join(index, ["token", id_col]).groupBy("query_id", id_col, "n", "need").agg(F.count(F.lit(1)).alias("met"), F.sum("tf").alias("hits"))
     return met.where("met = need").select("query_id", id_col, F.round(F.col("hits") / (1 + F.log(F.col("n").cast("double"))), 6).alias("rank"))
+
+
+def search_packed(packs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(query_id, id, rank): the matches of many queries, ``terms`` (query_id, token), in the documents of ``packs``.
+
+    Packs of queries meet packs of documents in memory; only results leave a task. These grow with queries
+    times documents, as do the tests, but neither candidates nor postings are shuffled."""
+    found = packed.match(packs, packed.pack_searches(packed.gathered(terms)))
+    rank = F.round(F.col("hits") / (1 + F.log(F.col("n").cast("double"))), 6).alias("rank")
+    return found.select(F.col("query_id").cast(terms.schema["query_id"].dataType), "id", rank)
