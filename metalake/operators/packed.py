@@ -9,6 +9,7 @@ start from the word that is rarest in the pack, and lose candidates word by word
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,6 @@ DOCS = "docs long, first_block long, words binary, posts binary, rows binary"
 SEARCHES = "searches long, asked_words binary, asked binary, names binary"
 #: Documents and tokens of a pack, tokens of a pack of searches, candidates tested at once.
 MOST_DOCS, MOST_TOKENS, MOST_ASKED, AT_ONCE = 5_000, 4_000_000, 2_000_000, 300_000
-#: Ranks are rounded to six digits; sums in another order may differ by less than this.
-SLACK = 1e-6
 
 
 def frozen(**columns) -> bytes:
@@ -51,6 +50,15 @@ def dictionary(words: Iterable[pa.Array]) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
+def millionths(ranks: np.ndarray) -> np.ndarray:
+    """``ranks``, none negative, as Spark rounds them to six digits: by their decimal digits, halves up."""
+    scaled = ranks * 1e6
+    out = np.floor(scaled + 0.5).astype("int64")
+    for i in np.flatnonzero(np.abs(scaled - np.floor(scaled) - 0.5) < 1e-4):
+        out[i] = int(Decimal(repr(float(ranks[i]))).quantize(Decimal("0.000001"), ROUND_HALF_UP).scaleb(6))
+    return out
+
+
 def joined(tokens: Column) -> Column:
     return F.array_join(tokens, GAP)
 

@@ -1,10 +1,12 @@
 """Searches by packs: equal to a search of every document, whatever the packs, and nothing is shuffled for them."""
 
+import numpy as np
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
 from metalake.operators import packed, search
+from metalake.plans import lineage, ranked
 from metalake.queries import relational
 
 
@@ -69,3 +71,49 @@ def test_no_words_and_no_documents(spark, docs):
 def test_neither_postings_nor_candidates_are_shuffled(spark):
     plan = relational.search_by_postings(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and "CartesianProduct" in plan
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """600 documents that all hold five words, some of them often, in twenty blocks or more."""
+    word = F.when(F.col("i") < 5, F.concat(F.lit("w"), F.col("i").cast("string"))).otherwise(F.concat(F.lit("w"), (F.col("id") * F.col("i") % 7).cast("string")))
+    rows = spark.range(600).select("id", F.explode(F.sequence(F.lit(0), 5 + F.col("id") % 40)).alias("i"))
+    return rows.groupBy(F.format_string("%03d", "id").alias("id")).agg(F.collect_list(word).alias("tokens")).cache()
+
+
+@pytest.mark.parametrize(("most_docs", "most_tokens", "limit"), [(5000, 10**6, 1), (60, 10**6, 3), (30, 10**6, 1), (5000, 500, 7)])
+def test_best_matches_write_few_rows(spark, many, tmp_path, monkeypatch, most_docs, most_tokens, limit):
+    """The tables on the way hold some rows for each search, not one for each search and block."""
+    monkeypatch.setattr(packed, "MOST_DOCS", most_docs)
+    monkeypatch.setattr(packed, "MOST_TOKENS", most_tokens)
+    path, rows = f"file://{tmp_path}/index", []
+    ranked.build(many, path, 30)
+    blocks = ranked.read_postings(spark, path).select("block").distinct().count()
+
+    def counted(df, *more):
+        out = lineage.written(df, *more)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(ranked, "written", counted)
+    searches = {f"{a} {b}": [f"w{a}", f"w{b}"] for a in range(7) for b in range(7)}
+    found, _ = ranked.best(spark, path, spark.createDataFrame([(q, t) for q, terms in searches.items() for t in terms], "query_id string, token string"), limit)
+    got = {}
+    for r in found.orderBy("query_id", "place").collect():
+        got.setdefault(r.query_id, []).append((r.id, r["rank"]))
+    for q in ("0 1", "3 3", "4 6", "6 5", "2 0"):
+        assert got[q] == [(r.id, r["rank"]) for r in search.full_text(many, searches[q], limit).collect()]
+    assert blocks >= 20 and max(rows) <= len(searches) * limit * 13 < len(searches) * limit * blocks
+
+
+def test_rows_of_one_id_and_length_are_one_document(spark, tmp_path):
+    rows = spark.createDataFrame([("a", ["x", "y", "x"]), ("a", ["x", "z", "z"]), ("a", ["x"]), ("b", ["y", "x", "z"])], "id string, tokens array<string>")
+    ranked.build(rows, f"file://{tmp_path}/index", 2)
+    got = {(r.token, r.id, r.n): r.tf for r in ranked.read_postings(spark, f"file://{tmp_path}/index").collect()}
+    assert got == {("x", "a", 3): 3, ("y", "a", 3): 1, ("z", "a", 3): 2, ("x", "a", 1): 1, ("x", "b", 3): 1, ("y", "b", 3): 1, ("z", "b", 3): 1}
+
+
+def test_ranks_are_rounded_as_by_spark(spark):
+    values = [0.0, 0.1234565, 0.1234575, 2.0000005, 1.0000015, 0.9999995, 17.1234564999999, 3 / 7, 5.0]
+    want = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 6)).collect()]
+    assert [x / 1e6 for x in packed.millionths(np.array(values))] == want
