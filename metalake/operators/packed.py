@@ -119,11 +119,12 @@ def cut(batches: Iterable[pa.RecordBatch], weight: str, most_rows: int, most: in
 
 def pack(docs: DataFrame, id_col: str = "id") -> DataFrame:
     """Packs of ``docs`` (``id_col``, tokens), of about as many documents as a task reads together."""
-    sent = docs.where(F.col(id_col).isNotNull() & (F.size("tokens") > 0))
-    sent = sent.select(F.col(id_col).cast("string").alias("id"), F.size("tokens").alias("n"), joined(F.col("tokens")).alias("tokens"), F.lit(0).cast("long").alias("place"))
+    sent = docs.select(F.col(id_col).cast("string").alias("id"), F.size("tokens").alias("n"), joined(F.col("tokens")).alias("tokens"), F.lit(0).cast("long").alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in cut(batches, "n", MOST_DOCS, MOST_TOKENS):
+        # not filtered before: Spark would make the tokens once more for it, below the shuffle that deals the rows
+        some = (b.filter(pc.and_(pc.is_valid(b["id"]), pc.greater(b["n"], 0))) for b in batches)
+        for held in cut(some, "n", MOST_DOCS, MOST_TOKENS):
             yield docs_pack(held, None)
 
     return sent.mapInArrow(run, DOCS)

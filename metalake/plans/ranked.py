@@ -44,8 +44,9 @@ def build(rows: DataFrame, path: str, per_block: int = 20_000, id_col: str = "id
     ``per_block`` documents. Rows without tokens match nothing. Documents of one length are
     spread over that length's blocks by a hash of their id; rows of one id and length count
     as one document."""
-    docs = rows.where(F.size("tokens") > 0).select(F.col(id_col).cast("string").alias("id"), F.size("tokens").alias("n"), packed.joined(F.col("tokens")).alias("tokens"))
-    docs = written(docs.where("id is not null"), "docs")
+    docs = rows.select(F.col(id_col).cast("string").alias("id"), F.size("tokens").alias("n"), packed.joined(F.col("tokens")).alias("tokens"))
+    # filtered as they are read: Spark would make the tokens once more for it, below a shuffle that deals the rows
+    docs = written(docs, "docs").where("id is not null and n > 0")
     # one row for each length that occurs, so one task may add them up
     lengths = docs.groupBy("n").agg(F.count(F.lit(1)).alias("many"))
     order = Window.orderBy("n")

@@ -117,3 +117,11 @@ def test_ranks_are_rounded_as_by_spark(spark):
     values = [0.0, 0.1234565, 0.1234575, 2.0000005, 1.0000015, 0.9999995, 17.1234564999999, 3 / 7, 5.0]
     want = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 6)).collect()]
     assert [x / 1e6 for x in packed.millionths(np.array(values))] == want
+
+
+def test_documents_are_dealt_before_their_tokens_are_made(spark, monkeypatch):
+    """A file of few row groups is few tasks; nothing but reading may happen there."""
+    monkeypatch.setattr(packed, "MOST_DOCS", 50)
+    plan = packed.pack(relational.token_rows(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning", 1)
+    assert "regexp_extract_all" in above and "regexp_extract_all" not in below and "to_json" not in below
